@@ -1,0 +1,134 @@
+import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
+
+from threadloom.operators import context as cx
+from threadloom.plans.parameters import (
+    QuestionParameters,
+    RefreshParameters,
+    clamp,
+    feed_limit,
+    question_topk,
+    search_topk,
+    service_topk,
+)
+from threadloom.sources import schemas
+
+HITS = "query_id string, id string, score double, metadata " + schemas.METADATA
+STORE = "t string, sub string, id string, h string, text string"
+
+
+def hit(q, id, score, t="s", sub="a", sid="x", h="h1"):
+    return (q, id, score, ("r", sub, t, sid, None, h))
+
+
+def test_pinned_text(rows):
+    hits = rows(
+        [hit("q", "r:s:a:x", 0.9), hit("q", "r:s:a:x2", 0.8, h="old"), hit("q", "bad", 0.7), hit("q", "r:s:a:y", 0.6, h="")],
+        HITS,
+    )
+    store = rows([("s", "a", "x", "h1", " 日本語text "), ("s", "a", "x2", "h1", "n"), ("s", "a", "y", "", "n")], STORE)
+    got = {r.id: r.text for r in cx.with_pinned_text(hits, store, 4, at_most=4).collect()}
+    assert got == {"r:s:a:x": "日本語t", "r:s:a:x2": "", "bad": "", "r:s:a:y": ""}
+
+
+STAGED = (
+    "sub string, kind string, y string, md string, hms string, sid string, cap14 string, h16 string, "
+    "title string, body string, comment_id string, parent_id string"
+)
+
+
+def test_latest_text(rows):
+    def version(kind, sid, cap, title, body, comment=None):
+        return ("a", kind, "2024", "0101", "000000", sid, cap, "f", title, body, comment, None)
+
+    staged = rows(
+        [
+            version("submissions", "x", "1", "old", "b"),
+            version("submissions", "x", "2", " T ", " B "),
+            version("comments", "x", "1", None, "old", "c1"),
+            version("comments", "x", "1", None, "only old", "c2"),
+            version("comments", "x", "2", None, " new ", "c1"),
+        ],
+        STAGED,
+    )
+    hits = rows(
+        [
+            hit("q", "r:s:a:x", 0.9),
+            hit("q", "r:c:a:c1", 0.8, t="c"),
+            hit("q", "r:c:a:c2", 0.7, t="c"),
+            hit("q", "r:s:a:z", 0.6, sid="z"),
+            hit("q", "r:s:a:w", 0.5, sid=""),
+            hit("q", "plain", 0.4, t="c"),
+        ],
+        HITS,
+    )
+    got = {r.id: r.excerpt for r in cx.with_latest_text(hits, staged, at_most=6).collect()}
+    assert got == {"r:s:a:x": "T\n\nB", "r:c:a:c1": "new", "r:c:a:c2": "", "r:s:a:z": "", "r:s:a:w": "", "plain": ""}
+
+
+def test_text_lookup_does_not_shuffle_the_store(spark, rows, tmp_path):
+    rows([("s", "a", f"d{i}", "h1", "t") for i in range(50)], STORE).write.parquet(str(tmp_path / "s"))
+    store = spark.read.parquet(str(tmp_path / "s"))
+    plan = plan_of(cx.with_pinned_text(rows([hit("q", "r:s:a:d1", 0.9)], HITS), store, at_most=1))
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def blocks(rows, sizes, q="q"):
+    return rows([(q, i, "x" * n) for i, n in enumerate(sizes, 1)], "query_id string, rank int, block string")
+
+
+@pytest.mark.parametrize(
+    ("sizes", "budget", "kept"),
+    [
+        ([5, 5, 5], 10, [1, 2]),
+        ([5, 6, 1], 10, [1]),  # a later smaller block is not taken
+        ([11, 1], 10, []),
+        ([10], 10, [1]),
+        ([5, 5], 0, [1, 2]),
+    ],
+)
+def test_budget(rows, sizes, budget, kept):
+    got = cx.within_budget(blocks(rows, sizes), budget)
+    assert sorted(r["rank"] for r in got.collect()) == kept
+
+
+def test_blocks_are_numbered_after_empty_ones_are_dropped(rows):
+    hits = rows([hit("q", "a", 0.9), hit("q", "b", 0.8), hit("q", "c", 0.8, sub=None)], HITS).withColumn(
+        "text", F.when(F.col("id") == "a", "").otherwise(F.col("id"))
+    )
+    got = cx.context_blocks(hits, style="numbered").orderBy("rank").collect()
+    assert [r.block for r in got] == [
+        "[1] id=b sub=a t=s sid=x score=0.800000\nb",
+        "[2] id=c sub= t=s sid=x score=0.800000\nc",
+    ]
+    got = cx.context_blocks(hits, style="source").orderBy("rank").collect()
+    assert got[0].block == "SOURCE id=b sub=a t=s sid=x score=0.800000\nb"
+
+
+def test_prompts(rows):
+    asked = rows([("q0", "none?"), ("q1", "one?"), ("q2", "two?")], "query_id string, question string")
+    found = rows([("q1", 1, "A"), ("q2", 2, "C"), ("q2", 1, "B")], "query_id string, rank int, block string")
+    template = cx.PromptTemplate("HEAD\n", "\n--\n", "\nASK ", "NOTHING")
+    got = {r.query_id: (r.n_blocks, r.prompt) for r in cx.build_prompts(asked, found, template).collect()}
+    assert got == {
+        "q0": (0, "NOTHING\nASK none?\n"),
+        "q1": (1, "HEAD\nA\nASK one?\n"),
+        "q2": (2, "HEAD\nB\n--\nC\nASK two?\n"),
+    }
+
+
+def test_parameters():
+    assert [clamp(x, 1, 50, 10) for x in (0, 99, "7.9", "x", None, float("nan"), -3)] == [1, 50, 7, 10, 10, 10, 1]
+    assert [search_topk(k) for k in (0, 10, 50)] == [1, 10, 20]
+    assert [search_topk(k, "none") for k in (0, 50, 500)] == [1, 50, 100]
+    assert search_topk(50, "none", values=True) == 20
+    assert [question_topk(k) for k in (0, 8, 50)] == [1, 8, 20]
+    assert [service_topk(k) for k in ("a", 99)] == [10, 50]
+    assert [feed_limit(n) for n in (0, 5, 100, 101)] == [100, 5, 100, 100]
+    assert QuestionParameters.service(topk=99, budget="x") == QuestionParameters(
+        50, 16, True, True, 1200, 4096, "source"
+    )
+    for bad in ({"lookback_days": -1}, {"max_vectors": 1.5}, {"dim": 0}, {"retries": True}):
+        with pytest.raises(ValueError):
+            RefreshParameters(**bad)

@@ -1,0 +1,73 @@
+import json
+import sys
+
+from threadloom.operators.flatten import flatten_replies
+
+
+def t1(id, parent="t3_p", created=1.0, replies="", **more):
+    return {"kind": "t1", "data": {"id": id, "parent_id": parent, "created_utc": created, "replies": replies, **more}}
+
+
+def listing(*children):
+    return {"kind": "Listing", "data": {"children": list(children)}}
+
+
+def payload(*children):
+    return json.dumps([listing({"kind": "t3", "data": {"id": "p"}}), listing(*children)])
+
+
+def flat(rows, *trees):
+    df = rows([(f"k{i}", t) for i, t in enumerate(trees)], "k string, tree string")
+    return flatten_replies(df, "tree", ["k"]).orderBy("k", "seq").collect()
+
+
+def test_shapes(rows):
+    tree = payload(
+        t1("a", replies=listing(t1("b", "t1_a", 2, body="x"), {"kind": "more", "data": {"id": "m"}})),
+        {"kind": "more", "data": {"children": ["z"]}},
+        t1("c", created="bad"),
+        {"kind": "t1", "data": None},
+        "junk",
+        listing(t1("d", replies=None)),
+        {"kind": "t1", "data": {"id": 7}},
+    )
+    got = flat(rows, tree)
+    assert [(r.comment_id, r.parent_id, r.created_utc) for r in got] == [
+        ("a", "t3_p", 1.0), ("b", "t1_a", 2.0), ("c", "t3_p", 0.0), ("d", "t3_p", 1.0), ("", "", 0.0),
+    ]
+    assert json.loads(got[1].raw) == {"id": "b", "parent_id": "t1_a", "created_utc": 2, "body": "x"}
+
+
+def test_empty_and_bare(rows):
+    assert flat(rows, payload()) == []
+    assert [r.comment_id for r in flat(rows, json.dumps(listing(t1("a"))))] == ["a"]
+
+
+def test_broken_payloads_are_reported(rows):
+    got = flat(rows, "{", None, "[]", payload(t1("a")))
+    assert [(r.k, r.parse_error is not None) for r in got] == [("k0", True), ("k1", True), ("k2", True), ("k3", False)]
+
+
+def deep(levels):
+    node = ""
+    for i in reversed(range(levels)):
+        node = listing(t1(f"c{i}", f"t1_c{i - 1}", i, node))
+    return node
+
+
+def test_a_thousand_levels(rows):
+    old = sys.getrecursionlimit()
+    sys.setrecursionlimit(50_000)
+    try:
+        text = json.dumps([listing(), deep(1000)])
+    finally:
+        sys.setrecursionlimit(old)
+    got = flat(rows, text)
+    assert [r.parse_error for r in got if r.parse_error] == []
+    assert [r.comment_id for r in got] == [f"c{i}" for i in range(1000)]
+
+
+def test_wide_payload_and_surrogates(rows):
+    tree = payload(*[t1(f"c{i}", body="\ud800x" if i == 3 else "y") for i in range(25_000)])
+    got = flat(rows, tree)
+    assert len(got) == 25_000 and json.loads(got[3].raw)["body"] == "x"

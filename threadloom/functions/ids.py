@@ -73,10 +73,15 @@ def object_key_of_hit(id: Column | str, h: Column | str, prefix: str | None = DE
     return F.when(usable, object_key(p["t"], p["sub"], p["doc"], col(h), prefix)).otherwise(F.lit(""))
 
 
+def _without(c: Column, *prefixes: str) -> Column:
+    """``c`` without its first two characters where they are one of
+    ``prefixes``."""
+    return F.when(F.left(c, F.lit(2)).isin(*prefixes), F.substr(c, F.lit(3))).otherwise(c)
+
+
 def norm_sub(c: Column | str) -> Column:
     """Strip, drop a leading r/ then a leading r_ (either case), strip."""
-    bare = F.regexp_replace(strip_text(c), r"^[rR]/", "")
-    return F.btrim(F.regexp_replace(bare, r"^[rR]_", ""), F.lit(BLANKS))
+    return F.btrim(_without(_without(strip_text(c), "r/", "R/"), "r_", "R_"), F.lit(BLANKS))
 
 
 def valid_stamp(c: Column | str) -> Column:

@@ -12,6 +12,10 @@ from threadloom.session import materialize
 # in ranges and only the range the cut falls into is sorted again.
 TOP_N_LIMIT = 1000
 
+# Groups with more rows than this are ranked by several tasks.
+SPLIT_ABOVE = 1_000_000
+MAX_SPLIT_GROUPS = 10_000
+
 
 def _pick(df: DataFrame, keys: Sequence[str], best) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
@@ -33,15 +37,41 @@ def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -
 
 
 def positions(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "pos", partitions: int | None = None
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    name: str = "pos",
+    split_above: int = SPLIT_ABOVE,
+    partitions: int | None = None,
 ) -> DataFrame:
     """The 1-based position of every row in its group, in ``order``.
 
-    Rows are laid out in ranges of (group, order), which splits a group that is
-    larger than one range over several tasks.  A row's position is its place in
-    its own range plus the group's rows in the ranges before it.  Group and
+    Groups are counted first.  Ordinary groups are ranked by a window; groups
+    with more than ``split_above`` rows, and the one group of an empty
+    ``group``, are laid out in ranges so that many tasks share them.  Group and
     order columns together must be unique.
     """
+    if not group:
+        return _ranged_positions(df, [], order, name, partitions)
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint")
+    large = df.groupBy(*group).count().where(F.col("count") > split_above).select(*group)
+    head = large.limit(MAX_SPLIT_GROUPS + 1).collect()
+    if not head:
+        return df.withColumn(name, place)
+    if len(head) <= MAX_SPLIT_GROUPS:
+        large = F.broadcast(df.sparkSession.createDataFrame(head, large.schema))
+    else:
+        large = materialize(large, "groups")
+    ordinary = df.join(large, list(group), "left_anti").withColumn(name, place)
+    split = _ranged_positions(df.join(large, list(group), "left_semi"), group, order, name, partitions)
+    return ordinary.select(*df.columns, name).unionByName(split)
+
+
+def _ranged_positions(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, partitions: int | None
+) -> DataFrame:
+    """Positions out of ranges of (group, order): a row's place in its own
+    range plus the group's rows in the ranges before it."""
     keys = [*group, *order]
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     laid = materialize(
@@ -51,7 +81,7 @@ def positions(
         "ranges",
     )
     runs = laid.groupBy(*group, "_range").agg(F.min("_seq").alias("_lo"), F.count(F.lit(1)).alias("_n"))
-    # One group has at most one run per range, so this window stays small.
+    # A group has one run per range at most, so this window stays small.
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
     return (

@@ -108,10 +108,8 @@ def import_dump(
     keys = found.withColumnRenamed("post_id", "sid")
     seen = _of_kind(existing, "comments")
     fresh = keys if seen is None else keys.join(seen, ["sub", "sid", "hash"], "left_anti")
-    placed = threads.comment_order(
-        unique.withColumnRenamed("post_id", "sid").join(fresh.drop("n_comments"), ["sub", "sid"], "inner"),
-        ["sub", "sid"],
-    )
+    kept = unique.withColumnRenamed("post_id", "sid").join(fresh.drop("n_comments"), ["sub", "sid"], "inner")
+    placed = threads.comment_order(materialize(kept, "threads"), ["sub", "sid"])
     all_threads = comments.select(*threads.THREAD).distinct()
     return Imported(
         posts=_capture_rows(post_rows.withColumn("line_no", F.lit(1).cast("bigint")), "submissions"),

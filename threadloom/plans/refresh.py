@@ -7,11 +7,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from threadloom.functions.once import computed_once
 from threadloom.operators import index as ix
 from threadloom.operators.captures import convert_new, latest_versions
 from threadloom.operators.documents import build_documents
 from threadloom.operators.model import apply_model
 from threadloom.operators.narrow import narrow_comments, narrow_submissions, only_subs, union_kinds
+from threadloom.operators.stats import counted
 from threadloom.plans.parameters import RefreshParameters
 from threadloom.session import configure, materialize
 from threadloom.sources import schemas
@@ -28,8 +30,7 @@ def narrow_rows(captures: DataFrame) -> DataFrame:
     comments = captures.where(F.col("kind") == "comments")
 
     def opened(rows: DataFrame, schema: str) -> DataFrame:
-        fields = F.from_json("raw", schema)
-        return rows.withColumn("h16", h16()).select(*keys, fields.alias("f")).select(*keys, "f.*")
+        return computed_once(rows.select(*keys, "raw"), f=F.from_json("raw", schema)).select(*keys, "f.*")
 
     return union_kinds(
         narrow_submissions(opened(posts, schemas.SUBMISSION), keys),
@@ -63,10 +64,8 @@ def refresh(
     raw = windowed(read_if_there(spark, captures, schemas.CAPTURE)).withColumn("h16", h16())
     done = windowed(read_if_there(spark, narrow, schemas.NARROW))
     todo = convert_new(raw, done, NARROW_KEYS)
-    fresh = materialize(narrow_rows(todo), "narrow")
-    converted = fresh.count()
-    if converted:
-        write_narrow(fresh, narrow, params.zstd_level)
+    fresh, seen = counted(narrow_rows(todo), "converted")
+    write_narrow(fresh, narrow, params.zstd_level)
 
     staged = latest_versions(windowed(read_if_there(spark, narrow, schemas.NARROW)))
     documents = materialize(build_documents(staged, params.max_chars, latest=False), "documents")
@@ -87,4 +86,4 @@ def refresh(
     if vectors:
         upsert_table(spark, index, ix.vector_records(good))
     export_texts(documents, store, params.max_objects, params.prefix)
-    return {"converted": converted, "documents": documents.count(), "vectors": vectors, "failed": failed}
+    return {"converted": seen.get["rows"], "documents": documents.count(), "vectors": vectors, "failed": failed}

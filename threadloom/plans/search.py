@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from threadloom.functions.text import strip_text
 from threadloom.functions.times import in_lookback
 from threadloom.operators import context, search as ops
+from threadloom.operators.model import apply_model
 from threadloom.plans.parameters import QuestionParameters, SearchParameters, search_topk
+from threadloom.session import materialize
 
 
 def search(
@@ -76,3 +79,38 @@ def rag_context(
     blocks = context_for(hits, params, store=store, staged=staged)
     prompts = context.build_prompts(questions.drop("vector"), blocks, template)
     return prompts, blocks.select("query_id", "rank", *context.source_fields(), "source")
+
+
+Model = Callable[[list[str]], Sequence]
+
+
+def embed_questions(questions: DataFrame, embed: Model, **retry) -> DataFrame:
+    """(query_id, question, vector) of a table of (query_id, question); blank
+    questions are an error."""
+    asked = questions.withColumn("question", strip_text("question"))
+    checked = asked.where(
+        F.when(F.col("question") != "", F.lit(True)).otherwise(F.raise_error(F.lit("blank question")))
+    )
+    done = materialize(
+        apply_model(checked, embed, "array<float>", text="question", result="vector", **retry), "questions"
+    )
+    failed = F.raise_error(F.concat(F.lit("question not embedded: "), "error"))
+    return done.where(F.when(F.col("error").isNull(), F.lit(True)).otherwise(failed)).drop("error")
+
+
+def answer(
+    index: DataFrame,
+    questions: DataFrame,
+    embed: Model,
+    generate: Model,
+    params: QuestionParameters = QuestionParameters(),
+    retry: Mapping | None = None,
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """Question answering from end to end: (answers, sources).  ``options`` go
+    to rag_context."""
+    retry = dict(retry or {})
+    prompts, sources = rag_context(index, embed_questions(questions, embed, **retry), params, **options)
+    written = apply_model(prompts, generate, "string", text="prompt", result="answer", **{**retry, "batch_size": 1})
+    answers = materialize(written.withColumn("answer", strip_text("answer")), "answers")
+    return answers, sources

@@ -171,9 +171,17 @@ def sub_allowlist(spark, sf):
     return nw.only_subs(subs(spark, sf), ALLOWED).select("sid", "sub")
 
 
-@register("sub_unknown", sql("subs_v coms_v", "SELECT DISTINCT sub FROM subs_v WHERE sub NOT IN (SELECT sub FROM coms_v)"))
+@register(
+    "sub_unknown",
+    sql(
+        "subs_v caps_v",
+        """SELECT DISTINCT sub FROM (SELECT sub FROM subs_v UNION ALL SELECT sub FROM caps_v)
+           WHERE sub NOT IN (SELECT sub FROM subs_v)""",
+    ),
+)
 def sub_unknown(spark, sf):
-    return nw.unknown_subs(coms(spark, sf), subs(spark, sf).select("sub").distinct())
+    allowed = subs(spark, sf).select("sub").union(caps(spark, sf).select("sub")).distinct()
+    return nw.unknown_subs(subs(spark, sf), allowed)
 
 
 @register(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.functions.ids import path_keys, valid_stamp
 from threadloom.functions.times import in_lookback
+from threadloom.operators.ranking import positions
 from threadloom.sources import schemas
 
 
@@ -67,6 +68,33 @@ def h16(hash: Column | str = "hash") -> Column:
     return F.left(F.col(hash) if isinstance(hash, str) else hash, F.lit(16))
 
 
+def captures_from_tree(spark: SparkSession, root: str, mode: str = "fail") -> DataFrame:
+    """The capture rows of a tree of capture files, one row per line, with the
+    line's number in its file."""
+    lines = read_captures(spark, root, "comments", keep_raw=True)
+    numbered = positions(lines, ["file_path"], ["file_offset", "line_seq"], "line_no")
+    keyed = with_path_keys(numbered, mode=mode).withColumn("created", created_epoch())
+    return keyed.drop(*FILE_ORDER)
+
+
+def staged_from_tree(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of a tree of staged files of both kinds; files out of layout
+    are ignored.  Fields that a file lacks are null."""
+    files = (
+        spark.read.schema(schemas.NARROW_FILE)
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .parquet(root)
+        .select("*", F.col("_metadata.file_path").alias("file_path"))
+    )
+    return with_path_keys(files, staged=True).withColumnRenamed("hash", "h16").drop("file_path")
+
+
+def created_epoch() -> Column:
+    """The creation second out of the path's day and time."""
+    return F.unix_timestamp(F.concat("y", "md", "hms"), "yyyyMMddHHmmss")
+
+
 def lookback(df: DataFrame, days: int, as_of: dt.date | str | None = None) -> DataFrame:
     """A4: threads created on as_of (today) or one of the ``days`` days before;
     all of them for 0.  Tests partition columns only, so other days' folders

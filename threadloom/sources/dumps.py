@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.functions.ids import norm_sub
+from threadloom.functions.once import computed_once
 from threadloom.functions.text import none_if_empty
-from threadloom.functions.times import lenient_epoch, variant_number_text
+from threadloom.functions.times import variant_number_text
 from threadloom.session import configure
 from threadloom.sources.captures import line_position
 
 
 # The parser stops after the first whole value, so that a line with something
-# left over would pass.  Inside this frame what is left over breaks the frame.
-FRAME = ('{"line":[', '],"threadloom_end":0}')
+# left over would pass.  Inside this frame what is left over either breaks the
+# frame or adds to it.
+FRAME = ('{"threadloom_line":[', '],"threadloom_end":0}')
 
 
 def parse_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
@@ -23,12 +25,13 @@ def parse_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
     VARIANT column ``obj``; blank, malformed and other lines are left out."""
     configure(lines.sparkSession)
     framed = F.try_parse_json(F.concat(F.lit(FRAME[0]), F.col(raw), F.lit(FRAME[1])))
-    parsed = lines.withColumn("_framed", framed).where(
-        F.try_variant_get("_framed", "$.threadloom_end", "int").isNotNull()
-        & F.try_variant_get("_framed", "$.line[1]", "variant").isNull()
+    whole = computed_once(lines, _framed=framed).where(
+        (F.size(F.try_variant_get("_framed", "$", "map<string,variant>")) == 2)
+        & F.try_variant_get("_framed", "$.threadloom_end", "int").isNotNull()
+        & F.try_variant_get("_framed", "$.threadloom_line[1]", "variant").isNull()
     )
-    objects = parsed.withColumn("obj", F.try_variant_get("_framed", "$.line[0]", "variant")).drop("_framed")
-    return objects.where(F.schema_of_variant("obj").startswith("OBJECT"))
+    first = F.try_variant_get("_framed", "$.threadloom_line[0]", "variant")
+    return computed_once(whole, obj=first).drop("_framed").where(F.schema_of_variant("obj").startswith("OBJECT"))
 
 
 def read_dump(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -53,22 +56,21 @@ def _text(path: str):
     return F.try_variant_get("obj", path, "string")
 
 
-def _retrieved() -> tuple:
-    utc, on = (variant_number_text(F.col("obj"), f"$.retrieved_{n}") for n in ("utc", "on"))
-    return utc.alias("retrieved_utc"), on.alias("retrieved_on")
+def _number(path: str) -> Column:
+    return variant_number_text(F.col("obj"), path)
 
 
 def post_fields(parsed: DataFrame) -> DataFrame:
     """The fields the import needs of a post; the corpus name is taken from the
     first of two fields that is not empty."""
     sub = F.coalesce(none_if_empty(_text("$.subreddit")), _text("$.subreddit_name_prefixed"))
-    return parsed.select(
-        *[c for c in parsed.columns if c != "obj"],
-        norm_sub(sub).alias("sub"),
-        _text("$.id").alias("id"),
-        variant_number_text(F.col("obj"), "$.created_utc").alias("created_utc"),
-        *_retrieved(),
-        "obj",
+    return computed_once(
+        parsed,
+        sub=norm_sub(sub),
+        id=_text("$.id"),
+        created_utc=_number("$.created_utc"),
+        retrieved_utc=_number("$.retrieved_utc"),
+        retrieved_on=_number("$.retrieved_on"),
     )
 
 
@@ -76,16 +78,16 @@ def comment_fields(parsed: DataFrame) -> DataFrame:
     """The fields the import needs of a comment; a link id that is not text
     counts as missing."""
     link = F.try_variant_get("obj", "$.link_id", "variant")
-    return parsed.select(
-        *[c for c in parsed.columns if c != "obj"],
-        norm_sub(_text("$.subreddit")).alias("sub"),
-        _text("$.id").alias("id"),
-        F.when(F.schema_of_variant(link) == "STRING", _text("$.link_id")).alias("link_id"),
-        _text("$.parent_id").alias("parent_id"),
-        variant_number_text(F.col("obj"), "$.created_utc").alias("created_utc"),
-        *_retrieved(),
-        "obj",
+    return computed_once(
+        parsed,
+        sub=norm_sub(_text("$.subreddit")),
+        id=_text("$.id"),
+        link_id=F.when(F.schema_of_variant(link) == "STRING", _text("$.link_id")),
+        parent_id=_text("$.parent_id"),
+        created_utc=_number("$.created_utc"),
+        retrieved_utc=_number("$.retrieved_utc"),
+        retrieved_on=_number("$.retrieved_on"),
     )
 
 
-__all__ = ["comment_fields", "lenient_epoch", "parse_lines", "post_fields", "read_dump", "split_paths"]
+__all__ = ["comment_fields", "parse_lines", "post_fields", "read_dump", "split_paths"]

@@ -5,6 +5,8 @@ from __future__ import annotations
 SUBMISSION = "id string, name string, subreddit string, author string, title string, selftext string, created_utc string"
 COMMENT = "id string, parent_id string, link_id string, subreddit string, author string, body string, created_utc string"
 
+NARROW_FILE = "author string, title string, body string, comment_id string, parent_id string"
+
 CAPTURE = (
     "sid string, hms string, created bigint, cap14 string, hash string, line_no bigint, raw string, "
     "sub string, kind string, y string, md string"
