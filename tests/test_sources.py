@@ -136,14 +136,14 @@ def test_lookback_prunes_partitions(spark, rows, tmp_path):
     assert sc.lookback(table, 0).count() == 3
     import glob
 
-    assert glob.glob(path + "/kind=submissions/sub=ja/y=2024/md=0131/*.zstd.parquet")
+    assert glob.glob(path + "/kind=submissions/y=2024/md=0131/*.zstd.parquet")
 
 
 def test_write_captures_once(spark, rows, tmp_path):
-    data = [("p1", "000000", 1, "20240101000000", h, 1, "{}", "ja", "submissions", "2024", "0101") for h in ("a", "b")]
+    data = [("ja", "p1", "000000", 1, "20240101000000", h, 1, "{}", "submissions", "2024", "0101") for h in ("a", "b")]
     path = str(tmp_path / "captures")
     sinks.write_captures(rows(data, schemas.CAPTURE), path)
-    sinks.write_captures(rows([*data, (*data[0][:4], "c", *data[0][5:])], schemas.CAPTURE), path)
+    sinks.write_captures(rows([*data, (*data[0][:5], "c", *data[0][6:])], schemas.CAPTURE), path)
     assert sorted(r.hash for r in sc.read_table(spark, path, schemas.CAPTURE).collect()) == ["a", "b", "c"]
 
 

@@ -19,7 +19,8 @@ def run_stats(threads: DataFrame) -> DataFrame:
 
 
 def counted(df: DataFrame, name: str, **counts) -> tuple[DataFrame, Observation]:
-    """Live counters that ride along with whatever job runs ``df``."""
+    """Live counters that ride along with whatever job runs ``df``.  Where the
+    optimizer finds ``df`` to be empty and drops it, nothing is reported."""
     seen = Observation(name)
     exprs = [F.count(F.lit(1)).alias("rows")] + [F.count_if(test).alias(n) for n, test in counts.items()]
     return df.observe(seen, *exprs), seen

@@ -13,7 +13,6 @@ from threadloom.operators.captures import convert_new, latest_versions
 from threadloom.operators.documents import build_documents
 from threadloom.operators.model import apply_model
 from threadloom.operators.narrow import narrow_comments, narrow_submissions, only_subs, union_kinds
-from threadloom.operators.stats import counted
 from threadloom.plans.parameters import RefreshParameters
 from threadloom.session import configure, materialize
 from threadloom.sources import schemas
@@ -64,8 +63,9 @@ def refresh(
     raw = windowed(read_if_there(spark, captures, schemas.CAPTURE)).withColumn("h16", h16())
     done = windowed(read_if_there(spark, narrow, schemas.NARROW))
     todo = convert_new(raw, done, NARROW_KEYS)
-    fresh, seen = counted(narrow_rows(todo), "converted")
-    write_narrow(fresh, narrow, params.zstd_level)
+    converted = todo.select(*NARROW_KEYS).count()
+    if converted:
+        write_narrow(narrow_rows(todo), narrow, params.zstd_level)
 
     staged = latest_versions(windowed(read_if_there(spark, narrow, schemas.NARROW)))
     documents = materialize(build_documents(staged, params.max_chars, latest=False), "documents")
@@ -86,4 +86,4 @@ def refresh(
     if vectors:
         upsert_table(spark, index, ix.vector_records(good))
     export_texts(documents, store, params.max_objects, params.prefix)
-    return {"converted": seen.get["rows"], "documents": documents.count(), "vectors": vectors, "failed": failed}
+    return {"converted": converted, "documents": documents.count(), "vectors": vectors, "failed": failed}

@@ -8,14 +8,20 @@ COMMENT = "id string, parent_id string, link_id string, subreddit string, author
 NARROW_FILE = "author string, title string, body string, comment_id string, parent_id string"
 
 CAPTURE = (
-    "sid string, hms string, created bigint, cap14 string, hash string, line_no bigint, raw string, "
-    "sub string, kind string, y string, md string"
+    "sub string, sid string, hms string, created bigint, cap14 string, hash string, line_no bigint, raw string, "
+    "kind string, y string, md string"
 )
 NARROW = (
-    "sid string, hms string, cap14 string, h16 string, author string, title string, body string, "
-    "comment_id string, parent_id string, sub string, kind string, y string, md string"
+    "sub string, sid string, hms string, cap14 string, h16 string, author string, title string, body string, "
+    "comment_id string, parent_id string, kind string, y string, md string"
 )
-PARTITIONS = ("kind", "sub", "y", "md")
+
+# Tables are partitioned by kind and day, which is what a lookback asks for.
+# With the corpus as a third level there would be a folder for every corpus
+# and day; instead files are sorted by corpus, and their statistics tell which
+# of them a corpus filter can leave out.
+PARTITIONS = ("kind", "y", "md")
+CLUSTERED = ("sub", "sid")
 
 METADATA = "struct<src:string,sub:string,t:string,sid:string,pid:string,h:string>"
 INDEX = f"id string, values array<float>, metadata {METADATA}"

@@ -28,10 +28,13 @@ def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_table(spark, path, schema) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def _write_partitioned(df: DataFrame, path: str, by: Sequence[str], level: int | None = None) -> None:
+def _write_partitioned(
+    df: DataFrame, path: str, by: Sequence[str], sort: Sequence[str] = (), level: int | None = None
+) -> None:
     """Append few large files per partition: adaptive execution merges small
     partitions and splits large ones, so one busy day is not one task."""
-    writer = df.hint("rebalance", *by).write.mode("append").partitionBy(*by).option("compression", "zstd")
+    laid = df.hint("rebalance", *by).sortWithinPartitions(*by, *sort)
+    writer = laid.write.mode("append").partitionBy(*by).option("compression", "zstd")
     if level is not None:
         writer = writer.option("parquet.compression.codec.zstd.level", str(level))
     writer.parquet(path)
@@ -45,7 +48,7 @@ def _fit(df: DataFrame, schema: str) -> DataFrame:
 
 def write_narrow(df: DataFrame, path: str, level: int = ZSTD_LEVEL) -> None:
     """A5: narrow rows of either kind as zstd Parquet, partitioned by PARTITIONS."""
-    _write_partitioned(_fit(df, schemas.NARROW), path, schemas.PARTITIONS, level)
+    _write_partitioned(_fit(df, schemas.NARROW), path, schemas.PARTITIONS, schemas.CLUSTERED, level)
 
 
 def write_captures(df: DataFrame, path: str) -> None:
@@ -53,7 +56,7 @@ def write_captures(df: DataFrame, path: str) -> None:
     spark = df.sparkSession
     rows = _fit(df, schemas.CAPTURE)
     fresh = unseen(rows, read_if_there(spark, path, schemas.CAPTURE), ["kind", "sub", "sid", "hash"])
-    _write_partitioned(fresh, path, schemas.PARTITIONS)
+    _write_partitioned(fresh, path, schemas.PARTITIONS, schemas.CLUSTERED)
 
 
 def write_vectors(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
