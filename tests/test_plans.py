@@ -109,7 +109,7 @@ def test_refresh(spark, dumps, tmp_path):
     p = paths(tmp_path)
     import_files(spark, dumps, p["captures"], NOW)
     first = refresh(spark, embed=embed, params=PARAMS, **p)
-    assert first == {"converted": 10, "documents": 8, "vectors": 8, "failed": 0}
+    assert first == {"converted": 7, "documents": 8, "vectors": 8, "failed": 0}
     index = index_of(spark, p)
     assert set(index) == {"r:s:ja:p1", "r:s:ja:p2", "r:s:other:p4", *[f"r:c:ja:c{i}" for i in range(1, 6)]}
     assert refresh(spark, embed=embed, params=PARAMS, **p) == {"converted": 0, "documents": 8, "vectors": 0, "failed": 0}

@@ -45,7 +45,7 @@ def pairs(df):
 def test_topk_is_exact(rows, metric, k):
     data = entries(500, copies=170)  # a third of the rows are copies of one vector
     q = [0.3, -0.2, 0.9, 0.1, 0.0, 0.4, -0.7, 0.2]
-    got = pairs(se.topk(rows(data, schemas.INDEX).repartition(5), q, k, metric=metric))
+    got = pairs(se.topk(rows(data, schemas.VECTOR).repartition(5), q, k, metric=metric))
     expected = brute(data, q, k, metric)
     assert [i for _, i in got] == [i for _, i in expected]
     assert np.allclose([s for s, _ in got], [s for s, _ in expected], atol=1e-9)
@@ -53,13 +53,13 @@ def test_topk_is_exact(rows, metric, k):
 
 def test_topk_ties_go_by_id(rows):
     data = entries(300, copies=300)
-    got = pairs(se.topk(rows(data, schemas.INDEX).repartition(4), [1.0] * DIM, 20))
+    got = pairs(se.topk(rows(data, schemas.VECTOR).repartition(4), [1.0] * DIM, 20))
     assert [i for _, i in got] == sorted(i for i, _, _ in data)[:20]
 
 
 def test_zero_vectors_and_wrong_lengths(rows):
     md = ("r", "a", "s", "x", None, "h")
-    df = rows([("z", [0.0, 0.0], md), ("a", [1.0, 0.0], md), ("b", [-1.0, 0.0], md)], schemas.INDEX)
+    df = rows([("z", [0.0, 0.0], md), ("a", [1.0, 0.0], md), ("b", [-1.0, 0.0], md)], schemas.VECTOR)
     assert pairs(se.topk(df, [1.0, 0.0], 5)) == [(-1.0, "a"), (0.0, "z"), (1.0, "b")]
     assert pairs(se.topk(df, [0.0, 0.0], 5)) == [(0.0, "a"), (0.0, "b"), (0.0, "z")]
     with pytest.raises(Exception, match="vector length"):
@@ -68,7 +68,7 @@ def test_zero_vectors_and_wrong_lengths(rows):
         ix.check_dim(df, 3).collect()
     assert ix.check_dim(df, 2).count() == 3
     with pytest.raises(Exception, match="vector length -1"):
-        ix.check_dim(rows([("z", None, md)], schemas.INDEX), 2).collect()
+        ix.check_dim(rows([("z", None, md)], schemas.VECTOR), 2).collect()
 
 
 @pytest.mark.parametrize("max_broadcast", [0, 100])
@@ -78,7 +78,7 @@ def test_batch_both_ways(rows, monkeypatch, max_broadcast):
     data = entries(400, seed=2, copies=130)
     asked = [(f"q{i}", v) for i, (_, v, _) in enumerate(entries(23, seed=9))]
     queries = rows(asked, "query_id string, vector array<float>")
-    got = se.topk_batch(rows(data, schemas.INDEX).repartition(3), queries, 7, max_broadcast=max_broadcast)
+    got = se.topk_batch(rows(data, schemas.VECTOR).repartition(3), queries, 7, max_broadcast=max_broadcast)
     assert got.columns == ["query_id", "id", "score", "metadata"]
     by_query = {}
     for r in got.collect():
@@ -91,12 +91,12 @@ def test_batch_both_ways(rows, monkeypatch, max_broadcast):
 
 def test_batch_without_questions(rows):
     empty = rows([], "query_id int, vector array<float>")
-    got = se.topk_batch(rows(entries(5), schemas.INDEX), empty, 3)
+    got = se.topk_batch(rows(entries(5), schemas.VECTOR), empty, 3)
     assert got.count() == 0 and got.columns == ["query_id", "id", "score", "metadata"]
 
 
 def test_filter(rows):
-    df = rows(entries(60), schemas.INDEX)
+    df = rows(entries(60), schemas.VECTOR)
     got = se.topk(df, [1.0] * DIM, 100, filter='{"sub": "sub1", "t": {"$eq": "s"}}')
     assert got.count() == 10
     assert {(r.metadata["sub"], r.metadata["t"]) for r in got.collect()} == {("sub1", "s")}
@@ -107,7 +107,7 @@ def test_filter(rows):
 
 
 def test_bad_arguments(rows):
-    df = rows(entries(3), schemas.INDEX)
+    df = rows(entries(3), schemas.VECTOR)
     with pytest.raises(ValueError):
         se.topk(df, [1.0] * DIM, 0)
     with pytest.raises(ValueError):
@@ -115,7 +115,7 @@ def test_bad_arguments(rows):
 
 
 def test_filter_and_columns_reach_the_scan(spark, rows, tmp_path):
-    wide = rows(entries(60), schemas.INDEX).withColumn("other", F.lit("x" * 50))
+    wide = rows(entries(60), schemas.VECTOR).withColumn("other", F.lit("x" * 50))
     wide.write.parquet(str(tmp_path / "index"))
     plan = plan_of(se.topk(spark.read.parquet(str(tmp_path / "index")), [1.0] * DIM, 5, filter={"sub": "sub1"}))
     assert "EqualTo(metadata.sub,sub1)" in plan
@@ -126,7 +126,7 @@ def test_filter_and_columns_reach_the_scan(spark, rows, tmp_path):
 
 
 def test_projection(rows):
-    hits = se.topk(rows(entries(9), schemas.INDEX), [1.0] * DIM, 3, columns=["metadata", "values"])
+    hits = se.topk(rows(entries(9), schemas.VECTOR), [1.0] * DIM, 3, columns=["metadata", "values"])
     assert se.project_hits(hits, "none").columns == ["id", "score"]
     assert se.project_hits(hits, "all", values=True).columns == ["id", "score", "metadata", "values"]
     assert se.project_hits(hits, "indexed").schema["metadata"].dataType.names == ["src", "sub", "t"]
@@ -166,7 +166,7 @@ def test_render(rows):
 def test_diff(rows):
     docs = [(i, "t", ("r", "a", "s", i, None, f"h{i}")) for i in ("new", "same", "other", "empty", "null")]
     known = [("same", "hsame"), ("other", "x"), ("empty", ""), ("null", None), ("gone", "y")]
-    index = rows([(i, [1.0], ("r", "a", "s", i, None, h)) for i, h in known], schemas.INDEX)
+    index = rows([(i, [1.0], ("r", "a", "s", i, None, h)) for i, h in known], schemas.VECTOR)
     docs = rows(docs, "id string, text string, metadata " + schemas.METADATA)
     assert sorted(r.id for r in ix.changed(docs, index).collect()) == ["empty", "new", "null", "other"]
     assert [r.id for r in ix.plan_index(docs, index, 2).orderBy("id").collect()] == ["empty", "new"]

@@ -147,22 +147,48 @@ def test_write_captures_once(spark, rows, tmp_path):
     assert sorted(r.hash for r in sc.read_table(spark, path, schemas.CAPTURE).collect()) == ["a", "b", "c"]
 
 
-def test_versions_of_a_table(spark, rows, tmp_path):
+def records(rows, *data):
+    return rows([(i, [v], ("r", "j", "s", "x", None, h), "2024", md) for i, v, h, md in data], schemas.INDEX)
+
+
+def test_vector_table(spark, rows, tmp_path):
     root = str(tmp_path / "index")
-    assert sinks.read_current(spark, root).count() == 0
-    one = rows([("a", [1.0], ("r", "j", "s", "x", None, "h1")), ("b", [1.0], ("r", "j", "s", "x", None, "h1"))], schemas.INDEX)
-    two = rows([("b", [2.0], ("r", "j", "s", "x", None, "h2")), ("c", [2.0], ("r", "j", "s", "x", None, "h2"))], schemas.INDEX)
-    sinks.upsert_table(spark, root, one)
+
+    def now():
+        got = sinks.read_current(spark, root).collect()
+        return {(r.id, r.metadata.h, r.md) for r in got}
+
+    assert now() == set()
+    first = records(rows, ("a", 1.0, "h1", "0101"), ("b", 1.0, "h1", "0102"), ("c", 1.0, "h1", "0103"))
+    assert sinks.upsert_table(spark, root, first) == 1
     opened = sinks.read_current(spark, root)
-    sinks.upsert_table(spark, root, two)
-    (tmp_path / "index" / "v9").mkdir()  # a write that was never committed
-    now = {r.id: r.metadata.h for r in sinks.read_current(spark, root).collect()}
-    assert now == {"a": "h1", "b": "h2", "c": "h2"}
-    assert opened.count() == 2
+    assert sinks.upsert_table(spark, root, records(rows, ("b", 2.0, "h2", "0102"), ("d", 2.0, "h2", "0104"))) == 2
+    assert now() == {("a", "h1", "0101"), ("b", "h2", "0102"), ("c", "h1", "0103"), ("d", "h2", "0104")}
+    assert opened.count() == 3  # a reader keeps what it opened
+    # Only the days of the batch are written again.
+    assert sorted(p.name for p in (tmp_path / "index/gen=2/y=2024").iterdir()) == ["md=0102", "md=0104"]
+    # An entry that moves to another day leaves its old one, which ends up empty.
+    sinks.upsert_table(spark, root, records(rows, ("c", 3.0, "h3", "0101")))
+    assert now() == {("a", "h1", "0101"), ("b", "h2", "0102"), ("c", "h3", "0101"), ("d", "h2", "0104")}
+    assert sinks.upsert_table(spark, root, records(rows)) == 3
+    # A generation that was never committed does not count, and is written over.
+    (tmp_path / "index/gen=4/y=2024/md=0101").mkdir(parents=True)
+    assert len(now()) == 4
+    assert sinks.upsert_table(spark, root, records(rows, ("a", 4.0, "h4", "0101"))) == 4
+    assert ("a", "h4", "0101") in now() and len(now()) == 4
+    with pytest.raises(ValueError, match="needs the day"):
+        sinks.upsert_table(spark, root, records(rows, ("z", 4.0, "h4", None)))
+
+
+def test_the_last_record_of_a_batch_counts(spark, rows, tmp_path):
+    root = str(tmp_path / "index")
+    batch = records(rows, ("a", 1.0, "h1", "0101"), ("a", 2.0, "h2", "0101")).withColumn("seq", F.col("values")[0])
+    sinks.upsert_table(spark, root, batch, seq="seq")
+    assert [r.metadata.h for r in sinks.read_current(spark, root).collect()] == ["h2"]
 
 
 def test_vector_records_as_json(spark, rows, tmp_path):
-    df = rows([("a", [1.0, 0.5], ("r", "j", "s", "x", None, "h1"))], schemas.INDEX)
+    df = rows([("a", [1.0, 0.5], ("r", "j", "s", "x", None, "h1"))], schemas.VECTOR)
     sinks.write_vectors(df.withColumn("other", F.lit(1)), str(tmp_path / "v"))
     (line,) = [r.value for r in spark.read.text(str(tmp_path / "v")).collect()]
     assert json.loads(line) == {

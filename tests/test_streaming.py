@@ -37,7 +37,7 @@ def test_stream_of_upserts(spark, tmp_path):
     schema = schemas.INDEX + ", seq int"
 
     def batch(data):
-        rows = [(i, [v], ("r", "j", "s", "x", None, "h"), n) for n, (i, v) in enumerate(data)]
+        rows = [(i, [v], ("r", "j", "s", "x", None, "h"), "2024", "0101", n) for n, (i, v) in enumerate(data)]
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(source))
         stream = spark.readStream.schema(schema).json(str(source))
         upsert_available(stream, root, str(tmp_path / "marks"), seq="seq").awaitTermination()

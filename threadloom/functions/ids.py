@@ -89,11 +89,20 @@ def valid_stamp(c: Column | str) -> Column:
     return F.coalesce(col(c).rlike(STAMP), F.lit(False))
 
 
-def path_keys(path: Column | str, staged: bool = False) -> dict[str, Column]:
-    """A3: the keys that directory and file names carry, '' where a name does
-    not follow the layout."""
-    pattern = STAGED_FILE if staged else CAPTURE_FILE
-    return {name: F.regexp_extract(col(path), pattern, i) for i, name in enumerate(PATH_KEYS, 1)}
+def path_keys(path: Column | str, staged: bool = False) -> Column:
+    """A3: the keys that directory and file names carry, as an array in the
+    order of PATH_KEYS; an array of one where a name does not follow the
+    layout.  The path is matched once for all keys."""
+    pattern = ".*" + (STAGED_FILE if staged else CAPTURE_FILE)
+    found = "/".join(f"${i}" for i in range(1, len(PATH_KEYS) + 1))
+    return F.split(F.regexp_replace(col(path), pattern, found + "/."), "/")
+
+
+def path_key_columns(keys: Column | str) -> dict[str, Column]:
+    """The columns out of the array that path_keys gives, '' for none."""
+    whole = F.size(col(keys)) == len(PATH_KEYS) + 1
+    good = whole & (F.element_at(col(keys), -1) == ".")
+    return {name: F.when(good, F.get(col(keys), F.lit(i))).otherwise(F.lit("")) for i, name in enumerate(PATH_KEYS)}
 
 
 def thread_path(sub: Column, kind: Column, y: Column, md: Column, hms: Column, sid: Column) -> Column:
@@ -113,6 +122,7 @@ __all__ = [
     "object_key",
     "object_key_of_hit",
     "parse_document_id",
+    "path_key_columns",
     "path_keys",
     "thread_path",
     "valid_stamp",

@@ -12,7 +12,7 @@ BLANKS = (
 )
 
 # The white space that a snippet collapses (that of ECMAScript).
-SNIPPET_BLANKS = r"[\t-\r \xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]+"
+SNIPPET_BLANKS = r"\t-\r \xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 SNIPPET_CHARS = 120
 MESSAGE_CHARS = 1900
@@ -57,8 +57,12 @@ def content_hash(c: Column | str) -> Column:
 
 
 def snippet(c: Column | str, max_chars: int = SNIPPET_CHARS) -> Column:
-    """Blank runs become one space, then the first characters."""
-    return F.left(F.regexp_replace(text_or_empty(c), SNIPPET_BLANKS, " "), F.lit(int(max_chars)))
+    """Blank runs become one space, then the first characters.
+
+    Only as many blank runs and characters as the snippet shows are looked at.
+    """
+    shown = rf"^(?:[{SNIPPET_BLANKS}]++|[^{SNIPPET_BLANKS}]){{0,{int(max_chars)}}}+"
+    return F.regexp_replace(F.regexp_extract(text_or_empty(c), shown, 0), f"[{SNIPPET_BLANKS}]+", " ")
 
 
 def score_text(c: Column | str) -> Column:

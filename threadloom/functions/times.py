@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -66,11 +69,13 @@ def in_lookback(days: int, as_of: dt.date | str | None = None, y: str = "y", md:
     """A4: a predicate on the partition columns alone, so it prunes folders."""
     if days <= 0:
         return F.lit(True)
+    return on_days(day_window(days, as_of), y, md)
+
+
+def on_days(pairs: Iterable[tuple[str, str]], y: str = "y", md: str = "md") -> Column:
+    """A predicate for the given (y, md) pairs, one list of days per year."""
     by_year: dict[str, list[str]] = {}
-    for year, month_day in day_window(days, as_of):
+    for year, month_day in sorted(set(pairs)):
         by_year.setdefault(year, []).append(month_day)
-    test = F.lit(False)
-    for i, (year, month_days) in enumerate(sorted(by_year.items())):
-        part = (F.col(y) == year) & F.col(md).isin(month_days)
-        test = part if i == 0 else test | part
-    return test
+    tests = [(F.col(y) == year) & F.col(md).isin(month_days) for year, month_days in by_year.items()]
+    return reduce(or_, tests) if tests else F.lit(False)

@@ -12,7 +12,8 @@ MAX_CHARS = 65536
 
 
 def build_documents(staged: DataFrame, max_chars: int = MAX_CHARS, latest: bool = True) -> DataFrame:
-    """(id, text, metadata) of the last version of every thread.
+    """(id, text, metadata) of the last version of every thread, with the
+    day (y, md) the thread was created on.
 
     ``staged`` holds both kinds.  Text is stripped, composed, cut to
     ``max_chars`` and hashed; blank texts are dropped.  Pass ``latest=False``
@@ -27,6 +28,8 @@ def build_documents(staged: DataFrame, max_chars: int = MAX_CHARS, latest: bool
     composed = usable.select(
         F.col("sub"),
         "sid",
+        "y",
+        "md",
         ids.kind_letter("kind").alias("t"),
         local_id.alias("local_id"),
         F.when(~is_post, text.text_or_empty("parent_id")).alias("pid"),
@@ -44,4 +47,6 @@ def build_documents(staged: DataFrame, max_chars: int = MAX_CHARS, latest: bool
             "pid",
             text.content_hash("text").alias("h"),
         ).alias("metadata"),
+        "y",
+        "md",
     )

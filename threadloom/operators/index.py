@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from threadloom.operators.ranking import last_by, take_lowest
+from threadloom.session import materialize
 
 MAX_VECTORS = 10_485_760
 
@@ -21,8 +22,14 @@ def changed(documents: DataFrame, index: DataFrame) -> DataFrame:
 
 def plan_index(documents: DataFrame, index: DataFrame, budget: int = MAX_VECTORS) -> DataFrame:
     """What to embed in this run: changed documents, lowest ids first, at
-    most ``budget`` of them (0 means all).  The cut comes after the diff."""
-    return take_lowest(changed(documents, index), "id", budget)
+    most ``budget`` of them (0 means all).  The cut comes after the diff.
+
+    The diff and the cut see ids and hashes only.  Their result is written
+    out, so its size is known: few ids are broadcast to the scan of the texts,
+    and the texts are shuffled only where most of them are new.
+    """
+    fresh = materialize(changed(documents.select("id", "metadata"), index).select("id"), "changed")
+    return documents.join(take_lowest(fresh, "id", budget), "id", "left_semi")
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str = "id", seq: str | None = None) -> DataFrame:

@@ -6,8 +6,9 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # How a rate-limit error reads.
 RATE_LIMIT_MARKS = ("429", "RESOURCE_EXHAUSTED")
@@ -64,24 +65,28 @@ def apply_model(
     schema = T.StructType(
         [*df.schema.fields, T.StructField(result, kind), T.StructField("error", T.StringType())],
     )
-    columns = df.columns
+    arrow_kind = to_arrow_type(kind)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stopped: str | None = None
-        for frame in frames:
-            for start in range(0, len(frame), batch_size):
-                part = frame.iloc[start : start + batch_size].reset_index(drop=True)
+        for batch in batches:
+            texts = batch.column(text).to_pylist()
+            results: list[Any] = []
+            errors: list[str | None] = []
+            for start in range(0, len(texts), batch_size):
+                part = texts[start : start + batch_size]
                 values: Sequence[Any] | None = None
                 if stopped is None:
-                    values, stopped = call_with_retry(fn, part[text].tolist(), retries, backoff_ms)
+                    values, stopped = call_with_retry(fn, part, retries, backoff_ms)
                     if pause_ms > 0 and stopped is None:
                         time.sleep(pause_ms / 1000)
                 if values is not None and len(values) != len(part):
                     raise ValueError(f"model gave {len(values)} results for {len(part)} texts")
-                out = part[columns].copy()
-                out[result] = pd.Series([None] * len(part) if values is None else list(values), dtype=object)
-                out["error"] = pd.Series([stopped] * len(part), dtype=object)
-                yield out
+                results.extend([None] * len(part) if values is None else values)
+                errors.extend([stopped] * len(part))
+            yield batch.append_column(result, pa.array(results, arrow_kind)).append_column(
+                "error", pa.array(errors, pa.string())
+            )
 
     spread = df.repartition(calls_in_parallel) if calls_in_parallel else df
-    return spread.mapInPandas(run, schema)
+    return spread.mapInArrow(run, schema)

@@ -17,7 +17,7 @@ from threadloom.session import materialize
 from threadloom.sources import schemas
 from threadloom.sources.captures import FILE_ORDER
 from threadloom.sources.dumps import comment_fields, post_fields, read_dump, split_paths
-from threadloom.sources.sinks import read_if_there, write_captures
+from threadloom.sources.sinks import append_captures, read_if_there
 
 
 @dataclass(frozen=True)
@@ -137,6 +137,6 @@ def import_files(spark: SparkSession, paths: list[str], captures: str, now: int
     posts = read_dump(spark, post_files)
     comments = read_dump(spark, comment_files) if comment_files else posts.limit(0)
     done = import_dump(posts, comments, read_if_there(spark, captures, schemas.CAPTURE), now)
-    write_captures(done.posts, captures)
-    write_captures(done.comments, captures)
+    append_captures(done.posts, captures)
+    append_captures(done.comments, captures)
     return done

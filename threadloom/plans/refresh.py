@@ -62,10 +62,13 @@ def refresh(
 
     raw = windowed(read_if_there(spark, captures, schemas.CAPTURE)).withColumn("h16", h16())
     done = windowed(read_if_there(spark, narrow, schemas.NARROW))
-    todo = convert_new(raw, done, NARROW_KEYS)
-    converted = todo.select(*NARROW_KEYS).count()
+    # Keys are compared alone, and their result is small in a regular run: the
+    # lines are then read for new captures only, without a shuffle.
+    todo = materialize(convert_new(raw.select(*NARROW_KEYS).distinct(), done, NARROW_KEYS), "todo")
+    converted = todo.count()
     if converted:
-        write_narrow(narrow_rows(todo), narrow, params.zstd_level)
+        fresh = raw.join(todo, list(NARROW_KEYS), "left_semi")
+        write_narrow(narrow_rows(fresh), narrow, params.zstd_level)
 
     staged = latest_versions(windowed(read_if_there(spark, narrow, schemas.NARROW)))
     documents = materialize(build_documents(staged, params.max_chars, latest=False), "documents")
@@ -84,6 +87,6 @@ def refresh(
     failed = embedded.where(F.col("error").isNotNull()).count()
     vectors = embedded.count() - failed
     if vectors:
-        upsert_table(spark, index, ix.vector_records(good))
+        upsert_table(spark, index, good)
     export_texts(documents, store, params.max_objects, params.prefix)
     return {"converted": converted, "documents": documents.count(), "vectors": vectors, "failed": failed}

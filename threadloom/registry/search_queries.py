@@ -85,9 +85,11 @@ def stale_ids(spark, sf):
     sql("docs_v", "SELECT id, h, 2::BIGINT AS version FROM docs_v"),
 )
 def vector_table(spark, sf):
-    """Two upserts into a versioned table; the second replaces every record."""
+    """Two upserts into a vector table; the second replaces every record."""
     root = scratch_path(spark, "index")
-    rows = documents(spark, sf).select("id", F.array(F.lit(1.0).cast("float")).alias("values"), "metadata")
+    rows = documents(spark, sf).select(
+        "id", F.array(F.lit(1.0).cast("float")).alias("values"), "metadata", "y", "md"
+    )
     first = rows.withColumn("metadata", F.col("metadata").withField("h", F.lit("old")))
     sinks.upsert_table(spark, root, first)
     sinks.upsert_table(spark, root, rows.withColumn("values", F.array(F.lit(2.0).cast("float"))))
@@ -103,7 +105,7 @@ def vector_records(spark, sf):
     """Written as JSON records and read back."""
     path = scratch_path(spark, "vectors")
     sinks.write_vectors(idx(spark, sf), path)
-    back = spark.read.schema(schemas.INDEX).json(path)
+    back = spark.read.schema(schemas.VECTOR).json(path)
     v = F.col("values")
     return flat(
         back, "id", F.size(v).cast("bigint").alias("n"),

@@ -7,7 +7,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from threadloom.functions.ids import path_keys, valid_stamp
+from threadloom.functions.ids import path_key_columns, path_keys, valid_stamp
+from threadloom.functions.once import computed_once
 from threadloom.functions.times import in_lookback
 from threadloom.operators.ranking import positions
 from threadloom.sources import schemas
@@ -55,7 +56,8 @@ def with_path_keys(df: DataFrame, path: str = "file_path", staged: bool = False,
     """
     if mode not in ("skip", "fail"):
         raise ValueError(f"mode must be skip or fail, not {mode!r}")
-    keyed = df.withColumns(path_keys(path, staged))
+    matched = computed_once(df, _keys=path_keys(path, staged))
+    keyed = matched.withColumns(path_key_columns("_keys")).drop("_keys")
     good = valid_stamp("cap14") & (F.col("sid") != "")
     if mode == "skip":
         return keyed.where(good)

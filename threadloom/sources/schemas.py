@@ -24,5 +24,6 @@ PARTITIONS = ("kind", "y", "md")
 CLUSTERED = ("sub", "sid")
 
 METADATA = "struct<src:string,sub:string,t:string,sid:string,pid:string,h:string>"
-INDEX = f"id string, values array<float>, metadata {METADATA}"
+VECTOR = f"id string, values array<float>, metadata {METADATA}"
+INDEX = f"{VECTOR}, y string, md string"
 STORE = "key string, id string, h string, text string, t string, sub string"

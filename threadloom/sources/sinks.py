@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.functions.ids import DEFAULT_PREFIX, object_key
+from threadloom.functions.times import on_days
 from threadloom.operators.captures import unseen
 from threadloom.operators.index import upsert, vector_records
-from threadloom.operators.ranking import take_lowest
+from threadloom.operators.ranking import last_by, take_lowest
+from threadloom.session import materialize
 from threadloom.sources import schemas
 from threadloom.sources.captures import read_table
 
@@ -18,9 +20,8 @@ ZSTD_LEVEL = 22
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder or file is there, on any file system Spark reads."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+    fs, hadoop_path = _hadoop(spark, path)
+    return fs.exists(hadoop_path(path))
 
 
 def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -51,12 +52,23 @@ def write_narrow(df: DataFrame, path: str, level: int = ZSTD_LEVEL) -> None:
     _write_partitioned(_fit(df, schemas.NARROW), path, schemas.PARTITIONS, schemas.CLUSTERED, level)
 
 
+def append_captures(df: DataFrame, path: str) -> None:
+    """Append raw capture rows that are known to be new."""
+    _write_partitioned(_fit(df, schemas.CAPTURE), path, schemas.PARTITIONS, schemas.CLUSTERED)
+
+
 def write_captures(df: DataFrame, path: str) -> None:
-    """Append raw capture rows whose (thread, hash) is not there yet."""
-    spark = df.sparkSession
-    rows = _fit(df, schemas.CAPTURE)
-    fresh = unseen(rows, read_if_there(spark, path, schemas.CAPTURE), ["kind", "sub", "sid", "hash"])
-    _write_partitioned(fresh, path, schemas.PARTITIONS, schemas.CLUSTERED)
+    """Append raw capture rows whose (thread, hash) is not there yet.
+
+    The check sees keys only; the lines themselves are then matched with the
+    new keys.
+    """
+    spark, keys = df.sparkSession, ["kind", "sub", "sid", "hash"]
+    if path_exists(spark, path):
+        existing = read_table(spark, path, schemas.CAPTURE)
+        fresh = materialize(unseen(df.select(*keys).distinct(), existing, keys), "fresh")
+        df = df.join(fresh, keys, "left_semi")
+    append_captures(df, path)
 
 
 def write_vectors(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -80,9 +92,13 @@ def text_objects(documents: DataFrame, prefix: str | None = DEFAULT_PREFIX) -> D
 
 def new_texts(documents: DataFrame, manifest: DataFrame, max_objects: int = 0, prefix: str | None = DEFAULT_PREFIX):
     """A10: text objects whose key is not in the manifest, lowest keys first,
-    at most ``max_objects`` (0 means all)."""
-    fresh = unseen(text_objects(documents, prefix), manifest, ["key"])
-    return take_lowest(fresh, "key", max_objects)
+    at most ``max_objects`` (0 means all).
+
+    As in plan_index, only keys are compared and cut.
+    """
+    objects = text_objects(documents, prefix)
+    fresh = materialize(unseen(objects.select("key"), manifest, ["key"]), "fresh")
+    return objects.join(take_lowest(fresh, "key", max_objects), "key", "left_semi")
 
 
 def export_texts(documents: DataFrame, path: str, max_objects: int = 0, prefix: str | None = DEFAULT_PREFIX) -> None:
@@ -94,36 +110,77 @@ def export_texts(documents: DataFrame, path: str, max_objects: int = 0, prefix:
     )
 
 
-# -- versioned table -----------------------------------------------------------
+# -- vector table ----------------------------------------------------------------
 
+# <root>/gen=<n>/y=<y>/md=<md>: every upsert writes one generation, which holds
+# the days it touched as a whole.  Of each day the newest committed generation
+# counts.  Nothing is ever changed in place: readers keep the files they opened,
+# and a job that is lost leaves a generation that does not count.
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """The complete versions below ``root``: those whose write was committed."""
+
+def _hadoop(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return []
-    done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v[0-9]*/_SUCCESS")) or []
-    return sorted(int(s.getPath().getParent().getName()[1:]) for s in done)
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def _generations(spark: SparkSession, root: str) -> list[int]:
+    """The committed generations, oldest first."""
+    fs, path = _hadoop(spark, root)
+    done = fs.globStatus(path(f"{root}/gen=*/_SUCCESS")) or []
+    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
+
+
+def _day_folders(spark: SparkSession, root: str) -> list[str]:
+    """The folder that counts for every day."""
+    fs, path = _hadoop(spark, root)
+    newest: dict[tuple[str, str], str] = {}
+    for gen in _generations(spark, root):
+        for status in fs.globStatus(path(f"{root}/gen={gen}/y=*/md=*")) or []:
+            where = status.getPath()
+            newest[where.getParent().getName(), where.getName()] = where.toString()
+    return sorted(newest.values())
 
 
 def read_current(spark: SparkSession, root: str, schema: str = schemas.INDEX) -> DataFrame:
-    """The newest complete version of a table; empty where there is none."""
-    found = _versions(spark, root)
-    return spark.read.schema(schema).parquet(f"{root}/v{found[-1]}") if found else spark.createDataFrame([], schema)
+    """The table as of now; empty where nothing has been written."""
+    folders = _day_folders(spark, root)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    columns = spark.createDataFrame([], schema).columns
+    # The files' own columns, and those of the path: gen, y, md.
+    read = spark.read.schema(f"{schema}, gen int").option("basePath", root)
+    return read.parquet(*folders).select(*columns)
 
 
 def upsert_table(
     spark: SparkSession, root: str, batch: DataFrame, schema: str = schemas.INDEX, seq: str | None = None
-) -> str:
-    """Write the table after the batch as a new version.
-
-    Readers go on with the version they opened; the new one counts once its
-    write is committed, so a lost job leaves nothing half done.
+) -> int:
+    """Write the days that the batch touches, with the batch in them, as a
+    new generation, and give its number.
+
+    What is read and written grows with those days, not with the table; of the
+    other days only ids are looked at, to find entries that have moved.  Within
+    the batch an id may come twice only if ``seq`` names the column that tells
+    which one is the last.
     """
-    found = _versions(spark, root)
-    path = f"{root}/v{(found[-1] if found else 0) + 1}"
-    after = upsert(read_current(spark, root, schema), batch, "id", seq)
-    after.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return path
+    fresh = batch if seq is None else last_by(batch, ["id"], [seq])
+    fresh = materialize(_fit(fresh, schema), "batch")
+    found = _generations(spark, root)
+    gen = found[-1] + 1 if found else 1
+    current = read_current(spark, root, schema)
+    held = current.select("id", "y", "md").join(fresh.select("id"), "id", "left_semi")
+    touched = held.unionByName(fresh.select("id", "y", "md")).select("y", "md").distinct()
+    days = [tuple(row) for row in touched.collect()]  # no more than days in the calendar
+    if not all(y and md for y, md in days):
+        raise ValueError("a vector record needs the day (y, md) of its thread")
+    if not days:
+        return gen - 1
+    after = upsert(current.where(on_days(days)), fresh)
+    fs, path = _hadoop(spark, root)
+    target = f"{root}/gen={gen}"
+    fs.delete(path(target), True)  # what a lost job has left
+    for y, md in days:  # a day that ends up empty counts as touched, too
+        fs.mkdirs(path(f"{target}/y={y}/md={md}"))
+    _write_partitioned(after, target, ("y", "md"), ("id",))
+    return gen

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from threadloom.functions.ids import path_keys, valid_stamp
+from threadloom.functions.ids import path_key_columns, path_keys, valid_stamp
+from threadloom.functions.once import computed_once
 from threadloom.operators.narrow import narrow_comments, narrow_submissions
 from threadloom.sources import schemas
 from threadloom.sources.captures import h16
@@ -25,7 +26,8 @@ def capture_stream(spark: SparkSession, root: str, kind: str, files_per_trigger:
         .option("maxFilesPerTrigger", str(files_per_trigger))
         .json(root)
     )
-    keyed = lines.withColumns(path_keys(F.col("_metadata.file_path")))
+    matched = computed_once(lines, _keys=path_keys(F.col("_metadata.file_path")))
+    keyed = matched.withColumns(path_key_columns("_keys")).drop("_keys")
     return keyed.where(valid_stamp("cap14") & (F.col("kind") == kind)).withColumn("h16", h16())
 
 
