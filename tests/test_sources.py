@@ -50,6 +50,14 @@ def test_captures_from_tree(spark, tree):
     assert [json.loads(r.raw).get("id") for r in rows[:6]] == ["c0", "c1", "c2", "c3", "c4", None]
 
 
+def test_trees_within_a_lookback(spark, tree):
+    put(tree, f"r_ja/comments/2024/0115/120000_p0/20240201000000_{H}.jsonl", ['{"id": "old"}'])
+    assert sc.captures_from_tree(spark, str(tree)).count() == 9
+    assert sc.captures_from_tree(spark, str(tree), 5, "2024-02-02").count() == 8
+    assert sc.captures_from_tree(spark, str(tree), 5, "2024-03-02").count() == 0
+    assert sc.staged_from_tree(spark, str(tree), 5, "2024-03-02").count() == 0
+
+
 @pytest.mark.parametrize("name", ["2024020100000_x.jsonl", "20240201000000.jsonl", "2024020100000a_ff.jsonl"])
 def test_names_out_of_layout(spark, tree, name):
     put(tree, f"r_ja/comments/2024/0131/120000_p1/{name}", ['{"id": "z"}'])

@@ -32,13 +32,16 @@ def search(
     columns = ["metadata", *(["values"] if params.values else [])]
     hits = ops.topk(index, vector, k, filter=filter, metric=metric, columns=columns)
     hits = ops.rank_hits(hits.withColumn("query_id", F.lit(0)))
-    if params.with_text and store is not None:
-        hits = context.with_pinned_text(hits, store, params.max_chars, at_most=k)
-    elif params.with_text and staged is not None:
-        window = staged.where(in_lookback(params.lookback_days, as_of))
-        hits = context.with_latest_text(hits, window, params.max_chars, at_most=k)
-    elif params.with_text:
+    if params.with_text and store is None and staged is None:
         raise ValueError("with_text needs a store or a staged table")
+    if params.with_text:
+        # The hits are used twice to find their texts; the index is read once.
+        hits = materialize(hits, "hits")
+        if store is not None:
+            hits = context.with_pinned_text(hits, store, params.max_chars, at_most=k)
+        else:
+            window = staged.where(in_lookback(params.lookback_days, as_of))
+            hits = context.with_latest_text(hits, window, params.max_chars, at_most=k)
     return ops.project_hits(hits, params.metadata, params.values).drop("query_id")
 
 
@@ -48,12 +51,12 @@ def context_for(
     *,
     store: DataFrame | None = None,
     staged: DataFrame | None = None,
-    at_most: int | None = None,
 ) -> DataFrame:
     """The context blocks of every question, from its hits: one per thread, at
     most ``max_docs``, with text, within the budget."""
     picked = ops.dedup_hits(hits, params.drop_missing_sid) if params.dedup_threads else hits
-    picked = ops.best_per_query(picked, params.max_docs)
+    picked = materialize(ops.best_per_query(picked, params.max_docs), "hits")
+    at_most = picked.count()
     if store is not None:
         texts = context.with_pinned_text(picked, store, params.doc_max_chars, at_most)
     elif staged is not None:
@@ -76,7 +79,7 @@ def rag_context(
 ) -> tuple[DataFrame, DataFrame]:
     """(prompts, sources) of a table of (query_id, question, vector)."""
     hits = ops.topk_batch(index, questions, params.topk, filter=filter, metric=metric)
-    blocks = context_for(hits, params, store=store, staged=staged)
+    blocks = materialize(context_for(hits, params, store=store, staged=staged), "blocks")
     prompts = context.build_prompts(questions.drop("vector"), blocks, template)
     return prompts, blocks.select("query_id", "rank", *context.source_fields(), "source")
 

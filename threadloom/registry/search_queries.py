@@ -21,7 +21,7 @@ from threadloom.registry.views import (
     sql,
     staged,
 )
-from threadloom.session import scratch_path
+from threadloom.session import materialize, scratch_path
 from threadloom.sources import schemas, sinks
 from threadloom.sources.captures import read_table
 
@@ -295,19 +295,20 @@ TEXTS_SQL = """SELECT h.query_id, h.id, h.score, coalesce(d.text, '') AS {name}
 
 def asked(spark, sf, k=20):
     index = doc_idx(spark, sf)
-    return se.topk_batch(index, label_queries(index), k)
+    return materialize(se.topk_batch(index, label_queries(index), k), "hits")
 
 
 @register("hits_with_pinned_text", sql("hits_v docs_v", TEXTS_SQL.format(name="text", pinned=" AND d.h = h.h")))
 def hits_with_pinned_text(spark, sf):
     store = sinks.text_objects(documents(spark, sf))
     hits = asked(spark, sf)
-    return context.with_pinned_text(hits, store, at_most=20 * 10).select("query_id", "id", "score", "text")
+    return context.with_pinned_text(hits, store, at_most=hits.count()).select("query_id", "id", "score", "text")
 
 
 @register("hits_with_excerpt", sql("hits_v docs_v", TEXTS_SQL.format(name="excerpt", pinned="")))
 def hits_with_excerpt(spark, sf):
-    hits = context.with_latest_text(asked(spark, sf), staged(spark, sf), max_chars=0)
+    hits = asked(spark, sf)
+    hits = context.with_latest_text(hits, staged(spark, sf), max_chars=0, at_most=hits.count())
     return hits.select("query_id", "id", "score", "excerpt")
 
 
@@ -332,7 +333,8 @@ def search_with_text(spark, sf):
 @register("context_blocks", sql("blocks_v", "SELECT query_id, rank, block FROM blocks_v"))
 def context_blocks(spark, sf):
     store = sinks.text_objects(documents(spark, sf))
-    blocks = context.context_blocks(context.with_pinned_text(asked(spark, sf), store))
+    hits = asked(spark, sf)
+    blocks = context.context_blocks(context.with_pinned_text(hits, store, at_most=hits.count()))
     return blocks.select("query_id", F.col("rank").cast("bigint"), "block")
 
 

@@ -12,6 +12,7 @@ from threadloom.functions.once import computed_once
 from threadloom.functions.times import in_lookback
 from threadloom.operators.ranking import positions
 from threadloom.sources import schemas
+from threadloom.sources.files import day_folders
 
 
 def line_position() -> list[Column]:
@@ -70,23 +71,33 @@ def h16(hash: Column | str = "hash") -> Column:
     return F.left(F.col(hash) if isinstance(hash, str) else hash, F.lit(16))
 
 
-def captures_from_tree(spark: SparkSession, root: str, mode: str = "fail") -> DataFrame:
+def captures_from_tree(
+    spark: SparkSession, root: str, days: int = 0, as_of: dt.date | str | None = None, mode: str = "fail"
+) -> DataFrame:
     """The capture rows of a tree of capture files, one row per line, with the
-    line's number in its file."""
-    lines = read_captures(spark, root, "comments", keep_raw=True)
+    line's number in its file; ``days`` limits it to a lookback."""
+    folders = day_folders(spark, root, days, as_of)
+    if not folders:
+        return spark.createDataFrame([], schemas.CAPTURE)
+    lines = read_captures(spark, folders, "comments", keep_raw=True)
     numbered = positions(lines, ["file_path"], ["file_offset", "line_seq"], "line_no")
     keyed = with_path_keys(numbered, mode=mode).withColumn("created", created_epoch())
     return keyed.drop(*FILE_ORDER)
 
 
-def staged_from_tree(spark: SparkSession, root: str) -> DataFrame:
+def staged_from_tree(
+    spark: SparkSession, root: str, days: int = 0, as_of: dt.date | str | None = None
+) -> DataFrame:
     """The rows of a tree of staged files of both kinds; files out of layout
     are ignored.  Fields that a file lacks are null."""
+    folders = day_folders(spark, root, days, as_of)
+    if not folders:
+        return spark.createDataFrame([], schemas.NARROW)
     files = (
         spark.read.schema(schemas.NARROW_FILE)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .parquet(root)
+        .parquet(*folders)
         .select("*", F.col("_metadata.file_path").alias("file_path"))
     )
     return with_path_keys(files, staged=True).withColumnRenamed("hash", "h16").drop("file_path")

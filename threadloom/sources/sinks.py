@@ -14,16 +14,11 @@ from threadloom.operators.ranking import last_by, take_lowest
 from threadloom.session import materialize
 from threadloom.sources import schemas
 from threadloom.sources.captures import read_table
+from threadloom.sources.files import hadoop, path_exists
 
 ZSTD_LEVEL = 22
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder or file is there, on any file system Spark reads."""
-    fs, hadoop_path = _hadoop(spark, path)
-    return fs.exists(hadoop_path(path))
-
-
 def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table, empty where nothing has been written yet."""
     return read_table(spark, path, schema) if path_exists(spark, path) else spark.createDataFrame([], schema)
@@ -118,22 +113,16 @@ def export_texts(documents: DataFrame, path: str, max_objects: int = 0, prefix:
 # and a job that is lost leaves a generation that does not count.
 
 
-def _hadoop(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
-
-
 def _generations(spark: SparkSession, root: str) -> list[int]:
     """The committed generations, oldest first."""
-    fs, path = _hadoop(spark, root)
+    fs, path = hadoop(spark, root)
     done = fs.globStatus(path(f"{root}/gen=*/_SUCCESS")) or []
     return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
 
 
 def _day_folders(spark: SparkSession, root: str) -> list[str]:
     """The folder that counts for every day."""
-    fs, path = _hadoop(spark, root)
+    fs, path = hadoop(spark, root)
     newest: dict[tuple[str, str], str] = {}
     for gen in _generations(spark, root):
         for status in fs.globStatus(path(f"{root}/gen={gen}/y=*/md=*")) or []:
@@ -177,7 +166,7 @@ def upsert_table(
     if not days:
         return gen - 1
     after = upsert(current.where(on_days(days)), fresh)
-    fs, path = _hadoop(spark, root)
+    fs, path = hadoop(spark, root)
     target = f"{root}/gen={gen}"
     fs.delete(path(target), True)  # what a lost job has left
     for y, md in days:  # a day that ends up empty counts as touched, too
