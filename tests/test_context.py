@@ -67,6 +67,14 @@ def test_latest_text(rows):
     assert got == {"r:s:a:x": "T\n\nB", "r:c:a:c1": "new", "r:c:a:c2": "", "r:s:a:z": "", "r:s:a:w": "", "plain": ""}
 
 
+def test_a_hit_stays_one_row(rows):
+    store = rows([("s", "a", "x", "h1", "t"), ("s", "a", "x", "h1", "t")], STORE)
+    assert cx.with_pinned_text(rows([hit("q", "r:s:a:x", 0.9)], HITS), store).count() == 1
+    twice = ("a", "comments", "2024", "0101", "000000", "x", "1", "f", None, "b", "c1", None)
+    got = cx.with_latest_text(rows([hit("q", "r:c:a:c1", 0.9, t="c")], HITS), rows([twice, twice], STAGED))
+    assert [r.excerpt for r in got.collect()] == ["b"]
+
+
 def test_text_lookup_does_not_shuffle_the_store(spark, rows, tmp_path):
     rows([("s", "a", f"d{i}", "h1", "t") for i in range(50)], STORE).write.parquet(str(tmp_path / "s"))
     store = spark.read.parquet(str(tmp_path / "s"))

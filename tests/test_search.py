@@ -71,8 +71,30 @@ def test_zero_vectors_and_wrong_lengths(rows):
         ix.check_dim(rows([("z", None, md)], schemas.VECTOR), 2).collect()
 
 
+@pytest.mark.parametrize("copies", [100, 400])
+def test_copies_do_not_pile_up(copies):
+    import pyarrow as pa
+
+    data = entries(400, seed=5, copies=copies)
+    ids = [i for i, _, _ in data]
+    matrix = np.asarray([v for _, v, _ in data])
+    asked = np.asarray([[1.0] * DIM, [-1.0] * DIM, [0.1, 0.9] * 4])
+    best = se._Best(3, 6)
+    for start in range(0, 400, 90):
+        rows = pa.table({"id": ids[start : start + 90]})
+        scores = se._score(asked, matrix[start : start + 90], "cosine")
+        best.add(scores, rows)
+        assert len(best.query) <= 18
+    out = pa.Table.from_batches(best.batch(["query_id", "id", "score"], pa.array(["a", "b", "c"]))).to_pylist()
+    for name, q in zip("abc", asked):
+        scores = se._score(q[None, :], matrix, "cosine")[0]
+        expected = sorted(zip(-scores, ids))[:6]
+        assert [r["id"] for r in out if r["query_id"] == name] == [i for _, i in expected]
+
+
 @pytest.mark.parametrize("max_broadcast", [0, 100])
 def test_batch_both_ways(rows, monkeypatch, max_broadcast):
+    monkeypatch.setattr(se, "QUERIES_AT_ONCE", 10)
     monkeypatch.setattr(se, "GRID_QUERIES", 5)
     monkeypatch.setattr(se, "GRID_ROWS", 60)
     data = entries(400, seed=2, copies=130)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from threadloom.functions.text import BLANKS, col, none_if_empty, strip_text, text_or_empty
+from threadloom.functions.text import BLANKS, col, strip_text, text_or_empty
 
 KINDS = ("submissions", "comments")
 SRC = "r"
@@ -109,21 +109,3 @@ def thread_path(sub: Column, kind: Column, y: Column, md: Column, hms: Column, s
     return F.concat(
         F.lit("r_"), sub, F.lit("/"), kind, F.lit("/"), y, F.lit("/"), md, F.lit("/"), hms, F.lit("_"), sid
     )
-
-
-__all__ = [
-    "comment_id_of",
-    "document_id",
-    "kind_letter",
-    "kind_of_letter",
-    "none_if_empty",
-    "norm_prefix",
-    "norm_sub",
-    "object_key",
-    "object_key_of_hit",
-    "parse_document_id",
-    "path_key_columns",
-    "path_keys",
-    "thread_path",
-    "valid_stamp",
-]

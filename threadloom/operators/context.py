@@ -21,6 +21,11 @@ def _keys_to_find(keys: DataFrame, at_most: int | None) -> DataFrame:
     return F.broadcast(distinct) if at_most is not None and at_most <= MAX_BROADCAST_HITS else distinct
 
 
+def _one_text(found: DataFrame) -> DataFrame:
+    """One text per key, should a table hold several: a hit stays one row."""
+    return found.groupBy(*[c for c in found.columns if c != "_text"]).agg(F.min("_text").alias("_text"))
+
+
 def with_pinned_text(
     hits: DataFrame, store: DataFrame, max_chars: int = 0, at_most: int | None = None, text_column: str = "text"
 ) -> DataFrame:
@@ -39,9 +44,11 @@ def with_pinned_text(
     found = store.select("t", "sub", "id", "h", "text").join(
         _keys_to_find(wanted, at_most), ["t", "sub", "id", "h"], "left_semi"
     )
-    found = found.select(
-        F.col("t").alias("_t"), F.col("sub").alias("_sub"), F.col("id").alias("_doc"), F.col("h").alias("_h"),
-        F.col("text").alias("_text"),
+    found = _one_text(
+        found.select(
+            F.col("t").alias("_t"), F.col("sub").alias("_sub"), F.col("id").alias("_doc"), F.col("h").alias("_h"),
+            F.col("text").alias("_text"),
+        )
     )
     joined = keyed.join(found, ["_t", "_sub", "_doc", "_h"], "left")
     shown = text.truncate_text(text.strip_text("_text"), max_chars)
@@ -82,6 +89,7 @@ def with_latest_text(
         F.when(is_post, F.lit("")).otherwise(F.col("comment_id")).alias("_comment"),
         text.compose_document(title, F.col("body")).alias("_text"),
     )
+    texts = _one_text(texts)
     joined = keyed.join(texts, ["_sub", "_kind", "_sid", "_comment"], "left")
     shown = text.truncate_text(text.text_or_empty("_text"), max_chars)
     return joined.select(*hits.columns, shown.alias(text_column))

@@ -7,13 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from threadloom.functions.ids import KINDS
 from threadloom.functions.text import text_or_empty
 from threadloom.functions.times import lenient_epoch
 from threadloom.operators.ranking import first_by
 
 CAPTURE_KEYS = ("sub", "kind", "y", "md", "hms", "sid", "cap14", "hash")
-NARROW_FIELDS = ("author", "title", "body", "comment_id", "parent_id")
 
 
 def narrow_submissions(
@@ -115,21 +113,3 @@ def harvested_posts(df: DataFrame, id: str = "id", name: str = "name", created:
 def link_filter(df: DataFrame, link: str = "link_id", post: str = "post_id") -> DataFrame:
     """Comments that hang on a post; the post id follows the first _."""
     return df.where(F.col(link).startswith("t3_")).withColumn(post, F.substr(F.col(link), F.lit(4)))
-
-
-__all__ = [
-    "CAPTURE_KEYS",
-    "KINDS",
-    "NARROW_FIELDS",
-    "harvested_posts",
-    "link_filter",
-    "narrow_comments",
-    "narrow_submissions",
-    "nonblank",
-    "only_subs",
-    "post_is_valid",
-    "since",
-    "union_kinds",
-    "unknown_subs",
-    "valid_posts",
-]

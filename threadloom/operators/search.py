@@ -12,11 +12,10 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from threadloom.functions import text
-from threadloom.functions.ids import parse_document_id
-from threadloom.operators.index import check_dim
 
 METRICS = ("cosine", "dot")
 
@@ -29,7 +28,10 @@ SCORE_DIGITS = 9
 MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_BYTES = 128 << 20
 GRID_QUERIES = 1024
-GRID_ROWS = 16384
+GRID_ROWS = 8192
+
+# A task scores this many questions at a time against one batch of rows.
+QUERIES_AT_ONCE = 256
 
 INDEXED_FIELDS = ("src", "sub", "t")
 
@@ -103,7 +105,7 @@ class _Best:
         if n > self.k:
             kth = np.partition(scores, n - self.k, axis=1)[:, n - self.k]
             self.floor = np.maximum(self.floor, kth)
-        q, r = np.nonzero(scores >= self.floor[:, None])
+        q, r = self._candidates(scores, rows)
         if not len(q):
             return
         query = np.concatenate([self.query, q])
@@ -118,6 +120,20 @@ class _Best:
         self.query, self.score = query[kept], score[kept]
         self.rows = found.take(pa.array(kept)).combine_chunks()
 
+    def _candidates(self, scores: np.ndarray, rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Question and row of every score that can be among the k best: those
+        above the floor, which are fewer than k, and of those on it the k with
+        the lowest ids, as a third of the rows may be copies."""
+        floor = self.floor[:, None]
+        good = scores >= floor
+        if np.count_nonzero(good) <= 4 * self.k * len(scores):
+            return np.nonzero(good)
+        by_id = pc.sort_indices(rows.column("id")).to_numpy()
+        tied = (scores == floor)[:, by_id]
+        good = good[:, by_id] & ~(tied & (np.cumsum(tied, axis=1) > self.k))
+        q, place = np.nonzero(good)
+        return q, by_id[place]
+
     def batch(self, names: Sequence[str], query_ids: pa.Array | None) -> Iterator[pa.RecordBatch]:
         if self.rows is None:
             return
@@ -148,14 +164,20 @@ def _task_topk(index: DataFrame, matrix: np.ndarray, query_ids: pa.Array | None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         questions, ids = shared.value
-        best = _Best(len(questions), k)
+        starts = range(0, len(questions), QUERIES_AT_ONCE)
+        parts = [questions[s : s + QUERIES_AT_ONCE] for s in starts]
+        best = [_Best(len(part), k) for part in parts]
         for batch in batches:
             if batch.num_rows:
-                rows = pa.Table.from_batches([batch])
-                best.add(_score(questions, _matrix(batch.column("values"), dim), metric), rows)
-        yield from best.batch(names, ids)
+                vectors = _matrix(batch.column("values"), dim)
+                rows = pa.Table.from_batches([batch]).drop_columns(dropped)
+                for part, found in zip(parts, best):
+                    found.add(_score(part, vectors, metric), rows)
+        for start, found in zip(starts, best):
+            yield from found.batch(names, None if ids is None else ids.slice(start, QUERIES_AT_ONCE))
 
     needed = ["id", "values", *[c for c in columns if c not in ("id", "values")]]
+    dropped = [] if "values" in columns else ["values"]
     return index.select(*needed).mapInArrow(run, schema)
 
 
@@ -317,18 +339,3 @@ def render_hits(ranked: DataFrame, style: str = "pretty", excerpt: str | None =
     else:
         raise ValueError(f"no style {style!r}")
     return ranked.withColumn("line", line)
-
-
-__all__ = [
-    "best_per_query",
-    "check_dim",
-    "dedup_hits",
-    "metadata_filter",
-    "parse_document_id",
-    "project_hits",
-    "query_vector",
-    "rank_hits",
-    "render_hits",
-    "topk",
-    "topk_batch",
-]

@@ -13,6 +13,7 @@ from threadloom.operators.captures import convert_new, latest_versions
 from threadloom.operators.documents import build_documents
 from threadloom.operators.model import apply_model
 from threadloom.operators.narrow import narrow_comments, narrow_submissions, only_subs, union_kinds
+from threadloom.operators.ranking import first_by
 from threadloom.plans.parameters import RefreshParameters
 from threadloom.session import configure, materialize
 from threadloom.sources import schemas
@@ -83,7 +84,8 @@ def refresh(
         ),
         "embedded",
     )
-    good = ix.check_dim(embedded.where(F.col("error").isNull()), params.dim)
+    done = ix.check_dim(embedded.where(F.col("error").isNull()), params.dim)
+    good = first_by(done, ["id"], [F.col("metadata")["h"]])  # should one version hold an id twice
     failed = embedded.where(F.col("error").isNotNull()).count()
     vectors = embedded.count() - failed
     if vectors:

@@ -88,6 +88,3 @@ def comment_fields(parsed: DataFrame) -> DataFrame:
         retrieved_utc=_number("$.retrieved_utc"),
         retrieved_on=_number("$.retrieved_on"),
     )
-
-
-__all__ = ["comment_fields", "parse_lines", "post_fields", "read_dump", "split_paths"]
