@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from threadloom.plans.import_dump import import_files
 from threadloom.plans.parameters import QuestionParameters, RefreshParameters, SearchParameters
 from threadloom.plans.refresh import refresh
-from threadloom.plans.search import answer, rag_context, search
+from threadloom.plans.search import answer, rag_context, search, search_question
 from threadloom.operators.context import PromptTemplate
 from threadloom.sources import schemas, sinks
 from threadloom.sources.captures import read_table
@@ -190,6 +190,16 @@ def test_search(corpus):
     assert [r.excerpt for r in got] == ["", ""]
     with pytest.raises(ValueError):
         search(index, [1.0, 0.0, 0.0], params)
+    params = SearchParameters(topk=1)
+    assert [r.id for r in search_question(index, " bbbbb ", embed, params, filter={"t": "c"}).collect()] == ["r:c:ja:c5"]
+    with pytest.raises(ValueError, match="blank question"):
+        search_question(index, " ", embed)
+
+    def limited(texts):
+        raise RuntimeError("429")
+
+    with pytest.raises(RuntimeError, match="not embedded: 429"):
+        search_question(index, "q", limited, retries=1, backoff_ms=1)
 
 
 def test_questions(spark, corpus):

@@ -103,6 +103,13 @@ def test_tolerant_lines(spark, tmp_path):
     assert got == good
 
 
+def test_bytes_that_are_not_utf8(spark, tmp_path):
+    (tmp_path / "d.jsonl").write_bytes(b'{"a":"x\xff\xfey"}\n\xe3\x80\x80{"a":"\xe6\x97\xa5"}\n{"a":"\xef\xbf\xbd"}\n')
+    rows = dumps.read_dump(spark, str(tmp_path / "d.jsonl")).orderBy(*sc.FILE_ORDER)
+    got = [r[0] for r in rows.select(F.try_variant_get("obj", "$.a", "string")).collect()]
+    assert got == ["xy", "日", "\ufffd"]
+
+
 def test_file_order_over_splits(spark, tmp_path):
     put(tmp_path, "d.jsonl", [json.dumps({"n": i, "pad": "x" * 200}) for i in range(2000)])
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")

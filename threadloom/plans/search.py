@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, functions as F
 from threadloom.functions.text import strip_text
 from threadloom.functions.times import in_lookback
 from threadloom.operators import context, search as ops
-from threadloom.operators.model import apply_model
+from threadloom.operators.model import apply_model, call_with_retry
 from threadloom.plans.parameters import QuestionParameters, SearchParameters, search_topk
 from threadloom.session import materialize
 
+Model = Callable[[list[str]], Sequence]
+
 
 def search(
     index: DataFrame,
@@ -45,6 +47,25 @@ def search(
     return ops.project_hits(hits, params.metadata, params.values).drop("query_id")
 
 
+def search_question(
+    index: DataFrame,
+    question: str,
+    embed: Model,
+    params: SearchParameters = SearchParameters(),
+    retries: int = 6,
+    backoff_ms: int = 1500,
+    **options,
+) -> DataFrame:
+    """J5 for one question in words; ``options`` go to search."""
+    asked = question.strip()
+    if not asked:
+        raise ValueError("blank question")
+    vectors, error = call_with_retry(embed, [asked], retries, backoff_ms)
+    if vectors is None:
+        raise RuntimeError(f"question not embedded: {error}")
+    return search(index, vectors[0], params, **options)
+
+
 def context_for(
     hits: DataFrame,
     params: QuestionParameters,
@@ -84,9 +105,6 @@ def rag_context(
     return prompts, blocks.select("query_id", "rank", *context.source_fields(), "source")
 
 
-Model = Callable[[list[str]], Sequence]
-
-
 def embed_questions(questions: DataFrame, embed: Model, **retry) -> DataFrame:
     """(query_id, question, vector) of a table of (query_id, question); blank
     questions are an error."""

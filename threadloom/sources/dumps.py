@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.functions.ids import norm_sub
 from threadloom.functions.once import computed_once
-from threadloom.functions.text import none_if_empty
+from threadloom.functions.text import none_if_empty, strip_text
 from threadloom.functions.times import variant_number_text
 from threadloom.session import configure
 from threadloom.sources.captures import line_position
@@ -24,7 +24,7 @@ def parse_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
     """A2: keeps the lines that are one JSON object each, parsed once into
     VARIANT column ``obj``; blank, malformed and other lines are left out."""
     configure(lines.sparkSession)
-    framed = F.try_parse_json(F.concat(F.lit(FRAME[0]), F.col(raw), F.lit(FRAME[1])))
+    framed = F.try_parse_json(F.concat(F.lit(FRAME[0]), strip_text(raw), F.lit(FRAME[1])))
     whole = computed_once(lines, _framed=framed).where(
         (F.size(F.try_variant_get("_framed", "$", "map<string,variant>")) == 2)
         & F.try_variant_get("_framed", "$.threadloom_end", "int").isNotNull()
@@ -38,7 +38,13 @@ def read_dump(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """A2 over dump files: raw, obj and the columns of FILE_ORDER."""
     configure(spark)
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return parse_lines(spark.read.text(paths).select(F.col("value").alias("raw"), *line_position()))
+    return parse_lines(spark.read.text(paths).select(valid_utf8("value").alias("raw"), *line_position()))
+
+
+def valid_utf8(c: str) -> Column:
+    """Text without the bytes that are not UTF-8."""
+    mended = F.replace(F.make_valid_utf8(c), F.lit("\ufffd"), F.lit(""))
+    return F.when(F.is_valid_utf8(c), F.col(c)).otherwise(mended)
 
 
 def split_paths(paths: Sequence[str]) -> tuple[list[str], list[str]]:

@@ -123,12 +123,16 @@ def _generations(spark: SparkSession, root: str) -> list[int]:
 def _day_folders(spark: SparkSession, root: str) -> list[str]:
     """The folder that counts for every day."""
     fs, path = hadoop(spark, root)
-    newest: dict[tuple[str, str], str] = {}
-    for gen in _generations(spark, root):
-        for status in fs.globStatus(path(f"{root}/gen={gen}/y=*/md=*")) or []:
-            where = status.getPath()
-            newest[where.getParent().getName(), where.getName()] = where.toString()
-    return sorted(newest.values())
+    committed = set(_generations(spark, root))
+    newest: dict[tuple[str, str], tuple[int, str]] = {}
+    for status in fs.globStatus(path(f"{root}/gen=*/y=*/md=*")) or []:
+        where = status.getPath()
+        y = where.getParent()
+        gen = int(y.getParent().getName().split("=")[1])
+        day = (y.getName(), where.getName())
+        if gen in committed and gen > newest.get(day, (0, ""))[0]:
+            newest[day] = (gen, where.toString())
+    return sorted(folder for _, folder in newest.values())
 
 
 def read_current(spark: SparkSession, root: str, schema: str = schemas.INDEX) -> DataFrame:
