@@ -10,14 +10,19 @@ from threadloom.functions import fingerprints, ids
 from threadloom.functions.times import lenient_epoch
 from threadloom.operators import captures as cp, narrow as nw, stats, threads as th
 from threadloom.operators.flatten import flatten_replies as flatten
+from threadloom.plans.harvest import comment_captures, submission_captures
 from threadloom.plans.import_dump import import_dump
 from threadloom.registry.base import register
 from threadloom.registry.views import (
     AS_OF,
     NOW,
+    POST_SQL,
+    START,
+    STEP,
     caps,
     coms,
     frame_sql,
+    post_objects,
     posts,
     sql,
     strip_sql,
@@ -544,14 +549,7 @@ def run_stats(spark, sf):
 # odd line after each is the answer to it, and a stub follows the last.
 
 
-@register(
-    "flatten_replies",
-    """SELECT 's' || doc_id AS sid, 'l' || n AS comment_id, CASE WHEN n % 2 = 0 THEN 't3_s' || doc_id ELSE 't1_l' || (n - 1) END AS parent_id,
-           CAST(1000 + n AS DOUBLE) AS created_utc, n::BIGINT AS seq, line AS body, NULL::VARCHAR AS parse_error
-       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-                    unnest(range(len(string_split(text, chr(10))))) AS n FROM documents)""",
-)
-def flatten_replies(spark, sf):
+def document_trees(spark, sf):
     def node(line, n, parent, replies):
         data = F.struct(
             F.concat(F.lit("l"), n.cast("string")).alias("id"), parent.alias("parent_id"),
@@ -573,10 +571,66 @@ def flatten_replies(spark, sf):
 
     tops = F.transform(F.sequence(F.lit(0), F.size("lines") - 1, F.lit(2)), top)
     payload = F.concat(F.lit('[{"kind":"Listing"},'), F.to_json(listing(tops)), F.lit("]"))
-    docs = table(spark, sf, "documents").select(tagged("s", "doc_id").alias("sid"), lines.alias("lines"))
-    flat = flatten(docs.select("sid", payload.alias("tree")), "tree", ["sid"])
+    docs = table(spark, sf, "documents").select(
+        tagged("s", "doc_id").alias("sid"), F.col("source").alias("sub"),
+        (F.lit(START) + F.col("doc_id") * STEP).alias("created"), lines.alias("lines"),
+    )
+    return docs.select("sub", "sid", "created", payload.alias("tree"))
+
+
+@register(
+    "flatten_replies",
+    """SELECT 's' || doc_id AS sid, 'l' || n AS comment_id, CASE WHEN n % 2 = 0 THEN 't3_s' || doc_id ELSE 't1_l' || (n - 1) END AS parent_id,
+           CAST(1000 + n AS DOUBLE) AS created_utc, n::BIGINT AS seq, line AS body, NULL::VARCHAR AS parse_error
+       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                    unnest(range(len(string_split(text, chr(10))))) AS n FROM documents)""",
+)
+def flatten_replies(spark, sf):
+    flat = flatten(document_trees(spark, sf), "tree", ["sid"])
     return flat.select(
         "sid", "comment_id", "parent_id", "created_utc", "seq", F.get_json_object("raw", "$.body").alias("body"), "parse_error"
     )
 
 
+LINES_SQL = """SELECT doc_id, source AS sub, 's' || doc_id AS sid, n, 'l' || n AS id, line,
+        CASE WHEN n % 2 = 0 THEN 't3_s' || doc_id ELSE 't1_l' || (n - 1) END AS parent_id
+    FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                 unnest(range(len(string_split(text, chr(10))))) AS n FROM documents)"""
+LINE_SQL = ["id", "parent_id", "''", "line", "''", "'null'", "'false'", "'null'", "'false'", "''"]
+
+
+@register(
+    "harvest_comments",
+    f"""SELECT l.sub, l.sid, l.id, {START} + l.doc_id * {STEP} AS created, '20250101000000' AS cap14,
+           sha256(concat_ws(':', p.n_lines, l0, l1, l2, l3)) AS hash,
+           row_number() OVER (PARTITION BY l.sub, l.sid ORDER BY parent_id, n, id) AS line_no
+        FROM ({LINES_SQL}) l JOIN (
+            SELECT doc_id, count(*) AS n_lines, {LIMBS_SQL}
+            FROM (SELECT doc_id, sha256({frame_sql(*LINE_SQL)}) AS rh FROM ({LINES_SQL})) GROUP BY doc_id) p
+        ON p.doc_id = l.doc_id WHERE l.doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
+)
+def harvest_comments(spark, sf):
+    """The threads of toxic posts have been captured before."""
+    now = dt.datetime.fromtimestamp(NOW, dt.UTC)
+    trees = document_trees(spark, sf)
+    toxic = table(spark, sf, "labels").where("toxic = 1").select(tagged("s", "doc_id").alias("sid"))
+    before = comment_captures(trees.join(toxic, "sid", "left_semi"), now).rows
+    rows = comment_captures(trees, now, before).rows
+    return rows.select(
+        "sub", "sid", F.get_json_object("raw", "$.id").alias("id"), "created", "cap14", "hash", "line_no"
+    )
+
+
+@register(
+    "harvest_submissions",
+    sql(
+        "subs_v",
+        f"""SELECT sub, sid, created_utc AS created, '20240108021950' AS cap14, sha256({frame_sql(*POST_SQL)}) AS hash
+            FROM subs_v WHERE created_utc >= {START + 170 * STEP - 7 * 86400}""",
+    ),
+)
+def harvest_submissions(spark, sf):
+    """A feed that shows every post twice."""
+    now = dt.datetime.fromtimestamp(START + 170 * STEP, dt.UTC)
+    feed = post_objects(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    return submission_captures(feed, now, 7).select("sub", "sid", "created", "cap14", "hash")

@@ -6,7 +6,20 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import fingerprints, ids, text, times
 from threadloom.registry.base import register
-from threadloom.registry.views import caps, coms, compose_sql, frame_sql, h_sql, sql, strip_sql, subs, table
+from threadloom.registry.views import (
+    POST_SQL,
+    caps,
+    coms,
+    compose_sql,
+    frame_sql,
+    h_sql,
+    idx,
+    post_objects,
+    sql,
+    strip_sql,
+    subs,
+    table,
+)
 
 PADDED_SQL = "chr(12288) || chr(160) || body || chr(133) || chr(28) || ' '"
 
@@ -128,8 +141,6 @@ def bounded_message(spark, sf):
     ),
 )
 def source_line(spark, sf):
-    from threadloom.registry.views import idx
-
     md = F.col("metadata")
     squares = F.aggregate("values", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     return idx(spark, sf).select(
@@ -168,21 +179,9 @@ def norm_sub(spark, sf):
     return subs(spark, sf).select("sid", "sub_raw", ids.norm_sub(F.concat(F.lit(" "), "sub_raw")).alias("sub"))
 
 
-POST_SQL = ["sid", "'t3_' || sid", "sub", "coalesce(author, '')", "'true'", "''", "title", "''", "body", "''", "''"]
-POST_SQL += ["'false'", "CASE WHEN author IS NULL THEN 'true' ELSE 'false' END", "'false'", "'false'", "'false'", "''", "''"]
-
-
 @register("submission_fingerprint", sql("subs_v", f"SELECT sid, sha256({frame_sql(*POST_SQL)}) AS hash FROM subs_v"))
 def submission_fingerprint(spark, sf):
-    raw = F.to_json(
-        F.struct(
-            F.col("sid").alias("id"), F.concat(F.lit("t3_"), "sid").alias("name"), F.col("sub").alias("subreddit"),
-            "author", F.lit(True).alias("is_self"), "title", F.col("body").alias("selftext"),
-            F.col("doc_id").alias("domain"), F.lit(False).alias("edited"), F.col("author").isNull().alias("over_18"),
-            F.lit("true").alias("spoiler"), F.col("created_utc"),
-        )
-    )
-    parsed = subs(spark, sf).select("sid", F.parse_json(raw).alias("obj"))
+    parsed = post_objects(spark, sf).select("sid", F.parse_json("raw").alias("obj"))
     return parsed.select("sid", fingerprints.submission_fingerprint("obj").alias("hash"))
 
 

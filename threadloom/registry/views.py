@@ -115,6 +115,19 @@ def idx(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def post_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """Posts as JSON objects; some fields have the wrong type."""
+    raw = F.to_json(
+        F.struct(
+            F.col("sid").alias("id"), F.concat(F.lit("t3_"), "sid").alias("name"), F.col("sub").alias("subreddit"),
+            "author", F.lit(True).alias("is_self"), "title", F.col("body").alias("selftext"),
+            F.col("doc_id").alias("domain"), F.lit(False).alias("edited"), F.col("author").isNull().alias("over_18"),
+            F.lit("true").alias("spoiler"), F.col("created_utc"),
+        )
+    )
+    return subs(spark, sf).select("sub", "sid", raw.alias("raw"))
+
+
 def staged(spark: SparkSession, sf: str) -> DataFrame:
     """Staged rows of both kinds: the version of every post and thread, and
     before it an older one of the labelled posts."""
@@ -221,6 +234,10 @@ def frame_sql(*texts: str) -> str:
     return " || ".join(f"length({t}) || ':' || {t}" for t in texts)
 
 
+# The fields of a post's fingerprint.
+POST_SQL = ["sid", "'t3_' || sid", "sub", "coalesce(author, '')", "'true'", "''", "title", "''", "body", "''", "''"]
+POST_SQL += ["'false'", "CASE WHEN author IS NULL THEN 'true' ELSE 'false' END", "'false'", "'false'", "'false'", "''", "''"]
+
 VIEWS = {
     "subs_v": f"""
         SELECT 's' || doc_id AS sid,
