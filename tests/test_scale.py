@@ -54,7 +54,7 @@ def skewed(tmp_path_factory):
 )
 def test_skewed_tables(spark, skewed, monkeypatch, name):
     # Groups of this size are "large" here, so the hot thread is split.
-    monkeypatch.setattr(ranking.positions, "__defaults__", ("pos", 50, None))
+    monkeypatch.setattr(ranking.positions, "__defaults__", ("pos", 50, None, None))
     monkeypatch.setattr(th.comment_order, "__defaults__", (*th.comment_order.__defaults__[:-1], 50))
     message, n = compare(spark, connect(skewed), QUERIES[name], ORACLES[name], skewed)
     assert message is None, message

@@ -50,6 +50,14 @@ def test_captures_from_tree(spark, tree):
     assert [json.loads(r.raw).get("id") for r in rows[:6]] == ["c0", "c1", "c2", "c3", "c4", None]
 
 
+def test_a_large_capture_file(spark, tree, monkeypatch):
+    put(tree, f"r_ja/comments/2024/0131/120000_p9/20240201000000_{H}.jsonl", [f'{{"id": "d{i}"}}' for i in range(500)])
+    monkeypatch.setattr(sc, "SPLIT_ABOVE", 1000)
+    monkeypatch.setattr(sc.positions, "__defaults__", ("pos", 100, 4, None))
+    rows = sc.captures_from_tree(spark, str(tree)).where("sid = 'p9'").orderBy("line_no").collect()
+    assert [(r.line_no, json.loads(r.raw)["id"]) for r in rows] == [(i + 1, f"d{i}") for i in range(500)]
+
+
 def test_trees_within_a_lookback(spark, tree):
     put(tree, f"r_ja/comments/2024/0115/120000_p0/20240201000000_{H}.jsonl", ['{"id": "old"}'])
     assert sc.captures_from_tree(spark, str(tree)).count() == 9

@@ -43,10 +43,12 @@ def positions(
     name: str = "pos",
     split_above: int = SPLIT_ABOVE,
     partitions: int | None = None,
+    count_only: Column | None = None,
 ) -> DataFrame:
     """The 1-based position of every row in its group, in ``order``.
 
-    Groups are counted first.  Ordinary groups are ranked by a window; groups
+    Groups are counted first, or only the rows that meet ``count_only`` where
+    it is known which groups can be large.  Ordinary groups are ranked by a window; groups
     with more than ``split_above`` rows, and the one group of an empty
     ``group``, are laid out in ranges so that many tasks share them.  Group and
     order columns together must be unique.
@@ -54,7 +56,8 @@ def positions(
     if not group:
         return _ranged_positions(df, [], order, name, partitions)
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint")
-    large = df.groupBy(*group).count().where(F.col("count") > split_above).select(*group)
+    counted = df if count_only is None else df.where(count_only)
+    large = counted.groupBy(*group).count().where(F.col("count") > split_above).select(*group)
     head = large.limit(MAX_SPLIT_GROUPS + 1).collect()
     if not head:
         return df.withColumn(name, place)

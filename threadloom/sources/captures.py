@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from threadloom.functions.ids import path_key_columns, path_keys, valid_stamp
 from threadloom.functions.once import computed_once
 from threadloom.functions.times import in_lookback
-from threadloom.operators.ranking import positions
+from threadloom.operators.ranking import SPLIT_ABOVE, positions
 from threadloom.sources import schemas
 from threadloom.sources.files import day_folders
 
@@ -39,12 +39,13 @@ def read_captures(
     """A1: newline-delimited JSON captures of one kind, with FILE_ORDER.
 
     ``strict`` stops the job at a line that is not JSON.  ``keep_raw`` reads
-    the lines as text instead, in column ``raw``.
+    the lines as text instead, in column ``raw``, with the ``file_size``.
     """
     schema = {"submissions": schemas.SUBMISSION, "comments": schemas.COMMENT}[kind]
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     if keep_raw:
-        return reader.text(path).select(F.col("value").alias("raw"), *line_position())
+        size = F.col("_metadata.file_size").alias("file_size")
+        return reader.text(path).select(F.col("value").alias("raw"), *line_position(), size)
     reader = reader.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED")
     return reader.json(path).select("*", *line_position())
 
@@ -80,9 +81,12 @@ def captures_from_tree(
     if not folders:
         return spark.createDataFrame([], schemas.CAPTURE)
     lines = read_captures(spark, folders, "comments", keep_raw=True)
-    numbered = positions(lines, ["file_path"], ["file_offset", "line_seq"], "line_no")
+    # A file has fewer lines than bytes, so small files need not be read to
+    # know that they are small.
+    can_be_large = F.col("file_size") > SPLIT_ABOVE
+    numbered = positions(lines, ["file_path"], ["file_offset", "line_seq"], "line_no", count_only=can_be_large)
     keyed = with_path_keys(numbered, mode=mode).withColumn("created", created_epoch())
-    return keyed.drop(*FILE_ORDER)
+    return keyed.drop(*FILE_ORDER, "file_size")
 
 
 def staged_from_tree(
