@@ -1,0 +1,42 @@
+from pathlib import Path
+
+import pytest
+
+from threadloom import configure, materialize, session, shared_dir
+
+
+def test_materialize_cuts_the_plan_and_cleans_up(spark, rows, monkeypatch):
+    monkeypatch.setattr(session, "_made", [])
+    df = rows([(1, "a"), (2, None)], "n int, s string")
+    kept = materialize(df.where("n > 0"), "kept")
+    assert kept.schema == df.schema and kept.count() == 2
+    (path,) = session._made
+    assert path.startswith(shared_dir(spark)) and Path(path).is_dir()
+    session.remove_scratch()
+    assert not Path(path).exists() and session._made == []
+
+
+def test_the_named_folder_is_used(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+class Cluster:
+    """A session on a cluster that names no folder."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_a_cluster_must_name_a_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster)
+
+
+def test_settings(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    configure(spark)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"

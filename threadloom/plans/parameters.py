@@ -52,7 +52,7 @@ class RefreshParameters:
     backoff_ms: int = 1024
     prefix: str = "reddit/v1"
     max_objects: int = 0
-    zstd_level: int = 22
+    zstd_level: int = 9
 
     def __post_init__(self):
         for name in ("lookback_days", "max_chars", "max_vectors", "retries", "backoff_ms", "max_objects"):

@@ -101,7 +101,7 @@ def narrow_sink(spark, sf):
     path = scratch_path(spark, "narrow")
     keys = {"kind": "comments", "y": "2024", "md": "0101", "hms": "000000", "cap14": "20240102000000", "h16": "b"}
     rows = coms(spark, sf).withColumns({k: F.lit(v) for k, v in keys.items()})
-    sinks.write_narrow(rows, path, level=3)
+    sinks.write_narrow(rows, path)
     return read_table(spark, path, schemas.NARROW).select(
         "sub", "kind", "sid", "comment_id", "parent_id", "author", "body", "y", "md"
     )

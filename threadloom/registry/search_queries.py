@@ -190,7 +190,7 @@ def refresh(spark, sf):
     dump = imported(spark, sf)
     sinks.write_captures(dump.posts, paths["captures"])
     sinks.write_captures(dump.comments, paths["captures"])
-    params = RefreshParameters(lookback_days=0, dim=3, max_chars=0, zstd_level=3)
+    params = RefreshParameters(lookback_days=0, dim=3, max_chars=0)
     for _ in range(2):
         run_refresh(spark, embed=letter_counts, params=params, **paths)
     return flat(sinks.read_current(spark, paths["index"]), "id", fields=["h", "t"])

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,8 +58,30 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+# The scratch tables of this process, which nothing outside it reads.
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, removed when this process ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+@atexit.register
+def remove_scratch() -> None:
+    """Remove the scratch tables of this process; those of a lost process are
+    left to the cluster's own clean-up."""
+    paths, _made[:] = list(_made), []
+    spark = SparkSession.getActiveSession()
+    for path in paths:
+        where = urlparse(path)
+        if where.scheme in ("", "file"):
+            shutil.rmtree(where.path, ignore_errors=True)
+        elif spark is not None and spark.sparkContext._jsc is not None:
+            hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -16,7 +16,8 @@ from threadloom.sources import schemas
 from threadloom.sources.captures import read_table
 from threadloom.sources.files import hadoop, path_exists
 
-ZSTD_LEVEL = 22
+# Level 22, the highest, took over 30 times as long as this one and saved 8 %.
+ZSTD_LEVEL = 9
 
 
 def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
