@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from conftest import plan_of
@@ -111,6 +112,44 @@ def test_tolerant_lines(spark, tmp_path):
     assert got == good
 
 
+def damaged_lines(n, seed):
+    """JSON of all kinds, with characters put in or left out."""
+    rng = random.Random(seed)
+    texts = ["", "a", "é", "　", '"q"', "\\", "日本", "😀", "]}", '],"threadloom_end":0}']
+    marks = ["{", "}", "[", "]", ",", ":", '"', "0", "e", "\\", " ", "\t", "\x01", "-", ".", "t", "null", "//", "'", "　", "\ufeff"]
+
+    def value(depth):
+        kind = rng.randrange(6)
+        if kind == 0 or depth > 3:
+            return rng.choice([0, 1, -5, 1.5, 10**25, -0.0, 1e-7, True, False, None])
+        if kind == 1:
+            return rng.choice(texts)
+        if kind == 2:
+            return [value(depth + 1) for _ in range(rng.randrange(4))]
+        return {rng.choice(texts): value(depth + 1) for _ in range(rng.randrange(4))}
+
+    for _ in range(n):
+        line = json.dumps(value(0), ensure_ascii=rng.random() < 0.5)
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(line) + 1)
+            line = line[:at] + (rng.choice(marks) + line[at:] if rng.random() < 0.6 else line[at + 1 :])
+        yield line
+
+
+def test_damaged_lines(rows):
+    lines = list(damaged_lines(5000, 4))
+    df = rows(list(enumerate(lines)), "i int, raw string").repartition(4)
+    got = {r.i for r in dumps.parse_lines(df).select("i").collect()}
+    good = set()
+    for i, line in enumerate(lines):
+        try:
+            if isinstance(json.loads(line.strip()), dict):
+                good.add(i)
+        except ValueError:
+            pass
+    assert got == good and 500 < len(good) < 4500
+
+
 def test_bytes_that_are_not_utf8(spark, tmp_path):
     (tmp_path / "d.jsonl").write_bytes(b'{"a":"x\xff\xfey"}\n\xe3\x80\x80{"a":"\xe6\x97\xa5"}\n{"a":"\xef\xbf\xbd"}\n')
     rows = dumps.read_dump(spark, str(tmp_path / "d.jsonl")).orderBy(*sc.FILE_ORDER)

@@ -70,8 +70,9 @@ def refresh(
     if converted:
         fresh = raw.join(todo, list(NARROW_KEYS), "left_semi")
         write_narrow(narrow_rows(fresh), narrow, params.zstd_level)
+        done = windowed(read_if_there(spark, narrow, schemas.NARROW))
 
-    staged = latest_versions(windowed(read_if_there(spark, narrow, schemas.NARROW)))
+    staged = latest_versions(done)
     documents = materialize(build_documents(staged, params.max_chars, latest=False), "documents")
 
     current = read_current(spark, index)
