@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from threadloom.sources import schemas, sinks
@@ -47,3 +48,14 @@ def test_stream_of_upserts(spark, tmp_path):
     assert batch([("a", 1.0), ("b", 1.0), ("a", 2.0)]) == {"a": 2.0, "b": 1.0}
     assert batch([("b", 3.0)]) == {"a": 2.0, "b": 3.0}
     assert batch([]) == {"a": 2.0, "b": 3.0}
+
+
+def test_a_line_that_is_not_json_stops_the_stream(spark, tmp_path):
+    root = tmp_path / "raw"
+    put(root, "0131", "p1", "20240201000000", "a" * 64, [{"id": "c1"}])
+    (root / "r_ja/comments/2024/0131/120000_p1" / f"20240202000000_{'b' * 64}.jsonl").write_text("{broken\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        run(spark, root, str(tmp_path / "out"), str(tmp_path / "marks"))
+    rows = narrow_stream(capture_stream(spark, str(root), "comments", strict=False), "comments")
+    append_available(rows, str(tmp_path / "out2"), str(tmp_path / "marks2")).awaitTermination()
+    assert read_table(spark, str(tmp_path / "out2"), schemas.NARROW).count() == 1

@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 from threadloom.functions.text import BLANKS, col, strip_text, text_or_empty
 
 KINDS = ("submissions", "comments")
+# The source in ids and keys, and the folder of text objects.
 SRC = "r"
 DEFAULT_PREFIX = "reddit/v1"
 

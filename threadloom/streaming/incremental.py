@@ -15,12 +15,16 @@ from threadloom.sources.sinks import upsert_table
 KEYS = ("sub", "kind", "y", "md", "hms", "sid", "cap14", "h16")
 
 
-def capture_stream(spark: SparkSession, root: str, kind: str, files_per_trigger: int = 10_000) -> DataFrame:
+def capture_stream(
+    spark: SparkSession, root: str, kind: str, files_per_trigger: int = 10_000, strict: bool = True
+) -> DataFrame:
     """The capture files of one kind that have not been read yet, as rows with
-    the keys of their paths; files out of layout are skipped."""
+    the keys of their paths; files out of layout are skipped.  ``strict`` stops
+    the stream at a line that is not JSON."""
     schema = {"submissions": schemas.SUBMISSION, "comments": schemas.COMMENT}[kind]
     lines = (
         spark.readStream.schema(schema)
+        .option("mode", "FAILFAST" if strict else "DROPMALFORMED")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.jsonl")
         .option("maxFilesPerTrigger", str(files_per_trigger))
@@ -32,6 +36,7 @@ def capture_stream(spark: SparkSession, root: str, kind: str, files_per_trigger:
 
 
 def narrow_stream(rows: DataFrame, kind: str) -> DataFrame:
+    """B1, B2 on a stream; a post's capture holds one line."""
     return narrow_submissions(rows, KEYS) if kind == "submissions" else narrow_comments(rows, KEYS)
 
 
