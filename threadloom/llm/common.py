@@ -58,3 +58,26 @@ def running_totals(parts: DataFrame, part: str, order: list[Column], sums: list[
         *[(F.col(f"_b_{c}") + F.col(f"_w_{c}")).cast("long").alias(f"before_{c}") for c in sums],
         *[F.col(f"total_{c}") for c in sums],
     )
+
+
+def range_bounds(ids: DataFrame, id_col: str, n_parts: int) -> list[int]:
+    """At most ``n_parts - 1`` ascending ids that cut the table into ranges of
+    about as many rows; where exactly they lie changes no result."""
+    if n_parts < 2:
+        return []
+    cuts = [i / n_parts for i in range(1, n_parts)]
+    found = ids.agg(F.percentile_approx(id_col, cuts, 20 * n_parts).alias("q")).first()["q"]
+    return sorted(set(found or []))
+
+
+def range_part(id_col: Column, bounds: list[int]) -> Column:
+    """The number of bounds up to the id, found by bisection; 0 for a null id."""
+    if not bounds:
+        return F.lit(0)
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    cut = F.lit(bounds) if len(bounds) > 1 else F.array(F.lit(bounds[0]))
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda low, step: low + F.when(F.get(cut, low + step - 1) <= id_col, step).otherwise(0),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import sharding
+from threadloom.llm import fingerprints, sharding
 from threadloom.llm.common import table
 
 LLM_QUERIES: dict = {}
@@ -52,3 +52,19 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' A
   (row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1)::BIGINT AS slot, NULL::INTEGER AS grown_shard
 FROM cut
 """
+
+
+@query
+def op2_scaled_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of all documents and of their edited texts."""
+    found = fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
+    sketch, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.sketch_string(sketch).alias("fingerprint"),
+        fingerprints.sketch_string(edited).alias("edited_fingerprint"),
+        fingerprints.containment(sketch, edited).alias("near_edited"),
+        fingerprints.containment(sketch, following).alias("near_next"),
+    )
