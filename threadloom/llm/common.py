@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -81,3 +84,13 @@ def range_part(id_col: Column, bounds: list[int]) -> Column:
         F.lit(0),
         lambda low, step: low + F.when(F.get(cut, low + step - 1) <= id_col, step).otherwise(0),
     )
+
+
+def kept_by_worker(key: str, make):
+    """What ``make`` returns, kept by a Python worker from task to task.
+
+    Functions travel by value, so their module's globals last for one task."""
+    kept = sys.modules.setdefault("threadloom_worker_state", types.ModuleType("threadloom_worker_state")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat, fingerprints, sharding
+from threadloom.llm import chat, fingerprints, pieces, sharding
 from threadloom.llm.common import table
 
+VOCABULARY = "piece_bpe_32k.model"
+
 LLM_QUERIES: dict = {}
 LLM_ORACLES: dict[str, str] = {}
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
 def query(fn):
     LLM_QUERIES[fn.__name__] = fn
     return fn
@@ -81,3 +89,9 @@ def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("\\### Assistant: </turn> ok").alias("text"),
     )
     return chat.digests(chat.format_windows(given.unionByName(hostile)))
+
+
+@query
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents and what they decode to, as digests."""
+    return pieces.encoded(table(spark, sf_dir, "documents"), vocabulary_path(), keep=False)
