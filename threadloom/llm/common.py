@@ -94,3 +94,33 @@ def kept_by_worker(key: str, make):
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def bounded_sample(rows: DataFrame, by: str, key: str, per_value: int) -> DataFrame:
+    """At most ``per_value`` rows for each value of ``by``, lowest hashes of ``key`` first.
+
+    Counts per value give the hash below which twice as many rows are to be
+    expected, so no value brings more than these into its task."""
+    # One bounded row per value: labels and languages, not keys of the corpus.
+    counts = rows.groupBy(F.col(by).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    placed = rows.withColumn("_h", F.xxhash64(F.col(key), F.lit("sample")))
+    share = (F.col("_h") / F.lit(float(1 << 64))) + 0.5
+    near = placed.join(F.broadcast(counts), placed[by] == counts["_v"]).where(
+        share * F.col("_n") < 2.0 * per_value + 8.0 * per_value**0.5
+    )
+    order = Window.partitionBy(by).orderBy("_h", key)
+    return near.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_value).drop("_v", "_n", "_h", "_r")
+
+
+def byte_view(texts):
+    """The UTF-8 bytes of an Arrow string column without nulls: bytes, starts, ends."""
+    import numpy as np
+    import pyarrow as pa
+
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, offsets, data = texts.buffers()
+    if data is None or len(texts) == 0:
+        nothing = np.zeros(len(texts), np.int64)
+        return np.zeros(0, np.uint8), nothing, nothing
+    cuts = np.frombuffer(offsets, width)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8)[cuts[0] : cuts[-1]], cuts[:-1] - cuts[0], cuts[1:] - cuts[0]

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat, fingerprints, pieces, sharding
-from threadloom.llm.common import table
+from threadloom.llm import chat, fingerprints, language, pieces, sharding
+from threadloom.llm.common import id_bucket, table
 
 VOCABULARY = "piece_bpe_32k.model"
 
@@ -95,3 +95,12 @@ def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents and what they decode to, as digests."""
     return pieces.encoded(table(spark, sf_dir, "documents"), vocabulary_path(), keep=False)
+
+
+@query
+def op5_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from three quarters of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket(F.col("doc_id"), 4) == 2
+    net = language.train(docs.where(~held_out))
+    return language.predicted(docs, net, "text", "doc_id", held_out.alias("held_out"))
