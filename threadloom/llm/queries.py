@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat, fingerprints, language, pieces, sharding
+from threadloom.llm import chat, fingerprints, language, pieces, quality, sharding
 from threadloom.llm.common import id_bucket, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -104,3 +104,14 @@ def op5_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_bucket(F.col("doc_id"), 4) == 2
     net = language.train(docs.where(~held_out))
     return language.predicted(docs, net, "text", "doc_id", held_out.alias("held_out"))
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of all documents, learned from labels of four fifths of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    scorer = quality.train(docs.where(~held_out), labels)
+    found = quality.scored(docs, scorer, "text", "doc_id", held_out.alias("held_out"))
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
