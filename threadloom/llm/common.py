@@ -124,3 +124,12 @@ def byte_view(texts):
         return np.zeros(0, np.uint8), nothing, nothing
     cuts = np.frombuffer(offsets, width)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     return np.frombuffer(data, np.uint8)[cuts[0] : cuts[-1]], cuts[:-1] - cuts[0], cuts[1:] - cuts[0]
+
+
+SENT_ALONG_IDS = 1_000_000
+
+
+def ids_for_join(ids: DataFrame) -> DataFrame:
+    """Ids that were written out, marked to be sent to every task if their counted
+    number is small enough; otherwise the join shuffles both sides."""
+    return F.broadcast(ids) if ids.count() <= SENT_ALONG_IDS else ids

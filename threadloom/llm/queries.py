@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat, fingerprints, language, pieces, quality, sharding
+from threadloom.llm import chat, fingerprints, language, near, pieces, quality, sharding
 from threadloom.llm.common import id_bucket, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -115,3 +115,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scorer = quality.train(docs.where(~held_out), labels)
     found = quality.scored(docs, scorer, "text", "doc_id", held_out.alias("held_out"))
     return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op9_near_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of two-word shingles are alike to 0.8."""
+    return near.near_groups(table(spark, sf_dir, "documents"), size=2, threshold=(80, 100))
