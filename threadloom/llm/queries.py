@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat, fingerprints, language, near, pieces, quality, sharding
+from threadloom.llm import chat, decontam, fingerprints, language, near, pieces, quality, sharding
 from threadloom.llm.common import id_bucket, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -121,3 +121,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of two-word shingles are alike to 0.8."""
     return near.near_groups(table(spark, sf_dir, "documents"), size=2, threshold=(80, 100))
+
+
+@query
+def op6_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold passages of the benchmark, with the items."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

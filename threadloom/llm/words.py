@@ -128,3 +128,18 @@ def distinct_by_text(values, owner):
     fresh = np.ones(len(values), bool)
     fresh[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
     return values[fresh], owner[fresh]
+
+
+def letters_only(data):
+    """The bytes with ASCII punctuation as blanks and Latin-1 capitals in lower case."""
+    import numpy as np
+
+    table = np.arange(256, dtype=np.uint8)
+    for i in range(128):
+        if not chr(i).isalnum():
+            table[i] = 32
+    plain = table[data]
+    if len(data) > 1:
+        capital = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        plain[1:][capital] += 0x20
+    return plain
