@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat, decontam, fingerprints, language, near, pieces, quality, sharding
+from threadloom.llm import chat, decontam, fingerprints, language, near, pieces, quality, secret_scan, sharding
 from threadloom.llm.common import id_bucket, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -127,3 +127,16 @@ def op9_near_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold passages of the benchmark, with the items."""
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: known patterns, and strings too random for words."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), "text", "doc_id")
+    base, spans = F.col("base"), F.col("spans")
+    return found.select(
+        "doc_id",
+        *[secret_scan.number_of(base, k).alias(f"n_{k}") for k in secret_scan.KINDS[:3]],
+        F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(spans).alias("spans"),
+    )
