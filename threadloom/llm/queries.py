@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat, decontam, fingerprints, language, near, pieces, quality, secret_scan, sharding
+from threadloom.llm import chat, decontam, fingerprints, language, near, pages, pieces, quality, secret_scan, sharding
 from threadloom.llm.common import id_bucket, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -140,3 +140,10 @@ def op7_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"),
         secret_scan.listed(spans).alias("spans"),
     )
+
+
+@query
+def op4_main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages, by the style tree of their site."""
+    found = pages.main_texts(table(spark, sf_dir, "pages"), "page_id", "url")
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
