@@ -4,16 +4,85 @@ Each stage takes (spark, docs, sf_dir) and works on all documents that the stage
 before it kept.  What a stage returns is written as Parquet in the shared folder
 and read again as the next stage's documents, so an executor can be lost at any
 time and only the running stage is repeated.
+
+Stages but the last return the columns they were given.  Empty tables pass as
+empty tables; how each stage takes nulls, empty texts and repeated rows is said in
+its operator's module.  A document without an id is not compared with others, so
+the stages that look for copies and benchmark passages keep it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from threadloom.llm.common import table
+from threadloom.llm import decontam, language, near, pieces, secret_scan
+from threadloom.llm.common import ids_for_join, table
+from threadloom.llm.queries import vocabulary_path
 from threadloom.session import materialize
 
-STAGES: list = []
+# Below this share for its likeliest language a text counts as of none.
+LEAST_LANGUAGE = 0.3
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose id is not among ``ids``, a table that was written."""
+    return docs.join(ids_for_join(ids.select(F.col("doc_id").alias("_gone"))), F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: texts without letters, or in no language learned, go."""
+    net = language.train(docs)
+    if net is None:  # nothing was learned that a text could be rejected by
+        return docs
+    found = language.predicted(docs, net, "text", F.struct(*docs.columns).alias("row"))
+    sure = (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE)
+    return found.where(sure).select("row.*")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: of documents alike to 0.8 in five-word shingles the one
+    with the smallest id stays, of rows with that id the first by text."""
+    groups = materialize(near.near_groups(docs).select("doc_id", "kept"), "near-groups")
+    gone = materialize(groups.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "copies")
+    left = without(docs, gone)
+    repeated = materialize(
+        groups.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated"
+    )
+    rest = docs.join(ids_for_join(repeated.select(F.col("doc_id").alias("_twice"))), F.col("doc_id") == F.col("_twice"), "left_semi")
+    return without(left, repeated).unionByName(rest.dropDuplicates(["doc_id"]))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that hold a benchmark passage go."""
+    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, materialize(found.select("doc_id").distinct(), "leaks"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans: what looks like a secret is masked, and the length counted anew."""
+    found = secret_scan.scan(docs, "text", F.struct(*docs.columns).alias("row"))
+    hit, text = F.size("spans") > 0, F.col("row.text")
+    masked = found.withColumn("masked", F.when(hit, secret_scan.masked(text, "spans")).otherwise(text))
+    changed = {"text": F.col("masked")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(hit, F.char_length("masked").cast(kind)).otherwise(F.col("row.n_chars"))
+    return masked.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+
+
+def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece encoding and decoding: the ids of every text, and digests."""
+    return pieces.encoded(docs, vocabulary_path())
+
+
+STAGES = [
+    ("language", known_language),
+    ("near_dedup", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("secrets", without_secrets),
+    ("pieces", as_pieces),
+]
 
 # SQL cannot express a trained network or signatures; tests compare with brute force.
 ORACLE_SQL = None

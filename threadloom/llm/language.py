@@ -24,6 +24,7 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom.llm.common import bounded_sample, byte_view, kept_by_worker, whole_text
 
@@ -220,7 +221,7 @@ def predicted(docs: DataFrame, net: ByteNet | None, text: Column | str, *columns
     # Beside the text travel the columns asked for; the text itself does not come back.
     given = docs.select(*columns, whole_text(text).alias("_text")) if isinstance(text, str) else docs.select(*columns, text.alias("_text"))
     kept = [f for f in given.schema.fields if f.name != "_text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     key = "none" if net is None else hashlib.sha256(b"".join(net.params[k].tobytes() for k in sorted(net.params))).hexdigest()
 
     def run(batches):
@@ -253,7 +254,7 @@ def predicted(docs: DataFrame, net: ByteNet | None, text: Column | str, *columns
                 names=[*[f.name for f in kept], "lang_pred", "score"],
             )
 
-    return given.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return given.mapInArrow(run, schema)
 
 
 def has_letter(text: str) -> bool:

@@ -9,11 +9,12 @@ filled, since later steps can only give higher values: long texts need one step.
 
 Texts with equal sets are put together first.  One text of each set goes on: its
 signature is cut into bands, and texts that share a band form a bucket.  Within a
-bucket its first member is compared with the others on the full sets; links join
-groups, and the next member is compared with those that are still in other
-groups, until a bucket is one group or all its pairs are settled.  So a bucket of
-near copies costs as many comparisons as it has members, and no pair is left out
-unless it is already joined.
+bucket its first member is compared with the others on the full sets, and links
+join groups by union-find.  That settles most buckets with as many comparisons as
+they have members.  In the others, the members outside the largest group are
+compared with all: the bucket is dealt into chunks of a bounded size, a task holds
+one, and the outsiders pass by each.  No pair is written down, and none is left
+out unless it is already joined.
 
 Defined results: null and empty texts, and texts of blanks, have no shingle and
 are alone; a text of fewer words than a shingle is one shingle; equal rows are
@@ -37,8 +38,6 @@ ROWS = 6
 SHINGLE_WORDS = 5
 THRESHOLD = (80, 100)
 MEMBERS_PER_TASK_GROUP = 256
-# Star rounds go on while more pairs than this many per member would be left.
-PAIRS_PER_MEMBER = 2
 
 
 def signatures(values, owner, n_texts: int, places: int):
@@ -103,7 +102,7 @@ def described(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int
             found = [None] * n
             for low, high, data, starts, ends in grouped(batch.column(1)):
                 hashes, owner, _, _ = word_hashes(data, starts, ends)
-                values, owner = distinct_by_text(*shingle_hashes(hashes, owner, high - low, size), )
+                values, owner = distinct_by_text(*shingle_hashes(hashes, owner, high - low, size))
                 counts = np.bincount(owner, minlength=high - low)
                 sizes[low:high] = counts
                 if not len(values):
@@ -211,7 +210,7 @@ def near_groups(
         .join(chosen, (F.col("doc_id") == F.col("id")) & (F.col("key1") == F.col("k1")) & (F.col("key2") == F.col("k2")))
         .select("id", "n", F.explode("bands").alias("band"))
     )
-    shared = banded.groupBy(F.col("band").alias("shared")).agg(F.count_if(F.lit(True)).alias("n_members")).where("n_members > 1")
+    shared = banded.groupBy(F.col("band").alias("shared")).agg(F.count(F.lit(1)).alias("n_members")).where("n_members > 1")
     buckets = materialize(banded.join(shared, F.col("band") == F.col("shared")).select("band", "id", "n").distinct(), "buckets")
     involved = materialize(buckets.select("id").distinct(), "involved")
     texts = materialize(
@@ -232,47 +231,96 @@ def near_groups(
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def settled(rows: DataFrame, texts: DataFrame, size: int, threshold) -> DataFrame:
+    """Links (a, b) between groups inside buckets.
+
+    ``rows`` are (band, chunk, query, id, component): a chunk of a bucket's
+    members, query 0, and the members that are compared with all of them, query
+    1.  A task holds one chunk's shingles, sorted, and passes over the queries;
+    of several links with one group it names the first."""
+    given = (
+        rows.join(texts.select(F.col("doc_id").alias("_id"), "text"), F.col("id") == F.col("_id"))
+        .select("band", "chunk", "query", "id", "component", "text")
+        .repartition("band", "chunk")
+        .sortWithinPartitions("band", "chunk", "query", "id")
+    )
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        key, members, index = None, [], None
+        for batch in batches:
+            found = ([], [])
+            band, chunk, query, ids, groups = (batch.column(k).to_pylist() for k in range(5))
+            for low, high, data, starts, ends in grouped(batch.column(5)):
+                hashes, owner, _, _ = word_hashes(data, starts, ends)
+                values, owner = distinct_by_text(*shingle_hashes(hashes, owner, high - low, size))
+                cuts = np.searchsorted(owner, np.arange(high - low + 1))
+                for i in range(low, high):
+                    own = values[cuts[i - low] : cuts[i - low + 1]]
+                    if key != (band[i], chunk[i]):
+                        key, members, index = (band[i], chunk[i]), [], None
+                    if not query[i]:
+                        members.append((ids[i], groups[i], own.copy()))
+                        continue
+                    if index is None:
+                        sizes = np.array([len(m[2]) for m in members])
+                        every = np.concatenate([m[2] for m in members])
+                        order = np.argsort(every, kind="stable")
+                        index = every[order], np.repeat(np.arange(len(members)), sizes)[order], sizes
+                    left, right = (np.searchsorted(index[0], own, side) for side in ("left", "right"))
+                    counts = right - left
+                    at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(left, counts)
+                    common = np.bincount(index[1][at], minlength=len(members))
+                    alike = threshold[1] * common >= threshold[0] * (index[2] + len(own) - common)
+                    seen = {groups[i]}
+                    for j in np.flatnonzero(alike):
+                        if members[j][1] not in seen:
+                            seen.add(members[j][1])
+                            found[0].append(members[j][0])
+                            found[1].append(ids[i])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
+
+    return given.mapInArrow(run, "a long, b long")
+
+
 def _joined(buckets: DataFrame, texts: DataFrame, size: int, threshold) -> DataFrame:
     """(id, component) of the ids that have a link."""
-    spark = buckets.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "id long, component long")
-    # Members with the group they are in; a hub is a member that was compared with its bucket.
-    members = buckets.withColumn("component", F.col("id"))
-    while True:
-        # What is left of a bucket: its next hub, and members of other groups.
-        left = members.groupBy(F.col("band").alias("open")).agg(
-            F.min(F.struct("id", "n", "component")).alias("hub"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.count(F.lit(1)).alias("size"),
-        )
-        open_ = materialize(left.where("low < high"), "open-buckets")
-        size_left = open_.agg(F.sum("size").alias("m"), F.sum(F.expr("size * (size - 1) div 2")).alias("p")).first()
-        if not size_left["m"]:
-            return labels
-        last = size_left["p"] <= PAIRS_PER_MEMBER * size_left["m"]
-        kept = members.join(open_, F.col("band") == F.col("open"))
-        if last:
-            # Few pairs are left in all, so they are listed.
-            a, b = kept.select("band", "id", "n", "component").alias("a"), kept.select("band", "id", "n", "component").alias("b")
-            pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")))
-            pairs = pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
-        else:
-            pairs = kept.where((F.col("hub.id") != F.col("id")) & (F.col("hub.component") != F.col("component"))).select(
-                F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.n").alias("n_a"), F.col("n").alias("n_b")
-            )
-        fits = threshold[1] * F.least("n_a", "n_b") >= threshold[0] * F.greatest("n_a", "n_b")
-        checked = materialize(pairs.where(fits).select("a", "b").distinct(), "pairs")
-        links = materialize(links.union(compared(checked, texts, size, threshold)), "confirmed")
-        labels = components(links)
-        if last:
-            return labels
-        labels = materialize(labels, "labels")
-        rest = kept.where(F.col("hub.id") != F.col("id")).select("band", "id", "n")
-        members = materialize(
-            rest.join(labels.withColumnRenamed("id", "_v"), F.col("id") == F.col("_v"), "left").select(
-                "band", "id", "n", F.coalesce("component", "id").alias("component")
-            ),
-            "members",
-        )
+    # Every member of a bucket with its first member.
+    firsts = buckets.groupBy(F.col("band").alias("b")).agg(F.min(F.struct("id", "n")).alias("hub"))
+    pairs = (
+        buckets.join(firsts, F.col("band") == F.col("b"))
+        .where(F.col("hub.id") != F.col("id"))
+        .where(threshold[1] * F.least("n", "hub.n") >= threshold[0] * F.greatest("n", "hub.n"))
+        .select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
+        .distinct()
+    )
+    links = materialize(compared(materialize(pairs, "pairs"), texts, size, threshold), "links")
+    labels = materialize(components(links), "labels")
+    named = buckets.join(labels.withColumnRenamed("id", "_v"), F.col("id") == F.col("_v"), "left").select(
+        "band", "id", F.coalesce("component", "id").alias("component")
+    )
+    # Buckets that still hold several groups, one of each set of members.
+    groups = named.groupBy("band", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("x")
+    )
+    whole = groups.groupBy("band").agg(
+        F.sum("n").alias("size"),
+        F.max_by("component", F.struct("n", "component")).alias("main"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.sum("x").alias("x"),
+    )
+    open_ = whole.where("low < high").groupBy("size", "x", "low", "high").agg(F.min(F.struct("band", "main")).alias("one"))
+    chunks = F.expr(f"cast((size + {MEMBERS_PER_TASK_GROUP - 1}) div {MEMBERS_PER_TASK_GROUP} as int)")
+    open_ = open_.select(F.col("one.band").alias("b"), "one.main", chunks.alias("chunks"))
+    left = materialize(named.join(open_, F.col("band") == F.col("b")).drop("b"), "left")
+    members = left.select(
+        "band", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"), F.lit(0).alias("query"), "id", "component"
+    )
+    queries = left.where(F.col("component") != F.col("main")).select(
+        "band", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("query"), "id", "component"
+    )
+    more = materialize(settled(members.union(queries), texts, size, threshold), "more-links")
+    return components(links.union(more)) if more.head(1) else labels

@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom.llm.common import bounded_sample, whole_text
 from threadloom.llm.words import grouped, word_hashes
@@ -240,7 +241,7 @@ def scored(docs: DataFrame, scorer: Scorer | Constant, text_col: str, *columns:
     """``columns`` of ``docs`` with the score of the whole text."""
     given = docs.select(*columns, whole_text(text_col).alias("_text"))
     kept = [f for f in given.schema.fields if f.name != "_text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    schema = T.StructType([*kept, T.StructField("score", T.DoubleType())])
 
     def run(batches):
         import pyarrow as pa
@@ -249,4 +250,4 @@ def scored(docs: DataFrame, scorer: Scorer | Constant, text_col: str, *columns:
             scores = [scorer.score(places) for places in places_of(batch.column(batch.num_columns - 1))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*[f.name for f in kept], "score"])
 
-    return given.mapInArrow(run, f"{schema}, score double")
+    return given.mapInArrow(run, schema)
