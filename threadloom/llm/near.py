@@ -264,6 +264,8 @@ def settled(rows: DataFrame, texts: DataFrame, size: int, threshold) -> DataFram
                     if not query[i]:
                         members.append((ids[i], groups[i], own.copy()))
                         continue
+                    if not members:
+                        continue  # no member was dealt into this chunk
                     if index is None:
                         sizes = np.array([len(m[2]) for m in members])
                         every = np.concatenate([m[2] for m in members])
