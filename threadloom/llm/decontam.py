@@ -6,9 +6,9 @@ documents.  The benchmark's passages become unit TF-IDF rows, and a randomised
 SVD of these rows, made of sums that Spark adds up over the partitions, gives the
 latent space.  Every document is cut into overlapping windows that cover it; each
 window is projected and compared by cosine with all passages that just fit into a
-window of its length.  A window near a
-passage is then checked word by word: the longest common subsequence with the
-passage, and whether the passage's answer, its last words, is there unchanged.
+window of its length.  A window near a passage, with enough of its words, is then
+checked word by word: the longest common subsequence with the passage, and whether
+the passage's answer, its last words, is there unchanged.
 
 Benchmark items are taken in blocks of ``BLOCK_ITEMS``, each a pass over the
 documents, so what is sent to the tasks is bounded.
@@ -39,6 +39,7 @@ COMMON = 0.7  # of the passage's words, in order
 COMMON_WITH_ANSWER = 0.5
 LEAST_COMMON = 6
 ANSWER_WORDS = 6
+COMPARED = 1 << 22  # windows times passages at once
 SEED = 17
 
 
@@ -131,6 +132,19 @@ def weighted(words, weights):
     return row, term, value / np.maximum(norm, 1e-12)[row], norm
 
 
+def term_places(words):
+    """(pairs, places): passage and term as one sorted number, and the places of
+    the term in the passage as bits, of which ``LONGEST`` are enough."""
+    import numpy as np
+
+    row = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    bit = np.concatenate([np.uint64(1) << np.arange(len(w), dtype=np.uint64) for w in words])
+    pair = row * TERMS + terms_of(np.concatenate([np.asarray(w, np.int64) for w in words]).view(np.uint64))
+    order = np.argsort(pair, kind="stable")
+    heads = np.flatnonzero(np.append(True, pair[order][1:] != pair[order][:-1]))
+    return pair[order][heads], np.bitwise_or.reduceat(bit[order], heads)
+
+
 def _product(found: DataFrame, weights, basis_terms, basis, rank: int):
     """AᵀA times a basis, A being the passages' rows: partial sums of each
     partition, added up by term.  ``basis_terms`` None stands for random numbers."""
@@ -249,7 +263,9 @@ def _leaks_of(docs, items, weights, id_col, text_col, item_col, item_text_col) -
     aims = (items_at / (np.maximum(captured, 1e-12) ** 2 * norm)[:, None]).astype(np.float32)
     # The number of blocks that hold a passage of so many words wherever it begins.
     spans = np.array([-(-(len(w) - 1) // STEP) + 1 for w in words])
-    groups = [(int(g), np.flatnonzero(spans == g), float(NEAR * (captured * norm)[spans == g].min())) for g in sorted(set(spans.tolist()))]
+    groups = [(int(g), np.flatnonzero(spans == g)) for g in sorted(set(spans.tolist()))]
+    pairs, places = term_places(words)
+    lengths = np.array([len(w) for w in words])
     vectors = (weights[terms][:, None] * directions).astype(np.float32)
     weight = weights.astype(np.float32)
 
@@ -266,49 +282,54 @@ def _leaks_of(docs, items, weights, id_col, text_col, item_col, item_text_col) -
                     continue
                 block, owners = blocks_of(owner, high - low)
                 term = terms_of(hashes)
-                energy = weight[term] ** 2
                 at = place[term]
-                inside = np.flatnonzero(at >= 0)
+                known = np.flatnonzero(at >= 0)
                 n = len(owners)
-                all_energy = np.bincount(block, energy, minlength=n)
-                own_energy = np.bincount(block[inside], energy[inside], minlength=n)
+                # Sums over the blocks before each block: a window is a difference of two.
+                energy = np.append(0, np.cumsum(np.bincount(block, weight[term] ** 2, minlength=n)))
+                seen = np.zeros((n + 1, vectors.shape[1]))
+                if len(known):
+                    heads = np.flatnonzero(np.append(True, block[known][1:] != block[known][:-1]))
+                    seen[block[known][heads] + 1] = np.add.reduceat(vectors[at[known]], heads, axis=0)
+                np.cumsum(seen, axis=0, out=seen)
                 blocks_in = np.bincount(owners, minlength=high - low)
                 left = (np.cumsum(blocks_in) - blocks_in)[owners]
                 last = left + blocks_in[owners]
-                sum_all, sum_own = np.append(0, np.cumsum(all_energy)), np.append(0, np.cumsum(own_energy))
                 firsts = np.searchsorted(block, np.arange(n + 1))
+                known_firsts = np.searchsorted(known, firsts)
                 best: dict = {}
-                for span, group, nearest in groups:
+                for span, group in groups:
                     # A window starts at every block that has the span before the text's end.
                     start = np.flatnonzero((np.arange(n) + span <= last) | (np.arange(n) == left))
                     stop = np.minimum(start + span, last[start])
-                    whole = sum_all[stop] - sum_all[start]
-                    # No inner product is larger than the length of the known terms.
-                    hopeful = sum_own[stop] - sum_own[start] >= nearest**2
-                    start, stop, whole = start[hopeful], stop[hopeful], whole[hopeful]
-                    for k in range(0, len(start), 1024):
-                        a, b, size = start[k : k + 1024], stop[k : k + 1024], np.sqrt(whole[k : k + 1024])
-                        seen = np.zeros((len(a), vectors.shape[1]), np.float32)
-                        # The known terms of each of these windows, one after the other.
-                        counts = firsts[b] - firsts[a]
+                    for k in range(0, len(start), max(1, COMPARED // len(group))):
+                        a, b = start[k : k + COMPARED // len(group) + 1], stop[k : k + COMPARED // len(group) + 1]
+                        relative = (seen[b] - seen[a]).astype(np.float32) @ aims[group].T
+                        row, column = np.nonzero(relative >= NEAR)
+                        if not len(row):
+                            continue
+                        p, a, b, relative = group[column], a[row], b[row], relative[row, column]
+                        # What the window can have of the passage: the places of the terms it has.
+                        counts = known_firsts[b] - known_firsts[a]
                         of = np.repeat(np.arange(len(a)), counts)
-                        word = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(firsts[a], counts)
-                        known = at[word] >= 0
-                        of, word = of[known], word[known]
-                        if len(of):
-                            heads = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-                            seen[of[heads]] = np.add.reduceat(vectors[at[word]], heads, axis=0)
-                        relative = seen @ aims[group].T
-                        for i, g in zip(*np.nonzero(relative >= NEAR)):
-                            p, text = group[g], int(owners[a[i]])
-                            key = (text, item_ids[p])
+                        word = known[np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(known_firsts[a], counts)]
+                        pair = p[of] * TERMS + term[word]
+                        hit = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
+                        bits = np.where(pairs[hit] == pair, places[hit], np.uint64(0))
+                        covered = np.zeros(len(a), np.uint64)
+                        some = np.flatnonzero(counts)
+                        covered[some] = np.bitwise_or.reduceat(bits, (np.cumsum(counts) - counts)[some])
+                        for i in np.flatnonzero(np.bitwise_count(covered) >= COMMON_WITH_ANSWER * lengths[p]):
+                            text, passage = int(owners[a[i]]), int(p[i])
+                            key = (text, item_ids[passage])
                             if key in best and best[key][0] >= 1.0:
                                 continue
                             lo = firsts[max(a[i] - 1, left[a[i]])]
                             hi = firsts[min(b[i] + 1, last[a[i]])]
-                            share, answer, leak = agree(words[p], hashes[lo:hi].view(np.int64).tolist())
+                            share, answer, leak = agree(words[passage], hashes[lo:hi].view(np.int64).tolist())
                             if leak and (key not in best or share > best[key][0]):
-                                best[key] = (share, float(relative[i, g] * norm[p] / size[i]), answer)
+                                size = (energy[b[i]] - energy[a[i]]) ** 0.5
+                                best[key] = (share, float(relative[i] * norm[passage] / size), answer)
                 for (text, item), (share, cosine_, answer) in sorted(best.items(), key=lambda x: (x[0][0], str(x[0][1]))):
                     for column, v in zip(out, (batch.column(0)[low + text].as_py(), item, min(1.0, cosine_), share, answer)):
                         column.append(v)
