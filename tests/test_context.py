@@ -6,11 +6,7 @@ from threadloom.operators import context as cx
 from threadloom.plans.parameters import (
     QuestionParameters,
     RefreshParameters,
-    clamp,
-    feed_limit,
-    question_topk,
-    search_topk,
-    service_topk,
+    SearchParameters,
 )
 from threadloom.sources import schemas
 
@@ -28,7 +24,7 @@ def test_pinned_text(rows):
         HITS,
     )
     store = rows([("s", "a", "x", "h1", " 日本語text "), ("s", "a", "x2", "h1", "n"), ("s", "a", "y", "", "n")], STORE)
-    got = {r.id: r.text for r in cx.with_pinned_text(hits, store, 4, at_most=4).collect()}
+    got = {r.id: r.text for r in cx.with_pinned_text(hits, store, 4).collect()}
     assert got == {"r:s:a:x": "日本語t", "r:s:a:x2": "", "bad": "", "r:s:a:y": ""}
 
 
@@ -63,7 +59,7 @@ def test_latest_text(rows):
         ],
         HITS,
     )
-    got = {r.id: r.excerpt for r in cx.with_latest_text(hits, staged, at_most=6).collect()}
+    got = {r.id: r.excerpt for r in cx.with_latest_text(hits, staged).collect()}
     assert got == {"r:s:a:x": "T\n\nB", "r:c:a:c1": "new", "r:c:a:c2": "", "r:s:a:z": "", "r:s:a:w": "", "plain": ""}
 
 
@@ -78,7 +74,7 @@ def test_a_hit_stays_one_row(rows):
 def test_text_lookup_does_not_shuffle_the_store(spark, rows, tmp_path):
     rows([("s", "a", f"d{i}", "h1", "t") for i in range(50)], STORE).write.parquet(str(tmp_path / "s"))
     store = spark.read.parquet(str(tmp_path / "s"))
-    plan = plan_of(cx.with_pinned_text(rows([hit("q", "r:s:a:d1", 0.9)], HITS), store, at_most=1))
+    plan = plan_of(cx.with_pinned_text(rows([hit("q", "r:s:a:d1", 0.9)], HITS), store))
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
 
 
@@ -127,16 +123,11 @@ def test_prompts(rows):
 
 
 def test_parameters():
-    assert [clamp(x, 1, 50, 10) for x in (0, 99, "7.9", "x", None, float("nan"), -3)] == [1, 50, 7, 10, 10, 10, 1]
-    assert [search_topk(k) for k in (0, 10, 50)] == [1, 10, 20]
-    assert [search_topk(k, "none") for k in (0, 50, 500)] == [1, 50, 100]
-    assert search_topk(50, "none", values=True) == 20
-    assert [question_topk(k) for k in (0, 8, 50)] == [1, 8, 20]
-    assert [service_topk(k) for k in ("a", 99)] == [10, 50]
-    assert [feed_limit(n) for n in (0, 5, 100, 101)] == [100, 5, 100, 100]
-    assert QuestionParameters.service(topk=99, budget="x") == QuestionParameters(
-        50, 16, True, True, 1200, 4096, "source"
-    )
     for bad in ({"lookback_days": -1}, {"max_vectors": 1.5}, {"dim": 0}, {"retries": True}):
         with pytest.raises(ValueError):
             RefreshParameters(**bad)
+    with pytest.raises(ValueError):
+        QuestionParameters(topk=0)
+    with pytest.raises(ValueError):
+        SearchParameters(topk=0)
+    assert SearchParameters(topk=5000).topk == 5000

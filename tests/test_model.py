@@ -27,9 +27,23 @@ def test_retries_run_out():
     assert model.calls == 3 and len(waits) == 2
 
 
-def test_other_errors_are_raised():
-    with pytest.raises(RuntimeError, match="boom"):
-        call_with_retry(Flaky(1, "boom"), ["a"], 4, 1)
+def test_other_errors_are_not_tried_again():
+    model = Flaky(1, "boom")
+    assert call_with_retry(model, ["a"], 4, 1) == (None, "boom") and model.calls == 1
+
+
+def test_only_refused_texts_fail(rows):
+    def refuses_z(texts):
+        if any("z" in t for t in texts):
+            raise ValueError("no z")
+        return [[float(len(t))] for t in texts]
+
+    df = rows([(i, "z" if i in (3, 17) else "x" * i) for i in range(30)], "n int, text string").coalesce(1)
+    got = apply_model(df, refuses_z, "array<float>", batch_size=10, jitter_ms=1).orderBy("n").collect()
+    assert [r.n for r in got if r.error] == [3, 17] and {r.error for r in got} == {None, "no z"}
+    assert all(r["values"] == [float(r.n)] for r in got if not r.error)
+    with pytest.raises(Exception, match="model refused 2 texts"):
+        apply_model(df, refuses_z, "array<float>", batch_size=10, max_failures=1).collect()
 
 
 def test_batches(rows):
@@ -59,8 +73,8 @@ def test_stops_and_keeps_what_is_done(rows):
 
 def test_wrong_number_of_results(rows):
     df = rows([(1, "x"), (2, "y")], "n int, text string").coalesce(1)
-    with pytest.raises(Exception, match="1 results for 2 texts"):
-        apply_model(df, lambda texts: [[1.0]], "array<float>").collect()
+    got = apply_model(df, lambda texts: [[1.0]] * 3, "array<float>").collect()
+    assert {r.error for r in got} == {"model gave 3 results for 1 texts"}
 
 
 def test_text_results(rows):

@@ -92,15 +92,24 @@ def test_copies_do_not_pile_up(copies):
         assert [r["id"] for r in out if r["query_id"] == name] == [i for _, i in expected]
 
 
-@pytest.mark.parametrize("max_broadcast", [0, 100])
-def test_batch_both_ways(rows, monkeypatch, max_broadcast):
+@pytest.mark.parametrize("metric", se.METRICS)
+@pytest.mark.parametrize("odd", [float("nan"), float("inf"), -float("inf")])
+def test_numbers_that_are_not_finite_are_errors(rows, metric, odd):
+    data = entries(40)
+    data[7] = (data[7][0], [odd, *data[7][1][1:]], data[7][2])
+    with pytest.raises(Exception, match="not finite"):
+        se.topk(rows(data, schemas.VECTOR), [1.0] * DIM, 3, metric=metric).collect()
+    with pytest.raises(ValueError, match="not finite"):
+        se.topk_batch(rows(entries(5), schemas.VECTOR), rows([("q", data[7][1])], "query_id string, vector array<float>"), 3, metric=metric)
+
+
+@pytest.mark.parametrize("block", [5, 100])
+def test_batch_in_blocks(rows, monkeypatch, block):
     monkeypatch.setattr(se, "QUERIES_AT_ONCE", 10)
-    monkeypatch.setattr(se, "GRID_QUERIES", 5)
-    monkeypatch.setattr(se, "GRID_ROWS", 60)
     data = entries(400, seed=2, copies=130)
     asked = [(f"q{i}", v) for i, (_, v, _) in enumerate(entries(23, seed=9))]
     queries = rows(asked, "query_id string, vector array<float>")
-    got = se.topk_batch(rows(data, schemas.VECTOR).repartition(3), queries, 7, max_broadcast=max_broadcast)
+    got = se.topk_batch(rows(data, schemas.VECTOR).repartition(3), queries, 7, block=block)
     assert got.columns == ["query_id", "id", "score", "metadata"]
     by_query = {}
     for r in got.collect():

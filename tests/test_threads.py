@@ -21,11 +21,10 @@ def brute_positions(data):
     return out
 
 
-@pytest.mark.parametrize("split_above", [10**6, 100, 0])
-def test_positions_of_a_skewed_group(rows, split_above):
+def test_positions_of_a_skewed_group(rows):
     rng = random.Random(3)
     data = [("hot" if rng.random() < 0.4 else f"g{rng.randrange(200)}", n) for n in rng.sample(range(10**6), 5000)]
-    got = ranking.positions(rows(data, "g string, o int"), ["g"], ["o"], split_above=split_above, partitions=7)
+    got = ranking.positions(rows(data, "g string, o int"), ["g"], ["o"], partitions=7)
     assert sorted(map(tuple, got.collect())) == brute_positions(data)
 
 
@@ -157,4 +156,11 @@ def test_aggregates_combine_before_the_shuffle(spark):
     plan = plan_of(th.thread_fingerprints(rows_, thread=["sub", "sid"]))
     assert "partial_sum" in plan and "SortAggregate" not in plan and "collect" not in plan
     plan = plan_of(ranking.first_by(df.select("user_id", "ts", "props"), ["user_id"], ["ts"]))
-    assert "partial_min_by" in plan and "Window" not in plan
+    assert "partial_min" in plan and "Window" not in plan and "min_by" not in plan
+
+
+def test_winners_are_found_over_keys_alone(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id", "ts", "event_id", "props")
+    plan = plan_of(ranking.last_by(df, ["user_id"], ["ts", "event_id"]))
+    assert "SemiJoin" in plan or "LeftSemi" in plan
+    assert all("props" not in line for line in plan.splitlines() if "Aggregate" in line)

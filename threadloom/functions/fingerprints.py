@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from threadloom.functions.text import col
+from threadloom.functions.times import lenient_double, variant_number_text
 
 # The fields a submission's fingerprint covers, with their types.
 SUBMISSION_FIELDS = (
@@ -69,8 +70,11 @@ def submission_fingerprint(v: Column | str) -> Column:
 
 
 def comment_hash(v: Column | str) -> Column:
-    """One comment's share of D8, over a VARIANT object."""
-    return F.sha2(framed(*[variant_field(col(v), n, k) for n, k in COMMENT_FIELDS]), 256)
+    """One comment's share of D8, over a VARIANT object: its fields, and the time
+    it is ordered by.  Parent and id, the rest of the order, are among the fields."""
+    created = F.coalesce(lenient_double(variant_number_text(col(v), "$.created_utc")), F.lit(0.0))
+    fields = [variant_field(col(v), n, k) for n, k in COMMENT_FIELDS]
+    return F.sha2(framed(*fields, created.cast("decimal(26,6)").cast("string")), 256)
 
 
 def canonical_json_hash(v: Column | str) -> Column:
@@ -82,8 +86,8 @@ def set_hash_sums(row_hash: Column | str, prefix: str = "_limb") -> list[Column]
     """Aggregates for D8: 240 bits of every row's hash, added up in four
     numbers.
 
-    A thread's order follows from the hashed fields, so the rows as a set fix
-    the sequence and the hash needs no sort.  Sums are combined before the
+    A row's hash covers all that it is ordered by, so the rows as a set fix the
+    sequence, a thread in another order has another hash, and no sort is needed.  Sums are combined before the
     shuffle and keep a fixed size, however many rows one thread has.
     """
     return [

@@ -14,6 +14,7 @@ BLANKS = (
 # The white space that a snippet collapses (that of ECMAScript).
 SNIPPET_BLANKS = r"\t-\r \xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
+# Lengths of excerpts and messages, and what stands for an empty one.
 SNIPPET_CHARS = 120
 MESSAGE_CHARS = 1900
 EMPTY_MESSAGE = "（空）"

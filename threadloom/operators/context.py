@@ -10,30 +10,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from threadloom.functions import ids, text
 from threadloom.operators.captures import THREAD_KEYS, latest_versions
 
-# Up to this many hits are broadcast to the scan of the text table; more are
-# joined as any two tables.
-MAX_BROADCAST_HITS = 200_000
-
-
-def _keys_to_find(keys: DataFrame, at_most: int | None) -> DataFrame:
-    """The distinct keys of hits, broadcast when their number is bounded."""
-    distinct = keys.distinct()
-    return F.broadcast(distinct) if at_most is not None and at_most <= MAX_BROADCAST_HITS else distinct
-
-
 def _one_text(found: DataFrame) -> DataFrame:
     """One text per key, should a table hold several: a hit stays one row."""
     return found.groupBy(*[c for c in found.columns if c != "_text"]).agg(F.min("_text").alias("_text"))
 
 
 def with_pinned_text(
-    hits: DataFrame, store: DataFrame, max_chars: int = 0, at_most: int | None = None, text_column: str = "text"
+    hits: DataFrame, store: DataFrame, max_chars: int = 0, text_column: str = "text"
 ) -> DataFrame:
     """The text that was embedded, found in the content-addressed table
     (t, sub, id, h, text) by the id's parts and the hash; '' if not there.
 
-    ``at_most`` is how many hits there can be.  The store is scanned once with
-    the keys as a filter and is not shuffled while that number is small.
+    The store is scanned once with the keys as a filter.  Write the hits out
+    first: their size is then known, and adaptive execution sends few keys to
+    the scan instead of shuffling the store.
     """
     part = ids.parse_document_id("id")
     keyed = hits.withColumn("_t", part["t"]).withColumn("_sub", part["sub"]).withColumn("_doc", part["doc"])
@@ -41,9 +31,7 @@ def with_pinned_text(
     wanted = keyed.where(F.col("_doc").isNotNull() & F.col("_h").isNotNull()).select(
         F.col("_t").alias("t"), F.col("_sub").alias("sub"), F.col("_doc").alias("id"), F.col("_h").alias("h")
     )
-    found = store.select("t", "sub", "id", "h", "text").join(
-        _keys_to_find(wanted, at_most), ["t", "sub", "id", "h"], "left_semi"
-    )
+    found = store.select("t", "sub", "id", "h", "text").join(wanted.distinct(), ["t", "sub", "id", "h"], "left_semi")
     found = _one_text(
         found.select(
             F.col("t").alias("_t"), F.col("sub").alias("_sub"), F.col("id").alias("_doc"), F.col("h").alias("_h"),
@@ -58,8 +46,7 @@ def with_pinned_text(
 def with_latest_text(
     hits: DataFrame,
     staged: DataFrame,
-    max_chars: int = 600,
-    at_most: int | None = None,
+    max_chars: int = 0,
     text_column: str = "excerpt",
     thread: Sequence[str] = THREAD_KEYS,
 ) -> DataFrame:
@@ -79,7 +66,7 @@ def with_latest_text(
     wanted = keyed.where(F.col("_kind").isNotNull()).select(
         F.col("_sub").alias("sub"), F.col("_kind").alias("kind"), F.col("_sid").alias("sid")
     )
-    candidates = staged.join(_keys_to_find(wanted, at_most), list(thread), "left_semi")
+    candidates = staged.join(wanted.distinct(), list(thread), "left_semi")
     is_post = F.col("kind") == "submissions"
     title = F.when(is_post, F.col("title"))
     texts = latest_versions(candidates).where(is_post | (text.text_or_empty("comment_id") != "")).select(

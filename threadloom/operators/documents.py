@@ -8,15 +8,12 @@ from threadloom.functions import ids, text
 from threadloom.operators.captures import latest_versions
 from threadloom.operators.narrow import nonblank
 
-MAX_CHARS = 65536
-
-
-def build_documents(staged: DataFrame, max_chars: int = MAX_CHARS, latest: bool = True) -> DataFrame:
+def build_documents(staged: DataFrame, max_chars: int = 0, latest: bool = True) -> DataFrame:
     """(id, text, metadata) of the last version of every thread, with the
     day (y, md) the thread was created on.
 
-    ``staged`` holds both kinds.  Text is stripped, composed, cut to
-    ``max_chars`` and hashed; blank texts are dropped.  Pass ``latest=False``
+    ``staged`` holds both kinds.  Text is stripped, composed and hashed, whole
+    unless ``max_chars`` cuts it before; blank texts are dropped.  Pass ``latest=False``
     when the rows are already one version per thread.
     """
     rows = latest_versions(staged) if latest else staged

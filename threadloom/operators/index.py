@@ -7,9 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from threadloom.operators.ranking import last_by, take_lowest
 from threadloom.session import materialize
 
-MAX_VECTORS = 10_485_760
-
-
 def changed(documents: DataFrame, index: DataFrame) -> DataFrame:
     """Documents whose id the index lacks or holds with another hash.
 
@@ -20,7 +17,7 @@ def changed(documents: DataFrame, index: DataFrame) -> DataFrame:
     return documents.withColumn("_h", F.col("metadata.h")).join(known, ["id", "_h"], "left_anti").drop("_h")
 
 
-def plan_index(documents: DataFrame, index: DataFrame, budget: int = MAX_VECTORS) -> DataFrame:
+def plan_index(documents: DataFrame, index: DataFrame, budget: int = 0) -> DataFrame:
     """What to embed in this run: changed documents, lowest ids first, at
     most ``budget`` of them (0 means all).  The cut comes after the diff.
 
@@ -35,6 +32,7 @@ def plan_index(documents: DataFrame, index: DataFrame, budget: int = MAX_VECTORS
 def upsert(target: DataFrame, batch: DataFrame, key: str = "id", seq: str | None = None) -> DataFrame:
     """The target after the batch; per key the batch wins, and within the
     batch the highest ``seq``."""
+    batch = materialize(batch, "batch")
     newest = batch if seq is None else last_by(batch, [key], [seq]).drop(seq)
     kept = target.join(newest.select(key), key, "left_anti")
     return kept.unionByName(newest.select(*target.columns))
@@ -46,10 +44,13 @@ def stale_ids(index: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def check_dim(df: DataFrame, dim: int, values: str = "values") -> DataFrame:
-    """Stops the job at a vector that has another length."""
+    """Stops the job at a vector that has another length, or a number in it
+    that is null or not finite."""
     size = F.coalesce(F.size(values), F.lit(-1))
     message = F.format_string(f"vector length %d, expected {dim}", size)
-    return df.where(F.when(size == dim, F.lit(True)).otherwise(F.raise_error(message)))
+    odd = F.exists(values, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    fits = F.when(odd, F.raise_error(F.lit("vector with a number that is not finite"))).otherwise(F.lit(True))
+    return df.where(F.when(size == dim, fits).otherwise(F.raise_error(message)))
 
 
 def vector_records(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import time
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
@@ -14,8 +15,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 RATE_LIMIT_MARKS = ("429", "RESOURCE_EXHAUSTED")
 
 
+def is_rate_limit_text(error: str | None) -> bool:
+    return error is not None and any(mark in error for mark in RATE_LIMIT_MARKS)
+
+
 def is_rate_limit(error: BaseException) -> bool:
-    return any(mark in str(error) for mark in RATE_LIMIT_MARKS)
+    return is_rate_limit_text(str(error))
 
 
 def call_with_retry(
@@ -25,17 +30,19 @@ def call_with_retry(
     backoff_ms: int,
     sleep: Callable[[float], None] = time.sleep,
 ) -> tuple[Sequence[Any] | None, str | None]:
-    """The results, or the error once rate limits have used up the retries.
-    Any other error is raised at once."""
+    """The results, or the error: of a rate limit once it has used up the
+    retries, of any other kind at once."""
     for attempt in range(retries + 1):
         try:
-            return fn(texts), None
+            found = fn(texts)
         except Exception as error:
-            if not is_rate_limit(error):
-                raise
-            if attempt == retries:
-                return None, str(error)
+            if not is_rate_limit(error) or attempt == retries:
+                return None, str(error) or type(error).__name__
             sleep(backoff_ms / 1000 * 2**attempt)
+        else:
+            if len(found) != len(texts):
+                return None, f"model gave {len(found)} results for {len(texts)} texts"
+            return found, None
     return None, "no attempt made"
 
 
@@ -50,16 +57,21 @@ def apply_model(
     retries: int = 4,
     backoff_ms: int = 1024,
     pause_ms: int = 0,
+    jitter_ms: int = 0,
     calls_in_parallel: int | None = None,
+    max_failures: int = 0,
 ) -> DataFrame:
     """``fn`` on lists of up to ``batch_size`` texts, its results in column
     ``result`` and errors in ``error``.
 
     A task whose retries run out makes no more calls: its remaining rows come
-    back with the error, and the rows done so far are kept.  ``fn`` is sent to
-    the executors, so it must pickle.  Tasks can run twice; write the result
-    before using it more than once.  ``calls_in_parallel`` bounds how many
-    tasks call the model at a time.
+    back with the error, and the rows done so far are kept.  Where a list fails
+    for another reason its texts are tried one by one, so that only those the
+    model refuses have an error; more than ``max_failures`` of them in a task, if
+    that is not 0, end the job.  ``fn`` is sent to the executors, so it must
+    pickle.  Tasks can run twice; write the result before using it more than
+    once.  ``calls_in_parallel`` bounds how many tasks call the model at a time,
+    and between calls a task pauses for ``pause_ms`` and up to ``jitter_ms`` more.
     """
     kind = T._parse_datatype_string(result_type) if isinstance(result_type, str) else result_type
     schema = T.StructType(
@@ -69,6 +81,14 @@ def apply_model(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stopped: str | None = None
+        refused = 0
+
+        def call(part: list[str]) -> tuple[Sequence[Any] | None, str | None]:
+            answer = call_with_retry(fn, part, retries, backoff_ms)
+            if pause_ms > 0 or jitter_ms > 0:
+                time.sleep((pause_ms + random.uniform(0, jitter_ms)) / 1000)
+            return answer
+
         for batch in batches:
             texts = batch.column(text).to_pylist()
             results: list[Any] = []
@@ -76,14 +96,25 @@ def apply_model(
             for start in range(0, len(texts), batch_size):
                 part = texts[start : start + batch_size]
                 values: Sequence[Any] | None = None
+                error = stopped
                 if stopped is None:
-                    values, stopped = call_with_retry(fn, part, retries, backoff_ms)
-                    if pause_ms > 0 and stopped is None:
-                        time.sleep(pause_ms / 1000)
-                if values is not None and len(values) != len(part):
-                    raise ValueError(f"model gave {len(values)} results for {len(part)} texts")
-                results.extend([None] * len(part) if values is None else values)
-                errors.extend([stopped] * len(part))
+                    values, error = call(part)
+                if values is not None or len(part) == 1 or is_rate_limit_text(error):
+                    tried = [(None if values is None else values[i], error) for i in range(len(part))]
+                else:
+                    tried = []
+                    for one in part:
+                        value, error = (None, stopped) if stopped else call([one])
+                        if is_rate_limit_text(error):
+                            stopped = error
+                        tried.append((None if value is None else value[0], error))
+                if is_rate_limit_text(error):
+                    stopped = error
+                refused += sum(e is not None and not is_rate_limit_text(e) for _, e in tried)
+                if max_failures and refused > max_failures:
+                    raise RuntimeError(f"model refused {refused} texts, the last one with: {error}")
+                results.extend(value for value, _ in tried)
+                errors.extend(e for _, e in tried)
             yield batch.append_column(result, pa.array(results, arrow_kind)).append_column(
                 "error", pa.array(errors, pa.string())
             )

@@ -3,78 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom.session import materialize
 
-# Up to this many rows a plain top-n is cheap; beyond it the rows are laid out
-# in ranges and only the range the cut falls into is sorted again.
-TOP_N_LIMIT = 1000
 
-# Groups with more rows than this are ranked by several tasks.
-SPLIT_ABOVE = 1_000_000
-MAX_SPLIT_GROUPS = 10_000
+def same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equal columns, null being equal to null."""
+    return reduce(lambda x, y: x & y, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
 
 
-def _pick(df: DataFrame, keys: Sequence[str], best) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(best(F.struct(*rest)).alias("_best")).select(*keys, "_best.*")
+def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], best) -> DataFrame:
+    marks = {f"_o{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)}
+    marked = df.withColumns(marks)
+    names = [*keys, *marks]
+    won = marked.groupBy(*keys).agg(best(F.struct(*marks)).alias("_best")).select(*keys, "_best.*")
+    won = won.toDF(*[f"_w{i}" for i in range(len(names))])
+    return marked.join(won, same(names, won.columns), "left_semi").drop(*marks)
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """The row of every key group that comes first in ``order``.
+    """The row of every key group that comes first in ``order``, which must tell
+    the rows of a group apart; rows that tie on all of it stay together.
 
-    An aggregate, not a window: each task keeps one row per key before the
-    shuffle, so a key that holds most of the rows costs no more than others.
+    The winner is found over keys and order columns alone, by an aggregate that
+    combines before the shuffle, and then matched with the rows, so a key that
+    holds most of the rows costs no more than others and no payload is sorted.
+    ``df`` is read twice: write it out first where it is costly to compute.
     """
-    return _pick(df, keys, lambda row: F.min_by(row, F.struct(*order)))
+    return _pick(df, keys, order, F.min)
 
 
 def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """The row of every key group that comes last in ``order``."""
-    return _pick(df, keys, lambda row: F.max_by(row, F.struct(*order)))
+    """The row of every key group that comes last in ``order``, see first_by."""
+    return _pick(df, keys, order, F.max)
+
+
+def one_per_key(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``df`` with one row per ``key``; ``keys`` is its key column, written out.
+
+    Only rows whose key comes more than once are grouped."""
+    repeated = materialize(keys.groupBy(F.col(key).alias("_k")).count().where("count > 1").select("_k"), "repeated")
+    on = F.col(key).eqNullSafe(F.col("_k"))
+    return df.join(repeated, on, "left_anti").unionByName(df.join(repeated, on, "left_semi").dropDuplicates([key]))
 
 
 def positions(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    name: str = "pos",
-    split_above: int = SPLIT_ABOVE,
-    partitions: int | None = None,
-    count_only: Column | None = None,
+    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "pos", partitions: int | None = None
 ) -> DataFrame:
     """The 1-based position of every row in its group, in ``order``.
 
-    Groups are counted first, or only the rows that meet ``count_only`` where
-    it is known which groups can be large.  Ordinary groups are ranked by a window; groups
-    with more than ``split_above`` rows, and the one group of an empty
-    ``group``, are laid out in ranges so that many tasks share them.  Group and
-    order columns together must be unique.
+    Rows are laid out in ranges of (group, order), so a group of any size is
+    shared by many tasks: a row's position is its place in its own range plus
+    the group's rows in the ranges before it.  Group and order columns together
+    must be unique.
     """
-    if not group:
-        return _ranged_positions(df, [], order, name, partitions)
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint")
-    counted = df if count_only is None else df.where(count_only)
-    large = counted.groupBy(*group).count().where(F.col("count") > split_above).select(*group)
-    head = large.limit(MAX_SPLIT_GROUPS + 1).collect()
-    if not head:
-        return df.withColumn(name, place)
-    if len(head) <= MAX_SPLIT_GROUPS:
-        large = F.broadcast(df.sparkSession.createDataFrame(head, large.schema))
-    else:
-        large = materialize(large, "groups")
-    ordinary = df.join(large, list(group), "left_anti").withColumn(name, place)
-    split = _ranged_positions(df.join(large, list(group), "left_semi"), group, order, name, partitions)
-    return ordinary.select(*df.columns, name).unionByName(split)
-
-
-def _ranged_positions(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, partitions: int | None
-) -> DataFrame:
-    """Positions out of ranges of (group, order): a row's place in its own
-    range plus the group's rows in the ranges before it."""
     keys = [*group, *order]
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     laid = materialize(
@@ -86,9 +71,10 @@ def _ranged_positions(
     runs = laid.groupBy(*group, "_range").agg(F.min("_seq").alias("_lo"), F.count(F.lit(1)).alias("_n"))
     # A group has one run per range at most, so this window stays small.
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    runs = runs.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate([*group, "_range"])], "_lo", "_before")
     return (
-        laid.join(runs, [*group, "_range"])
+        laid.join(runs, same([*group, "_range"], [f"_g{i}" for i in range(len(group) + 1)]))
         .withColumn(name, (F.col("_seq") - F.col("_lo") + F.col("_before") + 1).cast("bigint"))
         .select(*df.columns, name)
     )
@@ -112,15 +98,11 @@ def _cut_key(keys: DataFrame, key: str, n: int):
 def take_lowest(df: DataFrame, key: str, n: int) -> DataFrame:
     """the n rows with the lowest key; 0 or less means all of them.
 
-    ``key`` must be unique.  Whole rows never go through one task: only keys
-    are ranked, then the rows are filtered by the key the cut falls on.
+    ``key`` must be unique.  Whole rows never go through one task: only keys are
+    laid out in ranges, only the range the cut falls into is sorted, and the rows
+    are filtered by the key at the cut.
     """
     if n <= 0:
         return df
-    keys = df.select(key)
-    if n <= TOP_N_LIMIT:
-        cut = keys.orderBy(key).limit(n).agg(F.max(key), F.count(F.lit(1))).first()
-        last = cut[0] if cut[1] == n else None
-    else:
-        last = _cut_key(keys, key, n)
+    last = _cut_key(df.select(key), key, n)
     return df if last is None else df.where(F.col(key) <= F.lit(last))

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from threadloom.functions import text
+from threadloom.session import materialize
 
 METRICS = ("cosine", "dot")
 
@@ -23,12 +24,11 @@ METRICS = ("cosine", "dot")
 # the order does not depend on the order in which products were added.
 SCORE_DIGITS = 9
 
-# Questions up to this many are sent to every task as one matrix, if it stays
-# below the byte limit; more are matched block against block.
-MAX_BROADCAST_QUERIES = 4096
-MAX_BROADCAST_BYTES = 128 << 20
-GRID_QUERIES = 1024
-GRID_ROWS = 8192
+# About this many questions are sent to every task as one matrix; of more,
+# every block scans the index by itself.
+QUESTIONS_PER_BLOCK = 4096
+# The tasks' hits of one question are merged by this many tasks first.
+MERGE_SALTS = 32
 
 # A task scores this many questions at a time against one batch of rows.
 QUERIES_AT_ONCE = 256
@@ -70,12 +70,16 @@ def metadata_filter(index: DataFrame, wanted: Mapping | str | None) -> DataFrame
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    """The vectors of one Arrow column as rows of a float64 matrix."""
+    """The vectors of one Arrow column as rows of a float64 matrix; a number that
+    is not finite has no place in an order of scores and is an error."""
     lengths = column.value_lengths().to_numpy(zero_copy_only=False)
     if column.null_count or (lengths != dim).any():
         raise ValueError(f"vector length differs from {dim}")
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float64).reshape(len(column), dim)
+    matrix = flat.astype(np.float64).reshape(len(column), dim)
+    if not np.isfinite(matrix).all():
+        raise ValueError("vector with a number that is not finite")
+    return matrix
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -212,62 +216,29 @@ def topk_batch(
     filter: Mapping | str | None = None,
     metric: str = "cosine",
     columns: Sequence[str] = ("metadata",),
-    max_broadcast: int = MAX_BROADCAST_QUERIES,
+    block: int = QUESTIONS_PER_BLOCK,
 ) -> DataFrame:
     """F1 for many questions, a table of (query_id, vector): k hits for each.
 
-    Up to ``max_broadcast`` questions go to every task as a matrix, so the
-    index is scanned once and never shuffled.  Beyond that size the blocks of
-    questions meet the blocks of the index in one task per pair of blocks.
-    Both ways are exact.
+    Questions go to every task in blocks, as a matrix of a bounded size.  A block
+    scans the index once and shuffles only its hits, which are written before the
+    next block starts.
     """
     _check(k, metric)
     kept = metadata_filter(index, filter)
-    small = queries.select("query_id", "vector").limit(max_broadcast + 1).toArrow()
+    asked = materialize(queries.select("query_id", "vector"), "questions")
     query_type = queries.schema["query_id"].dataType
-    bytes_needed = small.column("vector").nbytes * 2
-    if small.num_rows <= max_broadcast and bytes_needed <= MAX_BROADCAST_BYTES:
-        if small.num_rows == 0:
-            return kept.sparkSession.createDataFrame([], _hit_schema(kept, columns, query_type))
-        vectors = small.column("vector").combine_chunks()
-        dim = len(vectors[0])
-        ids = small.column("query_id").combine_chunks()
-        found = _task_topk(kept, _matrix(vectors, dim), ids, query_type, k, metric, columns)
-    else:
-        found = _grid_topk(kept, queries, query_type, k, metric, columns)
-    return best_per_query(found, k)
-
-
-def _grid_topk(index: DataFrame, queries: DataFrame, query_type, k: int, metric: str, columns) -> DataFrame:
-    """The k best rows of every (block of questions, block of index rows)."""
-    query_blocks = -(-queries.count() // GRID_QUERIES)
-    row_blocks = -(-index.count() // GRID_ROWS) or 1
-
-    def gridded(df: DataFrame, key: str, own: str, blocks: int, other: str, others: int) -> DataFrame:
-        mine = F.pmod(F.xxhash64(key), F.lit(blocks)).alias(own)
-        return df.select("*", mine, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
-
-    left = gridded(queries.select("query_id", "vector"), "query_id", "_qb", query_blocks, "_rb", row_blocks)
-    needed = ["id", "values", *[c for c in columns if c not in ("id", "values")]]
-    right = gridded(index.select(*needed), "id", "_rb", row_blocks, "_qb", query_blocks)
-    left = left.select("query_id", "vector", F.col("_qb").cast("int"), F.col("_rb").cast("int"))
-    right = right.select(*needed, F.col("_qb").cast("int"), F.col("_rb").cast("int"))
-    schema = _hit_schema(index, columns, query_type)
-    names = schema.names
-
-    def pair(questions: pa.Table, rows: pa.Table) -> pa.Table:
-        best = _Best(questions.num_rows, k)
-        if questions.num_rows and rows.num_rows:
-            vectors = questions.column("vector").combine_chunks()
-            dim = len(vectors[0])
-            scores = _score(_matrix(vectors, dim), _matrix(rows.column("values").combine_chunks(), dim), metric)
-            best.add(scores, rows.select(needed))
-            ids = questions.column("query_id").combine_chunks()
-            return pa.Table.from_batches(best.batch(names, ids))
-        empty = rows.select(needed).slice(0, 0).append_column("score", pa.array([], pa.float64()))
-        return empty.append_column("query_id", questions.column("query_id").slice(0, 0)).select(names)
-
-    return left.groupBy("_qb", "_rb").cogroup(right.groupBy("_qb", "_rb")).applyInArrow(pair, schema)
+    blocks = -(-asked.count() // block)
+    part = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    found = kept.sparkSession.createDataFrame([], _hit_schema(kept, columns, query_type))
+    for number in range(blocks):
+        own = asked.where(part == number).toArrow()
+        if own.num_rows:
+            vectors = own.column("vector").combine_chunks()
+            ids = own.column("query_id").combine_chunks()
+            hits = _task_topk(kept, _matrix(vectors, len(vectors[0])), ids, query_type, k, metric, columns)
+            found = found.union(materialize(best_per_query(hits, k), "hits"))
+    return found
 
 
 def hit_order(per: Sequence[str] = ("query_id",)) -> Window:
@@ -276,9 +247,13 @@ def hit_order(per: Sequence[str] = ("query_id",)) -> Window:
 
 
 def best_per_query(hits: DataFrame, k: int) -> DataFrame:
-    """The k best hits of every question."""
-    place = F.row_number().over(hit_order())
-    return hits.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
+    """The k best hits of every question, merged in two steps: as many tasks have
+    brought hits of one question, they are first cut to k by salt."""
+    salted = hits.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(MERGE_SALTS)))
+    for per in (("query_id", "_salt"), ("query_id",)):
+        place = F.row_number().over(hit_order(per))
+        salted = salted.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
+    return salted.drop("_salt")
 
 
 def query_vector(index: DataFrame, entry: Column | str) -> list[float]:

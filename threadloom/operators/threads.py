@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from threadloom.functions.fingerprints import set_hash, set_hash_sums
 from threadloom.functions.text import text_or_empty
 from threadloom.functions.times import lenient_double, lenient_epoch
-from threadloom.operators.ranking import SPLIT_ABOVE, first_by, positions
+from threadloom.operators.ranking import first_by, positions
 
 THREAD = ("sub", "post_id")
 
@@ -68,16 +68,13 @@ def comment_order(
     created: str = "created_utc",
     id: str = "id",
     tie: Sequence[str] = (),
-    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """Comments with their 1-based place ``pos`` in their thread.
 
-    ``tie`` names columns that keep equal rows in file order.  The comments
-    are counted and then ranked, so write them out first where they are costly
-    to compute.
+    ``tie`` names columns that keep equal rows in file order.
     """
     keyed = comments.select("*", *order_columns(parent, created, id))
-    placed = positions(keyed, group, ["o_parent", "o_created", "o_id", *tie], split_above=split_above)
+    placed = positions(keyed, group, ["o_parent", "o_created", "o_id", *tie])
     return placed.drop("o_parent", "o_created", "o_id")
 
 

@@ -11,7 +11,7 @@ from threadloom.functions.fingerprints import comment_hash, submission_fingerpri
 from threadloom.functions.once import computed_once
 from threadloom.functions.times import lenient_epoch, stamp14, utc_parts
 from threadloom.operators import threads
-from threadloom.operators.captures import new_captures
+from threadloom.operators.captures import latest_capture, new_captures
 from threadloom.operators.flatten import flatten_replies
 from threadloom.operators.narrow import harvested_posts, since
 from threadloom.operators.ranking import first_by
@@ -54,10 +54,11 @@ def submission_captures(
         "raw",
         F.lit("submissions").alias("kind"),
     )
-    rows = materialize(recent, "feed")
+    # Numbered as it is written: a feed can show the same post twice.
+    rows = materialize(recent.withColumn("seq", F.monotonically_increasing_id()), "feed")
     fresh = new_captures(rows.select(*POST, "hash", "cap14"), _seen(existing, "submissions"), POST)
     kept = rows.join(fresh, [*POST, "hash", "cap14"], "left_semi")
-    return first_by(kept, [*POST, "hash"], ["created", "raw"]).withColumns(utc_parts("created"))
+    return first_by(kept, [*POST, "hash"], ["created", "seq"]).drop("seq").withColumns(utc_parts("created"))
 
 
 @dataclass(frozen=True)
@@ -76,10 +77,11 @@ def comment_captures(trees: DataFrame, now: dt.datetime, existing: DataFrame | N
     unless the thread has had it before (C4)."""
     flat = materialize(flatten_replies(trees, "tree", [*POST, "created"]), "comments")
     comments = flat.where(F.col("parse_error").isNull()).withColumn("row_hash", comment_hash(F.parse_json("raw")))
-    prints = threads.thread_fingerprints(comments, thread=POST).withColumnRenamed("fingerprint", "hash")
+    prints = comment_hashes(comments)
     seen = _seen(existing, "comments")
     fresh = prints if seen is None else prints.join(seen, [*POST, "hash"], "left_anti")
-    kept = comments.join(fresh.select(*POST, "hash"), list(POST), "inner")
+    # Read from the written comments again, for the few new threads of a run.
+    kept = comments.join(materialize(fresh.select(*POST, "hash"), "fresh"), list(POST), "inner")
     placed = threads.comment_order(kept, POST, id="comment_id", tie=["seq"])
     rows = placed.select(
         *POST,
@@ -95,6 +97,19 @@ def comment_captures(trees: DataFrame, now: dt.datetime, existing: DataFrame | N
     return Harvested(rows, empty, failed)
 
 
+def comment_hashes(comments: DataFrame) -> DataFrame:
+    """(sub, sid, n_comments, hash): the fingerprint (D8) of every thread."""
+    return threads.thread_fingerprints(comments, thread=POST).withColumnRenamed("fingerprint", "hash")
+
+
+def harvest_targets(captures: DataFrame, now: dt.datetime, days: int = 7) -> DataFrame:
+    """The posts whose comments are to be harvested: of every post created since
+    the cutoff (B5) its latest capture (D4)."""
+    posts = captures.where(F.col("kind") == "submissions")
+    recent = since(posts, now, days).where(F.col("created").isNotNull())
+    return latest_capture(recent)
+
+
 def _epoch(now: dt.datetime) -> int:
     return int((now if now.tzinfo else now.replace(tzinfo=dt.UTC)).timestamp())
 

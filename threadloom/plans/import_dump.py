@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadloom.functions.fingerprints import canonical_json_hash, comment_hash
+from threadloom.functions.fingerprints import comment_hash, submission_fingerprint
 from threadloom.functions.times import lenient_epoch, stamp14, utc_parts
 from threadloom.operators import threads
 from threadloom.operators.captures import new_captures
@@ -39,8 +39,9 @@ def valid_post_rows(parsed: DataFrame, now: int) -> DataFrame:
         "id",
         created.alias("created"),
         stamp14(threads.capture_epoch(_post_retrieved(now), created, now)).alias("cap14"),
-        canonical_json_hash("obj").alias("hash"),
+        submission_fingerprint("obj").alias("hash"),
         "raw",
+        *FILE_ORDER,
     )
 
 
@@ -86,6 +87,8 @@ def import_dump(
 ) -> Imported:
     """Captures out of parsed dump lines.
 
+    A post has the same fingerprint (H5) whichever way it came in, so one that
+    was harvested is not captured again.
     The posts of all files are known before any comment is looked at, and a
     thread whose comments lie in several files is one thread.  ``existing`` is
     the capture table, whose (thread, hash) pairs are not captured again.
@@ -99,8 +102,8 @@ def import_dump(
     fresh_posts = new_captures(post_keys, _of_kind(existing, "submissions"), ["sub", "sid"])
     post_rows = first_by(
         posts.withColumnRenamed("id", "sid").join(fresh_posts, ["sub", "sid", "cap14", "hash"], "left_semi"),
-        ["sub", "sid", "cap14", "hash"],
-        ["created", "raw"],
+        ["sub", "sid", "hash"],
+        FILE_ORDER,
     )
 
     unique = threads.dedup_comments(comments, FILE_ORDER)

@@ -1,64 +1,41 @@
-"""Parameters of the entry points and their bounds."""
+"""Parameters of the entry points.  0 means no limit."""
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 
-def clamp(value, low: int, high: int, default: int) -> int:
-    """A whole number within bounds; ``default`` where it is no finite number."""
-    try:
-        number = float(value)
-    except (TypeError, ValueError):
-        return default
-    if not math.isfinite(number):
-        return default
-    return max(low, min(high, math.trunc(number)))
-
-
-def search_topk(topk: int = 10, metadata: str = "all", values: bool = False) -> int:
-    """1 to 100, or to 20 when all metadata or the vectors are returned."""
-    return max(1, min(topk, 20 if metadata == "all" or values else 100))
-
-
-def question_topk(topk: int = 20) -> int:
-    return max(1, min(topk, 20))
-
-
-def service_topk(topk=10, default: int = 10) -> int:
-    return clamp(topk, 1, 50, default)
-
-
-def feed_limit(limit: int = 100) -> int:
-    """Page size of the post feed: anything outside 1 to 100 counts as 100."""
-    return limit if 1 <= limit <= 100 else 100
-
-
-def check_count(name: str, value: int) -> int:
-    if isinstance(value, bool) or not isinstance(value, int) or value < 0:
-        raise ValueError(f"{name} must be a whole number of 0 or more, got {value!r}")
+def check_count(name: str, value: int, least: int = 0) -> int:
+    if isinstance(value, bool) or not isinstance(value, int) or value < least:
+        raise ValueError(f"{name} must be a whole number of {least} or more, got {value!r}")
     return value
 
 
 @dataclass(frozen=True)
 class RefreshParameters:
-    lookback_days: int = 16
+    """``embed_chars`` cuts what the model is handed, never what is hashed and
+    stored.  ``max_vectors`` and ``max_objects`` are budgets of one run; what they
+    defer is reported and comes next time."""
+
+    lookback_days: int = 0
     dim: int = 1536
     embed_batch: int = 20
-    max_chars: int = 65536
-    max_vectors: int = 10_485_760
+    embed_chars: int = 0
+    max_vectors: int = 0
     retries: int = 4
     backoff_ms: int = 1024
+    pause_ms: int = 0
+    jitter_ms: int = 0
+    calls_in_parallel: int = 0
+    max_failures: int = 0
     prefix: str = "reddit/v1"
     max_objects: int = 0
     zstd_level: int = 9
 
     def __post_init__(self):
-        for name in ("lookback_days", "max_chars", "max_vectors", "retries", "backoff_ms", "max_objects"):
-            check_count(name, getattr(self, name))
-        if self.dim < 1 or self.embed_batch < 1:
-            raise ValueError("dim and embed_batch must be at least 1")
+        for name, value in vars(self).items():
+            if name != "prefix":
+                check_count(name, value, 1 if name in ("dim", "embed_batch") else 0)
 
 
 @dataclass(frozen=True)
@@ -67,8 +44,13 @@ class SearchParameters:
     metadata: str = "all"
     values: bool = False
     with_text: bool = False
-    lookback_days: int = 7
-    max_chars: int = 600
+    lookback_days: int = 0
+    max_chars: int = 0
+
+    def __post_init__(self):
+        check_count("topk", self.topk, 1)
+        check_count("lookback_days", self.lookback_days)
+        check_count("max_chars", self.max_chars)
 
 
 @dataclass(frozen=True)
@@ -77,20 +59,12 @@ class QuestionParameters:
     max_docs: int = 8
     dedup_threads: bool = True
     drop_missing_sid: bool = False
-    doc_max_chars: int = 1200
+    doc_max_chars: int = 0
     budget: int = 0
     style: str = "numbered"
 
-    @classmethod
-    def service(cls, topk=16, max_docs=16, doc_max_chars=1200, budget=4096, dedup_threads: bool = True):
-        """The bounds of the question service; its per-document limit is kept
-        below the total budget."""
-        return cls(
-            topk=clamp(topk, 1, 50, 16),
-            max_docs=clamp(max_docs, 1, 50, 16),
-            dedup_threads=dedup_threads,
-            drop_missing_sid=True,
-            doc_max_chars=clamp(doc_max_chars, 1, 20000, 1200),
-            budget=clamp(budget, 1, 20000, 4096),
-            style="source",
-        )
+    def __post_init__(self):
+        check_count("topk", self.topk, 1)
+        check_count("max_docs", self.max_docs, 1)
+        check_count("doc_max_chars", self.doc_max_chars)
+        check_count("budget", self.budget)

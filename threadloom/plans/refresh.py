@@ -8,12 +8,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.functions.once import computed_once
+from threadloom.functions.text import truncate_text
 from threadloom.operators import index as ix
 from threadloom.operators.captures import convert_new, latest_versions
 from threadloom.operators.documents import build_documents
 from threadloom.operators.model import apply_model
 from threadloom.operators.narrow import narrow_comments, narrow_submissions, only_subs, union_kinds
-from threadloom.operators.ranking import first_by
+from threadloom.operators.ranking import one_per_key
 from threadloom.plans.parameters import RefreshParameters
 from threadloom.session import configure, materialize
 from threadloom.sources import schemas
@@ -53,7 +54,8 @@ def refresh(
     and upsert what changed, export the missing texts.
 
     Arguments are the paths of the four tables.  Running it again without new
-    captures changes nothing.
+    captures changes nothing.  The counts returned say what a budget has deferred
+    and how many texts the model has refused; both come again in the next run.
     """
     configure(spark)
 
@@ -73,23 +75,28 @@ def refresh(
         done = windowed(read_if_there(spark, narrow, schemas.NARROW))
 
     staged = latest_versions(done)
-    documents = materialize(build_documents(staged, params.max_chars, latest=False), "documents")
-
-    current = read_current(spark, index)
-    plan = ix.plan_index(documents, current, params.max_vectors)
-    # Model calls must not run again for every use of their results.
-    embedded = materialize(
-        apply_model(
-            plan, embed, "array<float>",
-            batch_size=params.embed_batch, retries=params.retries, backoff_ms=params.backoff_ms,
-        ),
-        "embedded",
-    )
-    done = ix.check_dim(embedded.where(F.col("error").isNull()), params.dim)
-    good = first_by(done, ["id"], [F.col("metadata")["h"]])  # should one version hold an id twice
-    failed = embedded.where(F.col("error").isNotNull()).count()
-    vectors = embedded.count() - failed
-    if vectors:
-        upsert_table(spark, index, good)
-    export_texts(documents, store, params.max_objects, params.prefix)
-    return {"converted": converted, "documents": documents.count(), "vectors": vectors, "failed": failed}
+    # Ids and hashes are written out; a text is read again only if it has changed.
+    documents = build_documents(staged, latest=False)
+    keys = materialize(documents.select("id", "metadata"), "document-keys")
+    fresh = materialize(ix.changed(keys, read_current(spark, index)).select("id").distinct(), "changed")
+    n_fresh = fresh.count()
+    counts = {"converted": converted, "documents": keys.count(), "vectors": 0, "failed": 0, "deferred": 0}
+    if n_fresh:
+        todo_ids = ix.take_lowest(fresh, "id", params.max_vectors)
+        plan = one_per_key(documents.join(todo_ids, "id", "left_semi"), keys.select("id"), "id")
+        handed = plan.withColumn("_handed", truncate_text("text", params.embed_chars)).drop("text")
+        # Model calls must not run again for every use of their results.
+        embedded = materialize(
+            apply_model(
+                handed, embed, "array<float>", text="_handed", batch_size=params.embed_batch, retries=params.retries,
+                backoff_ms=params.backoff_ms, pause_ms=params.pause_ms, jitter_ms=params.jitter_ms,
+                calls_in_parallel=params.calls_in_parallel or None, max_failures=params.max_failures,
+            ).drop("_handed"),
+            "embedded",
+        )
+        n, failed = embedded.agg(F.count(F.lit(1)), F.count("error")).first()
+        counts |= {"vectors": n - failed, "failed": failed, "deferred": n_fresh - n}
+        if n > failed:
+            upsert_table(spark, index, ix.check_dim(embedded.where(F.col("error").isNull()), params.dim))
+    export_texts(documents, store, params.max_objects, params.prefix, keys)
+    return counts

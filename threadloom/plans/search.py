@@ -11,7 +11,7 @@ from threadloom.functions.text import strip_text
 from threadloom.functions.times import in_lookback
 from threadloom.operators import context, search as ops
 from threadloom.operators.model import apply_model, call_with_retry
-from threadloom.plans.parameters import QuestionParameters, SearchParameters, search_topk
+from threadloom.plans.parameters import QuestionParameters, SearchParameters
 from threadloom.session import materialize
 
 Model = Callable[[list[str]], Sequence]
@@ -30,9 +30,8 @@ def search(
 ) -> DataFrame:
     """J5 for one vector: ranked hits, with the pinned text out of ``store`` or
     the latest text out of ``staged`` when ``with_text`` is set."""
-    k = search_topk(params.topk, params.metadata, params.values)
     columns = ["metadata", *(["values"] if params.values else [])]
-    hits = ops.topk(index, vector, k, filter=filter, metric=metric, columns=columns)
+    hits = ops.topk(index, vector, params.topk, filter=filter, metric=metric, columns=columns)
     hits = ops.rank_hits(hits.withColumn("query_id", F.lit(0)))
     if params.with_text and store is None and staged is None:
         raise ValueError("with_text needs a store or a staged table")
@@ -40,10 +39,10 @@ def search(
         # The hits are used twice to find their texts; the index is read once.
         hits = materialize(hits, "hits")
         if store is not None:
-            hits = context.with_pinned_text(hits, store, params.max_chars, at_most=k)
+            hits = context.with_pinned_text(hits, store, params.max_chars)
         else:
             window = staged.where(in_lookback(params.lookback_days, as_of))
-            hits = context.with_latest_text(hits, window, params.max_chars, at_most=k)
+            hits = context.with_latest_text(hits, window, params.max_chars)
     return ops.project_hits(hits, params.metadata, params.values).drop("query_id")
 
 
@@ -77,11 +76,10 @@ def context_for(
     most ``max_docs``, with text, within the budget."""
     picked = ops.dedup_hits(hits, params.drop_missing_sid) if params.dedup_threads else hits
     picked = materialize(ops.best_per_query(picked, params.max_docs), "hits")
-    at_most = picked.count()
     if store is not None:
-        texts = context.with_pinned_text(picked, store, params.doc_max_chars, at_most)
+        texts = context.with_pinned_text(picked, store, params.doc_max_chars)
     elif staged is not None:
-        texts = context.with_latest_text(picked, staged, params.doc_max_chars, at_most, text_column="text")
+        texts = context.with_latest_text(picked, staged, params.doc_max_chars, text_column="text")
     else:
         raise ValueError("a context needs a store or a staged table")
     return context.within_budget(context.context_blocks(texts, "text", params.style), params.budget)

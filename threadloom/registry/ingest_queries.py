@@ -7,10 +7,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from threadloom.functions import fingerprints, ids
+from threadloom.functions.metadata import metadata_fields as fields_of
 from threadloom.functions.times import lenient_epoch
 from threadloom.operators import captures as cp, narrow as nw, stats, threads as th
 from threadloom.operators.flatten import flatten_replies as flatten
-from threadloom.plans.harvest import comment_captures, submission_captures
+from threadloom.plans.harvest import comment_captures, harvest_targets as targets, submission_captures
 from threadloom.plans.import_dump import import_dump
 from threadloom.registry.base import register
 from threadloom.registry.views import (
@@ -49,6 +50,10 @@ def scan_captures(spark, sf):
     return rows.select("id", "author", "title", "selftext", "created_utc")
 
 
+# What would leave the frame that lines are parsed in, if its keys were known.
+BREAKER = '{"k": 1}],"threadloom_line":[{"k": "x"}'
+
+
 @register(
     "scan_tolerant_json",
     """SELECT event_id, props->>'$.k' AS k FROM events WHERE event_type IN ('click', 'purchase')""",
@@ -59,7 +64,7 @@ def scan_tolerant_json(spark, sf):
         F.when(kind == "click", props)
         .when(kind == "purchase", F.concat(F.lit('{"k": "first", '), F.substr(props, F.lit(2)), F.lit("  ")))
         .when(kind == "view", F.concat(F.lit("["), props, F.lit("]")))
-        .when(kind == "signup", F.lit("  "))
+        .when(kind == "signup", F.when(F.col("event_id") % 2 == 0, F.lit("  ")).otherwise(F.lit(BREAKER)))
         .otherwise(F.concat(props, F.lit("}")))
     )
     lines = table(spark, sf, "events").select("event_id", line.alias("raw"))
@@ -405,8 +410,12 @@ def dedup_comments(spark, sf):
     return th.dedup_comments(kept, ["file", "turn"]).select("sub", "post_id", "id", "author")
 
 
+def moment_sql(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(26, 6)) AS VARCHAR)"
+
+
 COMMENT_SQL = ["comment_id", "parent_id", "author", "body", "''", "'null'", "'false'", "'null'"]
-COMMENT_SQL += ["CASE WHEN author = 'user' THEN 'true' ELSE 'false' END", "''"]
+COMMENT_SQL += ["CASE WHEN author = 'user' THEN 'true' ELSE 'false' END", "''", moment_sql("created_utc")]
 LIMBS_SQL = ", ".join(f"sum(CAST('0x' || substr(rh, {1 + 15 * i}, 15) AS BIGINT)) AS l{i}" for i in range(4))
 PRINTS_SQL = f"""SELECT sub, post_id, n_comments, sha256(concat_ws(':', n_comments, l0, l1, l2, l3)) AS fingerprint FROM (
     SELECT sub, sid AS post_id, count(*) AS n_comments, {LIMBS_SQL}
@@ -441,19 +450,54 @@ def thread_fingerprint(spark, sf):
     return th.thread_fingerprints(rows)
 
 
-def imported(spark, sf):
-    """Dump lines of the labelled posts, each of them twice, and of all
-    comments."""
+# Every thread's comments as siblings; in every other thread the first two have
+# swapped their times.
+SIBLINGS_SQL = """SELECT sub, sid, 't3_' || sid AS parent_id, comment_id, author, body, created_utc,
+        START + conv_id * STEP + 61 * CASE WHEN conv_id % 2 = 0 AND turn < 2 THEN 1 - turn ELSE turn END AS swapped
+    FROM coms_v""".replace("START", str(START)).replace("STEP", str(STEP))
+
+
+@register(
+    "reordered_threads",
+    sql(
+        "coms_v",
+        f"""SELECT sub, sid AS post_id FROM ({SIBLINGS_SQL}) GROUP BY sub, sid
+            HAVING string_agg(sha256(comment_id || author || body), ',' ORDER BY parent_id, created_utc, comment_id)
+                <> string_agg(sha256(comment_id || author || body), ',' ORDER BY parent_id, swapped, comment_id)""",
+    ),
+)
+def reordered_threads(spark, sf):
+    """The threads whose fingerprint tells that two comments changed places."""
+    turn = F.col("turn")
+    swapped = F.when((F.col("conv_id") % 2 == 0) & (turn < 2), 1 - turn).otherwise(turn)
+
+    def prints(moved):
+        raw = F.to_json(
+            F.struct(
+                F.col("comment_id").alias("id"), F.concat(F.lit("t3_"), "sid").alias("parent_id"), "author", "body",
+                (F.lit(START) + F.col("conv_id") * STEP + moved * 61).alias("created_utc"),
+            )
+        )
+        rows = coms(spark, sf).select("sub", F.col("sid").alias("post_id"), fingerprints.comment_hash(F.parse_json(raw)).alias("row_hash"))
+        return th.thread_fingerprints(rows)
+
+    now = prints(swapped).withColumnRenamed("fingerprint", "now")
+    return prints(turn).join(now, ["sub", "post_id"]).where("fingerprint <> now").select("sub", "post_id")
+
+
+def imported(spark, sf, known=subs):
+    """Dump lines of the posts, each of them twice and once more in another
+    version, and of all comments."""
     raw = F.to_json(
         F.struct(
             F.col("sid").alias("id"), F.col("sub_raw").alias("subreddit"), "author", "title",
-            F.col("body").alias("selftext"), "created_utc", F.col("copy"),
+            F.col("body").alias("selftext"), "created_utc", F.col("copy"), tagged("copy", "copy").alias("domain"),
         )
     )
-    rows = posts(spark, sf).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(0), F.lit(1))))
+    rows = known(spark, sf).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(0), F.lit(1))))
     lines = rows.select(
         raw.alias("raw"), F.lit("posts").alias("file_path"), F.lit(0).cast("bigint").alias("file_offset"),
-        F.col("doc_id").alias("line_seq"),
+        F.monotonically_increasing_id().alias("line_seq"),
     )
     return import_dump(parse_lines(lines), parse_lines(comment_lines(spark, sf)), None, NOW)
 
@@ -461,10 +505,10 @@ def imported(spark, sf):
 @register(
     "import_threads",
     sql(
-        "coms_v posts_v",
+        "coms_v subs_v",
         f"""SELECT t.sub, t.post_id, t.n_comments, t.fingerprint AS hash, p.created_utc AS created,
                strftime(make_timestamp(x.captured * 1000000), '%Y%m%d%H%M%S') AS cap14
-           FROM ({PRINTS_SQL}) t JOIN posts_v p ON p.sub = t.sub AND p.sid = t.post_id
+           FROM ({PRINTS_SQL}) t JOIN subs_v p ON p.sub = t.sub AND p.sid = t.post_id
            JOIN (SELECT sub, sid, max(created_utc) + 3600 AS captured FROM coms_v GROUP BY ALL) x ON x.sub = t.sub AND x.sid = t.post_id""",
     ),
 )
@@ -475,10 +519,10 @@ def import_threads(spark, sf):
 @register(
     "import_comments",
     sql(
-        "coms_v posts_v",
+        "coms_v subs_v",
         """SELECT c.sub, c.sid, c.comment_id AS id, p.created_utc AS created,
                row_number() OVER (PARTITION BY c.sub, c.sid ORDER BY c.parent_id, c.created_utc, c.comment_id) AS line_no
-           FROM coms_v c JOIN posts_v p ON p.sub = c.sub AND p.sid = c.sid""",
+           FROM coms_v c JOIN subs_v p ON p.sub = c.sub AND p.sid = c.sid""",
     ),
 )
 def import_comments(spark, sf):
@@ -489,10 +533,10 @@ def import_comments(spark, sf):
 @register(
     "import_posts",
     sql(
-        "posts_v",
+        "subs_v",
         f"""SELECT sub, sid, created_utc AS created, strftime(make_timestamp(created_utc * 1000000), '%Y') AS y,
                strftime(make_timestamp(created_utc * 1000000), '%m%d') AS md, copy, title, cap14
-           FROM posts_v, (VALUES (0, strftime(make_timestamp({NOW}000000), '%Y%m%d%H%M%S')),
+           FROM subs_v, (VALUES (0, strftime(make_timestamp({NOW}000000), '%Y%m%d%H%M%S')),
                                  (1, strftime(make_timestamp({NOW}000000), '%Y%m%d%H%M%S'))) v(copy, cap14)""",
     ),
 )
@@ -509,7 +553,55 @@ def import_posts(spark, sf):
     sql("coms_v posts_v", "SELECT DISTINCT sub, sid AS post_id FROM coms_v WHERE (sub, sid) NOT IN (SELECT (sub, sid) FROM posts_v)"),
 )
 def import_orphans(spark, sf):
-    return imported(spark, sf).orphans
+    """Only the labelled posts are known."""
+    return imported(spark, sf, posts).orphans
+
+
+@register("import_after_harvest", sql("subs_v", "SELECT sub, sid FROM subs_v WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)"))
+def import_after_harvest(spark, sf):
+    """A dump of the posts that were harvested before: only the toxic ones, which
+    are also there in another version, are captured."""
+    feed = post_objects(spark, sf)
+    now = dt.datetime.fromtimestamp(START, dt.UTC)
+    before = submission_captures(feed, now, 0)
+    toxic = table(spark, sf, "labels").where("toxic = 1").select(tagged("s", "doc_id").alias("sid"))
+    changed = feed.join(toxic, "sid", "left_semi").withColumn("raw", F.replace("raw", F.lit('"is_self":true'), F.lit('"is_self":false')))
+    lines = feed.select("raw").union(changed.select("raw")).select(
+        "raw", F.lit("posts").alias("file_path"), F.lit(0).cast("bigint").alias("file_offset"),
+        F.monotonically_increasing_id().alias("line_seq"),
+    )
+    none = parse_lines(comment_lines(spark, sf).limit(0))
+    return import_dump(parse_lines(lines), none, before, NOW).posts.select("sub", "sid")
+
+
+@register(
+    "metadata_fields",
+    """SELECT event_id, CASE WHEN event_type IN ('click', 'purchase') THEN props->>'$.k' END AS k,
+           CASE WHEN event_type IN ('click', 'purchase') THEN len(json_keys(props))::BIGINT ELSE 0 END AS n FROM events""",
+)
+def metadata_fields(spark, sf):
+    kind, props = F.col("event_type"), F.col("props")
+    text = (
+        F.when(kind.isin("click", "purchase"), props)
+        .when(kind == "view", F.concat(F.lit("["), props, F.lit("]")))
+        .when(kind == "signup", F.lit('"text"'))
+    )
+    fields = fields_of(text)
+    return table(spark, sf, "events").select("event_id", F.try_element_at(fields, F.lit("k")).alias("k"), F.size(fields).cast("bigint").alias("n"))
+
+
+@register(
+    "harvest_targets",
+    sql(
+        "caps_v",
+        """SELECT sub, sid, cap14, hash FROM caps_v WHERE kind = 'submissions' AND captured >= TIMESTAMP '2024-01-24 00:00:00'
+           QUALIFY row_number() OVER (PARTITION BY sub, sid ORDER BY cap14 DESC, hash DESC) = 1""",
+    ),
+)
+def harvest_targets(spark, sf):
+    created = F.unix_timestamp(F.col("captured").cast("timestamp"))
+    rows = caps(spark, sf).withColumn("created", created).select("sub", "sid", "kind", "cap14", "hash", "created")
+    return targets(rows, dt.datetime(2024, 1, 31, tzinfo=dt.UTC), 7).select("sub", "sid", "cap14", "hash")
 
 
 @register(
@@ -596,7 +688,7 @@ LINES_SQL = """SELECT doc_id, source AS sub, 's' || doc_id AS sid, n, 'l' || n A
         CASE WHEN n % 2 = 0 THEN 't3_s' || doc_id ELSE 't1_l' || (n - 1) END AS parent_id
     FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
                  unnest(range(len(string_split(text, chr(10))))) AS n FROM documents)"""
-LINE_SQL = ["id", "parent_id", "''", "line", "''", "'null'", "'false'", "'null'", "'false'", "''"]
+LINE_SQL = ["id", "parent_id", "''", "line", "''", "'null'", "'false'", "'null'", "'false'", "''", moment_sql("n + 1000")]
 
 
 @register(

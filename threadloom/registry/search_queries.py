@@ -99,19 +99,19 @@ def vector_table(spark, sf):
 
 @register(
     "vector_records",
-    sql("idx_v", "SELECT id, t, sub, sid, len(vec) AS n, round(vec[1], 5) AS first, round(vec[-1], 5) AS last FROM idx_v"),
+    sql(
+        "idx_v",
+        """SELECT id, t, sub, sid, array_to_string(list_transform(vec, lambda x: CAST(round(x * 1000000) AS BIGINT)), ',') AS vector
+           FROM idx_v""",
+    ),
 )
 def vector_records(spark, sf):
     """Written as JSON records and read back."""
     path = scratch_path(spark, "vectors")
     sinks.write_vectors(idx(spark, sf), path)
     back = spark.read.schema(schemas.VECTOR).json(path)
-    v = F.col("values")
-    return flat(
-        back, "id", F.size(v).cast("bigint").alias("n"),
-        F.round(F.get(v, F.lit(0)).cast("double"), 5).alias("first"),
-        F.round(F.get(v, F.size(v) - 1).cast("double"), 5).alias("last"), fields=["t", "sub", "sid"],
-    )
+    numbers = F.transform("values", lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint").cast("string"))
+    return flat(back, "id", F.array_join(numbers, ",").alias("vector"), fields=["t", "sub", "sid"])
 
 
 @register("vector_dim_check", sql("idx_v", "SELECT id, len(vec) AS n FROM idx_v"))
@@ -140,6 +140,26 @@ def embed_documents(spark, sf):
     )
 
 
+def picky_counts(texts: list[str]) -> list[list[float]]:
+    """A model that refuses a list with a text it does not like."""
+    if any("qu" in t for t in texts):
+        raise ValueError("refused")
+    return letter_counts(texts)
+
+
+@register(
+    "embed_with_failures",
+    sql(
+        "docs_v",
+        """SELECT id, CASE WHEN NOT contains(text, 'qu') THEN length(text)::DOUBLE END AS n,
+               CASE WHEN contains(text, 'qu') THEN 'refused' END AS error FROM docs_v""",
+    ),
+)
+def embed_with_failures(spark, sf):
+    done = apply_model(documents(spark, sf), picky_counts, "array<float>")
+    return done.select("id", F.get("values", F.lit(0)).cast("double").alias("n"), "error")
+
+
 KNOWN_SQL = """d.t = 's' AND d.sub || ':' || d.doc IN (SELECT sub || ':' || sid FROM posts_v)"""
 KEY_SQL = "'reddit/v1/r/' || d.t || '/' || d.sub || '/' || d.doc || '/' || d.h || '.txt'"
 
@@ -179,21 +199,34 @@ def text_store(spark, sf):
     return back.groupBy("key", "t", "sub", "id", "h", "text").agg(F.count(F.lit(1)).alias("n"))
 
 
-REFRESHED_SQL = """SELECT id, h, t FROM docs_v d WHERE d.t = 'c' AND sub || ':' || sid IN (SELECT sub || ':' || sid FROM posts_v)
-    UNION ALL SELECT id, h, t FROM docs_v d WHERE d.t = 's' AND sub || ':' || sid IN (SELECT sub || ':' || sid FROM posts_v)"""
+REFRESHED_SQL = """SELECT id, h, t, length(text)::DOUBLE AS n, 1::BIGINT AS narrow, h || ':' || text AS stored FROM docs_v d
+    WHERE d.t = 's' OR sub || ':' || sid IN (SELECT sub || ':' || sid FROM subs_v)"""
 
 
-@register("refresh", sql("docs_v posts_v", REFRESHED_SQL))
+@register("refresh", sql("docs_v subs_v", REFRESHED_SQL))
 def refresh(spark, sf):
-    """Import, then refresh twice; the index ends with every document once."""
+    """Import, then refresh twice; index, narrow table and text store end with
+    every document once.  Of a post's two versions the later capture counts, and
+    they differ in no text."""
     paths = {n: scratch_path(spark, n) for n in ("captures", "narrow", "index", "store")}
     dump = imported(spark, sf)
     sinks.write_captures(dump.posts, paths["captures"])
     sinks.write_captures(dump.comments, paths["captures"])
-    params = RefreshParameters(lookback_days=0, dim=3, max_chars=0)
+    params = RefreshParameters(dim=3)
     for _ in range(2):
         run_refresh(spark, embed=letter_counts, params=params, **paths)
-    return flat(sinks.read_current(spark, paths["index"]), "id", fields=["h", "t"])
+    index = flat(sinks.read_current(spark, paths["index"]), "id", F.col("values")[0].cast("double").alias("n"), fields=["h", "t"])
+    is_post = F.col("kind") == "submissions"
+    newest = read_table(spark, paths["narrow"], schemas.NARROW).select(
+        F.concat_ws(":", F.lit("r"), F.when(is_post, "s").otherwise("c"), "sub", F.when(is_post, F.col("sid")).otherwise(F.col("comment_id"))).alias("_n"),
+        "cap14", "h16",
+    )
+    narrow = newest.groupBy("_n").agg(F.max(F.struct("cap14", "h16")).alias("v"), F.count_distinct("cap14", "h16").alias("k"), F.count(F.lit(1)).alias("rows"))
+    narrow = narrow.select("_n", F.expr("rows div k").alias("narrow"))
+    store = read_table(spark, paths["store"], schemas.STORE).select(
+        F.concat_ws(":", F.lit("r"), "t", "sub", "id").alias("_s"), F.concat_ws(":", "h", "text").alias("stored")
+    )
+    return index.join(narrow, F.col("id") == F.col("_n")).join(store, F.col("id") == F.col("_s")).select("id", "h", "t", "n", "narrow", "stored")
 
 
 # -- search ------------------------------------------------------------------------
@@ -241,9 +274,9 @@ def vector_topk_batch(spark, sf):
 
 @register("vector_topk_grid", sql("idx_v", BATCH_SQL))
 def vector_topk_grid(spark, sf):
-    """The way for more questions than can be broadcast."""
+    """The questions in several blocks."""
     index = idx(spark, sf)
-    hits = se.topk_batch(index, label_queries(index), 10, metric="dot", max_broadcast=0)
+    hits = se.topk_batch(index, label_queries(index), 10, metric="dot", block=3)
     return hits.select("query_id", "id", "score")
 
 
@@ -277,7 +310,7 @@ def ranked_hits(spark, sf):
         "idx_v",
         f"""SELECT id, rank || '. score=' || printf('%.6f', score) || ' id=' || id || chr(10) || '{{"src":"r","sub":"' || sub
                 || '","t":"' || t || '","sid":"' || sid || '","h":""}}' || chr(10) || chr(10) AS line,
-                '{{"id":"' || id || '","metadata":{{"src":"r","sub":"' || sub || '","t":"' || t || '","sid":"' || sid || '","h":""}}}}' AS object
+                '{{"id":"' || id || '","score":' || score || ',"metadata":{{"src":"r","sub":"' || sub || '","t":"' || t || '","sid":"' || sid || '","h":""}}}}' AS object
             FROM (SELECT *, row_number() OVER (ORDER BY score DESC, id) AS rank FROM ({HITS_SQL})) WHERE rank <= 10""",
     ),
 )
@@ -285,8 +318,7 @@ def render_hits(spark, sf):
     ranked = se.rank_hits(first_hits(spark, sf, 10).withColumn("query_id", F.lit(0)))
     pretty = se.render_hits(ranked, "pretty").withColumnRenamed("line", "pretty")
     both = se.render_hits(pretty, "jsonl")
-    bare = F.regexp_replace("line", '"score":[^,]*,', "")
-    return both.select("id", F.col("pretty").alias("line"), bare.alias("object"))
+    return both.select("id", F.col("pretty").alias("line"), F.col("line").alias("object"))
 
 
 TEXTS_SQL = """SELECT h.query_id, h.id, h.score, coalesce(d.text, '') AS {name}
@@ -302,13 +334,13 @@ def asked(spark, sf, k=20):
 def hits_with_pinned_text(spark, sf):
     store = sinks.text_objects(documents(spark, sf))
     hits = asked(spark, sf)
-    return context.with_pinned_text(hits, store, at_most=hits.count()).select("query_id", "id", "score", "text")
+    return context.with_pinned_text(hits, store).select("query_id", "id", "score", "text")
 
 
 @register("hits_with_excerpt", sql("hits_v docs_v", TEXTS_SQL.format(name="excerpt", pinned="")))
 def hits_with_excerpt(spark, sf):
     hits = asked(spark, sf)
-    hits = context.with_latest_text(hits, staged(spark, sf), max_chars=0, at_most=hits.count())
+    hits = context.with_latest_text(hits, staged(spark, sf))
     return hits.select("query_id", "id", "score", "excerpt")
 
 
@@ -322,7 +354,7 @@ SEARCH_SQL = f"""SELECT row_number() OVER (ORDER BY score DESC, id) AS rank, id,
 def search_with_text(spark, sf):
     index = doc_idx(spark, sf)
     store = sinks.text_objects(documents(spark, sf))
-    params = SearchParameters(topk=10, with_text=True, max_chars=0)
+    params = SearchParameters(topk=10, with_text=True)
     hits = search(index, se.query_vector(index, FIRST), params, store=store)
     return hits.select(F.col("rank").cast("bigint"), "id", "score", "text")
 
@@ -334,7 +366,7 @@ def search_with_text(spark, sf):
 def context_blocks(spark, sf):
     store = sinks.text_objects(documents(spark, sf))
     hits = asked(spark, sf)
-    blocks = context.context_blocks(context.with_pinned_text(hits, store, at_most=hits.count()))
+    blocks = context.context_blocks(context.with_pinned_text(hits, store))
     return blocks.select("query_id", F.col("rank").cast("bigint"), "block")
 
 
@@ -346,7 +378,7 @@ BUDGET_SQL = f"""SELECT * FROM blocks_v
 @register("context_budget", sql("blocks_v", f"SELECT query_id, rank, length(block) AS n FROM ({BUDGET_SQL})"))
 def context_budget(spark, sf):
     store = sinks.text_objects(documents(spark, sf))
-    params = QuestionParameters(topk=20, max_docs=20, doc_max_chars=0, budget=BUDGET, style="source")
+    params = QuestionParameters(topk=20, max_docs=20, budget=BUDGET, style="source")
     blocks = context_for(asked(spark, sf), params, store=store)
     return blocks.select("query_id", F.col("rank").cast("bigint"), F.length("block").cast("bigint").alias("n"))
 
@@ -356,7 +388,7 @@ TEMPLATE = context.PromptTemplate(header="Posts:\n", separator="\n\n", footer="\
 
 def prompts_and_sources(spark, sf):
     index = doc_idx(spark, sf)
-    params = QuestionParameters(topk=20, max_docs=8, doc_max_chars=0, budget=BUDGET, style="source")
+    params = QuestionParameters(topk=20, max_docs=8, budget=BUDGET, style="source")
     store = sinks.text_objects(documents(spark, sf))
     return rag(index, label_queries(index), params, store=store, template=TEMPLATE)
 

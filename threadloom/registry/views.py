@@ -154,7 +154,7 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """The documents of the corpus, whole texts."""
-    return build_documents(staged(spark, sf), max_chars=0)
+    return build_documents(staged(spark, sf))
 
 
 def old_index(spark: SparkSession, sf: str) -> DataFrame:

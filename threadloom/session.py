@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -75,11 +76,13 @@ def remove_scratch() -> None:
     left to the cluster's own clean-up."""
     paths, _made[:] = list(_made), []
     spark = SparkSession.getActiveSession()
+    live = spark is not None and spark.sparkContext._jsc is not None
     for path in paths:
         where = urlparse(path)
-        if where.scheme in ("", "file"):
+        # A path without a scheme lies where Spark's default file system is.
+        if where.scheme == "file" or (not where.scheme and not live and os.path.isdir(where.path)):
             shutil.rmtree(where.path, ignore_errors=True)
-        elif spark is not None and spark.sparkContext._jsc is not None:
+        elif live:
             hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,23 +15,23 @@ from threadloom.session import configure
 from threadloom.sources.captures import line_position
 
 
-# The parser stops after the first whole value, so that a line with something
-# left over would pass.  Inside this frame what is left over either breaks the
-# frame or adds to it.
-FRAME = ('{"threadloom_line":[', '],"threadloom_end":0}')
-
-
 def parse_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
     """A2: keeps the lines that are one JSON object each, parsed once into
-    VARIANT column ``obj``; blank, malformed and other lines are left out."""
+    VARIANT column ``obj``; blank, malformed and other lines are left out.
+
+    The parser stops after the first whole value, so that a line with something
+    left over would pass.  Inside a frame what is left over either breaks the
+    frame or adds to it; its keys are new for every call, so no line can close
+    the frame and open it again."""
     configure(lines.sparkSession)
-    framed = F.try_parse_json(F.concat(F.lit(FRAME[0]), strip_text(raw), F.lit(FRAME[1])))
+    key = uuid.uuid4().hex
+    framed = F.try_parse_json(F.concat(F.lit(f'{{"l{key}":['), strip_text(raw), F.lit(f'],"e{key}":0}}')))
     whole = computed_once(lines, _framed=framed).where(
         (F.size(F.try_variant_get("_framed", "$", "map<string,variant>")) == 2)
-        & F.try_variant_get("_framed", "$.threadloom_end", "int").isNotNull()
-        & F.try_variant_get("_framed", "$.threadloom_line[1]", "variant").isNull()
+        & F.try_variant_get("_framed", f"$.e{key}", "int").isNotNull()
+        & F.try_variant_get("_framed", f"$.l{key}[1]", "variant").isNull()
     )
-    first = F.try_variant_get("_framed", "$.threadloom_line[0]", "variant")
+    first = F.try_variant_get("_framed", f"$.l{key}[0]", "variant")
     return computed_once(whole, obj=first).drop("_framed").where(F.schema_of_variant("obj").startswith("OBJECT"))
 
 

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.functions.ids import DEFAULT_PREFIX, object_key
-from threadloom.functions.times import on_days
 from threadloom.operators.captures import unseen
-from threadloom.operators.index import upsert, vector_records
+from threadloom.operators.index import vector_records
 from threadloom.operators.ranking import last_by, take_lowest
 from threadloom.session import materialize
 from threadloom.sources import schemas
 from threadloom.sources.captures import read_table
-from threadloom.sources.files import hadoop, path_exists
+from threadloom.sources.files import path_exists
 
 # Level 22, the highest, took over 30 times as long as this one and saved 8 %.
 ZSTD_LEVEL = 9
@@ -86,95 +87,91 @@ def text_objects(documents: DataFrame, prefix: str | None = DEFAULT_PREFIX) -> D
     )
 
 
-def new_texts(documents: DataFrame, manifest: DataFrame, max_objects: int = 0, prefix: str | None = DEFAULT_PREFIX):
+def new_texts(
+    documents: DataFrame,
+    manifest: DataFrame,
+    max_objects: int = 0,
+    prefix: str | None = DEFAULT_PREFIX,
+    keys: DataFrame | None = None,
+):
     """A10: text objects whose key is not in the manifest, lowest keys first,
     at most ``max_objects`` (0 means all).
 
-    As in plan_index, only keys are compared and cut.
+    As in plan_index, only keys are compared and cut; ``keys`` are (id, metadata)
+    of the documents if these were written already.
     """
     objects = text_objects(documents, prefix)
+    if keys is not None:
+        named = text_objects(keys.withColumn("text", F.lit("")), prefix)
+        fresh = materialize(unseen(named.select("key"), manifest, ["key"]), "fresh")
+        if fresh.isEmpty():
+            return objects.limit(0)
+        return objects.join(take_lowest(fresh, "key", max_objects), "key", "left_semi")
     fresh = materialize(unseen(objects.select("key"), manifest, ["key"]), "fresh")
     return objects.join(take_lowest(fresh, "key", max_objects), "key", "left_semi")
 
 
-def export_texts(documents: DataFrame, path: str, max_objects: int = 0, prefix: str | None = DEFAULT_PREFIX) -> None:
+def export_texts(
+    documents: DataFrame,
+    path: str,
+    max_objects: int = 0,
+    prefix: str | None = DEFAULT_PREFIX,
+    keys: DataFrame | None = None,
+) -> None:
     """A10: append the missing text objects to the table at ``path``, which is
     its own manifest."""
     manifest = read_if_there(documents.sparkSession, path, schemas.STORE)
-    _write_partitioned(
-        _fit(new_texts(documents, manifest, max_objects, prefix), schemas.STORE), path, ("t", "sub")
-    )
+    fresh = new_texts(documents, manifest, max_objects, prefix, keys)
+    _write_partitioned(_fit(fresh, schemas.STORE), path, ("t", "sub"))
 
 
 # -- vector table ----------------------------------------------------------------
 
-# <root>/gen=<n>/y=<y>/md=<md>: every upsert writes one generation, which holds
-# the days it touched as a whole.  Of each day the newest committed generation
-# counts.  Nothing is ever changed in place: readers keep the files they opened,
-# and a job that is lost leaves a generation that does not count.
-
+# Records are only ever appended, each batch with a number of its own; of an id
+# the record with the highest number counts.  Two writers, or one batch written
+# twice, do not harm each other, and what is written grows with the batch alone.
+# compact_table writes a table that holds each id once.
 
-def _generations(spark: SparkSession, root: str) -> list[int]:
-    """The committed generations, oldest first."""
-    fs, path = hadoop(spark, root)
-    done = fs.globStatus(path(f"{root}/gen=*/_SUCCESS")) or []
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
+BUCKETS = 32
 
 
-def _day_folders(spark: SparkSession, root: str) -> list[str]:
-    """The folder that counts for every day."""
-    fs, path = hadoop(spark, root)
-    committed = set(_generations(spark, root))
-    newest: dict[tuple[str, str], tuple[int, str]] = {}
-    for status in fs.globStatus(path(f"{root}/gen=*/y=*/md=*")) or []:
-        where = status.getPath()
-        y = where.getParent()
-        gen = int(y.getParent().getName().split("=")[1])
-        day = (y.getName(), where.getName())
-        if gen in committed and gen > newest.get(day, (0, ""))[0]:
-            newest[day] = (gen, where.toString())
-    return sorted(folder for _, folder in newest.values())
+def batch_number() -> str:
+    """Later batches have higher numbers, no two have the same."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
 
 
 def read_current(spark: SparkSession, root: str, schema: str = schemas.INDEX) -> DataFrame:
-    """The table as of now; empty where nothing has been written."""
-    folders = _day_folders(spark, root)
-    if not folders:
-        return spark.createDataFrame([], schema)
-    columns = spark.createDataFrame([], schema).columns
-    # The files' own columns, and those of the path: gen, y, md.
-    read = spark.read.schema(f"{schema}, gen int").option("basePath", root)
-    return read.parquet(*folders).select(*columns)
+    """The table as of now; empty where nothing has been written.
+
+    Only ids and numbers are compared.  The records that no longer count are
+    written out, so that few of them are sent to the scan of the vectors, which
+    are not shuffled then."""
+    rows = read_if_there(spark, root, f"{schema}, seq string, bucket int")
+    numbers = rows.select("id", "seq")
+    newest = numbers.groupBy(F.col("id").alias("_id")).agg(F.max("seq").alias("_newest"), F.min("seq").alias("_first"))
+    several = newest.where("_first < _newest")
+    old = numbers.join(several, F.col("id").eqNullSafe(F.col("_id")) & (F.col("seq") < F.col("_newest")))
+    gone = materialize(old.select(F.col("id").alias("_i"), F.col("seq").alias("_s")).distinct(), "superseded")
+    kept = rows.join(gone, F.col("id").eqNullSafe(F.col("_i")) & (F.col("seq") == F.col("_s")), "left_anti")
+    return kept.drop("seq", "bucket")
 
 
 def upsert_table(
     spark: SparkSession, root: str, batch: DataFrame, schema: str = schemas.INDEX, seq: str | None = None
-) -> int:
-    """Write the days that the batch touches, with the batch in them, as a
-    new generation, and give its number.
-
-    What is read and written grows with those days, not with the table; of the
-    other days only ids are looked at, to find entries that have moved.  Within
-    the batch an id may come twice only if ``seq`` names the column that tells
-    which one is the last.
-    """
-    fresh = batch if seq is None else last_by(batch, ["id"], [seq])
-    fresh = materialize(_fit(fresh, schema), "batch")
-    found = _generations(spark, root)
-    gen = found[-1] + 1 if found else 1
-    current = read_current(spark, root, schema)
-    held = current.select("id", "y", "md").join(fresh.select("id"), "id", "left_semi")
-    touched = held.unionByName(fresh.select("id", "y", "md")).select("y", "md").distinct()
-    days = [tuple(row) for row in touched.collect()]  # no more than days in the calendar
-    if not all(y and md for y, md in days):
-        raise ValueError("a vector record needs the day (y, md) of its thread")
-    if not days:
-        return gen - 1
-    after = upsert(current.where(on_days(days)), fresh)
-    fs, path = hadoop(spark, root)
-    target = f"{root}/gen={gen}"
-    fs.delete(path(target), True)  # what a lost job has left
-    for y, md in days:  # a day that ends up empty counts as touched, too
-        fs.mkdirs(path(f"{target}/y={y}/md={md}"))
-    _write_partitioned(after, target, ("y", "md"), ("id",))
-    return gen
+) -> str:
+    """Append the batch, and give its number.  Within the batch an id may come
+    twice only if ``seq`` names the column that tells which one is the last."""
+    if seq is not None:
+        batch = last_by(materialize(batch, "batch"), ["id"], [seq])
+    number = batch_number()
+    rows = _fit(batch, schema).withColumn("seq", F.lit(number))
+    bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int"))
+    _write_partitioned(bucketed, root, ("bucket",), ("id",))
+    return number
+
+
+def compact_table(spark: SparkSession, root: str, target: str, schema: str = schemas.INDEX) -> None:
+    """Write what counts of the table at ``root`` to ``target``, a new folder."""
+    if path_exists(spark, target):
+        raise ValueError(f"{target} is there already")
+    upsert_table(spark, target, read_current(spark, root, schema), schema)

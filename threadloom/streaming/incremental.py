@@ -54,7 +54,7 @@ def append_available(rows: DataFrame, path: str, checkpoint: str, partitions=sch
 
 
 def upsert_available(batches: DataFrame, root: str, checkpoint: str, seq: str | None = None) -> StreamingQuery:
-    """A9 for a stream of vector records: one new table version per batch.
+    """A9 for a stream of vector records: one number per batch.
 
     Where an id can come twice in a batch, name the column ``seq`` that tells
     which record is the last.  A batch that is run again changes nothing.
