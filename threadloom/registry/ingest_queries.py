@@ -637,42 +637,43 @@ def run_stats(spark, sf):
 
 # -- nested replies --------------------------------------------------------------
 
-# Every document becomes a payload: even lines are comments on the post, the
-# odd line after each is the answer to it, and a stub follows the last.
+# Every document becomes a payload: of every twelve lines the first is a comment
+# on the post, each of the others the answer to the one before, and a stub of
+# another kind follows every answer.
+DEPTH = 12
 
 
 def document_trees(spark, sf):
-    def node(line, n, parent, replies):
-        data = F.struct(
-            F.concat(F.lit("l"), n.cast("string")).alias("id"), parent.alias("parent_id"),
-            (n + 1000).alias("created_utc"), line.alias("body"), replies.alias("replies"),
+    def node(n, answer):
+        data = F.to_json(
+            F.struct(
+                F.concat(F.lit("l"), n.cast("string")).alias("id"),
+                F.when(n % DEPTH == 0, F.concat(F.lit("t3_"), "sid")).otherwise(F.concat(F.lit("t1_l"), (n - 1).cast("string"))).alias("parent_id"),
+                (n + 1000).alias("created_utc"), F.get("lines", n).alias("body"),
+            )
         )
-        return F.struct(F.lit("t1").alias("kind"), data.alias("data"))
-
-    def listing(children):
-        return F.struct(F.lit("Listing").alias("kind"), F.struct(children.alias("children")).alias("data"))
+        stub = ',{"kind":"more","data":{"id":"more"}}]}}'
+        below = F.when(answer == "", '""').otherwise(F.concat(F.lit('{"kind":"Listing","data":{"children":['), answer, F.lit(stub)))
+        return F.concat(F.lit('{"kind":"t1","data":'), F.left(data, F.char_length(data) - 1), F.lit(',"replies":'), below, F.lit("}}"))
 
-    lines = F.split("text", "\n")
+    def chain(first):
+        last = F.least(first + (DEPTH - 1), F.size("lines") - 1)
+        return F.aggregate(F.reverse(F.sequence(first, last)), F.lit(""), lambda answer, n: node(n, answer))
 
-    def top(n):
-        answer = node(F.get(F.col("lines"), n + 1), n + 1, F.concat(F.lit("t1_l"), n.cast("string")), F.lit(""))
-        # A node of another kind stands where there is no answer.
-        kind = F.when(n + 1 < F.size("lines"), "t1").otherwise("more")
-        below = F.array(F.struct(kind.alias("kind"), answer["data"].alias("data")))
-        return node(F.get(F.col("lines"), n), n, F.concat(F.lit("t3_"), "sid"), listing(below))
-
-    tops = F.transform(F.sequence(F.lit(0), F.size("lines") - 1, F.lit(2)), top)
-    payload = F.concat(F.lit('[{"kind":"Listing"},'), F.to_json(listing(tops)), F.lit("]"))
+    chains = F.transform(F.sequence(F.lit(0), F.size("lines") - 1, F.lit(DEPTH)), chain)
+    payload = F.concat(
+        F.lit('[{"kind":"Listing"},{"kind":"Listing","data":{"children":['), F.array_join(chains, ","), F.lit("]}}]")
+    )
     docs = table(spark, sf, "documents").select(
         tagged("s", "doc_id").alias("sid"), F.col("source").alias("sub"),
-        (F.lit(START) + F.col("doc_id") * STEP).alias("created"), lines.alias("lines"),
+        (F.lit(START) + F.col("doc_id") * STEP).alias("created"), F.split("text", "\n").alias("lines"),
     )
     return docs.select("sub", "sid", "created", payload.alias("tree"))
 
 
 @register(
     "flatten_replies",
-    """SELECT 's' || doc_id AS sid, 'l' || n AS comment_id, CASE WHEN n % 2 = 0 THEN 't3_s' || doc_id ELSE 't1_l' || (n - 1) END AS parent_id,
+    f"""SELECT 's' || doc_id AS sid, 'l' || n AS comment_id, CASE WHEN n % {DEPTH} = 0 THEN 't3_s' || doc_id ELSE 't1_l' || (n - 1) END AS parent_id,
            CAST(1000 + n AS DOUBLE) AS created_utc, n::BIGINT AS seq, line AS body, NULL::VARCHAR AS parse_error
        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                     unnest(range(len(string_split(text, chr(10))))) AS n FROM documents)""",
@@ -684,8 +685,8 @@ def flatten_replies(spark, sf):
     )
 
 
-LINES_SQL = """SELECT doc_id, source AS sub, 's' || doc_id AS sid, n, 'l' || n AS id, line,
-        CASE WHEN n % 2 = 0 THEN 't3_s' || doc_id ELSE 't1_l' || (n - 1) END AS parent_id
+LINES_SQL = f"""SELECT doc_id, source AS sub, 's' || doc_id AS sid, n, 'l' || n AS id, line,
+        CASE WHEN n % {DEPTH} = 0 THEN 't3_s' || doc_id ELSE 't1_l' || (n - 1) END AS parent_id
     FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
                  unnest(range(len(string_split(text, chr(10))))) AS n FROM documents)"""
 LINE_SQL = ["id", "parent_id", "''", "line", "''", "'null'", "'false'", "'null'", "'false'", "''", moment_sql("n + 1000")]
