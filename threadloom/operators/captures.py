@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from threadloom.operators.ranking import last_by
+from threadloom.operators.ranking import last_by, one_per_key
 
 THREAD_KEYS = ("sub", "kind", "sid")
 VERSION_KEYS = ("y", "md", "hms", "cap14", "h16")
@@ -37,8 +37,10 @@ def new_captures(
 def latest_capture(
     captures: DataFrame, post: Sequence[str] = ("sub", "sid"), cap: str = "cap14", hash: str = "hash"
 ) -> DataFrame:
-    """The capture of every post that comes last by (cap14, hash)."""
-    return last_by(captures, post, [cap, hash])
+    """The capture of every post that comes last by (cap14, hash); one of them
+    if it is there several times."""
+    last = last_by(captures, post, [cap, hash])
+    return one_per_key(last, last.select(*post), post)
 
 
 def latest_versions(

@@ -41,13 +41,16 @@ def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -
     return _pick(df, keys, order, F.max)
 
 
-def one_per_key(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """``df`` with one row per ``key``; ``keys`` is its key column, written out.
-
-    Only rows whose key comes more than once are grouped."""
-    repeated = materialize(keys.groupBy(F.col(key).alias("_k")).count().where("count > 1").select("_k"), "repeated")
-    on = F.col(key).eqNullSafe(F.col("_k"))
-    return df.join(repeated, on, "left_anti").unionByName(df.join(repeated, on, "left_semi").dropDuplicates([key]))
+def one_per_key(df: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``df`` with one row per ``key``; ``keys`` has its key columns.
+
+    Only rows whose key comes more than once, usually none, are brought together."""
+    names = [f"_k{i}" for i in range(len(key))]
+    counted = keys.groupBy(*[F.col(c).alias(n) for c, n in zip(key, names)]).count()
+    repeated = materialize(counted.where("count > 1").select(*names), "repeated")
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
+    firsts = df.join(repeated, same(key, names), "left_semi").withColumn("_place", place).where("_place = 1").drop("_place")
+    return df.join(repeated, same(key, names), "left_anti").unionByName(firsts)
 
 
 def positions(

@@ -83,7 +83,7 @@ def refresh(
     counts = {"converted": converted, "documents": keys.count(), "vectors": 0, "failed": 0, "deferred": 0}
     if n_fresh:
         todo_ids = ix.take_lowest(fresh, "id", params.max_vectors)
-        plan = one_per_key(documents.join(todo_ids, "id", "left_semi"), keys.select("id"), "id")
+        plan = one_per_key(documents.join(todo_ids, "id", "left_semi"), keys.select("id"), ["id"])
         handed = plan.withColumn("_handed", truncate_text("text", params.embed_chars)).drop("text")
         # Model calls must not run again for every use of their results.
         embedded = materialize(
