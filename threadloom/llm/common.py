@@ -18,6 +18,17 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+TEXTS_PER_BATCH = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand Python fewer rows at a time than Spark does by default, as a row is a
+    whole text here and both sides hold a batch in memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXTS_PER_BATCH:
+        spark.conf.set(name, str(TEXTS_PER_BATCH))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

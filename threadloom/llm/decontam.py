@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import whole_text
+from threadloom.llm.common import bounded_batches, whole_text
 from threadloom.llm.words import grouped, letters_only, word_hashes
 
 TERMS = 1 << 18
@@ -65,6 +65,7 @@ def block_counts(docs: DataFrame, text_col: str):
     """(number of blocks, blocks that have each term) over all documents."""
     import numpy as np
 
+    bounded_batches(docs.sparkSession)
     def run(batches):
         import pyarrow as pa
 

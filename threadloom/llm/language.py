@@ -21,12 +21,13 @@ looked at.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from threadloom.llm.common import bounded_sample, byte_view, kept_by_worker, whole_text
+from threadloom.llm.common import bounded_batches, bounded_sample, byte_view, kept_by_worker, whole_text
+from threadloom.llm.words import grouped
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -216,29 +217,23 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return ByteNet(languages).fit(windows[used], labels[used])
 
 
-def predicted(docs: DataFrame, net: ByteNet | None, text: Column | str, *columns: Column | str) -> DataFrame:
-    """``columns`` of ``docs`` with lang_pred and score, from whole texts."""
-    # Beside the text travel the columns asked for; the text itself does not come back.
-    given = docs.select(*columns, whole_text(text).alias("_text")) if isinstance(text, str) else docs.select(*columns, text.alias("_text"))
-    kept = [f for f in given.schema.fields if f.name != "_text"]
-    schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+def prediction(net: ByteNet | None):
+    """A function of a text column: struct of lang_pred and score, whole texts.
+
+    Only texts go to Python and only answers come back; the rest of a row waits
+    on Spark's side."""
     key = "none" if net is None else hashlib.sha256(b"".join(net.params[k].tobytes() for k in sorted(net.params))).hexdigest()
 
-    def run(batches):
+    def run(columns):
         import numpy as np
         import pyarrow as pa
 
         tables = net and kept_by_worker(f"bytenet {key}", net.tables)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+        for texts in columns:
             names, scores = ["und"] * len(texts), np.zeros(len(texts))
             if net is not None and len(texts):
-                data, starts, ends = byte_view(texts)
-                plain = plain_bytes(data)
-                low = 0
-                while low < len(texts):  # as many texts as fit a bounded number of bytes, one at least
-                    high = max(low + 1, int(np.searchsorted(ends, starts[low] + (4 << 20), "right")))
-                    windows, owner, letters = windows_of(plain, starts[low:high], ends[low:high])
+                for low, high, data, starts, ends in grouped(texts):
+                    windows, owner, letters = windows_of(plain_bytes(data), starts, ends)
                     odds = net.predict(windows, tables) * letters[:, None]
                     sums = np.zeros((high - low, odds.shape[1]))
                     np.add.at(sums, owner, odds)
@@ -248,13 +243,25 @@ def predicted(docs: DataFrame, net: ByteNet | None, text: Column | str, *columns
                             best = int(sums[i].argmax())
                             names[low + i] = net.languages[best]
                             scores[low + i] = min(1.0, sums[i][best] / total[i])
-                    low = high
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*[f.name for f in kept], "lang_pred", "score"],
-            )
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
+
+    run.__annotations__ = {"columns": Iterator[pa_array()], "return": Iterator[pa_array()]}
+    return F.arrow_udf(run, "struct<lang_pred:string,score:double>")
 
-    return given.mapInArrow(run, schema)
+
+def pa_array():
+    import pyarrow as pa
+
+    return pa.Array
+
+
+def predicted(docs: DataFrame, net: ByteNet | None, text: str, *columns: Column | str) -> DataFrame:
+    """``columns`` of ``docs`` with lang_pred and score, from whole texts."""
+    bounded_batches(docs.sparkSession)
+    given = docs.select(*columns, whole_text(text).alias("_text"))
+    names = [c for c in given.columns if c != "_text"]
+    answered = given.withColumn("_answer", prediction(net)("_text"))
+    return answered.select(*names, F.col("_answer.lang_pred").alias("lang_pred"), F.col("_answer.score").alias("score"))
 
 
 def has_letter(text: str) -> bool:

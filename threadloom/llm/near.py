@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import ids_for_join, kept_by_worker, whole_text
+from threadloom.llm.common import bounded_batches, ids_for_join, kept_by_worker, whole_text
 from threadloom.llm.components import components
 from threadloom.llm.words import BASE, distinct_by_text, grouped, mixed, shingle_hashes, word_hashes
 from threadloom.session import materialize
@@ -92,6 +92,7 @@ def described(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int
     only an equal one can reach the threshold has no bands."""
     least = threshold[0] / (threshold[1] - threshold[0]) if threshold[1] > threshold[0] else float("inf")
 
+    bounded_batches(docs.sparkSession)
     def run(batches):
         import numpy as np
         import pyarrow as pa

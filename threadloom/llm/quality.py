@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadloom.llm.common import bounded_sample, whole_text
+from threadloom.llm.common import bounded_batches, bounded_sample, whole_text
 from threadloom.llm.words import grouped, word_hashes
 
 GRAMS = 1 << 16
@@ -239,6 +239,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def scored(docs: DataFrame, scorer: Scorer | Constant, text_col: str, *columns: Column | str) -> DataFrame:
     """``columns`` of ``docs`` with the score of the whole text."""
+    bounded_batches(docs.sparkSession)
     given = docs.select(*columns, whole_text(text_col).alias("_text"))
     kept = [f for f in given.schema.fields if f.name != "_text"]
     schema = T.StructType([*kept, T.StructField("score", T.DoubleType())])
