@@ -8,7 +8,7 @@ are then read off backwards from the end.
 
 No piece of the vocabulary continues past the start of a word, so a text is cut
 there into segments; loading a vocabulary checks it.  Encodings of segments and
-tests of pairs are remembered up to a fixed number of entries.
+tests of pairs are remembered up to a fixed number of entries, encodings for one task.
 
 Defined results: a null or empty text has the begin and end ids alone; characters
 that the vocabulary lacks are written as bytes; equal texts have equal ids; an
@@ -24,11 +24,11 @@ from array import array
 
 from pyspark.sql import DataFrame
 
-from threadloom.llm.common import kept_by_worker, whole_text
+from threadloom.llm.common import bounded_batches, kept_by_worker, whole_text
 
 SPACE = "▁"  # what stands for a space in pieces; a fixed value of the format
-REMEMBERED_SEGMENTS = 300_000
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED_SEGMENTS = 150_000
+REMEMBERED_PAIRS = 400_000
 REMEMBERED_LENGTH = 64
 SEGMENTS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
 
@@ -67,11 +67,11 @@ class Pieces:
             not re.search(f"[^{SPACE}]{SPACE}", p) and (len(p) == 1 or "\n" not in p) for p in self.ids
         )
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
+        for piece, i in self.ids.items():
             if self.merged(piece) == [piece]:  # others can't come out of merges
-                self.automaton.add_word(piece, piece)
+                self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -88,42 +88,42 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def compatible(self, left: str, right: str) -> bool:
-        key = (left, right)
-        found = self.pairs.get(key)
-        if found is None:
-            found = self.merged(left + right) == [left, right]
-            if len(self.pairs) >= REMEMBERED_PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = found
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether two tokens side by side encode to themselves; remembered."""
+        one, other = self.pieces[left], self.pieces[right]
+        if len(self.pairs) >= REMEMBERED_PAIRS:
+            self.pairs.clear()
+        found = self.pairs[left * len(self.pieces) + right] = self.merged(one + other) == [one, other]
         return found
 
-    def tokens(self, segment: str) -> list[str]:
-        """The segment's tokens; characters outside the vocabulary stand alone."""
-        n = len(segment)
-        ending: list[list[str]] = [[] for _ in range(n)]
-        for at, token in self.automaton.iter(segment):
-            ending[at].append(token)
-        last: list[str] = [""] * (n + 1)
-        pairs, ids = self.pairs, self.ids
-        for end in range(1, n + 1):
-            for token in sorted(ending[end - 1], key=len, reverse=True):
-                start = end - len(token)
-                before = last[start]
-                if not start or before not in ids:
-                    break
-                fits = pairs.get((before, token))
-                if fits or (fits is None and self.compatible(before, token)):
-                    break
-            else:
-                token = segment[end - 1]
-                if token in ids:
-                    raise AssertionError(f"no token fits the prefix that ends with {token!r}")
+    def prefix_table(self, segment: str) -> list[int]:
+        """The last token of every prefix by its length, -1 for a character outside
+        the vocabulary, which stands alone and merges with nothing."""
+        last = [-1] * (len(segment) + 1)
+        known, size = self.pairs.get, len(self.pieces)
+        for at, (token, length) in self.automaton.iter(segment):
+            end = at + 1
+            if last[end] >= 0:
+                continue  # found already, and there is only one
+            start = end - length
+            before = last[start]
+            if start and before >= 0:
+                fits = known(before * size + token)
+                if not (self.compatible(before, token) if fits is None else fits):
+                    continue
             last[end] = token
+        return last
+
+    def tokens(self, segment: str) -> list[str]:
+        """The segment's tokens, read off the table from the end."""
+        last, n = self.prefix_table(segment), len(segment)
         found = []
         while n:
-            found.append(last[n])
-            n -= len(last[n])
+            token = self.pieces[last[n]] if last[n] >= 0 else segment[n - 1]
+            if last[n] < 0 and token in self.ids:
+                raise AssertionError(f"no token fits the prefix that ends with {token!r}")
+            found.append(token)
+            n -= len(token)
         return found[::-1]
 
     def segment_bytes(self, segment: str) -> bytes:
@@ -170,6 +170,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     ``ids`` are little-endian unsigned 32-bit integers; without ``keep`` they are
     left out, for those who want digests alone."""
 
+    bounded_batches(docs.sparkSession)
     def run(batches):
         import sys
 
@@ -195,6 +196,8 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 columns["ids"] = pa.array(ids, pa.binary())
             columns |= {"ids_sha256": pa.array(id_digests, pa.string()), "decoded_sha256": pa.array(text_digests, pa.string())}
             yield pa.RecordBatch.from_pydict(columns)
+        # A worker lives on after the task; pairs are few and stay, segments are many.
+        pieces.known.clear()
 
     given = docs.select(docs[id_col].cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     kept = "ids binary, " if keep else ""
