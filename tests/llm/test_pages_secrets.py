@@ -72,6 +72,25 @@ def test_repeated_branches_go_without_names(spark):
             assert r["text"] == f"Title {r['page_id']}\nStory {r['page_id']} goes on"
 
 
+def test_copies_and_recurring_blocks_of_an_article_stay(spark):
+    article = "<article><h1>Story {0}</h1><p>Of {0}</p><h2>Conclusion</h2><ul><li>Yes<li>No</ul></article>"
+    rows = [(i, f"http://h{i % 2}.example/{i}", article.format(i % 50)) for i in range(600)]
+    same = "<div><h1>Title</h1><p>A page that 300 addresses have</p></div>"
+    rows += [(1000 + i, "http://same.example/%d" % i, same) for i in range(300)]
+    rows += [(2000 + i, f"http://mirror{i}.example/", "<section><p>A page on 300 hosts</p></section>") for i in range(300)]
+    got = pages.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), "page_id").collect()
+    assert len(got) == 1200
+    for r in got:
+        i = r["page_id"]
+        want = "Story {0}\nOf {0}\nConclusion\nYes\nNo".format(i % 50) if i < 1000 else "Title\nA page that 300 addresses have"
+        assert r["text"] == ("A page on 300 hosts" if i >= 2000 else want)
+
+
+def test_values_do_not_jump(spark):
+    n = spark.range(1, 1000).select(pages.drawn(F.lit(0.2), F.col("id"), F.lit(1.0)).alias("v")).collect()
+    assert n[0]["v"] == 1.0 and all(0 < a["v"] - b["v"] < 0.01 for a, b in zip(n, n[1:]))
+
+
 def test_importance(spark):
     n = 256
     counts = spark.createDataFrame(
