@@ -40,6 +40,26 @@ def test_blocks(source, want):
     assert text_of(source) == want
 
 
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ("<div class='has-sidebar'><article><p>yes</article></div><p>no", "yes"),
+        ("<article class='post no-sidebar with-comments'><p>yes</article>", "yes"),
+        ("<main id=sidebar><p>yes</main>", "yes"),
+        ("<div class='with-comments'><p>yes</div>", "yes"),
+        ("<div class='page--sidebar'><div class='content-sidebar-wrap'><p>yes</div></div>", "yes"),
+        ("<div class=promo><div class=widget><main><p>yes<div class=comments>no</div></main><p>no</div></div>", "yes"),
+        ("<article><div class='post-header'><h1>yes</h1></div><div class='header'>too</div><p>text</article>", "yes\ntoo\ntext"),
+        ("<div class='entry-header'><h1>yes</h1></div><div class=header>no</div><p>text", "yes\ntext"),
+        ("<div class='post category-social tag-advertising'><p>yes</div>", "yes"),
+        ("<article><p>yes</article><div class='comment-list'><article class=comment><p>no</article></div>", "yes"),
+        ("<p>yes</p><div class='comments-area'>no</div><div class='post-comments'>no</div><div id=ad_300x250>no</div>", "yes"),
+    ],
+)
+def test_names_do_not_take_the_article(source, want):
+    assert text_of(source) == want
+
+
 def plain(source):
     inside = source[source.index("<article>") + 9 :].split("</article>")[0]
     blocks = (" ".join(html.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split("</?(?:p|h1)>", inside))
