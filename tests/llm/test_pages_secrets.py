@@ -230,6 +230,27 @@ def test_random_strings_are_added_and_words_are_not(rows):
     assert all([tuple(s) for s in r["spans"]] == [(6, 3, 46)] for r in got if 1000 <= r["doc_id"] < 2000 and r["spans"])
 
 
+@pytest.mark.parametrize("words", [0, 30])
+def test_random_strings_without_words_and_with_a_hot_run(rows, words):
+    import random
+
+    rng = random.Random(5)
+    letters = secret_scan.UPPER + secret_scan.LOWER
+    keys = ["".join(rng.choice(letters + secret_scan.DIGITS) for _ in range(40)) for _ in range(20)]
+    alone = ["".join(rng.choice(letters) for _ in range(48)) for _ in range(10)]
+    names = [f"report-of-the-section-{i}-in-2024" for i in range(10)] + [letters[26:] + secret_scan.DIGITS]
+    usual = ["counterrevolutionaries", "internationalization", "Donaudampfschifffahrtsgesellschaft", "antidisestablishmentarianism"]
+    docs = [(i, f"key {k} is") for i, k in enumerate(keys)] + [(200 + i, f"file {n} is") for i, n in enumerate(names)]
+    if words:
+        docs += [(300 + i, f"see {usual[i % 4]}{'es' * (i // 4)} here") for i in range(words)]
+        docs += [(100 + i, f"key {k} is") for i, k in enumerate(alone)] + [(1000 + i, f"key {alone[0]} is") for i in range(200)]
+    got = secret_scan.scan(rows(docs, "doc_id long, text string").repartition(3), "text", "doc_id").collect()
+    marked = {r["doc_id"] for r in got if r["spans"]}
+    assert len([d for d in marked if d < 100]) >= 19 and not [d for d in marked if 200 <= d < 1000]
+    if words:
+        assert len([d for d in marked if 100 <= d < 200]) >= 8 and len([d for d in marked if d >= 1000]) == 200
+
+
 def test_masks(rows):
     text = "a token=abcdef, b secret='0123456789abcdef01234567' é c"
     df = secret_scan.scan(rows([(1, text), (2, "clean"), (3, None)], "doc_id long, text string"), "text", "doc_id", F.col("text").alias("said"))

@@ -2,26 +2,32 @@ r"""Secrets in texts: known patterns, and strings too random to be words.
 
 The known patterns are assignments to a telling name, access keys and hexadecimal
 digits.  Beyond them, every run of twenty or more characters of the usual
-encodings is a candidate if it has letters and digits.  Its encoding is inferred
+encodings is a candidate if it has letters and digits, or letters alone.  Its encoding is inferred
 from its characters, and three tests ask whether it is a random string of that
 alphabet: chi-squared for even use of the alphabet, the number of runs above and
 below its middle, and the correlation of successive characters.  The smallest of
 the three p-values, times three, is its randomness.
 
-Runs of letters alone are words, and show how random words of some length look.
-A candidate's p-value is the share of words, not longer than it, that look at
-least as random; short candidates are held against short words, which the tests
-tell apart less well.  The Benjamini-Hochberg rule over all candidates of the
-corpus bounds the share of false ones among those reported.  Lengths and
-randomness are counted in a fixed grid, so no task sees all candidates.
+Most runs of letters alone are words, and show how random words of some length
+look.  A candidate's p-value is the share of words, not longer than it, that look at
+least as random; short candidates are held against short words, which the tests tell
+apart less well.  As a corpus may have few long words, or none, ``PRIOR_WORDS`` words
+are added that follow a calculation: the number of pairs of equal characters in a run
+of that length and alphabet, if its characters are drawn as letters are in a text, has
+a known mean and variance, and a random string has fewer pairs.  Candidates of letters
+alone are not held against each other, but against that calculation only.  What the
+three tests find too regular for a random string is not reported.  The
+Benjamini-Hochberg rule over the candidates of the corpus, those of letters alone for
+themselves, bounds the share of false ones among those reported, as far as the
+calculation holds.  Each distinct run counts once.  Lengths, randomness and the
+calculated share are counted in a fixed grid, so no task sees all candidates.
 
 Everything is a built-in expression; a text is searched once.  Places are code
 points, ends exclusive.
 
 Defined results: a null or empty text has no spans; equal texts have equal spans;
 rows with equal ids are looked at one by one; a candidate that overlaps a known
-pattern adds nothing; without words to compare with nothing is added; an empty
-table gives no rows; other columns are passed through if asked for.
+pattern adds nothing; an empty table gives no rows; other columns are passed through if asked for.
 """
 
 from __future__ import annotations
@@ -44,6 +50,9 @@ FALSE_SHARE = 0.05
 CHUNK = 128
 LENGTHS = 32  # lengths in the grid, by four characters, the last open
 LEVELS = 48  # halvings of the randomness in the grid, the last open
+REGULAR = 10  # halvings from which on a run is no random string
+PAIR_LEVELS = 128  # halvings of the calculated share in the grid, by half, the last open
+PRIOR_WORDS = 400
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # The alphabets of the usual encodings, in the order they are tried.
 ALPHABETS = (
@@ -54,6 +63,10 @@ ALPHABETS = (
     (r"^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"),
     (r"^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_"),
 )
+# Sums of the squares and cubes of the characters' shares: letters in English, which
+# are more even than in other languages; in hexadecimal, such letters and digits in equal parts.
+# Names of letters alone may have capitals inside, every seventh letter here.
+TEXT_SHARES, HEX_SHARES, NAME_SHARES = (0.0655, 0.0053), (0.09, 0.0119), (0.0488, 0.0033)
 OTHER_ALPHABET = UPPER + LOWER + DIGITS + "+/-_="
 
 
@@ -149,13 +162,30 @@ def randomness(match: Column) -> Column:
     return let(alphabet, lambda letters: let(spelled(letters), lambda v: let(measured(v), tests)))
 
 
+def text_share(match: Column) -> Column:
+    """The share of texts of the run's length that have as few pairs of equal characters."""
+    hexadecimal = _body(match).rlike(ALPHABETS[0][0]) | _body(match).rlike(ALPHABETS[1][0])
+    characters = F.split(_body(match), "")
+    times = F.transform(F.array_distinct(characters), lambda c: F.size(F.filter(characters, lambda y: y == c)).cast("double"))
+    n = F.char_length(_body(match)).cast("double")
+    found = F.aggregate(times, F.lit(0.0), lambda s, k: s + k * (k - 1) / 2)
+
+    def below(shares: tuple[float, float]) -> Column:
+        two, three = shares
+        variance = n * (n - 1) / 2 * (two - two * two) + n * (n - 1) * (n - 2) * (three - two * two)
+        return normal_tail((n * (n - 1) / 2 * two - found) / F.sqrt(variance))
+
+    name = match.rlike("^[A-Za-z]+$") & match.rlike("[a-z]") & match.rlike("^.+[A-Z]")
+    return F.when(hexadecimal, below(HEX_SHARES)).when(name, below(NAME_SHARES)).otherwise(below(TEXT_SHARES))
+
+
 def _body(match: Column) -> Column:
     return F.when(F.rtrim(match, F.lit("=")) == "", match).otherwise(F.rtrim(match, F.lit("=")))
 
 
 def searched(docs: DataFrame, text_col: str, *columns: Column | str) -> DataFrame:
     """``columns`` with _base and _runs: the known patterns, and the long runs with
-    their place in the grid; ``word`` tells letters alone from candidates."""
+    their place in the grid; ``word`` tells those of letters alone."""
     df = docs.select(*columns, whole_text(text_col).alias("_text"))
     for pattern, name in ((ASSIGN, "_assign"), (ACCESS, "_access"), (HEX, "_hex"), (CANDIDATE, "_long")):
         df = located(df, "_text", pattern, name)
@@ -173,9 +203,12 @@ def searched(docs: DataFrame, text_col: str, *columns: Column | str) -> DataFram
     def gridded(s: Column) -> Column:
         level = F.least(F.floor(-F.log2(F.greatest(randomness(s["match"]), F.lit(1e-300)))), F.lit(LEVELS - 1))
         length = F.least(F.expr("0") + F.floor((F.char_length(s["match"]) - 20) / 4), F.lit(LENGTHS - 1))
+        pairs = F.least(F.floor(-2 * F.log2(F.greatest(text_share(s["match"]), F.lit(1e-300)))), F.lit(PAIR_LEVELS - 1))
         return F.struct(
             s["start"].alias("start"),
             s["end"].alias("end"),
+            F.xxhash64(s["match"]).alias("run"),
+            pairs.cast("int").alias("pairs"),
             (~s["match"].rlike("[0-9]")).alias("word"),
             (length * LEVELS + level).cast("int").alias("cell"),
         )
@@ -183,20 +216,22 @@ def searched(docs: DataFrame, text_col: str, *columns: Column | str) -> DataFram
     return df.withColumn("_runs", F.transform("_telling", gridded)).drop("_assign", "_access", "_hex", "_long", "_telling")
 
 
-def accepted_cells(found: DataFrame, share: float = FALSE_SHARE) -> list[int]:
-    """The cells of the grid whose candidates are reported.
+def accepted_cells(found: DataFrame, share: float = FALSE_SHARE) -> list[tuple[bool, int, int]]:
+    """(word, cell, pairs): the cells of the grid whose candidates are reported, from
+    that level of pairs on.
 
-    A cell's p-value comes from the words that are not longer and at least as
-    random; over the cells in order of p-value runs the Benjamini-Hochberg rule."""
-    runs = found.select(F.explode("_runs").alias("r")).select("r.cell", "r.word")
-    counted = runs.groupBy("cell").agg(F.count_if("word").alias("words"), F.count_if(~F.col("word")).alias("candidates"))
+    A cell's p-value comes from the words that are not longer and at least as random
+    and from the calculated share, for letters alone from this only; over the cells in order of p-value runs the
+    Benjamini-Hochberg rule."""
+    runs = found.select(F.explode("_runs").alias("r")).select("r.run", "r.cell", "r.word", "r.pairs").distinct()
+    counted = runs.groupBy("cell", "word", "pairs").agg(F.count(F.lit(1)).alias("n"))
+    counted = materialize(counted, "secret-cells")
     grid = found.sparkSession.range(0, LENGTHS * LEVELS, 1, 1).select(F.col("id").cast("int").alias("cell"))
-    filled = grid.join(counted, "cell", "left").select(
+    filled = grid.join(counted.where("word").groupBy("cell").agg(F.sum("n").alias("words")), "cell", "left").select(
         "cell",
         F.expr(f"cell div {LEVELS}").alias("length"),
         (F.col("cell") % LEVELS).alias("level"),
         F.coalesce("words", F.lit(0)).alias("words"),
-        F.coalesce("candidates", F.lit(0)).alias("candidates"),
     )
     # From here on there are LENGTHS x LEVELS rows, whatever the corpus.
     up = Window.unboundedPreceding
@@ -204,15 +239,16 @@ def accepted_cells(found: DataFrame, share: float = FALSE_SHARE) -> list[int]:
     shorter = Window.partitionBy("level").orderBy("length").rowsBetween(up, 0)
     last = Window.partitionBy("length")
     totals = as_random.withColumn("own", F.sum("words").over(last)).withColumn("all", F.sum("own").over(shorter))
-    valued = totals.withColumn("p", (1 + F.sum("below").over(shorter)) / (1 + F.col("all")))
-    ranked = valued.withColumn("upto", F.sum("candidates").over(Window.orderBy("p").rangeBetween(up, 0))).withColumn(
-        "total", F.sum("candidates").over(Window.orderBy("p").rangeBetween(up, Window.unboundedFollowing))
-    )
-    passed = ranked.where((F.col("candidates") > 0) & (F.col("p") <= share * F.col("upto") / F.col("total"))).agg(F.max("p").alias("most"))
-    most = passed.first()["most"]
-    if most is None:
-        return []
-    return [r["cell"] for r in valued.where((F.col("p") <= most) & (F.col("candidates") > 0)).select("cell").collect()]
+    totals = totals.select("cell", "level", F.sum("below").over(shorter).alias("below"), "all")
+    calculated = F.pow(F.lit(2.0), -F.col("pairs") / 2)
+    held = F.when(F.col("word"), calculated).otherwise((PRIOR_WORDS * calculated + F.col("below")) / (PRIOR_WORDS + F.col("all")))
+    p = F.when(F.col("level") >= REGULAR, F.lit(1.0)).otherwise(held)
+    valued = counted.join(totals, "cell").select("word", "cell", "pairs", "n", p.alias("p"))
+    family = Window.partitionBy("word")
+    ranked = valued.withColumn("upto", F.sum("n").over(family.orderBy("p").rangeBetween(up, 0))).withColumn("total", F.sum("n").over(family))
+    passed = F.max(F.when(F.col("p") <= share * F.col("upto") / F.col("total"), F.col("p"))).over(family)
+    accepted = ranked.withColumn("most", passed).where("p <= most").groupBy("word", "cell").agg(F.min("pairs").alias("pairs"))
+    return [(r["word"], r["cell"], r["pairs"]) for r in accepted.collect()]
 
 
 def scan(docs: DataFrame, text_col: str, *columns: Column | str) -> DataFrame:
@@ -220,9 +256,12 @@ def scan(docs: DataFrame, text_col: str, *columns: Column | str) -> DataFrame:
     kind counts in ``KINDS``.  What the search found is written once, without texts
     unless the columns have them."""
     found = materialize(searched(docs, text_col, *columns).drop("_text"), "secret-spans")
-    cells = accepted_cells(found)
-    # A fixed number of cells at most, so the list stays small.
-    reported = F.filter("_runs", lambda r: ~r["word"] & F.array_contains(F.lit(cells), r["cell"])) if cells else F.filter("_runs", lambda r: F.lit(False))
+    # A number for each cell, so the list has a fixed size.
+    least = [PAIR_LEVELS] * (2 * LENGTHS * LEVELS)
+    for word, cell, pairs in accepted_cells(found):
+        least[2 * cell + word] = pairs
+    some = min(least) < PAIR_LEVELS
+    reported = F.filter("_runs", lambda r: r["pairs"] >= F.get(F.lit(least), 2 * r["cell"] + r["word"].cast("int")) if some else F.lit(False))
     added = F.transform(reported, lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end")))
     return found.withColumn("spans", F.sort_array(F.concat("_base", added))).withColumnRenamed("_base", "base").drop("_runs")
 
