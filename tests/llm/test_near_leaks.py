@@ -210,3 +210,23 @@ def test_latent_space_is_that_of_the_singular_vectors(spark, rows):
     left, sizes, right = np.linalg.svd(dense, full_matrices=False)
     kept = np.linalg.norm(dense @ directions) ** 2
     assert kept >= 0.99 * (sizes[:8] ** 2).sum()
+
+def test_recall_of_replaced_words(spark):
+    rng = random.Random(3)
+    given = [r["text"] for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()]
+    bench = table(spark, "/root/testdata/sf0.1", "benchmark").select("item_id", "text")
+    plain = lambda t: [w for w in (re.sub(r"\W", "", x.lower()) for x in t.split()) if w]
+    vocabulary = [w for t in given for w in t.split()]
+    docs, want = [(-1 - i, t) for i, t in enumerate(given)], set()
+    for share in (0.15, 0.3, 0.45):
+        for item in bench.collect():
+            words = plain(item["text"])
+            for j in rng.sample(range(max(0, len(words) - 6)), min(max(0, len(words) - 6), int(share * len(words)))):
+                words[j] = rng.choice(vocabulary)
+            around = rng.choice(given).split()
+            at = rng.randrange(len(around) + 1)
+            docs.append((len(docs), " ".join(around[:at] + words + around[at:])))
+            if decontam.agree(plain(item["text"]), plain(docs[-1][1]))[2]:
+                want.add((docs[-1][0], item["item_id"]))
+    got = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(8), bench).collect()
+    assert len(want) > 500 and want <= {(r["doc_id"], r["item_id"]) for r in got}

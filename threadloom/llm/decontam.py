@@ -30,11 +30,14 @@ from threadloom.llm.words import grouped, letters_only, word_hashes
 TERMS = 1 << 18
 STEP = 16  # words in a block
 LONGEST = 64  # words of a passage; longer items have several, half overlapping
-RANK = 64
+RANK = 256  # or the number of passages in a block, if smaller
 OVERSAMPLE = 16
 ROUNDS = 2
 BLOCK_ITEMS = 20_000
-NEAR = 0.5  # of the cosine that a window with a copy of the passage would have
+# Of the cosine that a window with a copy of the passage would have.  Far below the
+# least share of common words, as the words in common can be the frequent ones; the
+# covered places decide next.
+NEAR = 0.1
 COMMON = 0.7  # of the passage's words, in order
 COMMON_WITH_ANSWER = 0.5
 LEAST_COMMON = 6
