@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat, decontam, fingerprints, language, near, pages, pieces, quality, secret_scan, sharding
+from threadloom.llm import chat, decontam, fingerprints, impact, language, near, negatives, pages, pieces, quality
+from threadloom.llm import secret_scan, sharding
 from threadloom.llm.common import id_bucket, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -147,3 +148,56 @@ def op4_main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages, by the style tree of their site."""
     found = pages.main_texts(table(spark, sf_dir, "pages"), "page_id", "url")
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op12_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all."""
+    return negatives.mine(table(spark, sf_dir, "embeddings"), negatives.shifted_label(), F.col("vec_id") % 100 == 0)
+
+
+def _integer_vectors(scale: int, *columns: str) -> str:
+    """SQL of the vectors that take part, as lists of whole numbers."""
+    names = "".join(f", {c}" for c in columns)
+    return f"""
+  SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v{names}
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+LLM_ORACLES["op12_four_russians"] = f"""
+WITH part AS ({_integer_vectors(256, "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label")} AND label IS NOT NULL
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+    list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM part a JOIN part c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+), positive AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query
+def op13_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all vectors for every twentieth."""
+    return impact.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+LLM_ORACLES["op13_impact_search"] = f"""
+WITH part AS ({_integer_vectors(64)}
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM part q JOIN part c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored
+QUALIFY rank <= 20
+"""
