@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.llm import chat, decontam, fingerprints, impact, language, near, negatives, pages, pieces, quality
-from threadloom.llm import secret_scan, sharding
+from threadloom.llm import secret_scan, sharding, trie
 from threadloom.llm.common import id_bucket, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -150,6 +150,62 @@ def op4_main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt on the head of its group's first."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+LLM_ORACLES["op11_prefix_trie"] = """
+WITH step AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(8),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS i))
+), turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id AS c, conv_id - conv_id % 20 AS b, xor(list_reduce([4294967295::BIGINT] || list_transform(
+      regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT),
+    lambda r, x: xor(r >> 8, t[1 + (xor(r, x) & 255)])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), step
+), parts AS (
+  SELECT c, 0 AS part, pos, role, text FROM convs JOIN turns ON conv_id = b AND pos < h
+  UNION ALL SELECT c, 1, pos, role, text FROM convs JOIN turns ON conv_id = c AND pos >= h
+), rebuilt AS (
+  SELECT c, row_number() OVER w AS depth, text,
+    string_agg(sha256(hex(encode(role)) || ' ' || hex(encode(text))), '') OVER w AS path
+  FROM parts WINDOW w AS (PARTITION BY c ORDER BY part, pos)
+), prefixes AS (SELECT * FROM rebuilt UNION ALL SELECT c, 0, '', '' FROM convs
+), node AS (
+  SELECT depth, path, min(c) AS conv_id, count(*) AS n_convs,
+    len(regexp_extract_all(any_value(text), '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM prefixes GROUP BY depth, path
+), linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id
+  FROM node n LEFT JOIN node p ON p.depth = n.depth - 1 AND p.path = left(n.path, 64 * (n.depth - 1)::BIGINT)
+), counted AS (
+  SELECT l.*, (SELECT count(*) FROM linked k WHERE k.depth = l.depth + 1 AND left(k.path, 64 * l.depth) = l.path) AS n_children
+  FROM linked l
+), below AS (
+  SELECT v.depth, v.path, sum((w.n_children = 0)::INT) AS n_leaves, sum((w.n_convs - 1) * w.words) AS saved_tokens
+  FROM counted v JOIN prefixes r ON r.depth = v.depth AND r.path = v.path
+    JOIN counted w ON w.conv_id = r.c AND w.depth >= v.depth
+  GROUP BY v.depth, v.path
+), ends AS (
+  SELECT depth, path, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+  FROM prefixes JOIN (SELECT c, max(depth) AS depth FROM prefixes GROUP BY c) USING (c, depth)
+  GROUP BY depth, path
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, n.parent_conv_id, n.n_convs::BIGINT AS n_convs, n.n_children::BIGINT AS n_children,
+  b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM counted n JOIN below b USING (depth, path) LEFT JOIN ends e USING (depth, path)
+"""
+
+
 @query
 def op12_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth vector among all."""
