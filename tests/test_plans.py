@@ -107,10 +107,13 @@ def test_refresh(spark, dumps, tmp_path):
     p = paths(tmp_path)
     import_files(spark, dumps, p["captures"], NOW)
     first = refresh(spark, embed=embed, params=PARAMS, **p)
+    opened = first.pop("opened")
+    assert opened > 0
     assert first == {"converted": 5, "documents": 8, "vectors": 8, "failed": 0, "deferred": 0}
     index = index_of(spark, p)
     assert set(index) == {"r:s:ja:p1", "r:s:ja:p2", "r:s:other:p4", *[f"r:c:ja:c{i}" for i in range(1, 6)]}
-    assert refresh(spark, embed=embed, params=PARAMS, **p) == {"converted": 0, "documents": 8, "vectors": 0, "failed": 0, "deferred": 0}
+    nothing = {"converted": 0, "documents": 8, "vectors": 0, "failed": 0, "deferred": 0, "opened": 0}
+    assert refresh(spark, embed=embed, params=PARAMS, **p) == nothing
 
     changed = write(tmp_path / "n_posts.jsonl", [post(2, title="new title", retrieved_utc=NOW + 9)])
     import_files(spark, [changed], p["captures"], NOW)

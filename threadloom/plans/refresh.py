@@ -9,19 +9,30 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.functions.once import computed_once
 from threadloom.functions.text import truncate_text
-from threadloom.operators import index as ix
-from threadloom.operators.captures import convert_new, latest_versions
-from threadloom.operators.documents import build_documents
+from threadloom.operators import digests as dg, index as ix
+from threadloom.operators.captures import VERSION_KEYS, convert_new, unseen
+from threadloom.operators.documents import build_documents, document_keys
 from threadloom.operators.model import apply_model
 from threadloom.operators.narrow import narrow_comments, narrow_submissions, only_subs, union_kinds
 from threadloom.operators.ranking import one_per_key
 from threadloom.plans.parameters import RefreshParameters
 from threadloom.session import configure, materialize
-from threadloom.sources import schemas
+from threadloom.sources import ledger, schemas
 from threadloom.sources.captures import h16, lookback
-from threadloom.sources.sinks import export_texts, read_current, read_if_there, upsert_table, write_narrow
+from threadloom.sources.sinks import (
+    append_texts,
+    batch_number,
+    read_current,
+    read_if_there,
+    text_key,
+    text_objects,
+    upsert_table,
+    write_narrow,
+)
 
 NARROW_KEYS = ("kind", "sub", "sid", "cap14", "h16")
+# So many days are written into the filter of a scan.
+DAYS_NAMED = 1000
 
 
 def narrow_rows(captures: DataFrame) -> DataFrame:
@@ -54,8 +65,12 @@ def refresh(
     and upsert what changed, export the missing texts.
 
     Arguments are the paths of the four tables.  Running it again without new
-    captures changes nothing.  The counts returned say what a budget has deferred
-    and how many texts the model has refused; both come again in the next run.
+    captures changes nothing and reads no text: documents are known by the hashes
+    stored with narrow rows, whose digests are compared with those recorded for the
+    index and the store, and only leaves that differ are opened.  The counts
+    returned say how many leaves of the index were opened, what a budget has
+    deferred and how many texts the model has refused; both come again in the next
+    run.
     """
     configure(spark)
 
@@ -74,16 +89,59 @@ def refresh(
         write_narrow(narrow_rows(fresh), narrow, params.zstd_level)
         done = windowed(read_if_there(spark, narrow, schemas.NARROW))
 
-    staged = latest_versions(done)
-    # Ids and hashes are written out; a text is read again only if it has changed.
-    documents = build_documents(staged, latest=False)
-    keys = materialize(documents.select("id", "metadata"), "document-keys")
-    fresh = materialize(ix.changed(keys, read_current(spark, index)).select("id").distinct(), "changed")
-    n_fresh = fresh.count()
-    counts = {"converted": converted, "documents": keys.count(), "vectors": 0, "failed": 0, "deferred": 0}
+    keys = materialize(document_keys(done), "document-keys")
+    leaves = materialize(dg.leaf_digests(keys), "leaves")
+    counts = {"converted": converted, "documents": leaves.agg(F.sum("n")).first()[0] or 0}
+    counts |= _refresh_index(spark, done, keys, leaves, index, embed, params)
+    _refresh_store(spark, done, keys, leaves, store, params)
+    return counts
+
+
+def _opened(spark: SparkSession, keys: DataFrame, leaves: DataFrame, path: str):
+    """The table's files, and the leaves of which it is not known that it holds all
+    their documents; None if there are no such leaves."""
+    files = ledger.data_files(spark, path)
+    opened = materialize(dg.differing(leaves, ledger.recorded(spark, path, files)), "opened")
+    return files, None if opened.isEmpty() else opened
+
+
+def _record(spark: SparkSession, path: str, leaves: DataFrame, pending: DataFrame | None, before) -> None:
+    """Record the leaves without pending rows, if nobody else has written."""
+    files = ledger.data_files(spark, path)
+    if files and ledger.one_write(before, files):
+        if pending is not None:
+            rest = pending.select("y", "md", dg.id_bucket().alias("bucket")).distinct()
+            leaves = leaves.join(rest, list(dg.LEAF), "left_anti")
+        ledger.record(spark, path, batch_number(), leaves, files)
+
+
+def documents_of(done: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents with texts of some rows of document_keys that were written.
+
+    Few days are named to the scan, so that other days' texts are not read."""
+    days = [r[0] for r in wanted.select(F.concat("y", "md")).distinct().limit(DAYS_NAMED + 1).collect()]
+    rows = done if len(days) > DAYS_NAMED else done.where(F.concat("y", "md").isin(days))
+    versions = wanted.select("kind", "sub", "sid", *VERSION_KEYS).distinct()
+    documents = build_documents(rows.join(versions, versions.columns, "left_semi"), latest=False)
+    return documents.join(wanted.select("id").distinct(), "id", "left_semi")
+
+
+def _refresh_index(spark, done, keys, leaves, index, embed, params) -> dict[str, int]:
+    counts = {"vectors": 0, "failed": 0, "deferred": 0, "opened": 0}
+    before, opened = _opened(spark, keys, leaves, index)
+    if opened is None:
+        return counts
+    buckets = [r[0] for r in opened.select("bucket").distinct().collect()]  # 32 at most
+    counts["opened"] = opened.count()
+    current = read_current(spark, index, buckets=buckets)
+    fresh = materialize(ix.changed(dg.in_leaves(keys, opened), current), "changed")
+    fresh_ids = materialize(fresh.select("id").distinct(), "changed-ids")
+    n_fresh = fresh_ids.count()
+    pending = None
     if n_fresh:
-        todo_ids = ix.take_lowest(fresh, "id", params.max_vectors)
-        plan = one_per_key(documents.join(todo_ids, "id", "left_semi"), keys.select("id"), ["id"])
+        todo_ids = ix.take_lowest(fresh_ids, "id", params.max_vectors)
+        wanted = materialize(fresh.join(todo_ids, "id", "left_semi"), "wanted")
+        plan = one_per_key(documents_of(done, wanted), wanted.select("id"), ["id"])
         handed = plan.withColumn("_handed", truncate_text("text", params.embed_chars)).drop("text")
         # Model calls must not run again for every use of their results.
         embedded = materialize(
@@ -96,7 +154,30 @@ def refresh(
         )
         n, failed = embedded.agg(F.count(F.lit(1)), F.count("error")).first()
         counts |= {"vectors": n - failed, "failed": failed, "deferred": n_fresh - n}
+        good = embedded.where(F.col("error").isNull())
         if n > failed:
-            upsert_table(spark, index, ix.check_dim(embedded.where(F.col("error").isNull()), params.dim))
-    export_texts(documents, store, params.max_objects, params.prefix, keys)
+            version = F.max(F.concat_ws("-", "cap14", "h16")).alias("version")
+            versions = wanted.groupBy("id").agg(version)
+            upsert_table(spark, index, ix.check_dim(good.join(versions, "id"), params.dim))
+        if n_fresh > n - failed:
+            pending = fresh.join(good.select("id"), "id", "left_anti")
+    _record(spark, index, leaves, pending, before)
     return counts
+
+
+def _refresh_store(spark, done, keys, leaves, store, params) -> None:
+    before, opened = _opened(spark, keys, leaves, store)
+    if opened is None:
+        return
+    named = dg.in_leaves(keys, opened).withColumn("key", text_key(params.prefix))
+    manifest = read_if_there(spark, store, schemas.STORE)
+    fresh = materialize(unseen(named, manifest, ["key"]), "fresh")
+    pending = None
+    if not fresh.isEmpty():
+        kept = ix.take_lowest(fresh, "key", params.max_objects)
+        if params.max_objects:
+            kept = materialize(kept, "exported")
+            pending = fresh.join(kept.select("key"), "key", "left_anti")
+        objects = text_objects(documents_of(done, kept), params.prefix)
+        append_texts(objects.join(kept.select("key").distinct(), "key", "left_semi"), store)
+    _record(spark, store, leaves, pending, before)

@@ -13,7 +13,7 @@ CAPTURE = (
 )
 NARROW = (
     "sub string, sid string, hms string, cap14 string, h16 string, author string, title string, body string, "
-    "comment_id string, parent_id string, kind string, y string, md string"
+    "comment_id string, parent_id string, h string, kind string, y string, md string"
 )
 
 # Tables are partitioned by kind and day, which is what a lookback asks for.

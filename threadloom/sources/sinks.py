@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from threadloom.functions.ids import DEFAULT_PREFIX, object_key
 from threadloom.operators.captures import unseen
+from threadloom.operators.digests import id_bucket
+from threadloom.operators.documents import document_hash
 from threadloom.operators.index import vector_records
 from threadloom.operators.ranking import last_by, take_lowest
 from threadloom.session import materialize
@@ -45,7 +48,11 @@ def _fit(df: DataFrame, schema: str) -> DataFrame:
 
 
 def write_narrow(df: DataFrame, path: str, level: int = ZSTD_LEVEL) -> None:
-    """A5: narrow rows of either kind as zstd Parquet, partitioned by PARTITIONS."""
+    """A5: narrow rows of either kind as zstd Parquet, partitioned by PARTITIONS,
+    with the content hash of what each row says."""
+    if "h" not in df.columns:
+        missing = [c for c in ("title", "body") if c not in df.columns]
+        df = df.withColumns({c: F.lit(None).cast("string") for c in missing}).withColumn("h", document_hash())
     _write_partitioned(_fit(df, schemas.NARROW), path, schemas.PARTITIONS, schemas.CLUSTERED, level)
 
 
@@ -73,12 +80,19 @@ def write_vectors(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     vector_records(df).write.mode(mode).json(path)
 
 
+def text_key(prefix: str | None = DEFAULT_PREFIX):
+    """The store's key of a row of (id, metadata)."""
+    md = F.col("metadata")
+    local_id = F.when(md["t"] == "s", md["sid"]).otherwise(F.substring_index("id", ":", -1))
+    return object_key(md["t"], md["sub"], local_id, md["h"], prefix)
+
+
 def text_objects(documents: DataFrame, prefix: str | None = DEFAULT_PREFIX) -> DataFrame:
     """The rows of the content-addressed table: key, t, sub, id, h, text."""
     md = F.col("metadata")
     local_id = F.when(md["t"] == "s", md["sid"]).otherwise(F.substring_index("id", ":", -1))
     return documents.select(
-        object_key(md["t"], md["sub"], local_id, md["h"], prefix).alias("key"),
+        text_key(prefix).alias("key"),
         md["t"].alias("t"),
         md["sub"].alias("sub"),
         local_id.alias("id"),
@@ -122,17 +136,24 @@ def export_texts(
     its own manifest."""
     manifest = read_if_there(documents.sparkSession, path, schemas.STORE)
     fresh = new_texts(documents, manifest, max_objects, prefix, keys)
-    _write_partitioned(_fit(fresh, schemas.STORE), path, ("t", "sub"))
+    append_texts(fresh, path)
+
+
+def append_texts(objects: DataFrame, path: str) -> None:
+    """Append text objects that are known to be missing."""
+    _write_partitioned(_fit(objects, schemas.STORE), path, ("t", "sub"))
 
 
 # -- vector table ----------------------------------------------------------------
 
-# Records are only ever appended, each batch with a number of its own; of an id
-# the record with the highest number counts.  Two writers, or one batch written
-# twice, do not harm each other, and what is written grows with the batch alone.
-# compact_table writes a table that holds each id once.
+# Records are only ever appended, each batch with a number of its own.  Of an id
+# the record of the highest source version counts, of equal versions that of the
+# highest number; records without a version come before all others.  So neither
+# the order in which writers come nor a batch written twice matters, and what is
+# written grows with the batch alone.  compact_table writes a table that holds
+# each id once.
 
-BUCKETS = 32
+LOG = "version string, seq string, bucket int"
 
 
 def batch_number() -> str:
@@ -140,32 +161,60 @@ def batch_number() -> str:
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
 
 
-def read_current(spark: SparkSession, root: str, schema: str = schemas.INDEX) -> DataFrame:
-    """The table as of now; empty where nothing has been written.
+def number_of_epoch(spark: SparkSession, root: str, stream: str, epoch: int) -> str:
+    """The number of a stream's batch: given once, and found again when the batch
+    is run again.  It is written before the batch is."""
+    name = hashlib.sha256(stream.encode()).hexdigest()[:16]
+    path = f"{root}/_batches/{name}/{epoch:020d}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        spark.range(1).select(F.lit(batch_number()).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    return spark.read.text(path).first()["value"]
+
+
+def read_current(
+    spark: SparkSession, root: str, schema: str = schemas.INDEX, buckets: Sequence[int] | None = None
+) -> DataFrame:
+    """The table as of now, or some of its buckets; empty where nothing has been
+    written.
 
-    Only ids and numbers are compared.  The records that no longer count are
-    written out, so that few of them are sent to the scan of the vectors, which
+    Only ids, versions and numbers are compared.  The records that no longer count
+    are written out, so that few of them are sent to the scan of the vectors, which
     are not shuffled then."""
-    rows = read_if_there(spark, root, f"{schema}, seq string, bucket int")
-    numbers = rows.select("id", "seq")
-    newest = numbers.groupBy(F.col("id").alias("_id")).agg(F.max("seq").alias("_newest"), F.min("seq").alias("_first"))
-    several = newest.where("_first < _newest")
-    old = numbers.join(several, F.col("id").eqNullSafe(F.col("_id")) & (F.col("seq") < F.col("_newest")))
-    gone = materialize(old.select(F.col("id").alias("_i"), F.col("seq").alias("_s")).distinct(), "superseded")
-    kept = rows.join(gone, F.col("id").eqNullSafe(F.col("_i")) & (F.col("seq") == F.col("_s")), "left_anti")
-    return kept.drop("seq", "bucket")
+    rows = read_if_there(spark, root, f"{schema}, {LOG}")
+    if buckets is not None:
+        rows = rows.where(F.col("bucket").isin(list(buckets)))
+    at = F.struct(F.coalesce("version", F.lit("")).alias("version"), "seq")
+    marks = rows.select(F.col("id").alias("_id"), at.alias("_at"))
+    several = marks.groupBy(F.col("_id").alias("_i")).agg(F.max("_at").alias("_newest"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    seen = marks.join(several, F.col("_id").eqNullSafe(F.col("_i"))).groupBy("_id", "_at", "_newest").agg(F.count(F.lit(1)).alias("_n"))
+    odd = materialize(seen.where("_at < _newest OR _n > 1").select("*", (F.col("_at") < F.col("_newest")).alias("_old")), "superseded")
+    old, twice = odd.where("_old"), odd.where("NOT _old").select("_id")
+    kept = rows.join(old, F.col("id").eqNullSafe(F.col("_id")) & (at == F.col("_at")), "left_anti")
+    if not twice.isEmpty():
+        repeated = F.col("id").eqNullSafe(F.col("_id"))
+        place = F.row_number().over(Window.partitionBy("id").orderBy("id"))
+        firsts = kept.join(twice, repeated, "left_semi").withColumn("_place", place).where("_place = 1").drop("_place")
+        kept = kept.join(twice, repeated, "left_anti").unionByName(firsts)
+    return kept.drop("version", "seq", "bucket")
 
 
 def upsert_table(
-    spark: SparkSession, root: str, batch: DataFrame, schema: str = schemas.INDEX, seq: str | None = None
+    spark: SparkSession,
+    root: str,
+    batch: DataFrame,
+    schema: str = schemas.INDEX,
+    seq: str | None = None,
+    number: str | None = None,
 ) -> str:
     """Append the batch, and give its number.  Within the batch an id may come
-    twice only if ``seq`` names the column that tells which one is the last."""
+    twice only if ``seq`` names the column that tells which one is the last.  A
+    column ``version`` is the source version, which decides before the number."""
     if seq is not None:
         batch = last_by(materialize(batch, "batch"), ["id"], [seq])
-    number = batch_number()
-    rows = _fit(batch, schema).withColumn("seq", F.lit(number))
-    bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int"))
+    number = number or batch_number()
+    version = F.col("version") if "version" in batch.columns else F.lit(None)
+    rows = _fit(batch.withColumn("version", version.cast("string")), f"{schema}, version string").withColumn("seq", F.lit(number))
+    bucketed = rows.withColumn("bucket", id_bucket())
     _write_partitioned(bucketed, root, ("bucket",), ("id",))
     return number
 

@@ -7,10 +7,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from threadloom.functions.ids import path_key_columns, path_keys, valid_stamp
 from threadloom.functions.once import computed_once
+from threadloom.operators.documents import document_hash
 from threadloom.operators.narrow import narrow_comments, narrow_submissions
 from threadloom.sources import schemas
 from threadloom.sources.captures import h16
-from threadloom.sources.sinks import upsert_table
+from threadloom.sources.sinks import number_of_epoch, upsert_table
 
 KEYS = ("sub", "kind", "y", "md", "hms", "sid", "cap14", "h16")
 
@@ -37,7 +38,9 @@ def capture_stream(
 
 def narrow_stream(rows: DataFrame, kind: str) -> DataFrame:
     """B1, B2 on a stream; a post's capture holds one line."""
-    return narrow_submissions(rows, KEYS) if kind == "submissions" else narrow_comments(rows, KEYS)
+    narrow = narrow_submissions(rows, KEYS) if kind == "submissions" else narrow_comments(rows, KEYS)
+    title = narrow if "title" in narrow.columns else narrow.withColumn("title", F.lit(None).cast("string"))
+    return title.withColumn("h", document_hash())
 
 
 def append_available(rows: DataFrame, path: str, checkpoint: str, partitions=schemas.PARTITIONS) -> StreamingQuery:
@@ -54,14 +57,16 @@ def append_available(rows: DataFrame, path: str, checkpoint: str, partitions=sch
 
 
 def upsert_available(batches: DataFrame, root: str, checkpoint: str, seq: str | None = None) -> StreamingQuery:
-    """A9 for a stream of vector records: one number per batch.
+    """A9 for a stream of vector records: one number per epoch.
 
     Where an id can come twice in a batch, name the column ``seq`` that tells
-    which record is the last.  A batch that is run again changes nothing.
+    which record is the last.  A batch that is run again keeps the number of its
+    first run, so it changes nothing, whatever has been written since.
     """
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        upsert_table(batch.sparkSession, root, batch, seq=seq)
+    def write(batch: DataFrame, epoch: int) -> None:
+        number = number_of_epoch(batch.sparkSession, root, checkpoint, epoch)
+        upsert_table(batch.sparkSession, root, batch, seq=seq, number=number)
 
     return (
         batches.writeStream.foreachBatch(write)
