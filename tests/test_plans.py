@@ -1,8 +1,10 @@
 import json
+import re
 import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from threadloom.plans.import_dump import import_files
@@ -127,6 +129,76 @@ def test_refresh(spark, dumps, tmp_path):
     assert {f"reddit/v1/r/s/ja/p2/{h['r:s:ja:p2']}.txt" for h in (index, after)} <= keys
 
 
+def test_refresh_without_news_reads_no_text(spark, dumps, tmp_path, monkeypatch):
+    p = paths(tmp_path)
+    import_files(spark, dumps, p["captures"], NOW)
+    refresh(spark, embed=embed, params=PARAMS, **p)
+    plans, write = [], DataFrameWriter.parquet
+
+    def watched(writer, path, *args, **kwargs):
+        plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return write(writer, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    assert refresh(spark, embed=embed, params=PARAMS, **p)["opened"] == 0
+    assert plans
+    for plan in plans:
+        for column in ("body", "title", "raw", "text", "values"):
+            assert f"{column}:" not in "".join(re.findall(r"ReadSchema: \S+", plan)), plan
+
+
+def test_refresh_compares_again_after_another_writer(spark, dumps, tmp_path):
+    p = paths(tmp_path)
+    import_files(spark, dumps, p["captures"], NOW)
+    refresh(spark, embed=embed, params=PARAMS, **p)
+    before = index_of(spark, p)
+    row = sinks.read_current(spark, p["index"]).where("id = 'r:s:ja:p1'")
+    other = row.withColumn("metadata", F.col("metadata").withField("h", F.lit("other"))).withColumn("version", F.lit("9"))
+    sinks.upsert_table(spark, p["index"], other)
+    assert index_of(spark, p)["r:s:ja:p1"] == "other"
+    got = refresh(spark, embed=embed, params=PARAMS, **p)
+    # The other writer's version is higher, so its record stays; the leaf is opened.
+    assert (got["vectors"], got["opened"] > 0) == (1, True)
+    assert {k: v for k, v in index_of(spark, p).items() if k != "r:s:ja:p1"} == {k: v for k, v in before.items() if k != "r:s:ja:p1"}
+
+
+def test_refresh_hashes_rows_that_were_written_without(spark, dumps, tmp_path):
+    p = paths(tmp_path)
+    import_files(spark, dumps, p["captures"], NOW)
+    refresh(spark, embed=embed, params=PARAMS, **p)
+    old = read_table(spark, p["narrow"], schemas.NARROW).withColumn("h", F.lit(None).cast("string"))
+    again = p | {"narrow": str(tmp_path / "old")}
+    sinks.write_narrow(old, again["narrow"])
+    got = refresh(spark, embed=embed, params=PARAMS, **again)
+    assert (got["converted"], got["documents"], got["vectors"]) == (0, 8, 0)
+
+
+def test_a_batch_that_is_run_again_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "index")
+
+    def batch(value, version):
+        row = ("a", [value], ("r", "j", "s", "x", None, "h"), "2024", "0101", version)
+        return spark.createDataFrame([row], schemas.INDEX + ", version string")
+
+    def now():
+        return [r["values"][0] for r in sinks.read_current(spark, root).collect()]
+
+    first = sinks.number_of_epoch(spark, root, "marks", 0)
+    sinks.upsert_table(spark, root, batch(1.0, None), number=first)
+    assert now() == [1.0]
+    sinks.upsert_table(spark, root, batch(2.0, None))
+    assert sinks.number_of_epoch(spark, root, "marks", 0) == first
+    sinks.upsert_table(spark, root, batch(1.0, None), number=first)
+    assert now() == [2.0]
+    sinks.upsert_table(spark, root, batch(3.0, "20240101-b"))
+    sinks.upsert_table(spark, root, batch(4.0, "20240101-a"))
+    assert now() == [3.0]
+    number = sinks.number_of_epoch(spark, root, "marks", 1)
+    for _ in range(2):
+        sinks.upsert_table(spark, root, batch(5.0, "20240102-a"), number=number)
+    assert now() == [5.0]
+
+
 def test_refresh_with_a_budget_goes_on(spark, dumps, tmp_path):
     p = paths(tmp_path)
     import_files(spark, dumps, p["captures"], NOW)

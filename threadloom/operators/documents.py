@@ -40,12 +40,16 @@ def _metadata(h):
     return F.struct(F.lit(ids.SRC).alias("src"), "sub", "t", "sid", "pid", h.alias("h")).alias("metadata")
 
 
+def hashed(staged: DataFrame) -> DataFrame:
+    """Narrow rows with the hashes that older writers left out."""
+    return staged.withColumn("h", F.coalesce("h", document_hash()))
+
+
 def document_keys(staged: DataFrame) -> DataFrame:
     """(id, metadata) of the documents that the rows make, with the rows' own keys,
-    from stored hashes: no text is read.  Rows written without a hash are hashed."""
-    if not staged.where("h IS NULL").isEmpty():
-        staged = staged.withColumn("h", F.coalesce("h", document_hash()))
-    rows = _identified(latest_versions(staged)).where("h <> ''")
+    from stored hashes: no text is read.  Rows that were written without a hash keep a
+    null; ``hashed`` fills them in."""
+    rows = _identified(latest_versions(staged)).where("h IS NULL OR h <> ''")
     return rows.select(
         ids.document_id(F.col("t"), F.col("sub"), F.col("local_id")).alias("id"),
         _metadata(F.col("h")),

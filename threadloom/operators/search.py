@@ -110,11 +110,13 @@ class _Best:
             kth = np.partition(scores, n - self.k, axis=1)[:, n - self.k]
             self.floor = np.maximum(self.floor, kth)
         q, r = self._candidates(scores, rows)
-        if not len(q):
-            return
+        if len(q):
+            self.merge(q, scores[q, r], rows.take(pa.array(r)))
+
+    def merge(self, q: np.ndarray, scores: np.ndarray, found: pa.Table) -> None:
+        """Take in some rows, each with its question and score."""
         query = np.concatenate([self.query, q])
-        score = np.concatenate([self.score, scores[q, r]])
-        found = rows.take(pa.array(r))
+        score = np.concatenate([self.score, scores])
         found = found if self.rows is None else pa.concat_tables([self.rows, found])
         ids = np.asarray(found.column("id").to_pylist(), dtype=object)
         order = np.lexsort((ids, -score, query))

@@ -11,7 +11,7 @@ from threadloom.functions.once import computed_once
 from threadloom.functions.text import truncate_text
 from threadloom.operators import digests as dg, index as ix
 from threadloom.operators.captures import VERSION_KEYS, convert_new, unseen
-from threadloom.operators.documents import build_documents, document_keys
+from threadloom.operators.documents import build_documents, document_keys, hashed
 from threadloom.operators.model import apply_model
 from threadloom.operators.narrow import narrow_comments, narrow_submissions, only_subs, union_kinds
 from threadloom.operators.ranking import one_per_key
@@ -90,6 +90,8 @@ def refresh(
         done = windowed(read_if_there(spark, narrow, schemas.NARROW))
 
     keys = materialize(document_keys(done), "document-keys")
+    if not keys.where("metadata.h IS NULL").isEmpty():
+        keys = materialize(document_keys(hashed(done)), "document-keys")
     leaves = materialize(dg.leaf_digests(keys), "leaves")
     counts = {"converted": converted, "documents": leaves.agg(F.sum("n")).first()[0] or 0}
     counts |= _refresh_index(spark, done, keys, leaves, index, embed, params)

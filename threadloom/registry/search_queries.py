@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from threadloom.operators import context, index as ix, search as se
 from threadloom.operators.model import apply_model
 from threadloom.plans.parameters import QuestionParameters, RefreshParameters, SearchParameters
+from threadloom.operators.cells import build_cells, topk_cells
 from threadloom.plans.refresh import refresh as run_refresh
 from threadloom.plans.search import context_for, rag_context as rag, search
 from threadloom.registry.base import register
@@ -16,13 +17,14 @@ from threadloom.registry.views import (
     documents,
     idx,
     label_queries,
+    row_queries,
     old_index,
     score_sql,
     sql,
     staged,
 )
 from threadloom.session import materialize, scratch_path
-from threadloom.sources import schemas, sinks
+from threadloom.sources import ledger, schemas, sinks
 from threadloom.sources.captures import read_table
 
 MD = ("sub", "t", "sid", "pid", "h")
@@ -97,6 +99,27 @@ def vector_table(spark, sf):
     return back.select("id", F.col("metadata.h").alias("h"), F.col("values")[0].cast("bigint").alias("version"))
 
 
+@register(
+    "vector_table_replay",
+    sql("docs_v", "SELECT id, h, CASE WHEN t = 's' THEN 2 ELSE 1 END::BIGINT AS version FROM docs_v"),
+)
+def vector_table_replay(spark, sf):
+    """A stream's batch of all records is written, then newer versions of the posts;
+    the batch is run again under its own number, and changes nothing."""
+    root = scratch_path(spark, "index")
+    rows = documents(spark, sf).select(
+        "id", F.array(F.lit(1.0).cast("float")).alias("values"), "metadata", "y", "md", F.lit("20240101000000-a").alias("version")
+    )
+    newer = rows.where("metadata.t = 's'").withColumns(
+        {"values": F.array(F.lit(2.0).cast("float")), "version": F.lit("20240201000000-b")}
+    )
+    for batch in (rows, newer, rows):
+        number = None if batch is newer else sinks.number_of_epoch(spark, root, "records", 0)
+        sinks.upsert_table(spark, root, batch, number=number)
+    back = sinks.read_current(spark, root)
+    return back.select("id", F.col("metadata.h").alias("h"), F.col("values")[0].cast("bigint").alias("version"))
+
+
 @register(
     "vector_records",
     sql(
@@ -229,6 +252,31 @@ def refresh(spark, sf):
     return index.join(narrow, F.col("id") == F.col("_n")).join(store, F.col("id") == F.col("_s")).select("id", "h", "t", "n", "narrow", "stored")
 
 
+@register(
+    "refresh_noop",
+    sql(
+        "docs_v subs_v",
+        """SELECT 0::BIGINT AS converted, count(*) AS documents, 0::BIGINT AS vectors, 0::BIGINT AS failed, 0::BIGINT AS deferred,
+               0::BIGINT AS opened, count(*) AS indexed, count(*) AS stored
+           FROM docs_v d WHERE d.t = 's' OR sub || ':' || sid IN (SELECT sub || ':' || sid FROM subs_v)""",
+    ),
+)
+def refresh_noop(spark, sf):
+    """The third of three refreshes has nothing to do: no leaf differs from what is
+    recorded for the index and the store, so none is opened."""
+    paths = {n: scratch_path(spark, n) for n in ("captures", "narrow", "index", "store")}
+    dump = imported(spark, sf)
+    sinks.append_captures(dump.posts, paths["captures"])
+    sinks.append_captures(dump.comments, paths["captures"])
+    for _ in range(3):
+        counts = run_refresh(spark, embed=letter_counts, params=RefreshParameters(dim=3), **paths)
+    for name, path in (("indexed", paths["index"]), ("stored", paths["store"])):
+        known = ledger.recorded(spark, path, ledger.data_files(spark, path))
+        counts[name] = known.agg(F.sum("n")).first()[0]
+    names = "converted documents vectors failed deferred opened indexed stored".split()
+    return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
 # -- search ------------------------------------------------------------------------
 
 FIRST = "vec_id = 0"
@@ -262,24 +310,32 @@ def topk_projection(spark, sf):
 
 BATCH_SQL = """SELECT query_id, id, score FROM (
     SELECT a.query_id, i.id, round(list_dot_product(i.vec, a.q), 9) AS score
-    FROM idx_v i CROSS JOIN (SELECT label AS query_id, arg_min(vec, vec_id) AS q FROM idx_v GROUP BY label) a)
+    FROM idx_v i CROSS JOIN (SELECT vec_id AS query_id, vec AS q FROM idx_v WHERE vec_id % 20 = 0) a)
     QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 10"""
 
 
 @register("vector_topk_batch", sql("idx_v", BATCH_SQL))
 def vector_topk_batch(spark, sf):
     index = idx(spark, sf)
-    return se.topk_batch(index, label_queries(index), 10, metric="dot").select("query_id", "id", "score")
+    return se.topk_batch(index, row_queries(index), 10, metric="dot").select("query_id", "id", "score")
 
 
 @register("vector_topk_grid", sql("idx_v", BATCH_SQL))
 def vector_topk_grid(spark, sf):
     """The questions in several blocks."""
     index = idx(spark, sf)
-    hits = se.topk_batch(index, label_queries(index), 10, metric="dot", block=3)
+    hits = se.topk_batch(index, row_queries(index), 10, metric="dot", block=16)
     return hits.select("query_id", "id", "score")
 
 
+@register("vector_topk_cells", sql("idx_v", BATCH_SQL))
+def vector_topk_cells(spark, sf):
+    """The questions over an index in cells, of which some are skipped."""
+    index = idx(spark, sf)
+    cells = build_cells(index, metric="dot")
+    return topk_cells(cells, row_queries(index), 10).select("query_id", "id", "score")
+
+
 ONE = ()
 
 

@@ -213,6 +213,12 @@ def label_queries(index: DataFrame) -> DataFrame:
     )
 
 
+def row_queries(index: DataFrame) -> DataFrame:
+    """Every entry whose number is divisible by 20 as a question."""
+    rows = index.where(F.col("vec_id") % 20 == 0)
+    return rows.select(F.col("vec_id").alias("query_id"), F.col("values").alias("vector"))
+
+
 # -- the same as SQL -----------------------------------------------------------
 
 BLANK_SQL = "'" + BLANKS + "'"
