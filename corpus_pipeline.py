@@ -41,16 +41,24 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: of documents alike to 0.8 in five-word shingles the one
-    with the smallest id stays, of rows with that id the first by text."""
-    groups = materialize(near.near_groups(docs).select("doc_id", "kept"), "near-groups")
-    gone = materialize(groups.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "copies")
-    left = without(docs, gone)
-    repeated = materialize(
-        groups.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated"
-    )
-    rest = docs.join(ids_for_join(repeated.select(F.col("doc_id").alias("_twice"))), F.col("doc_id") == F.col("_twice"), "left_semi")
-    return without(left, repeated).unionByName(rest.dropDuplicates(["doc_id"]))
+    """MinHash near-dedup: of documents alike to 0.8 in five-word shingles one row
+    stays, of the smallest id.  Rows of one id are told apart by their texts; of
+    rows that agree in id and text one stays.  Texts without words stay all."""
+    groups = materialize(near.near_groups(docs).where(F.col("doc_id").isNotNull()), "near-groups")
+    row = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+    gone = materialize(groups.where(~F.col("first")).select(*row).distinct(), "copies")
+    firsts = groups.where("first AND n_shingles > 0").groupBy(*row).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = materialize(firsts.where("_n > 1").select("_id", "_hash"), "repeated")
+    mark = "_text_hash"
+    while mark in docs.columns:
+        mark += "_"
+    marked = docs.withColumn(mark, near.text_hash())
+    named = (F.col("doc_id") == F.col("_id")) & (F.col(mark) == F.col("_hash"))
+    left = marked.join(ids_for_join(gone), named, "left_anti")
+    if not repeated.isEmpty():
+        once = left.join(ids_for_join(repeated), named, "left_semi").dropDuplicates(["doc_id", mark])
+        left = left.join(ids_for_join(repeated), named, "left_anti").unionByName(once)
+    return left.drop(mark)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

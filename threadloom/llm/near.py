@@ -86,7 +86,7 @@ def band_keys(signature, bands: int, rows: int):
 
 
 def described(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int, threshold) -> DataFrame:
-    """(doc_id, n_shingles, key1, key2, bands) of each text.
+    """(doc_id, text_hash, n_shingles, key1, key2, bands) of each text.
 
     The keys are sums over the set, equal for equal sets.  A set so small that
     only an equal one can reach the threshold has no bands."""
@@ -101,7 +101,7 @@ def described(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int
             n = batch.num_rows
             sizes, keys = np.zeros(n, np.int64), np.zeros((2, n), np.uint64)
             found = [None] * n
-            for low, high, data, starts, ends in grouped(batch.column(1)):
+            for low, high, data, starts, ends in grouped(batch.column(2)):
                 hashes, owner, _, _ = word_hashes(data, starts, ends)
                 values, owner = distinct_by_text(*shingle_hashes(hashes, owner, high - low, size))
                 counts = np.bincount(owner, minlength=high - low)
@@ -122,16 +122,26 @@ def described(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(sizes),
                     pa.array(keys[0].view(np.int64)),
                     pa.array(keys[1].view(np.int64)),
                     pa.array(found, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "key1", "key2", "bands"],
+                names=["doc_id", "text_hash", "n_shingles", "key1", "key2", "bands"],
             )
 
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    return given.mapInArrow(run, "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>")
+    given = identified(docs, id_col, text_col)
+    return given.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, key1 long, key2 long, bands array<long>")
+
+
+def text_hash(text_col: str = "text"):
+    """What tells rows of one id with different texts apart."""
+    return F.xxhash64(whole_text(text_col))
+
+
+def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(text_col).alias("text_hash"), whole_text(text_col).alias("text"))
 
 
 def compared(pairs: DataFrame, texts: DataFrame, size: int, threshold) -> DataFrame:
@@ -194,7 +204,12 @@ def near_groups(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document.
+    """(doc_id, n_shingles, component_id, kept, text_hash, first) of every document.
+
+    What is grouped are sets, so rows of one id with different texts are different
+    members.  ``component_id`` is the smallest id among a group's rows, and ``kept``
+    tells rows of that id.  ``first`` tells one set's rows of one id in each group,
+    and rows that are linked with nothing.
 
     ``threshold`` is a fraction of two integers; links are confirmed by
     ``threshold[1] * common >= threshold[0] * together``.  The default signature
@@ -203,33 +218,51 @@ def near_groups(
     table = materialize(described(docs, id_col, text_col, size, bands, rows, threshold), "described")
     set_key = ["n_shingles", "key1", "key2"]
     sets = materialize(
-        table.where("n_shingles > 0").groupBy(*set_key).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")), "sets"
+        table.where("n_shingles > 0")
+        .groupBy(*set_key)
+        .agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("row"))
+        .select(*set_key, "row.*")
+        .repartitionByRange("doc_id", "text_hash")
+        .sortWithinPartitions("doc_id", "text_hash")
+        .withColumn("node", F.monotonically_increasing_id()),
+        "sets",
+    )  # nodes are numbered in the order of ids
+    chosen = sets.where(F.col("doc_id").isNotNull()).select(
+        F.col("node").alias("id"), F.col("n_shingles").alias("n"), F.col("doc_id").alias("d"), F.col("text_hash").alias("t")
     )
-    chosen = sets.where(F.col("id").isNotNull()).select("id", F.col("n_shingles").alias("n"), F.col("key1").alias("k1"), F.col("key2").alias("k2"))
     banded = (
-        table.where(F.col("bands").isNotNull())
-        .join(chosen, (F.col("doc_id") == F.col("id")) & (F.col("key1") == F.col("k1")) & (F.col("key2") == F.col("k2")))
+        table.where(F.col("bands").isNotNull() & F.col("doc_id").isNotNull())
+        .join(chosen, (F.col("doc_id") == F.col("d")) & (F.col("text_hash") == F.col("t")))
         .select("id", "n", F.explode("bands").alias("band"))
     )
     shared = banded.groupBy(F.col("band").alias("shared")).agg(F.count(F.lit(1)).alias("n_members")).where("n_members > 1")
     buckets = materialize(banded.join(shared, F.col("band") == F.col("shared")).select("band", "id", "n").distinct(), "buckets")
     involved = materialize(buckets.select("id").distinct(), "involved")
+    rows_of = materialize(chosen.join(involved, "id", "left_semi").select("id", "d", "t"), "involved-rows")
+    # Rows that agree in id and text are one text.
     texts = materialize(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-        .join(ids_for_join(involved), F.col("doc_id") == F.col("id"))
-        .select("doc_id", "text")
+        identified(docs, id_col, text_col)
+        .join(ids_for_join(rows_of), (F.col("doc_id") == F.col("d")) & (F.col("text_hash") == F.col("t")))
+        .select(F.col("id").alias("doc_id"), "text")
         .dropDuplicates(["doc_id"]),
         "texts",
     )
     labels = _joined(buckets, texts, size, threshold)
-    named = sets.join(labels.withColumnRenamed("id", "_v"), F.col("id") == F.col("_v"), "left").select(
-        *[F.col(c).alias(f"_{c}") for c in set_key], F.coalesce("component", "id").alias("component_id")
+    leaders = sets.select(F.col("node").alias("_leader"), F.col("doc_id").alias("component_id"), F.col("text_hash").alias("_first"))
+    named = (
+        sets.join(labels.withColumnRenamed("id", "_v"), F.col("node") == F.col("_v"), "left")
+        .withColumn("_leader_of", F.coalesce("component", "node"))
+        .join(leaders, F.col("_leader_of") == F.col("_leader"))
+        .select(*[F.col(c).alias(f"_{c}") for c in set_key], "component_id", "_first")
     )
     same = [F.col(c) == F.col(f"_{c}") for c in set_key]
+    alone = F.col("n_shingles") == 0
     found = table.join(named, same[0] & same[1] & same[2], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "text_hash", "_first"
     )
-    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    first = alone | (kept & F.coalesce(F.col("text_hash") == F.col("_first"), F.lit(False)))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "text_hash", first.alias("first"))
 
 
 def settled(rows: DataFrame, texts: DataFrame, size: int, threshold) -> DataFrame:

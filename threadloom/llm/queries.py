@@ -121,7 +121,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_near_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of two-word shingles are alike to 0.8."""
-    return near.near_groups(table(spark, sf_dir, "documents"), size=2, threshold=(80, 100))
+    found = near.near_groups(table(spark, sf_dir, "documents"), size=2, threshold=(80, 100))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query
