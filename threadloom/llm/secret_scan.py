@@ -37,6 +37,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.functions.once import computed_once
 from threadloom.llm.common import whole_text
 from threadloom.session import materialize
 
@@ -75,32 +76,36 @@ def located(df: DataFrame, text: str, pattern: str, name: str) -> DataFrame:
 
     The text between the matches gives their places.  Lengths are summed up chunk
     by chunk, so many matches in a text do not cost their square."""
-    found, gaps, sizes, chunks, sums = (f"_{name}_{x}" for x in ("found", "gaps", "sizes", "chunks", "sums"))
-    matches = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
+    found, gaps, sizes, sums, placed = (f"_{name}_{x}" for x in ("found", "gaps", "sizes", "sums", "ends"))
     some = F.size(found) > 0
-    df = df.withColumn(found, matches).withColumn(gaps, F.when(some, F.split(F.col(text), pattern, -1)))
-    df = df.withColumn(sizes, F.when(some, F.transform(found, lambda m, i: F.char_length(F.get(gaps, i)) + F.char_length(m))))
     plus = lambda a, b: a + b
-    df = df.withColumn(
-        chunks,
-        F.when(some, F.transform(F.sequence(F.lit(0), F.expr(f"(size({found}) - 1) div {CHUNK}")), lambda c: F.slice(sizes, (c * CHUNK + 1).cast("int"), F.lit(CHUNK)))),
+    # Each step is computed once: written into the next one's lambda, it would be
+    # computed for every match.
+    df = computed_once(df, **{found: F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))})
+    df = computed_once(df, **{gaps: F.when(some, F.split(F.col(text), pattern, -1))})
+    df = computed_once(df, **{sizes: F.when(some, F.zip_with(found, gaps, lambda m, g: F.char_length(g) + F.coalesce(F.char_length(m), F.lit(0))))})
+    n_chunks = F.expr(f"(size({found}) - 1) div {CHUNK}")
+    chunk = lambda c: F.slice(sizes, (c * CHUNK + 1).cast("int"), F.lit(CHUNK))
+    total = lambda c: F.aggregate(chunk(c), F.lit(0), plus)
+    # Ends of the chunks before each chunk, then of the matches inside it.
+    df = computed_once(df, **{sums: F.when(some, F.transform(F.sequence(F.lit(0), n_chunks), total))})
+    before = F.aggregate(
+        sums,
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")),
+        lambda acc, s: F.struct((acc["at"] + s).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")),
+        lambda acc: acc["all"],
     )
-    df = df.withColumn(sums, F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), plus)))
-    ends = F.flatten(
-        F.transform(
-            chunks,
-            lambda c, k: F.transform(
-                c, lambda _, i: F.aggregate(F.slice(sums, 1, k), F.lit(0), plus) + F.aggregate(F.slice(c, 1, i + 1), F.lit(0), plus)
-            ),
-        )
+    df = computed_once(df, **{f"{placed}0": F.when(some, before)})
+    inside = F.transform(
+        f"{placed}0", lambda at, k: F.transform(chunk(k), lambda _, i: at + F.aggregate(F.slice(chunk(k), 1, i + 1), F.lit(0), plus))
     )
-    df = df.withColumn(f"_{name}_ends", ends)
-    spans = F.transform(
-        found,
-        lambda m, i: F.struct((F.get(f"_{name}_ends", i) - F.char_length(m)).alias("start"), F.get(f"_{name}_ends", i).alias("end"), m.alias("match")),
+    df = computed_once(df, **{placed: F.when(some, F.slice(F.flatten(inside), F.lit(1), F.size(found)))})
+    spans = F.zip_with(
+        found, placed, lambda m, e: F.struct((e - F.char_length(m)).alias("start"), e.alias("end"), m.alias("match"))
     )
     empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    return df.withColumn(name, F.when(some, spans).otherwise(empty)).drop(found, gaps, sizes, chunks, sums, f"_{name}_ends")
+    df = computed_once(df, **{name: F.when(some, spans).otherwise(empty)})
+    return df.drop(found, gaps, sizes, sums, placed, f"{placed}0")
 
 
 def normal_tail(z: Column) -> Column:
@@ -183,6 +188,16 @@ def _body(match: Column) -> Column:
     return F.when(F.rtrim(match, F.lit("=")) == "", match).otherwise(F.rtrim(match, F.lit("=")))
 
 
+def _meets(spans: Column, s: Column) -> Column:
+    """Whether s overlaps one of ``spans``, which are in order and do not overlap:
+    the last one that begins before the end of s, found by bisection."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(25))])
+    number = F.aggregate(
+        steps, F.lit(0), lambda low, step: low + F.when(F.get(spans, low + step - 1)["start"] < s["end"], step).otherwise(0)
+    )
+    return F.coalesce(F.get(spans, number - 1)["end"] > s["start"], F.lit(False))
+
+
 def searched(docs: DataFrame, text_col: str, *columns: Column | str) -> DataFrame:
     """``columns`` with _base and _runs: the known patterns, and the long runs with
     their place in the grid; ``word`` tells those of letters alone."""
@@ -191,14 +206,16 @@ def searched(docs: DataFrame, text_col: str, *columns: Column | str) -> DataFram
         df = located(df, "_text", pattern, name)
     named = lambda spans, k: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end")))
     assigned = F.filter("_assign", lambda s: F.char_length(F.regexp_extract(s["match"], ASSIGN, 2)) >= LEAST_ASSIGNED)
-    df = df.withColumn("_base", F.sort_array(F.concat(named(assigned, 0), named(F.col("_access"), 1), named(F.col("_hex"), 2))))
+    df = computed_once(df, _assigned=assigned)
+    base = F.sort_array(F.concat(named("_assigned", 0), named("_access", 1), named("_hex", 2)))
+    df = computed_once(df, _base=base)
     telling = F.filter(
         "_long",
         lambda s: s["match"].rlike("[A-Za-z]")
         & (s["match"].rlike("[0-9]") | s["match"].rlike("^[A-Za-z]+$"))
-        & ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        & ~reduce(lambda x, y: x | y, [_meets(F.col(k), s) for k in ("_assigned", "_access", "_hex")]),
     )
-    df = df.withColumn("_telling", telling)
+    df = computed_once(df, _telling=telling)
 
     def gridded(s: Column) -> Column:
         level = F.least(F.floor(-F.log2(F.greatest(randomness(s["match"]), F.lit(1e-300)))), F.lit(LEVELS - 1))
@@ -213,7 +230,7 @@ def searched(docs: DataFrame, text_col: str, *columns: Column | str) -> DataFram
             (length * LEVELS + level).cast("int").alias("cell"),
         )
 
-    return df.withColumn("_runs", F.transform("_telling", gridded)).drop("_assign", "_access", "_hex", "_long", "_telling")
+    return df.withColumn("_runs", F.transform("_telling", gridded)).drop("_assign", "_assigned", "_access", "_hex", "_long", "_telling")
 
 
 def accepted_cells(found: DataFrame, share: float = FALSE_SHARE) -> list[tuple[bool, int, int]]:
