@@ -34,15 +34,20 @@ RANK = 256  # or the number of passages in a block, if smaller
 OVERSAMPLE = 16
 ROUNDS = 2
 BLOCK_ITEMS = 20_000
-# Of the cosine that a window with a copy of the passage would have.  Far below the
-# least share of common words, as the words in common can be the frequent ones; the
-# covered places decide next.
+# Of the cosine that a window with a copy of the passage would have: no passage asks
+# for less.  A passage asks for what its least weighty words give that a candidate
+# must cover, see ``gates``.
 NEAR = 0.1
+# Rounding of sums over a group's blocks, as a share of a copy's cosine.
+ROUNDING = 0.01
 COMMON = 0.7  # of the passage's words, in order
 COMMON_WITH_ANSWER = 0.5
 LEAST_COMMON = 6
 ANSWER_WORDS = 6
-COMPARED = 1 << 22  # windows times passages at once
+COMPARED = 1 << 21  # windows times passages at once
+DENSE = 1 << 22  # passages times terms that a plain table of places holds
+SPELLED = 1 << 18  # words of windows compared with passages at once
+PROJECTED = 1 << 10  # words turned into directions at once
 SEED = 17
 
 
@@ -100,14 +105,15 @@ def block_counts(docs: DataFrame, text_col: str):
 
 
 def passages(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item_id, words): word hashes of the passages of every item."""
+    """(item_id, words, ends): word hashes of the passages of every item, and whether
+    the item ends there, so that the last words are its answer."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            ids, found = [], []
+            ids, found, ends_there = [], [], []
             for low, high, data, starts, ends in grouped(batch.column(1)):
                 hashes, owner, _, _ = word_hashes(letters_only(data), starts, ends)
                 for i in range(high - low):
@@ -116,10 +122,12 @@ def passages(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     for at in starts_at if len(own) else []:
                         ids.append(batch.column(0)[low + i].as_py())
                         found.append(own[at : at + LONGEST] if at + 1.5 * LONGEST <= len(own) else own[-LONGEST:] if at else own[:LONGEST])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["item_id", "words"])
+                        ends_there.append(at == starts_at[-1])
+            columns = [pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(ends_there, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["item_id", "words", "ends"])
 
     given = items.select(F.col(id_col).cast("long").alias("item_id"), whole_text(text_col).alias("text"))
-    return given.mapInArrow(run, "item_id long, words array<long>")
+    return given.mapInArrow(run, "item_id long, words array<long>, ends boolean")
 
 
 def weighted(words, weights):
@@ -149,6 +157,30 @@ def term_places(words):
     return pair[order][heads], np.bitwise_or.reduceat(bit[order], heads)
 
 
+def gates(words, terms, directions, aims, weights):
+    """The least relative cosine with each passage of a window that covers the places
+    that a candidate must: each place adds its term's weight times the term's share in
+    the passage's latent vector, and the least of these are summed.
+
+    Where the latent space keeps a passage whole, other words add nothing, and this is
+    a bound.  Where it does not, words that are not in the passage can take from the
+    cosine, and what the space leaves out of the passage's length is subtracted."""
+    import numpy as np
+
+    found = np.full(len(words), NEAR)
+    for p, own in enumerate(words):
+        term, places = np.unique(terms_of(np.asarray(own, np.int64).view(np.uint64)), return_counts=True)
+        at = np.searchsorted(terms, term)
+        vector = directions[at] @ aims[p]
+        # What one occurrence adds, per place it covers.
+        adds = np.repeat(weights[term] * vector / places, places)
+        unit = places * weights[term]
+        lost = 1.0 - float(np.linalg.norm(unit @ directions[at]) / np.linalg.norm(unit)) ** 2
+        need = int(np.ceil(COMMON_WITH_ANSWER * len(own)))
+        found[p] = max(NEAR, np.sort(adds)[:need].sum() - max(lost, 0.0) - ROUNDING)
+    return found
+
+
 def _product(found: DataFrame, weights, basis_terms, basis, rank: int):
     """AᵀA times a basis, A being the passages' rows: partial sums of each
     partition, added up by term.  ``basis_terms`` None stands for random numbers."""
@@ -217,16 +249,26 @@ def common_words(left, right) -> int:
     return len(left) - row.bit_count()
 
 
-def agree(passage, text) -> tuple[float, bool, bool]:
-    """(share of the passage's words found in order, answer found, a leak)."""
+def agree(passage, text, ends: bool = True) -> tuple[float, bool, bool]:
+    """(share of the passage's words found in order, answer found, a leak).  A passage
+    at whose end its item goes on has no answer."""
     common = common_words(passage, text)
     share = common / len(passage)
     answer = passage[-ANSWER_WORDS:]
-    found = any(text[i : i + len(answer)] == answer for i, word in enumerate(text) if word == answer[0])
+    found = ends and any(text[i : i + len(answer)] == answer for i, word in enumerate(text) if word == answer[0])
     enough = common >= min(len(passage), LEAST_COMMON)
     return share, found, enough and (share >= COMMON or (found and share >= COMMON_WITH_ANSWER))
 
 
+def can_agree(passage, text, ends: bool) -> bool:
+    """Whether enough of the passage's words are in the text at all, in any order."""
+    within = set(text)
+    share = sum(word in within for word in passage) / len(passage)
+    if share < COMMON_WITH_ANSWER:
+        return False
+    return share >= COMMON or (ends and all(word in within for word in passage[-ANSWER_WORDS:]))
+
+
 def leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
@@ -251,25 +293,29 @@ def _leaks_of(docs, items, weights, id_col, text_col, item_col, item_text_col) -
     import numpy as np
 
     found = passages(items, item_col, item_text_col)
-    rows = found.sort("item_id", "words").collect()  # one block of items
+    rows = found.sort("item_id", "words", "ends").collect()  # one block of items
     schema = "doc_id long, item_id long, cosine double, common double, answer boolean"
     if not rows:
         return docs.sparkSession.createDataFrame([], schema)
     terms, directions = latent_space(found, weights)
     words = [r["words"] for r in rows]
-    item_ids = [r["item_id"] for r in rows]
+    item_ids, ends_there = [r["item_id"] for r in rows], [r["ends"] for r in rows]
     # A passage's place in the latent space, and how much of its length is kept there.
     row, term, value, norm = weighted(words, weights)
     items_at = np.zeros((len(words), directions.shape[1]))
     np.add.at(items_at, row, value[:, None] * directions[np.searchsorted(terms, term)])
     captured = np.linalg.norm(items_at, axis=1)
     # A window of length x that holds a copy has a cosine of norm / x with the passage.
-    aims = (items_at / (np.maximum(captured, 1e-12) ** 2 * norm)[:, None]).astype(np.float32)
+    aims = items_at / (np.maximum(captured, 1e-12) ** 2 * norm)[:, None]
+    least = gates(words, terms, directions, aims, weights).astype(np.float32)
+    aims = aims.astype(np.float32)
     # The number of blocks that hold a passage of so many words wherever it begins.
     spans = np.array([-(-(len(w) - 1) // STEP) + 1 for w in words])
     groups = [(int(g), np.flatnonzero(spans == g)) for g in sorted(set(spans.tolist()))]
     pairs, places = term_places(words)
     lengths = np.array([len(w) for w in words])
+    # How many places of a passage one word can cover.
+    most_places = np.array([max(w.count(x) for x in set(w)) for w in words])
     vectors = (weights[terms][:, None] * directions).astype(np.float32)
     weight = weights.astype(np.float32)
 
@@ -278,6 +324,10 @@ def _leaks_of(docs, items, weights, id_col, text_col, item_col, item_text_col) -
 
         place = np.full(TERMS, -1, np.int32)
         place[terms] = np.arange(len(terms))
+        dense = None
+        if len(words) * len(terms) <= DENSE:
+            dense = np.zeros((len(words), len(terms)), np.uint64)
+            dense[pairs // TERMS, place[pairs % TERMS]] = places
         for batch in batches:
             out = ([], [], [], [], [])
             for low, high, data, starts, ends in grouped(batch.column(1)):
@@ -292,9 +342,10 @@ def _leaks_of(docs, items, weights, id_col, text_col, item_col, item_text_col) -
                 # Sums over the blocks before each block: a window is a difference of two.
                 energy = np.append(0, np.cumsum(np.bincount(block, weight[term] ** 2, minlength=n)))
                 seen = np.zeros((n + 1, vectors.shape[1]))
-                if len(known):
-                    heads = np.flatnonzero(np.append(True, block[known][1:] != block[known][:-1]))
-                    seen[block[known][heads] + 1] = np.add.reduceat(vectors[at[known]], heads, axis=0)
+                for k in range(0, len(known), PROJECTED):
+                    some = known[k : k + PROJECTED]
+                    heads = np.flatnonzero(np.append(True, block[some][1:] != block[some][:-1]))
+                    seen[block[some][heads] + 1] += np.add.reduceat(vectors[at[some]], heads, axis=0)
                 np.cumsum(seen, axis=0, out=seen)
                 blocks_in = np.bincount(owners, minlength=high - low)
                 left = (np.cumsum(blocks_in) - blocks_in)[owners]
@@ -309,20 +360,30 @@ def _leaks_of(docs, items, weights, id_col, text_col, item_col, item_text_col) -
                     for k in range(0, len(start), max(1, COMPARED // len(group))):
                         a, b = start[k : k + COMPARED // len(group) + 1], stop[k : k + COMPARED // len(group) + 1]
                         relative = (seen[b] - seen[a]).astype(np.float32) @ aims[group].T
-                        row, column = np.nonzero(relative >= NEAR)
-                        if not len(row):
-                            continue
+                        row, column = np.nonzero(relative >= least[group])
+                        # A window with fewer known words than a candidate must cover is none.
+                        counts = known_firsts[b[row]] - known_firsts[a[row]]
+                        enough = counts * most_places[group[column]] >= COMMON_WITH_ANSWER * lengths[group[column]]
+                        row, column, counts = row[enough], column[enough], counts[enough]
                         p, a, b, relative = group[column], a[row], b[row], relative[row, column]
                         # What the window can have of the passage: the places of the terms it has.
-                        counts = known_firsts[b] - known_firsts[a]
-                        of = np.repeat(np.arange(len(a)), counts)
-                        word = known[np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(known_firsts[a], counts)]
-                        pair = p[of] * TERMS + term[word]
-                        hit = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
-                        bits = np.where(pairs[hit] == pair, places[hit], np.uint64(0))
                         covered = np.zeros(len(a), np.uint64)
-                        some = np.flatnonzero(counts)
-                        covered[some] = np.bitwise_or.reduceat(bits, (np.cumsum(counts) - counts)[some])
+                        upto = np.cumsum(counts)
+                        done = 0
+                        while done < len(a):
+                            stop_at = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + SPELLED, "right")))
+                            some = slice(done, stop_at)
+                            own = counts[some]
+                            heads = np.cumsum(own) - own
+                            word = known[np.arange(own.sum()) + np.repeat(known_firsts[a[some]] - heads, own)]
+                            if dense is not None:
+                                bits = dense[np.repeat(p[some], own), at[word]]
+                            else:
+                                pair = np.repeat(p[some], own) * TERMS + term[word]
+                                hit = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
+                                bits = np.where(pairs[hit] == pair, places[hit], np.uint64(0))
+                            covered[some] = np.bitwise_or.reduceat(bits, heads)
+                            done = stop_at
                         for i in np.flatnonzero(np.bitwise_count(covered) >= COMMON_WITH_ANSWER * lengths[p]):
                             text, passage = int(owners[a[i]]), int(p[i])
                             key = (text, item_ids[passage])
@@ -330,7 +391,10 @@ def _leaks_of(docs, items, weights, id_col, text_col, item_col, item_text_col) -
                                 continue
                             lo = firsts[max(a[i] - 1, left[a[i]])]
                             hi = firsts[min(b[i] + 1, last[a[i]])]
-                            share, answer, leak = agree(words[passage], hashes[lo:hi].view(np.int64).tolist())
+                            near = hashes[lo:hi].view(np.int64).tolist()
+                            if not can_agree(words[passage], near, ends_there[passage]):
+                                continue
+                            share, answer, leak = agree(words[passage], near, ends_there[passage])
                             if leak and (key not in best or share > best[key][0]):
                                 size = (energy[b[i]] - energy[a[i]]) ** 0.5
                                 best[key] = (share, float(relative[i] * norm[passage] / size), answer)
