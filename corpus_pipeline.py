@@ -44,7 +44,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """MinHash near-dedup: of documents alike to 0.8 in five-word shingles one row
     stays, of the smallest id.  Rows of one id are told apart by their texts; of
     rows that agree in id and text one stays.  Texts without words stay all."""
-    groups = materialize(near.near_groups(docs).where(F.col("doc_id").isNotNull()), "near-groups")
+    groups = materialize(near.near_rows(docs).where(F.col("doc_id").isNotNull()), "near-groups")
     row = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
     gone = materialize(groups.where(~F.col("first")).select(*row).distinct(), "copies")
     firsts = groups.where("first AND n_shingles > 0").groupBy(*row).agg(F.count(F.lit(1)).alias("_n"))

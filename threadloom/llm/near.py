@@ -195,7 +195,12 @@ def compared(pairs: DataFrame, texts: DataFrame, size: int, threshold) -> DataFr
     return given.mapInArrow(run, "a long, b long")
 
 
-def near_groups(
+def near_groups(docs: DataFrame, *args, **kwargs) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document, see near_rows."""
+    return near_rows(docs, *args, **kwargs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def near_rows(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -208,7 +213,7 @@ def near_groups(
 
     What is grouped are sets, so rows of one id with different texts are different
     members.  ``component_id`` is the smallest id among a group's rows, and ``kept``
-    tells rows of that id.  ``first`` tells one set's rows of one id in each group,
+    tells rows of that id.  ``first`` tells one text's rows of that id in each group,
     and rows that are linked with nothing.
 
     ``threshold`` is a fraction of two integers; links are confirmed by
