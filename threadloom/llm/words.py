@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from threadloom.llm.common import byte_view, kept_by_worker
 
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 MASK = (1 << 64) - 1
 
