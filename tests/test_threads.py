@@ -86,6 +86,20 @@ def test_captures_a_b_a(rows):
     assert cp.new_captures(df, df).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_changed_captures(rows, partitions):
+    states = "ABAABBBA" * 40
+    data = [("j", "s", "p", f"{i:04d}", h) for i, h in enumerate(states)]
+    data += [("j", "s", "q", "1", "A"), ("j", "s", "q", "1", "A"), ("j", "s", "q", "1", "B"), ("j", "s", "r", None, None), ("j", "s", "r", "1", None)]
+    data += [("j", "s", None, "1", "A"), ("j", "s", None, "2", "A")]
+    df = rows(data, "sub string, kind string, sid string, cap14 string, hash string").repartition(3)
+    got = cp.changed_captures(df, partitions=partitions).collect()
+    wanted = [f"{i:04d}" for i, h in enumerate(states) if not i or h != states[i - 1]]
+    assert sorted(r.cap14 for r in got if r.sid == "p") == wanted
+    assert sorted((r.sid or "", r.cap14 or "", r.hash) for r in got if r.sid != "p") == [("", "1", "A"), ("q", "1", "A"), ("q", "1", "B"), ("r", "", None)]
+    assert cp.changed_captures(df.limit(0)).count() == 0
+
+
 def test_latest_capture_in_one_second(rows):
     df = rows([("j", "p", "1", "A", 1), ("j", "p", "1", "B", 2)], "sub string, sid string, cap14 string, hash string, n int")
     assert [r.n for r in cp.latest_capture(df).collect()] == [2]

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from threadloom.operators.ranking import last_by, one_per_key
+from threadloom.operators.ranking import last_by, one_per_key, same
+from threadloom.session import materialize
 
 THREAD_KEYS = ("sub", "kind", "sid")
 VERSION_KEYS = ("y", "md", "hms", "cap14", "h16")
@@ -34,6 +35,37 @@ def new_captures(
     return first if existing is None else unseen(first, existing, [*thread, hash])
 
 
+def changed_captures(
+    captures: DataFrame,
+    thread: Sequence[str] = THREAD_KEYS,
+    hash: str = "hash",
+    cap: str = "cap14",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Q4: captures whose hash differs from that of the thread's previous capture by
+    (cap, hash), so that a thread which goes back to an old state is captured again.
+
+    Rows are laid out in ranges of (thread, cap, hash), so a thread of any length is
+    shared by many tasks.  Inside a range the previous row is at hand; the first row
+    of a range is compared with the last one of the thread's range before."""
+    keys = [*thread, cap, hash]
+    ranged = captures.repartitionByRange(partitions, *keys) if partitions else captures.repartitionByRange(*keys)
+    laid = materialize(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+    own = Window.partitionBy(*thread, "_range").orderBy(cap, hash)
+    # A thread has one row per range here, so this window stays small.
+    runs = laid.groupBy(*thread, "_range").agg(F.max(F.struct(cap, hash)).alias("_last"))
+    carried = F.lag(F.struct(F.col(f"_last.{hash}").alias("h"))).over(Window.partitionBy(*thread).orderBy("_range"))
+    names = [f"_k{i}" for i in range(len(thread) + 1)]
+    runs = runs.select(*[F.col(c).alias(n) for c, n in zip([*thread, "_range"], names)], carried.alias("_carried"))
+    # Structs tell a null hash from a row that is not there.
+    placed = laid.withColumns(
+        {"_before": F.lag(F.struct(F.col(hash).alias("h"))).over(own), "_place": F.row_number().over(own)}
+    ).join(runs, same([*thread, "_range"], names))
+    before = F.when(F.col("_place") == 1, F.col("_carried")).otherwise(F.col("_before"))
+    changed = before.isNull() | ~before["h"].eqNullSafe(F.col(hash))
+    return placed.where(changed).select(*captures.columns)
+
+
 def latest_capture(
     captures: DataFrame, post: Sequence[str] = ("sub", "sid"), cap: str = "cap14", hash: str = "hash"
 ) -> DataFrame:

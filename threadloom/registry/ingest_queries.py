@@ -281,6 +281,18 @@ def distinct_captures(spark, sf):
     return cp.distinct_captures(caps(spark, sf))
 
 
+@register(
+    "changed_captures",
+    sql(
+        "caps_v",
+        """SELECT sub, kind, sid, cap14, hash FROM caps_v
+           QUALIFY lag([hash]) OVER (PARTITION BY sub, kind, sid ORDER BY cap14, hash) IS DISTINCT FROM [hash]""",
+    ),
+)
+def changed_captures(spark, sf):
+    return cp.changed_captures(caps(spark, sf).select("sub", "kind", "sid", "cap14", "hash"))
+
+
 @register(
     "latest_capture",
     sql(
