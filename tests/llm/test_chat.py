@@ -23,10 +23,14 @@ def brute(turns, budget=1024, history=256, segment=8192):
     turns = sorted(turns, key=lambda t: (t[0] is not None, t[0], t[1], t[2]))
     cost = [-(-len(x.encode()) // 4) + 4 for _, _, x in turns]
     before = [sum(cost[:i]) for i in range(len(turns))]
-    lead = [0] if len(turns) > 1 and turns[0][1] == "system" else []
-    room = max(budget // 4, budget - history - sum(cost[i] for i in lead))
+    system = len(turns) > 1 and turns[0][1] == "system"
+    share = max(budget - history - budget // 4, 4)
+    cut = system and cost[0] > share
+    head = turns[0][2][: share - 4] if cut else turns[0][2]
+    lead_cost = -(-len(head.encode()) // 4) + 4 if system else 0
+    room = budget - history - lead_cost
     spans, used, place = [], 0, None
-    for i in range(len(lead), len(turns)):
+    for i in range(system and not cut, len(turns)):
         if not spans or before[i] // segment != place or used + cost[i] > room:
             spans.append([])
             used = 0
@@ -35,15 +39,17 @@ def brute(turns, budget=1024, history=256, segment=8192):
         used += cost[i]
     out = []
     for k, fresh in enumerate(spans):
-        again = [i for i in range(len(lead), fresh[0]) if before[fresh[0]] - before[i] <= history]
+        lead = ["head"] if system and fresh[0] > 0 else []
+        left = budget - sum(cost[i] for i in fresh) - len(lead) * lead_cost
+        again = [i for i in range(bool(system), fresh[0]) if before[fresh[0]] - before[i] <= min(history, left)]
         text, loss = "", []
         for i in lead + again + fresh:
-            _, role, said = turns[i]
+            role, said = turns[i][1:] if i != "head" else ("system", head)
             text += f"<turn {len(esc(role))}>{esc(role)}\n"
             if i in fresh and role == "assistant":
                 loss.append((len(text), len(text) + len(esc(said))))
             text += esc(said) + "</turn>\n"
-        out.append((text, loss, len(again) + (len(lead) if k else 0)))
+        out.append((text, loss, len(again) + (len(lead) if k or cut else 0)))
     return out
 
 
@@ -73,6 +79,23 @@ def test_one_long_conversation_is_cut_alike(spark):
     check(turns, budget=300, history=100, segment=1000)
 
 
+def test_windows_keep_the_budget(spark, rows):
+    """A long system turn, cut in later windows; only a long single turn is over the budget."""
+    turns = [(1, 0, "system", "s" * 20000, 1, "x")] + [(1, i, "assistant" if i % 2 == 0 else "user", f"{i} " * 150, 1, "x") for i in range(1, 60)]
+    turns += [(2, 0, "system", "å" * 3000, 1, "x"), (2, 1, "user", "a", 1, "x"), (2, 2, "assistant", "b" * 3500, 1, "x"), (2, 3, "user", "c", 1, "x")]
+    turns += [(3, 0, "system", "s" * 900, 1, "x"), (3, 1, "user", "u" * 900, 1, "x"), (3, 2, "assistant", "b" * 3000, 1, "x")]
+    df = rows(turns, SCHEMA)
+    check(df)
+    check(df, budget=100, history=90, segment=500)
+    check(table(spark, SF, "conversations"), budget=60, history=10, segment=100)
+    over = [w for w in chat.format_windows(df).collect() if w["tokens"] > 1024]
+    assert [(w["conv_id"], w["first_rank"]) for w in over] == [(1, 0), (2, 0), (2, 2)]
+    whole = sum(len(t[3]) for t in turns if t[0] == 1)
+    windows = [w for w in chat.format_windows(df).collect() if w["conv_id"] == 1]
+    assert all(w["formatted"].startswith("<turn 6>system\n") for w in windows)
+    assert sum(len(w["formatted"]) for w in windows) < 2.5 * whole
+
+
 def test_edge_rows(rows):
     long = "lång " * 9000
     df = rows(

@@ -9,14 +9,21 @@ segments of equal targets; inside a segment, which is bounded, fresh turns are
 packed one after the other.  So a conversation of any length is spread over many
 tasks.  A segment also gets the turns before it that its history may need.
 
+The system turn has a share of the budget, what history and a quarter for fresh
+turns leave.  One that is longer is whole in the first window, as a turn like
+others, and later windows repeat as many of its first code points as surely fit.
+Fresh turns get what system turn and history leave; a turn for which that is too
+little stands alone, with as much of the history as there is room for.  So a window
+is over the budget only where its system turn and a single fresh turn are.
+
 A turn is written ``<turn LENGTH>role`` + newline + text + ``</turn>`` + newline,
 LENGTH being the code points of the role as written.  In roles and texts a
 backslash is doubled and the control strings get a backslash after ``<``.
 
 Defined results: null roles and texts count as empty; turns are ordered by turn
-(nulls first), then role, then text, so repeated rows stay; a turn longer than
-the budget makes a window of its own; the first turn is the system turn if its
-role is ``system`` and others follow; null conversation ids are one conversation;
+(nulls first), then role, then text, so repeated rows stay; the first turn is the
+system turn if its role is ``system`` and others follow; null conversation ids are
+one conversation;
 an empty table gives no windows; other columns are not looked at.  Everything is
 a built-in expression.
 """
@@ -33,6 +40,8 @@ HISTORY = 256
 SEGMENT = 8192
 TURNS_PER_BLOCK = 256
 TARGET_ROLE = "assistant"
+BYTES_PER_TOKEN = 4
+TURN_TOKENS = 4  # for a turn's markers
 TURN_END = "</turn>\n"
 
 
@@ -48,7 +57,12 @@ def unescaped(c: Column) -> Column:
 
 def turn_tokens(text: Column) -> Column:
     """An upper estimate of a turn's tokens: four bytes each, and its markers."""
-    return (F.ceil(F.octet_length(text) / 4) + 4).cast("long")
+    return (F.ceil(F.octet_length(text) / BYTES_PER_TOKEN) + TURN_TOKENS).cast("long")
+
+
+def system_share(budget: int, history: int) -> int:
+    """The most tokens that a repeated system turn has."""
+    return max(budget - history - budget // 4, TURN_TOKENS)
 
 
 def with_positions(turns: DataFrame) -> DataFrame:
@@ -98,13 +112,19 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
     )
     placed = with_positions(turns)
     leads = (F.col("rank") == 0) & (F.col("role") == "system") & (F.col("n_turns") > 1)
+    share = system_share(budget, history)
+    long = F.col("tokens") > share
+    # A code point has four bytes at most, so it costs a token at most.
+    head = F.when(long, F.left("text", F.lit(share - TURN_TOKENS))).otherwise(F.col("text"))
     system = placed.where(leads).select(
-        F.col("conv_id").alias("c"), F.struct("rank", "before", F.lit(True).alias("own"), "tokens", "role", "text").alias("system")
+        F.col("conv_id").alias("c"),
+        long.alias("cut"),
+        F.struct("rank", "before", F.lit(True).alias("own"), turn_tokens(head).alias("tokens"), "role", head.alias("text")).alias("system"),
     )
     own_segment = F.expr(f"before div {segment}")
     lent = F.col("before") >= (own_segment + 1) * segment - history
     body = (
-        placed.where(~leads)
+        placed.where(~leads | long)
         .select("*", own_segment.alias("own_segment"), F.explode(F.when(lent, F.array(own_segment, own_segment + 1)).otherwise(F.array(own_segment))).alias("segment"))
         .groupBy("conv_id", "segment")
         .agg(
@@ -118,7 +138,7 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
         .where(F.size("own") > 0)
         .join(system, F.col("conv_id").eqNullSafe(F.col("c")), "left")
     )
-    room = F.greatest(F.lit(budget // 4), F.lit(budget - history) - F.coalesce(F.col("system.tokens"), F.lit(0)))
+    room = F.lit(budget - history) - F.coalesce(F.col("system.tokens"), F.lit(0))
     packed = F.aggregate(
         "own",
         F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).cast("long").alias("used"), F.lit(0).alias("i")),
@@ -129,21 +149,31 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
         lambda acc: acc["starts"],
     )
     cut = body.withColumn("room", room).withColumn("starts", packed)
-    windows = F.transform(
+    fresh = F.transform(
         "starts",
         lambda lo, k: F.struct(
-            F.filter(
-                "near",
-                lambda x: (x["rank"] < F.get("own", lo)["rank"]) & (F.get("own", lo)["before"] - x["before"] <= history),
-            ).alias("again"),
+            F.get("own", lo)["rank"].alias("rank"),
+            F.get("own", lo)["before"].alias("before"),
             F.slice("own", lo + 1, F.coalesce(F.get("starts", k + 1), F.size("own")) - lo).alias("fresh"),
         ),
     )
-    opened = cut.select("conv_id", "system", F.explode(windows).alias("w")).select(
-        "conv_id", "w.again", "w.fresh", F.when(F.col("system").isNull(), F.array()).otherwise(F.array("system")).alias("lead")
+    opened = cut.select("conv_id", "system", "cut", "near", F.explode(fresh).alias("w")).select("*", "w.*")
+    led = F.col("system").isNotNull() & (F.col("rank") > 0)
+    fresh_tokens = F.aggregate("fresh", F.lit(0).cast("long"), lambda n, t: n + t["tokens"])
+    left = F.lit(budget) - fresh_tokens - F.when(led, F.col("system.tokens")).otherwise(0)
+    # Before a turn lie the system turn and the history; the former is not repeated as history.
+    again = F.filter(
+        "near",
+        lambda x: (x["rank"] < F.col("rank"))
+        & (F.col("before") - x["before"] <= F.least(F.lit(history), F.col("left")))
+        & ~(F.coalesce("cut", F.lit(False)) & (x["rank"] == 0)),
+    )
+    opened = opened.withColumn("left", left).select(
+        "conv_id", F.col("rank").alias("first_rank"), "cut", again.alias("again"), "fresh", F.when(led, F.array("system")).otherwise(F.array()).alias("lead")
     )
-    first_rank = F.get("fresh", F.lit(0))["rank"]
-    skipped = F.when(first_rank > F.size("lead"), F.size("lead")).otherwise(0) + F.size("again")
+    # An uncut system turn is new in the window of the turn behind it.
+    known = (F.size("lead") > 0) & (F.col("cut") | (F.col("first_rank") > 1))
+    skipped = known.cast("int") + F.size("again")
     counted = opened.withColumn("turns", F.concat("lead", "again", "fresh")).withColumn("n_old", F.size("lead") + F.size("again"))
     head = lambda t: F.concat(F.lit("<turn "), F.char_length(escaped(t["role"])).cast("string"), F.lit(">"), escaped(t["role"]), F.lit("\n"))
     pieces = F.transform(
@@ -178,7 +208,7 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
     written = F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], F.lit(TURN_END))), "")
     return counted.withColumn("pieces", pieces).select(
         "conv_id",
-        first_rank.alias("first_rank"),
+        "first_rank",
         skipped.alias("repeated"),
         F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + t["tokens"]).alias("tokens"),
         written.alias("formatted"),
