@@ -47,7 +47,7 @@ ANSWER_WORDS = 6
 COMPARED = 1 << 21  # windows times passages at once
 DENSE = 1 << 22  # passages times terms that a plain table of places holds
 SPELLED = 1 << 18  # words of windows compared with passages at once
-PROJECTED = 1 << 10  # words turned into directions at once
+PROJECTED = 1 << 8  # blocks turned into directions at once
 SEED = 17
 
 
@@ -69,6 +69,30 @@ def blocks_of(owner, n_texts):
     return block, np.repeat(np.arange(n_texts), n_blocks)
 
 
+def block_sums(vectors, at, block, n_blocks: int):
+    """The sum of the vectors of each block's words, after a row of zeros.
+
+    ``at`` and ``block`` list words by block; the last of the vectors is zero.  The
+    first words of some blocks are added at once, then their second ones, and so on,
+    so that sums and vectors stay in the cache."""
+    import numpy as np
+
+    counts = np.bincount(block, minlength=n_blocks)
+    rows = np.full((STEP, n_blocks), len(vectors) - 1, np.int64)
+    rows[np.arange(len(block)) - (np.cumsum(counts) - counts)[block], block] = at
+    sums = np.zeros((n_blocks + 1, vectors.shape[1]))
+    more, total = np.empty((2, PROJECTED, vectors.shape[1]), vectors.dtype)
+    for low in range(0, n_blocks, PROJECTED):
+        some = rows[:, low : low + PROJECTED]
+        size = some.shape[1]
+        total[:size] = 0
+        for k in range(int(counts[low : low + PROJECTED].max())):
+            np.take(vectors, some[k], axis=0, out=more[:size], mode="clip")
+            total[:size] += more[:size]
+        sums[low + 1 : low + 1 + size] = total[:size]
+    return sums
+
+
 def block_counts(docs: DataFrame, text_col: str):
     """(number of blocks, blocks that have each term) over all documents."""
     import numpy as np
@@ -316,7 +340,7 @@ def _leaks_of(docs, items, weights, id_col, text_col, item_col, item_text_col) -
     lengths = np.array([len(w) for w in words])
     # How many places of a passage one word can cover.
     most_places = np.array([max(w.count(x) for x in set(w)) for w in words])
-    vectors = (weights[terms][:, None] * directions).astype(np.float32)
+    vectors = np.append(weights[terms][:, None] * directions, np.zeros((1, directions.shape[1])), axis=0).astype(np.float32)
     weight = weights.astype(np.float32)
 
     def run(batches):
@@ -341,11 +365,7 @@ def _leaks_of(docs, items, weights, id_col, text_col, item_col, item_text_col) -
                 n = len(owners)
                 # Sums over the blocks before each block: a window is a difference of two.
                 energy = np.append(0, np.cumsum(np.bincount(block, weight[term] ** 2, minlength=n)))
-                seen = np.zeros((n + 1, vectors.shape[1]))
-                for k in range(0, len(known), PROJECTED):
-                    some = known[k : k + PROJECTED]
-                    heads = np.flatnonzero(np.append(True, block[some][1:] != block[some][:-1]))
-                    seen[block[some][heads] + 1] += np.add.reduceat(vectors[at[some]], heads, axis=0)
+                seen = block_sums(vectors, at[known], block[known], n)
                 np.cumsum(seen, axis=0, out=seen)
                 blocks_in = np.bincount(owners, minlength=high - low)
                 left = (np.cumsum(blocks_in) - blocks_in)[owners]
