@@ -44,7 +44,7 @@ COMMON = 0.7  # of the passage's words, in order
 COMMON_WITH_ANSWER = 0.5
 LEAST_COMMON = 6
 ANSWER_WORDS = 6
-COMPARED = 1 << 21  # windows times passages at once
+COMPARED = 1 << 20  # windows times passages at once
 DENSE = 1 << 22  # passages times terms that a plain table of places holds
 SPELLED = 1 << 18  # words of windows compared with passages at once
 PROJECTED = 1 << 8  # blocks turned into directions at once
@@ -70,7 +70,7 @@ def blocks_of(owner, n_texts):
 
 
 def block_sums(vectors, at, block, n_blocks: int):
-    """The sum of the vectors of each block's words, after a row of zeros.
+    """The sum of the vectors of each block's words.
 
     ``at`` and ``block`` list words by block; the last of the vectors is zero.  The
     first words of some blocks are added at once, then their second ones, and so on,
@@ -80,16 +80,13 @@ def block_sums(vectors, at, block, n_blocks: int):
     counts = np.bincount(block, minlength=n_blocks)
     rows = np.full((STEP, n_blocks), len(vectors) - 1, np.int64)
     rows[np.arange(len(block)) - (np.cumsum(counts) - counts)[block], block] = at
-    sums = np.zeros((n_blocks + 1, vectors.shape[1]))
-    more, total = np.empty((2, PROJECTED, vectors.shape[1]), vectors.dtype)
+    sums = np.zeros((n_blocks, vectors.shape[1]), vectors.dtype)
+    more = np.empty((PROJECTED, vectors.shape[1]), vectors.dtype)
     for low in range(0, n_blocks, PROJECTED):
-        some = rows[:, low : low + PROJECTED]
-        size = some.shape[1]
-        total[:size] = 0
+        some, total = rows[:, low : low + PROJECTED], sums[low : low + PROJECTED]
         for k in range(int(counts[low : low + PROJECTED].max())):
-            np.take(vectors, some[k], axis=0, out=more[:size], mode="clip")
-            total[:size] += more[:size]
-        sums[low + 1 : low + 1 + size] = total[:size]
+            np.take(vectors, some[k], axis=0, out=more[: len(total)], mode="clip")
+            total += more[: len(total)]
     return sums
 
 
@@ -364,9 +361,9 @@ def _leaks_of(docs, items, weights, id_col, text_col, item_col, item_text_col) -
                 known = np.flatnonzero(at >= 0)
                 n = len(owners)
                 # Sums over the blocks before each block: a window is a difference of two.
+                # Those of cosines are made for some blocks and passages at a time.
                 energy = np.append(0, np.cumsum(np.bincount(block, weight[term] ** 2, minlength=n)))
                 seen = block_sums(vectors, at[known], block[known], n)
-                np.cumsum(seen, axis=0, out=seen)
                 blocks_in = np.bincount(owners, minlength=high - low)
                 left = (np.cumsum(blocks_in) - blocks_in)[owners]
                 last = left + blocks_in[owners]
@@ -377,9 +374,12 @@ def _leaks_of(docs, items, weights, id_col, text_col, item_col, item_text_col) -
                     # A window starts at every block that has the span before the text's end.
                     start = np.flatnonzero((np.arange(n) + span <= last) | (np.arange(n) == left))
                     stop = np.minimum(start + span, last[start])
-                    for k in range(0, len(start), max(1, COMPARED // len(group))):
-                        a, b = start[k : k + COMPARED // len(group) + 1], stop[k : k + COMPARED // len(group) + 1]
-                        relative = (seen[b] - seen[a]).astype(np.float32) @ aims[group].T
+                    aimed, at_once = aims[group].T, max(1, COMPARED // len(group))
+                    for k in range(0, len(start), at_once):
+                        a, b = start[k : k + at_once], stop[k : k + at_once]
+                        upto = np.zeros((b[-1] - a[0] + 1, len(group)))
+                        np.cumsum(seen[a[0] : b[-1]] @ aimed, axis=0, out=upto[1:])
+                        relative = (upto[b - a[0]] - upto[a - a[0]]).astype(np.float32)
                         row, column = np.nonzero(relative >= least[group])
                         # A window with fewer known words than a candidate must cover is none.
                         counts = known_firsts[b[row]] - known_firsts[a[row]]
