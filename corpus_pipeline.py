@@ -25,9 +25,18 @@ from threadloom.session import materialize
 LEAST_LANGUAGE = 0.3
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it where a column is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents whose id is not among ``ids``, a table that was written."""
-    return docs.join(ids_for_join(ids.select(F.col("doc_id").alias("_gone"))), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = unused(docs, "_gone")
+    return docs.join(ids_for_join(ids.select(F.col("doc_id").alias(gone))), F.col("doc_id") == F.col(gone), "left_anti")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,15 +54,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     stays, of the smallest id.  Rows of one id are told apart by their texts; of
     rows that agree in id and text one stays.  Texts without words stay all."""
     groups = materialize(near.near_rows(docs).where(F.col("doc_id").isNotNull()), "near-groups")
-    row = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+    mark, the_id, the_hash = (unused(docs, n) for n in ("_text_hash", "_id", "_hash"))
+    row = [F.col("doc_id").alias(the_id), F.col("text_hash").alias(the_hash)]
     gone = materialize(groups.where(~F.col("first")).select(*row).distinct(), "copies")
     firsts = groups.where("first AND n_shingles > 0").groupBy(*row).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = materialize(firsts.where("_n > 1").select("_id", "_hash"), "repeated")
-    mark = "_text_hash"
-    while mark in docs.columns:
-        mark += "_"
+    repeated = materialize(firsts.where("_n > 1").select(the_id, the_hash), "repeated")
     marked = docs.withColumn(mark, near.text_hash())
-    named = (F.col("doc_id") == F.col("_id")) & (F.col(mark) == F.col("_hash"))
+    named = (F.col("doc_id") == F.col(the_id)) & (F.col(mark) == F.col(the_hash))
     left = marked.join(ids_for_join(gone), named, "left_anti")
     if not repeated.isEmpty():
         once = left.join(ids_for_join(repeated), named, "left_semi").dropDuplicates(["doc_id", mark])
