@@ -39,6 +39,16 @@ def test_copies_under_one_id_and_rows_without_words(spark, rows):
     assert kept[2][0] == 5 and kept[2][1] in (A, alike)
 
 
+def test_columns_called_as_the_stages_call_theirs(spark, rows):
+    schema = "doc_id long, text string, _id int, _Hash int, _n int, _text_hash int, _gone int, _gone_ int"
+    docs = rows([(i, t, 1, 2, 3, 4, 5, 6) for i, t in ((1, A), (2, A), (3, B), (3, B), (4, C))], schema)
+    kept = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [(i, t, 1, 2, 3, 4, 5, 6) for i, t in ((1, A), (3, B), (4, C))]
+    left = corpus_pipeline.without(docs, rows([(3,), (9,)], "doc_id long"))
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 2, 4]
+
+
 def test_a_text_of_100_000_matches(spark):
     n = 100_000
     whole = " ".join("%040x" % (i * 2654435761 + (1 << 158)) for i in range(n))
