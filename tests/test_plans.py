@@ -105,6 +105,26 @@ def index_of(spark, p):
     return {r.id: r.metadata["h"] for r in sinks.read_current(spark, p["index"]).collect()}
 
 
+def test_import_stats(spark, dumps, tmp_path):
+    path = str(tmp_path / "captures")
+
+    def run(now):
+        done = import_files(spark, dumps, path, now)
+        return {(r["sub"], r.kind): (r.threads, r.files, r.wrote, r.skipped, r.empty) for r in done.stats.collect()}
+
+    first = run(NOW)
+    rows = {(r["sub"], r.kind, r.sid, r.hash) for r in read_table(spark, path, schemas.CAPTURE).collect()}
+    threads = {r[:3] for r in rows}
+    idle = {(s, "comments", t) for s, k, t in threads if k == "submissions" and (s, "comments", t) not in threads}
+    expected = {}
+    for group in {r[:2] for r in threads | idle} | {(None, None)}:
+        inside = lambda r: group == (None, None) or r[:2] == group
+        n, empty = sum(map(inside, rows)), sum(map(inside, idle))
+        expected[group] = (sum(map(inside, threads)) + empty, n, n, 0, empty)
+    assert first == expected and first[None, None][4] > 0
+    assert run(NOW + 100) == {g: (t, n, 0, n, e) for g, (t, n, _, _, e) in expected.items()}
+
+
 def test_refresh(spark, dumps, tmp_path):
     p = paths(tmp_path)
     import_files(spark, dumps, p["captures"], NOW)

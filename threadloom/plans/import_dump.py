@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from threadloom.functions.fingerprints import comment_hash, submission_fingerprint
 from threadloom.functions.times import lenient_epoch, stamp14, utc_parts
 from threadloom.operators import threads
-from threadloom.operators.captures import new_captures
+from threadloom.operators.captures import distinct_captures
 from threadloom.operators.narrow import link_filter, valid_posts
 from threadloom.operators.ranking import first_by
+from threadloom.operators.stats import capture_stats
 from threadloom.session import materialize
 from threadloom.sources import schemas
 from threadloom.sources.captures import FILE_ORDER
@@ -22,12 +23,14 @@ from threadloom.sources.sinks import append_captures, read_if_there
 
 @dataclass(frozen=True)
 class Imported:
-    """posts and comments: capture rows; orphans: threads without a post."""
+    """posts and comments: capture rows; orphans: threads without a post; stats: what
+    the run found, wrote and skipped (D9), out of the keys it has written down."""
 
     posts: DataFrame
     comments: DataFrame
     threads: DataFrame
     orphans: DataFrame
+    stats: DataFrame
 
 
 def valid_post_rows(parsed: DataFrame, now: int) -> DataFrame:
@@ -99,7 +102,9 @@ def import_dump(
     index = threads.post_index(posts)
 
     post_keys = posts.select("sub", F.col("id").alias("sid"), "cap14", "hash")
-    fresh_posts = new_captures(post_keys, _of_kind(existing, "submissions"), ["sub", "sid"])
+    first = distinct_captures(post_keys, ["sub", "sid"]).drop("n_captures")
+    offered = materialize(_marked(first, _of_kind(existing, "submissions")), "post-offers")
+    fresh_posts = offered.where("wrote").drop("wrote")
     post_rows = first_by(
         posts.withColumnRenamed("id", "sid").join(fresh_posts, ["sub", "sid", "cap14", "hash"], "left_semi"),
         ["sub", "sid", "hash"],
@@ -107,21 +112,40 @@ def import_dump(
     )
 
     unique = threads.dedup_comments(comments, FILE_ORDER)
-    found = thread_captures(comments, unique, index, now)
-    keys = found.withColumnRenamed("post_id", "sid")
-    seen = _of_kind(existing, "comments")
-    fresh = keys if seen is None else keys.join(seen, ["sub", "sid", "hash"], "left_anti")
-    kept = unique.withColumnRenamed("post_id", "sid").join(fresh.drop("n_comments"), ["sub", "sid"], "inner")
+    keys = thread_captures(comments, unique, index, now).withColumnRenamed("post_id", "sid")
+    found = materialize(_marked(keys, _of_kind(existing, "comments")), "thread-offers")
+    fresh = found.where("wrote").drop("wrote", "n_comments")
+    kept = unique.withColumnRenamed("post_id", "sid").join(fresh, ["sub", "sid"], "inner")
     placed = threads.comment_order(materialize(kept, "threads"), ["sub", "sid"])
     all_threads = comments.select(*threads.THREAD).distinct()
     return Imported(
         posts=_capture_rows(post_rows.withColumn("line_no", F.lit(1).cast("bigint")), "submissions"),
         comments=_capture_rows(placed.withColumnRenamed("pos", "line_no"), "comments"),
-        threads=found,
+        threads=found.drop("wrote").withColumnRenamed("sid", "post_id"),
         orphans=threads.orphan_threads(all_threads, index),
+        stats=_import_stats(offered, found, index),
     )
 
 
+def _marked(keys: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """Keys of captures with ``wrote``, which tells that the thread has not had the
+    hash before."""
+    if seen is None:
+        return keys.withColumn("wrote", F.lit(True))
+    known = seen.withColumn("_known", F.lit(True))
+    return keys.join(known, ["sub", "sid", "hash"], "left").select(*keys.columns, F.col("_known").isNull().alias("wrote"))
+
+
+def _import_stats(posts: DataFrame, found: DataFrame, index: DataFrame) -> DataFrame:
+    """A post without a thread of comments counts as an empty thread."""
+    keys = ("sub", "kind", "sid")
+    post, comment = F.lit("submissions").alias("kind"), F.lit("comments").alias("kind")
+    offers = posts.select("sub", post, "sid", "wrote").unionByName(found.select("sub", comment, "sid", "wrote"))
+    named = index.select("sub", comment, F.col("post_id").alias("sid"))
+    idle = named.join(found.select("sub", comment, "sid"), list(keys), "left_anti")
+    return capture_stats(offers.withColumn("skipped", ~F.col("wrote")), idle)
+
+
 def _of_kind(existing: DataFrame | None, kind: str) -> DataFrame | None:
     if existing is None:
         return None

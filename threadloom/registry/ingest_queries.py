@@ -497,7 +497,7 @@ def reordered_threads(spark, sf):
     return prints(turn).join(now, ["sub", "post_id"]).where("fingerprint <> now").select("sub", "post_id")
 
 
-def imported(spark, sf, known=subs):
+def imported(spark, sf, known=subs, existing=None):
     """Dump lines of the posts, each of them twice and once more in another
     version, and of all comments."""
     raw = F.to_json(
@@ -511,7 +511,7 @@ def imported(spark, sf, known=subs):
         raw.alias("raw"), F.lit("posts").alias("file_path"), F.lit(0).cast("bigint").alias("file_offset"),
         F.monotonically_increasing_id().alias("line_seq"),
     )
-    return import_dump(parse_lines(lines), parse_lines(comment_lines(spark, sf)), None, NOW)
+    return import_dump(parse_lines(lines), parse_lines(comment_lines(spark, sf)), existing, NOW)
 
 
 @register(
@@ -586,6 +586,27 @@ def import_after_harvest(spark, sf):
     return import_dump(parse_lines(lines), none, before, NOW).posts.select("sub", "sid")
 
 
+@register(
+    "import_stats",
+    sql(
+        "subs_v coms_v posts_v",
+        """SELECT sub, kind, count(*) AS threads, sum(files)::BIGINT AS files, sum(CASE WHEN known THEN 0 ELSE files END)::BIGINT AS wrote,
+               sum(CASE WHEN known THEN files ELSE 0 END)::BIGINT AS skipped, sum(CASE WHEN files = 0 THEN 1 ELSE 0 END)::BIGINT AS empty
+           FROM (SELECT sub, 'submissions' AS kind, 2 AS files, sid IN (SELECT sid FROM posts_v) AS known FROM subs_v
+                 UNION ALL
+                 SELECT p.sub, 'comments', least(1, count(c.comment_id)), p.sid IN (SELECT sid FROM posts_v)
+                 FROM subs_v p LEFT JOIN coms_v c ON c.sub = p.sub AND c.sid = p.sid GROUP BY p.sub, p.sid)
+           GROUP BY GROUPING SETS ((sub, kind), ())""",
+    ),
+)
+def import_stats(spark, sf):
+    """The counts of a run that comes after an import of the labelled posts and of
+    their threads; every post is there in two versions."""
+    before = imported(spark, sf, posts)
+    captures = before.posts.select("sub", "kind", "sid", "hash").union(before.comments.select("sub", "kind", "sid", "hash"))
+    return imported(spark, sf, existing=captures).stats
+
+
 @register(
     "metadata_fields",
     """SELECT event_id, CASE WHEN event_type IN ('click', 'purchase') THEN props->>'$.k' END AS k,
