@@ -106,6 +106,27 @@ def test_copies_and_recurring_blocks_of_an_article_stay(spark):
         assert r["text"] == ("A page on 300 hosts" if i >= 2000 else want)
 
 
+def test_the_tree_judges_marked_pages(spark):
+    teaser = "<article class=card><h2>Our guide</h2><p>It is free</p></article>"
+    site = "<nav><p>{0}</p></nav>{1}<article class=story><h1>Story {2}</h1><p>Of {2}</p><h2>Conclusion</h2></article>{1}"
+    rows = [(i, f"http://a.example/{i}", site.format(("Home", "News")[i % 2], teaser, i)) for i in range(240)]
+    rows += [(1000 + i, f"http://b.example/{i}", f"<main>{teaser}<p>So{i // 2}</p></main>") for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    low = {r["n"] for r in pages.unimportant(df).select(F.explode("nodes").alias("n")).collect()}
+    assert {pages.node_key(p) for p in ("/nav/p", "/article.card/h2", "/article.card/p", "/article.story/h2")} <= low
+    for r in pages.main_texts(df, "page_id").collect():
+        i = r["page_id"]
+        # Few pages say nothing against a marked article.
+        assert r["text"] == (f"Story {i}\nOf {i}\nConclusion" if i < 1000 else "Our guide\nIt is free\nSo0")
+
+
+def test_the_tree_has_nodes_of_the_table(spark):
+    df = table(spark, SF, "pages")
+    hosts = df.select(F.xxhash64(pages.host_of(F.col("url"))).alias("host")).distinct().count()
+    judged = pages.style_nodes(df, "url", "html").select("host", "node").distinct()
+    assert judged.where(F.col("node") == pages.node_key("/html/body/nav/ul/li")).count() == hosts
+
+
 def test_values_do_not_jump(spark):
     n = spark.range(1, 1000).select(pages.drawn(F.lit(0.2), F.col("id"), F.lit(1.0)).alias("v")).collect()
     assert n[0]["v"] == 1.0 and all(0 < a["v"] - b["v"] < 0.01 for a, b in zip(n, n[1:]))

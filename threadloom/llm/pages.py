@@ -14,9 +14,12 @@ fewer pages have the node: a weight of (pages - 1) / (pages - 1 + ``PRIOR_PAGES`
 Comments of readers or side columns can be as varied as articles, so elements
 that say by tag, class, id or role that they are none of the article are left out
 too; names that are also usual on articles, as ``has-sidebar`` or ``post-header``, say
-nothing, and no name leaves out a page's main part or what is around it.  Where a
-page marks its article or main part, only that is read, and nothing in it is removed
-for coming again.
+nothing, and no name leaves out a page's main part or what is around it.  The tree
+counts these blocks like all others, and its judgement comes first: names and marks
+are looked at in what it has judged.  Where a page marks its article or main part,
+only that is read; of several marked articles those without any important block, as
+teasers that come again on other pages, are removed, unless none has one.  Inside an
+article that stays nothing is removed for coming again.
 
 Only hashes of paths and texts are shuffled, and counted before; the nodes to
 remove are sent along if they are few, else joined to the pages by host.
@@ -109,22 +112,24 @@ def named_outside(tag: str, names: str, in_main: bool) -> bool:
 class Page:
     """A page's blocks and elements, from one pass over its tags.
 
-    ``blocks`` are (path, text, outside, in main part) in page order, ``layouts``
-    (path, children) for each element.
+    ``blocks`` are (path, text, outside, in main part, article) in page order, the last
+    the number of the outermost article that holds the block, 0 for none; ``layouts``
+    are (path, children) for each element.
 
     Names of a main element and around it do not count.  Articles can be cards or
     comments as well, so for them this holds if no main part is found otherwise."""
 
     def __init__(self, source: str):
-        self.found: list[tuple[str, str, bool, int, bool]] = []
+        self.found: list[tuple[str, str, bool, int, bool, int]] = []
         self.layouts: list[tuple[str, str]] = []
         self.has_main = False
         # The elements outside by name that are around main elements, and around articles.
         self.around_main: set[int] = set()
         self.around_articles: set[int] = set()
         self.named = 0
-        # Of each open element: tag, path, outside by tag, the innermost element outside by name, in main part, children.
-        self.open: list[tuple[str, str, bool, int, bool, list]] = [("", "", False, 0, False, [])]
+        self.articles = 0
+        # Of each open element: tag, path, outside by tag, the innermost element outside by name, in main part, article, children.
+        self.open: list[tuple[str, str, bool, int, bool, int, list]] = [("", "", False, 0, False, 0, [])]
         self.text: list[str] = []
         for match in TOKEN.finditer(source):
             tag = match[3]
@@ -151,15 +156,18 @@ class Page:
         if not (self.has_main or inside):
             inside = self.around_articles
         self.has_main = self.has_main or bool(inside)
-        self.blocks = [(path, text, out or (named > 0 and named not in inside), main) for path, text, out, named, main in self.found]
+        self.blocks = [
+            (path, text, out or (named > 0 and named not in inside), main, article)
+            for path, text, out, named, main, article in self.found
+        ]
 
     def flush(self) -> None:
         if self.text:
             text = " ".join(html.unescape("".join(self.text)).split())
             self.text = []
             if text:
-                _, path, out, named, main, _ = self.open[-1]
-                self.found.append((path, text, out, named, main))
+                _, path, out, named, main, article, _ = self.open[-1]
+                self.found.append((path, text, out, named, main, article))
 
     def start(self, tag: str, attributes: str) -> None:
         self.flush()
@@ -172,9 +180,12 @@ class Page:
             names = " ".join((m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(attributes))
         if tag in VOID:
             return
-        _, path, out, named, main, children = self.open[-1]
+        _, path, out, named, main, article, children = self.open[-1]
         starts = tag in MAIN_TAGS or names == "main"
         main = main or starts
+        if tag == "article" and not article:
+            self.articles += 1
+            article = self.articles
         out = out or outside(tag, main)
         if named_outside(tag, names, main):
             self.named += 1
@@ -187,7 +198,7 @@ class Page:
         shape = f"{tag}.{names}" if names else tag
         if not children or children[-1] != shape:
             children.append(shape)
-        self.open.append((tag, f"{path}/{shape}", out, named, main, []))
+        self.open.append((tag, f"{path}/{shape}", out, named, main, article, []))
 
     def end(self, tag: str) -> None:
         self.flush()
@@ -205,12 +216,23 @@ class Page:
 
     def close(self) -> None:
         self.flush()
-        _, path, _, _, _, children = self.open.pop()
+        _, path, _, _, _, _, children = self.open.pop()
         self.layouts.append((path, " ".join(children)))
 
     def candidates(self) -> list[tuple[str, str]]:
         """(path, text) of the blocks that may belong to the article."""
-        return [(path, text) for path, text, out, main in self.blocks if not out and (main or not self.has_main)]
+        return [(path, text) for path, text, out, main, _ in self.blocks if not out and (main or not self.has_main)]
+
+    def main_text(self, low) -> str:
+        """The page's main text, given which nodes the style tree finds unimportant."""
+        if not low:
+            return "\n".join(text for _, text in self.candidates())
+        judged = [(*block, node_key(block[0]) not in low) for block in self.blocks]
+        if not self.has_main:
+            return "\n".join(text for _, text, out, _, _, important in judged if important and not out)
+        marked = [(text, article, important) for _, text, out, main, article, important in judged if main and not out]
+        varied = {article for _, article, important in marked if article and important}
+        return "\n".join(text for text, article, _ in marked if not article or not varied or article in varied)
 
 
 def host_of(url: Column) -> Column:
@@ -229,7 +251,7 @@ def style_nodes(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
 
     Kind 0 is a sequence of children, 1 a text, 2 the node itself.  A page that its
     host has m times counts as 1/m in ``own``, by its copies on all hosts in ``all``.
-    Blocks that are left out by name or belong to a marked part are not judged."""
+    Every block is counted, whatever its names and marks say."""
     given = pages.select(F.xxhash64(host_of(F.col(url_col))).alias("host"), whole_text(html_col).alias("html")).withColumn("page", F.xxhash64("html"))
     copies = given.groupBy("page", "host").agg(F.count(F.lit(1)).alias("n"))
     here = materialize(copies.where("n > 1").select(F.col("page").alias("_p"), F.col("host").alias("_h"), F.col("n").alias("_here")), "page-copies")
@@ -249,7 +271,7 @@ def style_nodes(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
             hosts, nodes, kinds, values, owns, alls = [], [], [], [], [], []
             for host, source, own, everywhere in zip(*(c.to_pylist() for c in batch.columns)):
                 page = Page(source)
-                found = {(path, 1, xxhash.xxh32_intdigest(text) - (1 << 31)) for path, text, out, main in page.blocks if not (out or main)}
+                found = {(path, 1, xxhash.xxh32_intdigest(text) - (1 << 31)) for path, text, *_ in page.blocks}
                 held = {path for path, _, _ in found}
                 found |= {(path, 2, 0) for path in held}
                 found |= {(path, 0, xxhash.xxh32_intdigest(shape) - (1 << 31)) for path, shape in page.layouts if path in held}
@@ -329,9 +351,7 @@ def main_texts(pages: DataFrame, *columns: str, url_col: str = "url", html_col:
         for batch in batches:
             texts = []
             for nodes, source in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                page = Page(source)
-                low = set() if page.has_main else set(nodes)
-                texts.append("\n".join(text for path, text in page.candidates() if not low or node_key(path) not in low))
+                texts.append(Page(source).main_text(set(nodes)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(texts, pa.string())], names=[*columns, "text"])
 
     return joined.mapInArrow(run, schema)
