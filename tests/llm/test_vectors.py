@@ -142,6 +142,25 @@ def test_bounds_leave_out_no_member_and_most_others():
     assert left < 40 * 4000 / 10
 
 
+def test_a_group_reads_a_segment_once_and_finds_what_each_question_does():
+    rng = np.random.default_rng(8)
+    rows = np.floor(64 * rng.normal(0, 0.125, (3000, 40))).astype(np.int64)
+    rows[:, 20:] *= rng.random((3000, 20)) < 0.1  # lists, and columns with zeros
+    rows[:7] = 0
+    index, asked = impact.Segments(np.arange(3000), rows), rows[:90]
+    floors = np.full(90, np.iinfo(np.int64).min)
+    floors[50:] = 3000
+    own = np.arange(90)[:, None] == np.arange(3000)
+    assert {len(r[0]) for r in index.rounds} & set(range(1, 40)) and any(r[2] for r in index.rounds)
+    found = index.possible_of(asked, 20, floors, own)
+    for q, (possible, read) in enumerate(found):
+        alone, read_alone = index.possible(asked[q], 20, floors[q], own[q])
+        assert possible.tolist() == alone.tolist() and read == read_alone
+        scores = np.where(own[q], np.iinfo(np.int64).min, rows @ asked[q])
+        least = max(floors[q], np.sort(scores)[-20])
+        assert set(np.flatnonzero(scores >= least)) <= set(possible.tolist()) and q not in possible
+
+
 def test_segments_of_large_components_keep_every_member():
     rng = np.random.default_rng(6)
     rows = np.floor(rng.normal(0, 5000, (3000, 24))).astype(np.int64)

@@ -3,14 +3,14 @@
 Every task cuts its vectors into shards.  A shard's index lists, for each
 dimension, the rows by falling impact, which is the size of the component
 quantised to at most 256 levels; the rows of one level are a posting segment.  A
-question takes the segments of all dimensions in the order of what they can change
-a score by, in rounds of falling thresholds, and sums them in accumulators.  What
-a row was not given yet is below the threshold in every dimension, so accumulator
-and number of segments seen bound its score from above.  A round is the last one
-when the bound leaves few rows, or when nothing is left to add; the rows left are
-scored again exactly.  The score that rules out the others is the k-th best of
-rows scored exactly, so nothing is left to luck, and rows that tie with it are
-never ruled out.
+group of questions takes the segments of all dimensions by falling impact, in
+rounds down to a level each, and sums them in accumulators: a segment is read once
+for the group.  What a row was not given yet is a rest whose length the index knows
+for each round, so accumulator and length of the rest times that of the question
+bound its score from above.  A round is a question's last one when the bound leaves
+few rows, or when nothing is left to add; the rows left are scored again exactly.
+The score that rules out the others is the k-th best of rows scored exactly, so
+nothing is left to luck, and rows that tie with it are never ruled out.
 
 Defined results: see ``vectors`` for nulls, numbers that are not finite, repeated
 ids and unlike lengths.  A question's own id is no candidate.  An empty table
@@ -28,12 +28,17 @@ from threadloom.llm import vectors as V
 from threadloom.session import materialize
 
 LEVELS = 256
-# Thresholds fall to these shares of the most that a segment can add, at last to 1.
-SHARES = (1 / 16, 1 / 40, 1 / 100, 0.0)
+# Rounds end where these shares of all postings have been read, at last at level 1.
+SHARES = (0.55, 0.75)
 # A question stops when no more than this share of a shard is possible.
-FEW = 1 / 16
-# A segment seen adds this to an accumulator beside its impact, to be counted.
-SEEN = 1 << 40
+FEW = 1 / 11
+# Questions that share a reading of the segments: their accumulators stay in the cache.
+GROUP = 32
+# A segment of more than this share of the rows is kept as a column with zeros, others
+# as lists.
+FILLED = 1 / 4
+# Lengths are computed in floating point.
+SLACK = 1 + 1e-9
 
 
 class Segments:
@@ -43,24 +48,35 @@ class Segments:
         import numpy as np
 
         self.ids, self.vectors = ids, vectors
-        self.exact = vectors.astype(np.float64)
+        self.exact = self.left = vectors.astype(np.float64)
         n, dims = vectors.shape
         sizes = np.abs(vectors)
         self.largest = int(sizes.max(initial=0))
         self.shift = max(0, self.largest.bit_length() - LEVELS.bit_length() + 1)
         levels = sizes >> self.shift
-        order = np.argsort(-levels, axis=0, kind="stable")
-        self.rows = np.ascontiguousarray(order.T)
-        signed = np.take_along_axis(np.sign(vectors) * (levels << self.shift), order, 0)
-        # What the rounding of a component to its level leaves out at most.
-        self.rest = (1 << self.shift) - 1
-        self.impacts = np.ascontiguousarray(signed.T.astype(np.float64))
-        n_levels = (self.largest >> self.shift) + 1
-        self.most = (levels.max(axis=0, initial=0) << self.shift) + self.rest
-        counts = np.bincount((levels + np.arange(dims) * n_levels).ravel(), minlength=dims * n_levels)
-        # upto[d, j]: how many rows of dimension d have level j or more.
-        self.upto = np.zeros((dims, n_levels + 1), np.int64)
-        self.upto[:, :-1] = np.cumsum(counts.reshape(dims, n_levels)[:, ::-1], axis=1)[:, ::-1]
+        signed = (np.sign(vectors) * (levels << self.shift)).astype(np.float64)
+        read = np.cumsum(np.bincount(levels.ravel(), minlength=1)[::-1])[::-1]
+        last = {max(1, int(np.argmax(np.append(read, 0) <= share * n * dims))) for share in SHARES} | {1}
+        self.rounds, above = [], self.largest + 1
+        for level in sorted(last, reverse=True):
+            self.rounds.append(self._round(signed, (levels >= level) & (levels < above)))
+            above = level
+
+    def _round(self, signed, read) -> tuple:
+        """What a round reads: the segments of most rows as a matrix of (row, dimension),
+        the others as (dimension, rows, impacts), and the number of postings; and the
+        length of what is left of each row then."""
+        import numpy as np
+
+        sizes = np.count_nonzero(read, axis=0)
+        filled = np.flatnonzero(sizes > len(signed) * FILLED)
+        matrix = np.where(read[:, filled], signed[:, filled], 0.0)
+        lists = []
+        for d in np.flatnonzero((sizes > 0) & (sizes <= len(signed) * FILLED)).tolist():
+            rows = np.flatnonzero(read[:, d])
+            lists.append((d, rows, signed[rows, d]))
+        self.left = np.where(read, self.exact - signed, self.left)
+        return filled, matrix, lists, int(sizes.sum()), np.sqrt((self.left**2).sum(axis=1))
 
     def scores(self, rows, question):
         """Exact scores of some rows."""
@@ -71,50 +87,47 @@ class Segments:
         return self.vectors[rows] @ question
 
     def possible(self, question, k: int, floor: int, own):
-        """Rows that can be among the k best of at least ``floor``, and the number of
-        postings read for it; ``own`` marks the question's own rows."""
+        """``possible_of`` for one question."""
+        import numpy as np
+
+        return self.possible_of(question[None, :], k, np.array([floor]), own[None, :])[0]
+
+    def possible_of(self, questions, k: int, floors, own) -> list:
+        """For each question the rows that can be among the k best of at least its floor,
+        and the number of postings read for it; ``own`` marks its own rows."""
         import numpy as np
 
-        n = len(self.ids)
-        everything = np.flatnonzero(~own)
-        dims = np.flatnonzero(question)
-        weights = question[dims]
-        heavy = np.abs(weights)
-        most = heavy * self.most[dims]
-        if len(everything) <= k or not len(dims) or int(most.sum()) >= SEEN // 4:
-            return everything, 0
-        # Where a level stands for several sizes, each part can add as much more.
-        rest = self.rest * int(heavy.sum())
-        n_levels = self.upto.shape[1] - 1
-        top = int(most.max())
-        packed = np.zeros(n)
-        done = np.zeros(len(dims), np.int64)
-        found, read = everything, 0
-        for share in SHARES:
-            threshold = max(1, int(top * share))
-            need = -(-threshold // heavy)
-            upto = self.upto[dims, np.minimum(need >> self.shift, n_levels)]
-            new = np.flatnonzero(upto > done)
-            if len(new):
-                rows = np.concatenate([self.rows[dims[i], done[i] : upto[i]] for i in new])
-                adds = np.concatenate([self.impacts[dims[i], done[i] : upto[i]] for i in new])
-                adds *= np.repeat(weights[new].astype(np.float64), upto[new] - done[new])
-                adds += SEEN
-                packed += np.bincount(rows, adds, n)
-                read += len(rows)
-            done = upto
-            # An accumulator is far below SEEN / 2, so rounding finds the number seen.
-            seen = np.rint(packed / SEEN)
-            reached = upto > 0
-            bound = (reached.sum() - seen) * (threshold - 1) + np.minimum(most, threshold - 1)[~reached].sum() + rest
-            bound += packed - seen * SEEN
-            bound[own] = -np.inf
-            best = np.argpartition(bound, n - k)[n - k :]
-            floor = max(floor, int(self.scores(best, question).min()))
-            found = np.flatnonzero(bound >= floor)
-            if len(found) <= max(2 * k, n * FEW):
+        n, dims = self.vectors.shape
+        found = [(np.flatnonzero(~mine), 0) for mine in own]
+        exact = self.largest * int(np.abs(questions).max(initial=0)) * max(dims, 1) < 1 << 53
+        active = np.flatnonzero([exact and len(rows) > k and q.any() for (rows, _), q in zip(found, questions)])
+        weights = np.ascontiguousarray(questions[active].T.astype(np.float64))
+        lengths = np.sqrt((weights**2).sum(axis=0)) * SLACK
+        sums = np.zeros((n, len(active)))
+        read = 0
+        for filled, matrix, lists, size, left in self.rounds:
+            if not len(active):
                 break
-        return found, read
+            if len(filled):
+                sums += matrix @ weights[filled]
+            for d, rows, impacts in lists:
+                sums[rows] += np.multiply.outer(impacts, weights[d])  # a row comes once
+            read += size
+            bounds = np.multiply.outer(lengths, left)
+            bounds += sums.T
+            bounds[own[active]] = -np.inf
+            best = np.argpartition(bounds, n - k, axis=1)[:, n - k :]
+            more = []
+            for i, q in enumerate(active.tolist()):
+                floor = max(int(floors[q]), int(self.scores(best[i], questions[q]).min()))
+                rows = np.flatnonzero(bounds[i] >= floor)
+                found[q] = rows, read
+                if len(rows) > max(2 * k, n * FEW):
+                    more.append(i)
+            if len(more) < len(active):
+                active, lengths = active[more], lengths[more]
+                weights, sums = np.ascontiguousarray(weights[:, more]), np.ascontiguousarray(sums[:, more])
+        return found
 
 
 def search(embeddings: DataFrame, is_question: Column, k: int, scale: int = 64, block: int = V.QUESTIONS_PER_BLOCK) -> DataFrame:
@@ -152,17 +165,18 @@ def _block_hits(rows: DataFrame, asked, k: int, scale: int) -> DataFrame:
             questions, found = V.same_width(asked_vectors, found)
             index = Segments(shard.column("vec_id").to_numpy(), found)
             new = []
-            for q in range(len(asked_ids)):
-                own = index.ids == asked_ids[q]
-                floor = int(best.floor[q])
-                possible, _ = index.possible(questions[q], k, floor, own)
-                scores = index.scores(possible, questions[q])
-                good = scores >= floor
-                possible, scores = possible[good], scores[good]
-                if len(possible) > k:
-                    order = np.lexsort((possible, -scores))[:k]  # rows of a shard are sorted by id
-                    possible, scores = possible[order], scores[order]
-                new.append((np.full(len(possible), q), scores, index.ids[possible]))
+            for start in range(0, len(asked_ids), GROUP):
+                group = slice(start, start + GROUP)
+                own = asked_ids[group, None] == index.ids
+                answers = index.possible_of(questions[group], k, best.floor[group], own)
+                for q, (possible, _) in enumerate(answers, start):
+                    scores = index.scores(possible, questions[q])
+                    good = scores >= best.floor[q]
+                    possible, scores = possible[good], scores[good]
+                    if len(possible) > k:
+                        order = np.lexsort((possible, -scores))[:k]  # rows of a shard are sorted by id
+                        possible, scores = possible[order], scores[order]
+                    new.append((np.full(len(possible), q), scores, index.ids[possible]))
             best.add(*(np.concatenate(parts) for parts in zip(*new)))
         if len(best.question):
             for start in range(0, len(best.question), 65536):
