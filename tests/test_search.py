@@ -206,3 +206,30 @@ def test_diff(rows):
     after = ix.upsert(index, batch)
     assert ix.changed(docs, after).count() == 0
     assert after.count() == 6
+
+
+def test_many_small_blocks_share_a_scan(rows, monkeypatch):
+    scans = []
+    whole = se._task_topk
+    monkeypatch.setattr(se, "_task_topk", lambda *given: scans.append(len(given[1])) or whole(*given))
+    data = entries(60, seed=3)
+    queries = rows([(i, v) for i, (_, v, _) in enumerate(entries(23, seed=9))], "query_id int, vector array<float>")
+    got = se.topk_batch(rows(data, schemas.VECTOR), queries, 3, block=2)
+    assert got.count() == 69 and scans == [23]
+
+
+def test_candidates_of_some_questions_are_merged_by_score_and_id():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    scores, ids = rng.integers(0, 9, (6, 50)).astype(float), [f"i{n:03d}" for n in rng.permutation(50)]
+    best, part = se._Best(9, 4), np.array([0, 2, 3, 5, 7, 8])
+    for start in (0, 20, 40):
+        table = pa.table({"id": ids[start : start + 20]})
+        q, r = best.candidates(scores[:, start : start + 20], table.column("id"), part)
+        best.merge(part[q], scores[q, start + r], table, r)
+    out = pa.Table.from_batches(best.batch(["query_id", "id", "score"], pa.array(range(9)))).to_pylist()
+    for q, row in zip(part, scores):
+        want = [i for _, i in sorted(zip(-row, ids))[:4]]
+        assert [r["id"] for r in out if r["query_id"] == q] == want
+        assert best.floor[q] == np.sort(row)[-4]

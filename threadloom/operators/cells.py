@@ -15,7 +15,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from threadloom.operators import search as se
@@ -26,6 +25,8 @@ from threadloom.session import materialize
 FITTED_ON = 65536
 ROUNDS = 8
 MOST_CELLS = 4096
+# A task keeps about so many candidates until they are merged.
+CANDIDATES_HELD = 1 << 18
 # Bounds are computed in floating point, scores rounded to SCORE_DIGITS.
 SLACK = 1e-8
 
@@ -101,33 +102,44 @@ def build_cells(index: DataFrame, n_cells: int = 0, metric: str = "cosine") -> C
     return Cells(entries.drop("distance"), metric, centres, radius, size)
 
 
-def _scored(cells: Cells, asked: pa.Table, wanted: np.ndarray, k: int, columns: Sequence[str], query_type) -> DataFrame:
-    """The k best of each task among the wanted (question, cell) pairs."""
+def _scored(
+    cells: Cells, asked: pa.Table, wanted: np.ndarray, k: int, columns: Sequence[str], query_type, floors: np.ndarray | None = None
+) -> DataFrame:
+    """The k best of each task among the wanted (question, cell) pairs, and of at least
+    the question's floor."""
     schema = se._hit_schema(cells.entries, columns, query_type)
     names, metric = schema.names, cells.metric
     ids = asked.column("query_id").combine_chunks()
     questions = se._matrix(asked.column("vector").combine_chunks(), cells.centres.shape[1])
     context = cells.entries.sparkSession.sparkContext
-    shared = context.broadcast((questions, ids, np.packbits(wanted, axis=0), len(wanted)))
+    floors = np.full(len(wanted), -np.inf) if floors is None else floors
+    shared = context.broadcast((questions, ids, np.packbits(wanted, axis=0), floors))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, query_ids, packed, n = shared.value
+        vectors, query_ids, packed, floor = shared.value
+        unit = se._unit if metric == "cosine" else np.asarray
+        vectors, n = unit(vectors), len(floor)
         best = se._Best(n, k)
+        best.floor = floor.copy()
         for batch in batches:
-            # Sorted by id, so that a stable sort by score breaks ties by id.
-            rows = pa.Table.from_batches([batch]).take(pc.sort_indices(batch.column("id")))
-            matrix = se._matrix(rows.column("values").combine_chunks(), vectors.shape[1])
-            cell = rows.column("cell").to_numpy()
+            rows = pa.Table.from_batches([batch])
+            matrix = unit(se._matrix(batch.column("values"), vectors.shape[1]))
+            cell = batch.column("cell").to_numpy()
             rows = rows.drop_columns([c for c in ("cell", "values") if c not in names])
+            ids, found, held = rows.column("id").combine_chunks(), [], 0
             for number in np.unique(cell):
                 asking = np.flatnonzero(np.unpackbits(packed[:, number], count=n))
                 own = np.flatnonzero(cell == number)
                 for start in range(0, len(asking), se.QUERIES_AT_ONCE):
                     part = asking[start : start + se.QUERIES_AT_ONCE]
-                    scores = se._score(vectors[part], matrix[own], metric)
-                    order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-                    query = np.repeat(part, order.shape[1])
-                    best.merge(query, np.take_along_axis(scores, order, 1).ravel(), rows.take(pa.array(own[order.ravel()])))
+                    scores = se._score(vectors[part], matrix[own], "dot")
+                    q, r = best.candidates(scores, ids.take(pa.array(own)), part)
+                    found.append((part[q], scores[q, r], own[r]))
+                    held += len(q)
+                    if held > CANDIDATES_HELD:
+                        best.merge_all(found, rows)
+                        found, held = [], 0
+            best.merge_all(found, rows)
         yield from best.batch(names, query_ids)
 
     needed = list(dict.fromkeys(["id", "values", "cell", *columns]))
@@ -167,7 +179,7 @@ def topk_cells(
         floors = _floors(hits, own.column("query_id"), k)
         rest = (bounds >= floors[:, None]) & ~first & (cells.size > 0)
         if rest.any():
-            hits = hits.unionByName(_scored(cells, own, rest, k, columns, query_type))
+            hits = hits.unionByName(_scored(cells, own, rest, k, columns, query_type, floors))
         found = found.unionByName(materialize(se.best_per_query(hits, k), "hits"))
         counted["pairs"] += own.num_rows * int(cells.size.sum())
         counted["scored"] += int(((first | rest) * cells.size).sum())
