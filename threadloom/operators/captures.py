@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from threadloom.operators.ranking import last_by, one_per_key, same
+from threadloom.operators.ranking import last_by, matching, one_per_key, same
 from threadloom.session import materialize
 
 THREAD_KEYS = ("sub", "kind", "sid")
@@ -82,10 +82,11 @@ def latest_versions(
 
     The last version is found over the key columns alone with an aggregate
     that combines before the shuffle; the rows are then matched on the whole
-    key, so a thread's rows need not meet in one task.
+    key, so a thread's rows need not meet in one task, and are not shuffled where
+    few versions are superseded.
     """
     newest = rows.groupBy(*thread).agg(F.max(F.struct(*version)).alias("_newest")).select(*thread, "_newest.*")
-    return rows.join(newest, [*thread, *version], "left_semi")
+    return matching(rows, newest, [*thread, *version])
 
 
 def convert_new(

@@ -15,6 +15,27 @@ def same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(lambda x, y: x & y, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
 
 
+# So many keys are sent to the scan of the rows at most.
+SENT_ALONG_KEYS = 200_000
+
+
+def matching(rows: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows whose key is among ``wanted``; a key with a null is not.
+
+    Rows are not shuffled where few keys are wanted, nor where few of their keys are
+    not, as in a first run: the keys are compared alone, and the fewer are sent along.
+    Only between the two the join shuffles both sides.  ``rows`` is read twice."""
+    columns = list(columns)
+    wanted = materialize(wanted.select(*columns).distinct(), "wanted-keys")
+    if wanted.count() <= SENT_ALONG_KEYS:
+        return rows.join(F.broadcast(wanted), columns, "left_semi")
+    whole = rows.where(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in columns]))
+    others = materialize(whole.select(*columns).distinct().join(wanted, columns, "left_anti"), "other-keys")
+    if others.count() <= SENT_ALONG_KEYS:
+        return whole.join(F.broadcast(others), columns, "left_anti")
+    return rows.join(wanted, columns, "left_semi")
+
+
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], best) -> DataFrame:
     marks = {f"_o{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)}
     marked = df.withColumns(marks)
@@ -48,6 +69,8 @@ def one_per_key(df: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame
     names = [f"_k{i}" for i in range(len(key))]
     counted = keys.groupBy(*[F.col(c).alias(n) for c, n in zip(key, names)]).count()
     repeated = materialize(counted.where("count > 1").select(*names), "repeated")
+    if repeated.isEmpty():
+        return df
     place = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
     firsts = df.join(repeated, same(key, names), "left_semi").withColumn("_place", place).where("_place = 1").drop("_place")
     return df.join(repeated, same(key, names), "left_anti").unionByName(firsts)

@@ -12,7 +12,7 @@ from threadloom.functions.times import lenient_epoch, stamp14, utc_parts
 from threadloom.operators import threads
 from threadloom.operators.captures import distinct_captures
 from threadloom.operators.narrow import link_filter, valid_posts
-from threadloom.operators.ranking import first_by
+from threadloom.operators.ranking import first_by, same
 from threadloom.operators.stats import capture_stats
 from threadloom.session import materialize
 from threadloom.sources import schemas
@@ -105,11 +105,11 @@ def import_dump(
     first = distinct_captures(post_keys, ["sub", "sid"]).drop("n_captures")
     offered = materialize(_marked(first, _of_kind(existing, "submissions")), "post-offers")
     fresh_posts = offered.where("wrote").drop("wrote")
-    post_rows = first_by(
-        posts.withColumnRenamed("id", "sid").join(fresh_posts, ["sub", "sid", "cap14", "hash"], "left_semi"),
-        ["sub", "sid", "hash"],
-        FILE_ORDER,
-    )
+    # The first row is found over keys; lines are matched with it once.
+    placed_posts = post_keys_in_order(posts).join(fresh_posts, ["sub", "sid", "cap14", "hash"], "left_semi")
+    won = materialize(first_by(placed_posts, ["sub", "sid", "hash"], FILE_ORDER).distinct(), "post-rows")
+    names = [f"_w{i}" for i in range(len(won.columns))]
+    post_rows = posts.withColumnRenamed("id", "sid").join(won.toDF(*names), same(won.columns, names), "left_semi")
 
     unique = threads.dedup_comments(comments, FILE_ORDER)
     keys = thread_captures(comments, unique, index, now).withColumnRenamed("post_id", "sid")
@@ -127,6 +127,10 @@ def import_dump(
     )
 
 
+def post_keys_in_order(posts: DataFrame) -> DataFrame:
+    return posts.select("sub", F.col("id").alias("sid"), "cap14", "hash", *FILE_ORDER)
+
+
 def _marked(keys: DataFrame, seen: DataFrame | None) -> DataFrame:
     """Keys of captures with ``wrote``, which tells that the thread has not had the
     hash before."""

@@ -14,7 +14,7 @@ from threadloom.operators.captures import VERSION_KEYS, convert_new, unseen
 from threadloom.operators.documents import build_documents, document_keys, hashed
 from threadloom.operators.model import apply_model
 from threadloom.operators.narrow import narrow_comments, narrow_submissions, only_subs, union_kinds
-from threadloom.operators.ranking import one_per_key
+from threadloom.operators.ranking import matching, one_per_key
 from threadloom.plans.parameters import RefreshParameters
 from threadloom.session import configure, materialize
 from threadloom.sources import ledger, schemas
@@ -85,7 +85,7 @@ def refresh(
     todo = materialize(convert_new(raw.select(*NARROW_KEYS).distinct(), done, NARROW_KEYS), "todo")
     converted = todo.count()
     if converted:
-        fresh = raw.join(todo, list(NARROW_KEYS), "left_semi")
+        fresh = matching(raw, todo, NARROW_KEYS)
         write_narrow(narrow_rows(fresh), narrow, params.zstd_level)
         done = windowed(read_if_there(spark, narrow, schemas.NARROW))
 
@@ -124,8 +124,8 @@ def documents_of(done: DataFrame, wanted: DataFrame) -> DataFrame:
     days = [r[0] for r in wanted.select(F.concat("y", "md")).distinct().limit(DAYS_NAMED + 1).collect()]
     rows = done if len(days) > DAYS_NAMED else done.where(F.concat("y", "md").isin(days))
     versions = wanted.select("kind", "sub", "sid", *VERSION_KEYS).distinct()
-    documents = build_documents(rows.join(versions, versions.columns, "left_semi"), latest=False)
-    return documents.join(wanted.select("id").distinct(), "id", "left_semi")
+    documents = build_documents(matching(rows, versions, versions.columns), latest=False)
+    return matching(documents, wanted, ["id"])
 
 
 def _refresh_index(spark, done, keys, leaves, index, embed, params) -> dict[str, int]:
@@ -181,5 +181,5 @@ def _refresh_store(spark, done, keys, leaves, store, params) -> None:
             kept = materialize(kept, "exported")
             pending = fresh.join(kept.select("key"), "key", "left_anti")
         objects = text_objects(documents_of(done, kept), params.prefix)
-        append_texts(objects.join(kept.select("key").distinct(), "key", "left_semi"), store)
+        append_texts(matching(objects, kept, ["key"]), store)
     _record(spark, store, leaves, pending, before)

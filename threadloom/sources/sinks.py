@@ -14,7 +14,7 @@ from threadloom.operators.captures import unseen
 from threadloom.operators.digests import id_bucket
 from threadloom.operators.documents import document_hash
 from threadloom.operators.index import vector_records
-from threadloom.operators.ranking import last_by, take_lowest
+from threadloom.operators.ranking import last_by, matching, take_lowest
 from threadloom.session import materialize
 from threadloom.sources import schemas
 from threadloom.sources.captures import read_table
@@ -71,7 +71,7 @@ def write_captures(df: DataFrame, path: str) -> None:
     if path_exists(spark, path):
         existing = read_table(spark, path, schemas.CAPTURE)
         fresh = materialize(unseen(df.select(*keys).distinct(), existing, keys), "fresh")
-        df = df.join(fresh, keys, "left_semi")
+        df = matching(df, fresh, keys)
     append_captures(df, path)
 
 
@@ -120,9 +120,11 @@ def new_texts(
         fresh = materialize(unseen(named.select("key"), manifest, ["key"]), "fresh")
         if fresh.isEmpty():
             return objects.limit(0)
-        return objects.join(take_lowest(fresh, "key", max_objects), "key", "left_semi")
+        return matching(objects, take_lowest(fresh, "key", max_objects), ["key"])
     fresh = materialize(unseen(objects.select("key"), manifest, ["key"]), "fresh")
-    return objects.join(take_lowest(fresh, "key", max_objects), "key", "left_semi")
+    if fresh.isEmpty():
+        return objects.limit(0)
+    return matching(objects, take_lowest(fresh, "key", max_objects), ["key"])
 
 
 def export_texts(
