@@ -30,3 +30,24 @@ def test_texts_of_a_first_run_are_not_shuffled(spark, rows):
         assert got.count() == 200 and got.where("cap14 = '0'").count() == 195
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("blocks", [0, 100])
+def test_rows_of_files_are_matched_at_their_places(spark, rows, monkeypatch, tmp_path, blocks):
+    """Between few keys and nearly all of them, no row of a scan is shuffled."""
+    monkeypatch.setattr(ranking, "SENT_ALONG_KEYS", 0)
+    monkeypatch.setattr(ranking, "SENT_ALONG_BLOCKS", blocks)
+    data = [(f"k{i % 9}", "x" if i % 2 else None, f"t{i}") for i in range(700)]
+    rows(data, KEYED).repartition(3).write.parquet(str(tmp_path / "t"))
+    scan = spark.read.schema(KEYED).parquet(str(tmp_path / "t"))
+    wanted = rows([(k, b) for k in ("k1", "k1", "k2", "k5", "none") for b in ("x", None)], "a string, b string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got, in_place = ranking.matching_in_place(ranking.with_place(scan), wanted, ["a", "b"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert in_place == (blocks > 0) == ("SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan)
+        want = sorted(t for a, b, t in data if a in ("k1", "k2", "k5") and b == "x")
+        assert sorted(r.text for r in got.collect()) == want
+        assert got.columns == ["a", "b", "text", *ranking.PLACE]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -7,7 +7,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from threadloom.plans.import_dump import import_files
+from threadloom.operators import ranking
+from threadloom.plans.import_dump import import_files, lie_by_day
 from threadloom.plans.parameters import QuestionParameters, RefreshParameters, SearchParameters
 from threadloom.plans.refresh import refresh
 from threadloom.plans.search import answer, rag_context, search, search_question
@@ -167,6 +168,49 @@ def test_refresh_without_news_reads_no_text(spark, dumps, tmp_path, monkeypatch)
             assert f"{column}:" not in "".join(re.findall(r"ReadSchema: \S+", plan)), plan
 
 
+def test_texts_stay_where_they_are_read(spark, dumps, tmp_path, monkeypatch):
+    """With more keys than are sent along, and several versions of a post, only the
+    store's rows are dealt anew."""
+    more = [post(2, retrieved_utc=1706800000 + i, title=f"v{i}") for i in range(5)]
+    files = [*dumps, write(tmp_path / "z_posts.jsonl", more)]
+    plans, write_ = [], DataFrameWriter.parquet
+
+    def watched(writer, path, *args, **kwargs):
+        plans.append((path, writer._df._jdf.queryExecution().executedPlan().toString()))
+        return write_(writer, path, *args, **kwargs)
+
+    want = paths(tmp_path / "want")
+    import_files(spark, files, want["captures"], NOW)
+    refresh(spark, embed=embed, params=PARAMS, **want)
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    monkeypatch.setattr(ranking, "SENT_ALONG_KEYS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    p = paths(tmp_path)
+    try:
+        import_files(spark, files, p["captures"], NOW)
+        refresh(spark, embed=embed, params=PARAMS, **p)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    posts = next(plan for path, plan in plans if path == p["captures"])
+    narrow = next(plan for path, plan in plans if path == p["narrow"])
+    embedded = next(plan for path, plan in plans if "/embedded-" in path)
+    stored = next(plan for path, plan in plans if path == p["store"])
+    for plan in (posts, narrow, embedded, stored):
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert not re.search(r"(?<!Broadcast)Exchange", posts + narrow)
+    for name, schema in (("captures", schemas.CAPTURE), ("narrow", schemas.NARROW), ("store", schemas.STORE)):
+        rows = [sorted(map(repr, read_table(spark, q[name], schema).collect())) for q in (want, p)]
+        assert rows[0] == rows[1] and rows[0]
+    assert index_of(spark, p) == index_of(spark, want)
+
+
+def test_posts_out_of_order_are_dealt_by_day(spark, tmp_path):
+    """Files that would each write a file for every day are not written as they lie."""
+    rows = [(f, i, 86400 * day) for f in range(4) for i, day in enumerate(range(10))]
+    placed = spark.createDataFrame(rows, "_file long, _row long, created long")
+    assert not lie_by_day(placed) and lie_by_day(placed.where("created div 86400 div 3 = _file"))
+
+
 def test_refresh_compares_again_after_another_writer(spark, dumps, tmp_path):
     p = paths(tmp_path)
     import_files(spark, dumps, p["captures"], NOW)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from threadloom.functions import ids, text
 from threadloom.operators.captures import latest_versions
 from threadloom.operators.narrow import nonblank
+from threadloom.operators.ranking import PLACE
 
 
 def _is_post():
@@ -46,8 +47,8 @@ def hashed(staged: DataFrame) -> DataFrame:
 
 
 def document_keys(staged: DataFrame) -> DataFrame:
-    """(id, metadata) of the documents that the rows make, with the rows' own keys,
-    from stored hashes: no text is read.  Rows that were written without a hash keep a
+    """(id, metadata) of the documents that the rows make, with the rows' own keys and
+    places, if they have them, from stored hashes: no text is read.  Rows that were written without a hash keep a
     null; ``hashed`` fills them in."""
     rows = _identified(latest_versions(staged)).where("h IS NULL OR h <> ''")
     return rows.select(
@@ -61,6 +62,7 @@ def document_keys(staged: DataFrame) -> DataFrame:
         "hms",
         "cap14",
         "h16",
+        *[c for c in PLACE if c in staged.columns],
     )
 
 

@@ -19,21 +19,58 @@ def same(left: Sequence[str], right: Sequence[str]) -> Column:
 SENT_ALONG_KEYS = 200_000
 
 
+# A row's place in a table: a hash of its file's path, and its number in the file.
+PLACE = ("_file", "_row")
+# So many blocks of 64 rows of a file are sent along at most.
+SENT_ALONG_BLOCKS = 1_000_000
+
+
+def with_place(scan: DataFrame) -> DataFrame:
+    """A scan of Parquet files with the PLACE of each row."""
+    return scan.withColumns({"_file": F.xxhash64("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+
+
+def at_places(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows, of a scan with PLACE, at the chosen places; PLACE is dropped."""
+    return at_places_in_place(rows, chosen)[0].drop(*PLACE)
+
+
+def at_places_in_place(rows: DataFrame, chosen: DataFrame) -> tuple[DataFrame, bool]:
+    """The rows at the chosen places, and whether they lie as those of ``rows`` do.
+
+    A place is sent along as one bit of a block of 64 rows, so that rows need no
+    shuffle up to 64 million chosen ones of large files."""
+    block, bit = F.expr("_row div 64"), F.expr("shiftleft(1L, cast(_row % 64 as int))")
+    bits = chosen.select(F.col("_file").alias("_f"), block.alias("_b"), bit.alias("_bit"))
+    blocks = materialize(bits.groupBy("_f", "_b").agg(F.bit_or("_bit").alias("_bits")), "places")
+    sent = blocks.count() <= SENT_ALONG_BLOCKS
+    found = rows.join(F.broadcast(blocks) if sent else blocks, (F.col("_file") == F.col("_f")) & (block == F.col("_b")))
+    return found.where(F.col("_bits").bitwiseAND(bit) != 0).select(*rows.columns), sent
+
+
 def matching(rows: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The rows whose key is among ``wanted``; a key with a null is not.
 
     Rows are not shuffled where few keys are wanted, nor where few of their keys are
     not, as in a first run: the keys are compared alone, and the fewer are sent along.
-    Only between the two the join shuffles both sides.  ``rows`` is read twice."""
+    Between the two the rows' places are sent along where they are known; without
+    them the join shuffles both sides.  ``rows`` is read twice."""
+    return matching_in_place(rows, wanted, columns)[0]
+
+
+def matching_in_place(rows: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, bool]:
+    """What matching gives, and whether its rows lie as those of ``rows`` do."""
     columns = list(columns)
     wanted = materialize(wanted.select(*columns).distinct(), "wanted-keys")
     if wanted.count() <= SENT_ALONG_KEYS:
-        return rows.join(F.broadcast(wanted), columns, "left_semi")
+        return rows.join(F.broadcast(wanted), columns, "left_semi"), True
     whole = rows.where(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in columns]))
     others = materialize(whole.select(*columns).distinct().join(wanted, columns, "left_anti"), "other-keys")
     if others.count() <= SENT_ALONG_KEYS:
-        return whole.join(F.broadcast(others), columns, "left_anti")
-    return rows.join(wanted, columns, "left_semi")
+        return whole.join(F.broadcast(others), columns, "left_anti"), True
+    if set(PLACE) <= set(rows.columns):
+        return at_places_in_place(rows, rows.select(*columns, *PLACE).join(wanted, columns, "left_semi"))
+    return rows.join(wanted, columns, "left_semi"), False
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], best) -> DataFrame:

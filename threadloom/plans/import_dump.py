@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from threadloom.functions.fingerprints import comment_hash, submission_fingerprint
 from threadloom.functions.times import lenient_epoch, stamp14, utc_parts
 from threadloom.operators import threads
-from threadloom.operators.captures import distinct_captures
 from threadloom.operators.narrow import link_filter, valid_posts
-from threadloom.operators.ranking import first_by, same
+from threadloom.operators.ranking import PLACE, at_places_in_place, with_place
 from threadloom.operators.stats import capture_stats
 from threadloom.session import materialize
 from threadloom.sources import schemas
@@ -24,13 +23,15 @@ from threadloom.sources.sinks import append_captures, read_if_there
 @dataclass(frozen=True)
 class Imported:
     """posts and comments: capture rows; orphans: threads without a post; stats: what
-    the run found, wrote and skipped (D9), out of the keys it has written down."""
+    the run found, wrote and skipped (D9), out of the keys it has written down.
+    posts_by_day: the posts can be written as they lie, see lie_by_day."""
 
     posts: DataFrame
     comments: DataFrame
     threads: DataFrame
     orphans: DataFrame
     stats: DataFrame
+    posts_by_day: bool = False
 
 
 def valid_post_rows(parsed: DataFrame, now: int) -> DataFrame:
@@ -97,19 +98,15 @@ def import_dump(
     the capture table, whose (thread, hash) pairs are not captured again.
     """
     now = int(dt.datetime.now(dt.UTC).timestamp()) if now is None else now
-    posts = materialize(valid_post_rows(parsed_posts, now), "posts")
+    posts = with_place(materialize(valid_post_rows(parsed_posts, now), "posts", "zstd"))
     comments = materialize(linked_comments(parsed_comments), "comments")
     index = threads.post_index(posts)
 
-    post_keys = posts.select("sub", F.col("id").alias("sid"), "cap14", "hash")
-    first = distinct_captures(post_keys, ["sub", "sid"]).drop("n_captures")
-    offered = materialize(_marked(first, _of_kind(existing, "submissions")), "post-offers")
-    fresh_posts = offered.where("wrote").drop("wrote")
-    # The first row is found over keys; lines are matched with it once.
-    placed_posts = post_keys_in_order(posts).join(fresh_posts, ["sub", "sid", "cap14", "hash"], "left_semi")
-    won = materialize(first_by(placed_posts, ["sub", "sid", "hash"], FILE_ORDER).distinct(), "post-rows")
-    names = [f"_w{i}" for i in range(len(won.columns))]
-    post_rows = posts.withColumnRenamed("id", "sid").join(won.toDF(*names), same(won.columns, names), "left_semi")
+    offered = materialize(_marked(first_post_rows(posts), _of_kind(existing, "submissions")), "post-offers")
+    # The first row is found over keys; lines are read at its place, without a shuffle.
+    won = offered.where("wrote AND cap14 IS NOT NULL")
+    post_rows, in_place = at_places_in_place(posts, won)
+    post_rows = post_rows.drop(*PLACE).withColumnRenamed("id", "sid")
 
     unique = threads.dedup_comments(comments, FILE_ORDER)
     keys = thread_captures(comments, unique, index, now).withColumnRenamed("post_id", "sid")
@@ -124,11 +121,24 @@ def import_dump(
         threads=found.drop("wrote").withColumnRenamed("sid", "post_id"),
         orphans=threads.orphan_threads(all_threads, index),
         stats=_import_stats(offered, found, index),
+        posts_by_day=in_place and lie_by_day(won),
     )
 
 
-def post_keys_in_order(posts: DataFrame) -> DataFrame:
-    return posts.select("sub", F.col("id").alias("sid"), "cap14", "hash", *FILE_ORDER)
+def first_post_rows(posts: DataFrame) -> DataFrame:
+    """Of every hash a post has had the earliest capture, and of its rows the place
+    of the first in file order, by one aggregate."""
+    order = F.struct(F.col("cap14").isNull().alias("unknown"), "cap14", *FILE_ORDER, *PLACE, "created")
+    first = posts.groupBy("sub", F.col("id").alias("sid"), "hash").agg(F.min(order).alias("_first"))
+    return first.select("sub", "sid", "hash", *[f"_first.{c}" for c in ("cap14", "created", *PLACE)])
+
+
+def lie_by_day(rows: DataFrame) -> bool:
+    """Whether written by the tasks that read them, rows make few files: about one for
+    every day and file that they come from, as where dumps are in order of time."""
+    days = rows.select("_file", *[c.alias(n) for n, c in utc_parts("created").items() if n in ("y", "md")]).distinct()
+    pairs, days, files = days.agg(F.count(F.lit(1)), F.count_distinct("y", "md"), F.count_distinct("_file")).first()
+    return pairs <= 2 * days + files
 
 
 def _marked(keys: DataFrame, seen: DataFrame | None) -> DataFrame:
@@ -168,6 +178,6 @@ def import_files(spark: SparkSession, paths: list[str], captures: str, now: int
     posts = read_dump(spark, post_files)
     comments = read_dump(spark, comment_files) if comment_files else posts.limit(0)
     done = import_dump(posts, comments, read_if_there(spark, captures, schemas.CAPTURE), now)
-    append_captures(done.posts, captures)
+    append_captures(done.posts, captures, done.posts_by_day)
     append_captures(done.comments, captures)
     return done

@@ -14,7 +14,7 @@ from threadloom.operators.captures import VERSION_KEYS, convert_new, unseen
 from threadloom.operators.documents import build_documents, document_keys, hashed
 from threadloom.operators.model import apply_model
 from threadloom.operators.narrow import narrow_comments, narrow_submissions, only_subs, union_kinds
-from threadloom.operators.ranking import matching, one_per_key
+from threadloom.operators.ranking import at_places, matching_in_place, one_per_key
 from threadloom.plans.parameters import RefreshParameters
 from threadloom.session import configure, materialize
 from threadloom.sources import ledger, schemas
@@ -24,6 +24,7 @@ from threadloom.sources.sinks import (
     batch_number,
     read_current,
     read_if_there,
+    read_placed,
     text_key,
     text_objects,
     upsert_table,
@@ -78,16 +79,17 @@ def refresh(
         kept = lookback(df, params.lookback_days, as_of)
         return kept if subs is None else only_subs(kept, subs)
 
-    raw = windowed(read_if_there(spark, captures, schemas.CAPTURE)).withColumn("h16", h16())
-    done = windowed(read_if_there(spark, narrow, schemas.NARROW))
+    raw = windowed(read_placed(spark, captures, schemas.CAPTURE)).withColumn("h16", h16())
+    done = windowed(read_placed(spark, narrow, schemas.NARROW))
     # Keys are compared alone, and their result is small in a regular run: the
     # lines are then read for new captures only, without a shuffle.
     todo = materialize(convert_new(raw.select(*NARROW_KEYS).distinct(), done, NARROW_KEYS), "todo")
     converted = todo.count()
     if converted:
-        fresh = matching(raw, todo, NARROW_KEYS)
-        write_narrow(narrow_rows(fresh), narrow, params.zstd_level)
-        done = windowed(read_if_there(spark, narrow, schemas.NARROW))
+        # Captures lie by day, as narrow rows are to.
+        fresh, dealt = matching_in_place(raw, todo, NARROW_KEYS)
+        write_narrow(narrow_rows(fresh), narrow, params.zstd_level, dealt)
+        done = windowed(read_placed(spark, narrow, schemas.NARROW))
 
     keys = materialize(document_keys(done), "document-keys")
     if not keys.where("metadata.h IS NULL").isEmpty():
@@ -120,12 +122,12 @@ def _record(spark: SparkSession, path: str, leaves: DataFrame, pending: DataFram
 def documents_of(done: DataFrame, wanted: DataFrame) -> DataFrame:
     """The documents with texts of some rows of document_keys that were written.
 
-    Few days are named to the scan, so that other days' texts are not read."""
+    They are read at the rows' places, so no text is shuffled.  Few days are named to
+    the scan, so that other days' texts are not read."""
     days = [r[0] for r in wanted.select(F.concat("y", "md")).distinct().limit(DAYS_NAMED + 1).collect()]
     rows = done if len(days) > DAYS_NAMED else done.where(F.concat("y", "md").isin(days))
-    versions = wanted.select("kind", "sub", "sid", *VERSION_KEYS).distinct()
-    documents = build_documents(matching(rows, versions, versions.columns), latest=False)
-    return matching(documents, wanted, ["id"])
+    named = wanted.dropna(subset=["id", "kind", "sub", "sid", *VERSION_KEYS])
+    return build_documents(at_places(rows, named), latest=False)
 
 
 def _refresh_index(spark, done, keys, leaves, index, embed, params) -> dict[str, int]:
@@ -171,7 +173,7 @@ def _refresh_store(spark, done, keys, leaves, store, params) -> None:
     before, opened = _opened(spark, keys, leaves, store)
     if opened is None:
         return
-    named = dg.in_leaves(keys, opened).withColumn("key", text_key(params.prefix))
+    named = dg.in_leaves(keys, opened).withColumn("key", text_key(params.prefix)).where("key IS NOT NULL")
     manifest = read_if_there(spark, store, schemas.STORE)
     fresh = materialize(unseen(named, manifest, ["key"]), "fresh")
     pending = None
@@ -180,6 +182,5 @@ def _refresh_store(spark, done, keys, leaves, store, params) -> None:
         if params.max_objects:
             kept = materialize(kept, "exported")
             pending = fresh.join(kept.select("key"), "key", "left_anti")
-        objects = text_objects(documents_of(done, kept), params.prefix)
-        append_texts(matching(objects, kept, ["key"]), store)
+        append_texts(text_objects(documents_of(done, kept), params.prefix), store)
     _record(spark, store, leaves, pending, before)

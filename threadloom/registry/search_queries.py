@@ -233,7 +233,7 @@ def refresh(spark, sf):
     they differ in no text."""
     paths = {n: scratch_path(spark, n) for n in ("captures", "narrow", "index", "store")}
     dump = imported(spark, sf)
-    sinks.write_captures(dump.posts, paths["captures"])
+    sinks.write_captures(dump.posts, paths["captures"], dump.posts_by_day)
     sinks.write_captures(dump.comments, paths["captures"])
     params = RefreshParameters(dim=3)
     for _ in range(2):

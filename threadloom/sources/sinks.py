@@ -14,7 +14,7 @@ from threadloom.operators.captures import unseen
 from threadloom.operators.digests import id_bucket
 from threadloom.operators.documents import document_hash
 from threadloom.operators.index import vector_records
-from threadloom.operators.ranking import last_by, matching, take_lowest
+from threadloom.operators.ranking import PLACE, last_by, matching, matching_in_place, take_lowest, with_place
 from threadloom.session import materialize
 from threadloom.sources import schemas
 from threadloom.sources.captures import read_table
@@ -29,12 +29,21 @@ def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_table(spark, path, schema) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
+def read_placed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """read_if_there, with the PLACE of each row."""
+    if path_exists(spark, path):
+        return with_place(read_table(spark, path, schema))
+    return spark.createDataFrame([], schema + "".join(f", {c} bigint" for c in PLACE))
+
+
 def _write_partitioned(
-    df: DataFrame, path: str, by: Sequence[str], sort: Sequence[str] = (), level: int | None = None
+    df: DataFrame, path: str, by: Sequence[str], sort: Sequence[str] = (), level: int | None = None, dealt: bool = False
 ) -> None:
     """Append few large files per partition: adaptive execution merges small
-    partitions and splits large ones, so one busy day is not one task."""
-    laid = df.hint("rebalance", *by).sortWithinPartitions(*by, *sort)
+    partitions and splits large ones, so one busy day is not one task.  Rows that
+    are ``dealt`` so already, as those of a table with such partitions, are written
+    by the tasks that read them."""
+    laid = (df if dealt else df.hint("rebalance", *by)).sortWithinPartitions(*by, *sort)
     writer = laid.write.mode("append").partitionBy(*by).option("compression", "zstd")
     if level is not None:
         writer = writer.option("parquet.compression.codec.zstd.level", str(level))
@@ -47,21 +56,21 @@ def _fit(df: DataFrame, schema: str) -> DataFrame:
     return df.withColumns(missing).select(*empty.columns) if missing else df.select(*empty.columns)
 
 
-def write_narrow(df: DataFrame, path: str, level: int = ZSTD_LEVEL) -> None:
+def write_narrow(df: DataFrame, path: str, level: int = ZSTD_LEVEL, dealt: bool = False) -> None:
     """A5: narrow rows of either kind as zstd Parquet, partitioned by PARTITIONS,
     with the content hash of what each row says."""
     if "h" not in df.columns:
         missing = [c for c in ("title", "body") if c not in df.columns]
         df = df.withColumns({c: F.lit(None).cast("string") for c in missing}).withColumn("h", document_hash())
-    _write_partitioned(_fit(df, schemas.NARROW), path, schemas.PARTITIONS, schemas.CLUSTERED, level)
+    _write_partitioned(_fit(df, schemas.NARROW), path, schemas.PARTITIONS, schemas.CLUSTERED, level, dealt)
 
 
-def append_captures(df: DataFrame, path: str) -> None:
+def append_captures(df: DataFrame, path: str, dealt: bool = False) -> None:
     """Append raw capture rows that are known to be new."""
-    _write_partitioned(_fit(df, schemas.CAPTURE), path, schemas.PARTITIONS, schemas.CLUSTERED)
+    _write_partitioned(_fit(df, schemas.CAPTURE), path, schemas.PARTITIONS, schemas.CLUSTERED, dealt=dealt)
 
 
-def write_captures(df: DataFrame, path: str) -> None:
+def write_captures(df: DataFrame, path: str, dealt: bool = False) -> None:
     """Append raw capture rows whose (thread, hash) is not there yet.
 
     The check sees keys only; the lines themselves are then matched with the
@@ -71,8 +80,9 @@ def write_captures(df: DataFrame, path: str) -> None:
     if path_exists(spark, path):
         existing = read_table(spark, path, schemas.CAPTURE)
         fresh = materialize(unseen(df.select(*keys).distinct(), existing, keys), "fresh")
-        df = matching(df, fresh, keys)
-    append_captures(df, path)
+        df, in_place = matching_in_place(df, fresh, keys)
+        dealt = dealt and in_place
+    append_captures(df, path, dealt)
 
 
 def write_vectors(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
