@@ -266,7 +266,7 @@ def refresh_noop(spark, sf):
     recorded for the index and the store, so none is opened."""
     paths = {n: scratch_path(spark, n) for n in ("captures", "narrow", "index", "store")}
     dump = imported(spark, sf)
-    sinks.append_captures(dump.posts, paths["captures"])
+    sinks.append_captures(dump.posts, paths["captures"], dump.posts_by_day)
     sinks.append_captures(dump.comments, paths["captures"])
     for _ in range(3):
         counts = run_refresh(spark, embed=letter_counts, params=RefreshParameters(dim=3), **paths)
