@@ -14,7 +14,7 @@ from threadloom.plans.refresh import refresh
 from threadloom.plans.search import answer, rag_context, search, search_question
 from threadloom.operators.context import PromptTemplate
 from threadloom.sources import schemas, sinks
-from threadloom.sources.captures import read_table
+from threadloom.sources.captures import lookback, read_table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -204,6 +204,54 @@ def test_texts_stay_where_they_are_read(spark, dumps, tmp_path, monkeypatch):
     assert index_of(spark, p) == index_of(spark, want)
 
 
+def test_many_small_days_lie_by_year(spark, tmp_path, monkeypatch):
+    """The folders and files of a refresh do not grow with its days, and its tables and
+    counts are those of a layout by day."""
+    days = 24
+    posts = [post(i, created_utc=1702598400 + 86400 * i, retrieved_on=1735000000) for i in range(days)]
+    comments = [said(i, f"p{i}", retrieved_on=1735000000) for i in range(5, days, 5)]
+    files = [write(tmp_path / "a_posts.jsonl", posts), write(tmp_path / "a_comments.jsonl", comments)]
+    later = [post(i, created_utc=1702598400 + 86400 * i, retrieved_on=1735000001, title="new") for i in range(0, days, 10)]
+    later = write(tmp_path / "b_posts.jsonl", later)
+    window = RefreshParameters(lookback_days=10, dim=3, zstd_level=3)
+    seen = []
+    for few, name in ((days - 1, "year"), (days, "day")):
+        monkeypatch.setattr(sinks, "FEW_DAYS", few)
+        p = paths(tmp_path / name)
+        import_files(spark, files, p["captures"], NOW)
+        runs = [refresh(spark, embed=embed, params=window, as_of="2024-01-05", **p)]
+        n_files = sum(1 for n in ("captures", "narrow") for _ in (tmp_path / name / n).rglob("*.parquet"))
+        assert n_files <= 12 if name == "year" else n_files >= days + 11
+        import_files(spark, [later], p["captures"], NOW)
+        runs.append(refresh(spark, embed=embed, params=PARAMS, **p))
+        assert sinks.lies_by(spark, p["narrow"]) == (schemas.YEARLY if name == "year" else schemas.PARTITIONS)
+        schema = (("captures", schemas.CAPTURE), ("narrow", schemas.NARROW), ("store", schemas.STORE))
+        rows = {n: sorted(map(repr, read_table(spark, p[n], s).collect())) for n, s in schema}
+        seen.append(([(r["converted"], r["documents"], r["vectors"]) for r in runs], rows, index_of(spark, p)))
+    assert seen[0] == seen[1]
+    assert seen[0][0] == [(13, 13, 13), (18, 28, 16)]
+    table = read_table(spark, str(tmp_path / "year" / "narrow"), schemas.NARROW)
+    plan = lookback(table, 10, "2024-01-05")._jdf.queryExecution().executedPlan().toString()
+    assert "y#" in re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
+    assert "md" in re.search(r"PushedFilters: (.*)", plan).group(1)
+
+
+def test_a_day_that_is_not_known_is_the_same_in_both_layouts(spark, tmp_path):
+    rows = [("ja", "p1", "", None, "20240101000000", "a", 1, "{}", "submissions", y, md) for y, md in (("", ""), ("2024", "0101"))]
+    got = []
+    for by in (schemas.PARTITIONS, schemas.YEARLY):
+        sinks.write_captures(spark.createDataFrame(rows, schemas.CAPTURE), str(tmp_path / by[-1]), by=by)
+        got.append(sorted(map(repr, read_table(spark, str(tmp_path / by[-1]), schemas.CAPTURE).collect())))
+        assert sinks.lies_by(spark, str(tmp_path / by[-1])) == by
+    assert got[0] == got[1] and len(got[0]) == 2
+
+
+def test_large_days_keep_their_folders():
+    assert sinks.partitions_for(sinks.FEW_DAYS, 1) == schemas.PARTITIONS
+    assert sinks.partitions_for(5000, 5000 * sinks.DAY_ROWS) == schemas.PARTITIONS
+    assert sinks.partitions_for(5000, 5000) == schemas.YEARLY
+
+
 def test_posts_out_of_order_are_dealt_by_day(spark, tmp_path):
     """Files that would each write a file for every day are not written as they lie."""
     rows = [(f, i, 86400 * day) for f in range(4) for i, day in enumerate(range(10))]

@@ -61,9 +61,11 @@ def matching(rows: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> Data
 def matching_in_place(rows: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, bool]:
     """What matching gives, and whether its rows lie as those of ``rows`` do."""
     columns = list(columns)
-    wanted = materialize(wanted.select(*columns).distinct(), "wanted-keys")
+    asked = wanted.select(*columns).distinct()
+    wanted = materialize(asked, "wanted-keys")
     if wanted.count() <= SENT_ALONG_KEYS:
-        return rows.join(F.broadcast(wanted), columns, "left_semi"), True
+        # Few keys stay part of the plan, so that later filters reach their scan, too.
+        return rows.join(F.broadcast(asked), columns, "left_semi"), True
     whole = rows.where(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in columns]))
     others = materialize(whole.select(*columns).distinct().join(wanted, columns, "left_anti"), "other-keys")
     if others.count() <= SENT_ALONG_KEYS:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,14 +18,15 @@ from threadloom.session import materialize
 from threadloom.sources import schemas
 from threadloom.sources.captures import FILE_ORDER
 from threadloom.sources.dumps import comment_fields, post_fields, read_dump, split_paths
-from threadloom.sources.sinks import append_captures, read_if_there
+from threadloom.sources.sinks import append_captures, partitions_for, read_if_there
 
 
 @dataclass(frozen=True)
 class Imported:
     """posts and comments: capture rows; orphans: threads without a post; stats: what
     the run found, wrote and skipped (D9), out of the keys it has written down.
-    posts_by_day: the posts can be written as they lie, see lie_by_day."""
+    posts_by_day: the posts can be written as they lie, see lie_by_day.  partitions: how
+    a new table of the captures is to lie."""
 
     posts: DataFrame
     comments: DataFrame
@@ -32,6 +34,7 @@ class Imported:
     orphans: DataFrame
     stats: DataFrame
     posts_by_day: bool = False
+    partitions: tuple[str, ...] = schemas.PARTITIONS
 
 
 def valid_post_rows(parsed: DataFrame, now: int) -> DataFrame:
@@ -115,13 +118,15 @@ def import_dump(
     kept = unique.withColumnRenamed("post_id", "sid").join(fresh, ["sub", "sid"], "inner")
     placed = threads.comment_order(materialize(kept, "threads"), ["sub", "sid"])
     all_threads = comments.select(*threads.THREAD).distinct()
+    partitions = _partitions(won)
     return Imported(
         posts=_capture_rows(post_rows.withColumn("line_no", F.lit(1).cast("bigint")), "submissions"),
         comments=_capture_rows(placed.withColumnRenamed("pos", "line_no"), "comments"),
         threads=found.drop("wrote").withColumnRenamed("sid", "post_id"),
         orphans=threads.orphan_threads(all_threads, index),
         stats=_import_stats(offered, found, index),
-        posts_by_day=in_place and lie_by_day(won),
+        posts_by_day=in_place and lie_by_day(won, partitions[1:]),
+        partitions=partitions,
     )
 
 
@@ -133,14 +138,24 @@ def first_post_rows(posts: DataFrame) -> DataFrame:
     return first.select("sub", "sid", "hash", *[f"_first.{c}" for c in ("cap14", "created", *PLACE)])
 
 
-def lie_by_day(rows: DataFrame) -> bool:
+def _days(rows: DataFrame, *more: str, by: Sequence[str] = ("y", "md")) -> DataFrame:
+    return rows.select(*more, *[c.alias(n) for n, c in utc_parts("created").items() if n in by])
+
+
+def lie_by_day(rows: DataFrame, by: Sequence[str] = ("y", "md")) -> bool:
     """Whether written by the tasks that read them, rows make few files: about one for
-    every day and file that they come from, as where dumps are in order of time."""
-    days = rows.select("_file", *[c.alias(n) for n, c in utc_parts("created").items() if n in ("y", "md")]).distinct()
-    pairs, days, files = days.agg(F.count(F.lit(1)), F.count_distinct("y", "md"), F.count_distinct("_file")).first()
+    every day (or year) and file that they come from, as where dumps are in order of time."""
+    days = _days(rows, "_file", by=by).distinct()
+    pairs, days, files = days.agg(F.count(F.lit(1)), F.count_distinct(*by), F.count_distinct("_file")).first()
     return pairs <= 2 * days + files
 
 
+def _partitions(rows: DataFrame) -> tuple[str, ...]:
+    days = _days(rows).groupBy("y", "md").agg(F.count(F.lit(1)).alias("n"))
+    n_days, n_rows = days.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return partitions_for(n_days, n_rows)
+
+
 def _marked(keys: DataFrame, seen: DataFrame | None) -> DataFrame:
     """Keys of captures with ``wrote``, which tells that the thread has not had the
     hash before."""
@@ -178,6 +193,6 @@ def import_files(spark: SparkSession, paths: list[str], captures: str, now: int
     posts = read_dump(spark, post_files)
     comments = read_dump(spark, comment_files) if comment_files else posts.limit(0)
     done = import_dump(posts, comments, read_if_there(spark, captures, schemas.CAPTURE), now)
-    append_captures(done.posts, captures, done.posts_by_day)
-    append_captures(done.comments, captures)
+    append_captures(done.posts, captures, done.posts_by_day, done.partitions)
+    append_captures(done.comments, captures, by=done.partitions)
     return done

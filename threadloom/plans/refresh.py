@@ -22,6 +22,7 @@ from threadloom.sources.captures import h16, lookback
 from threadloom.sources.sinks import (
     append_texts,
     batch_number,
+    lies_by,
     read_current,
     read_if_there,
     read_placed,
@@ -86,9 +87,9 @@ def refresh(
     todo = materialize(convert_new(raw.select(*NARROW_KEYS).distinct(), done, NARROW_KEYS), "todo")
     converted = todo.count()
     if converted:
-        # Captures lie by day, as narrow rows are to.
+        # A new narrow table lies as the captures do, by day or by year.
         fresh, dealt = matching_in_place(raw, todo, NARROW_KEYS)
-        write_narrow(narrow_rows(fresh), narrow, params.zstd_level, dealt)
+        write_narrow(narrow_rows(fresh), narrow, params.zstd_level, dealt, lies_by(spark, captures))
         done = windowed(read_placed(spark, narrow, schemas.NARROW))
 
     keys = materialize(document_keys(done), "document-keys")
@@ -124,8 +125,12 @@ def documents_of(done: DataFrame, wanted: DataFrame) -> DataFrame:
 
     They are read at the rows' places, so no text is shuffled.  Few days are named to
     the scan, so that other days' texts are not read."""
-    days = [r[0] for r in wanted.select(F.concat("y", "md")).distinct().limit(DAYS_NAMED + 1).collect()]
-    rows = done if len(days) > DAYS_NAMED else done.where(F.concat("y", "md").isin(days))
+    days = [tuple(r) for r in wanted.select("y", "md").dropna().distinct().limit(DAYS_NAMED + 1).collect()]
+    rows = done
+    if len(days) <= DAYS_NAMED:
+        # Each column alone, so that folders and pages are left out.
+        years, dates = ([*{d[i] for d in days}] for i in (0, 1))
+        rows = done.where(F.col("y").isin(years) & F.col("md").isin(dates) & F.concat("y", "md").isin([y + md for y, md in days]))
     named = wanted.dropna(subset=["id", "kind", "sub", "sid", *VERSION_KEYS])
     return build_documents(at_places(rows, named), latest=False)
 

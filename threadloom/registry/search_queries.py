@@ -233,8 +233,8 @@ def refresh(spark, sf):
     they differ in no text."""
     paths = {n: scratch_path(spark, n) for n in ("captures", "narrow", "index", "store")}
     dump = imported(spark, sf)
-    sinks.write_captures(dump.posts, paths["captures"], dump.posts_by_day)
-    sinks.write_captures(dump.comments, paths["captures"])
+    sinks.write_captures(dump.posts, paths["captures"], dump.posts_by_day, dump.partitions)
+    sinks.write_captures(dump.comments, paths["captures"], by=dump.partitions)
     params = RefreshParameters(dim=3)
     for _ in range(2):
         run_refresh(spark, embed=letter_counts, params=params, **paths)
@@ -266,8 +266,8 @@ def refresh_noop(spark, sf):
     recorded for the index and the store, so none is opened."""
     paths = {n: scratch_path(spark, n) for n in ("captures", "narrow", "index", "store")}
     dump = imported(spark, sf)
-    sinks.append_captures(dump.posts, paths["captures"], dump.posts_by_day)
-    sinks.append_captures(dump.comments, paths["captures"])
+    sinks.append_captures(dump.posts, paths["captures"], dump.posts_by_day, dump.partitions)
+    sinks.append_captures(dump.comments, paths["captures"], by=dump.partitions)
     for _ in range(3):
         counts = run_refresh(spark, embed=letter_counts, params=RefreshParameters(dim=3), **paths)
     for name, path in (("indexed", paths["index"]), ("stored", paths["store"])):

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from threadloom.functions.ids import path_key_columns, path_keys, valid_stamp
 from threadloom.functions.once import computed_once
@@ -118,5 +118,8 @@ def lookback(df: DataFrame, days: int, as_of: dt.date | str | None = None) -> Da
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A partitioned Parquet table with a given schema, so that partition
-    values such as 0131 stay text."""
-    return spark.read.schema(schema).parquet(path)
+    values such as 0131 stay text; columns are in the schema's order, whichever of
+    them the table lies by."""
+    table = spark.read.schema(schema).parquet(path)
+    names = T._parse_datatype_string(schema).names
+    return table if table.columns == names else table.select(*names)

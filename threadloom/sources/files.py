@@ -21,6 +21,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path(path))
 
 
+def partitions_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The columns that a table lies by, as the first of its folders tell."""
+    fs, hadoop_path = hadoop(spark, path)
+    where, found = hadoop_path(path), []
+    while where is not None and fs.exists(where):
+        inside = (s.getPath() for s in fs.listStatus(where) if s.isDirectory())
+        where = next((p for p in inside if "=" in p.getName() and not p.getName().startswith(("_", "."))), None)
+        if where is not None:
+            found.append(where.getName().split("=")[0])
+    return tuple(found)
+
+
 def day_folders(spark: SparkSession, root: str, days: int, as_of: dt.date | str | None = None) -> list[str]:
     """A4 on a tree of files: the folders of the lookback's days, or the whole
     tree for 0.  Other days' folders are not listed."""

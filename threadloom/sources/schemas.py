@@ -21,6 +21,9 @@ NARROW = (
 # and day; instead files are sorted by corpus, and their statistics tell which
 # of them a corpus filter can leave out.
 PARTITIONS = ("kind", "y", "md")
+# Where days are many and small, tables lie by year, and rows are sorted by day:
+# the statistics of files and pages tell which rows a lookback can leave out.
+YEARLY = ("kind", "y")
 CLUSTERED = ("sub", "sid")
 
 METADATA = "struct<src:string,sub:string,t:string,sid:string,pid:string,h:string>"

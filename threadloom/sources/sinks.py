@@ -18,10 +18,14 @@ from threadloom.operators.ranking import PLACE, last_by, matching, matching_in_p
 from threadloom.session import materialize
 from threadloom.sources import schemas
 from threadloom.sources.captures import read_table
-from threadloom.sources.files import path_exists
+from threadloom.sources.files import partitions_of, path_exists
 
 # Level 22, the highest, took over 30 times as long as this one and saved 8 %.
 ZSTD_LEVEL = 9
+# A new table has a folder for every day if there are so few of them, or if they hold
+# so many rows on average.
+FEW_DAYS = 366
+DAY_ROWS = 20_000
 
 
 def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -50,27 +54,55 @@ def _write_partitioned(
     writer.parquet(path)
 
 
+def _laid(df: DataFrame, path: str, by: Sequence[str] | None, dealt: bool):
+    """The rows, the columns they are written by, those they are sorted by, and whether
+    they are dealt so already.  A table that is there stays as it lies; of a new one
+    ``by`` tells it, a folder for every day unless it is given."""
+    lies = lies_by(df.sparkSession, path) or by or schemas.PARTITIONS
+    if lies != schemas.YEARLY:
+        return df, lies, schemas.CLUSTERED, dealt and by in (None, lies)
+    # A folder's name cannot tell an empty day from none.
+    day = F.nullif("md", F.lit(""))
+    return df.withColumn("md", day), lies, ("md", *schemas.CLUSTERED), dealt and by in (None, lies)
+
+
+def lies_by(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """YEARLY or PARTITIONS, None if the table at ``path`` lies in another way or is not there."""
+    there = partitions_of(spark, path)
+    return there if there in (schemas.PARTITIONS, schemas.YEARLY) else None
+
+
+def partitions_for(days: int, rows: int) -> tuple[str, ...]:
+    """How a new table of so many days and rows is to lie.  A folder and its files cost
+    every reader and writer the same however small they are."""
+    return schemas.YEARLY if days > FEW_DAYS and rows < days * DAY_ROWS else schemas.PARTITIONS
+
+
 def _fit(df: DataFrame, schema: str) -> DataFrame:
     empty = df.sparkSession.createDataFrame([], schema)
     missing = {f.name: F.lit(None).cast(f.dataType) for f in empty.schema if f.name not in df.columns}
     return df.withColumns(missing).select(*empty.columns) if missing else df.select(*empty.columns)
 
 
-def write_narrow(df: DataFrame, path: str, level: int = ZSTD_LEVEL, dealt: bool = False) -> None:
-    """A5: narrow rows of either kind as zstd Parquet, partitioned by PARTITIONS,
-    with the content hash of what each row says."""
+def write_narrow(
+    df: DataFrame, path: str, level: int = ZSTD_LEVEL, dealt: bool = False, by: Sequence[str] | None = None
+) -> None:
+    """A5: narrow rows of either kind as zstd Parquet, partitioned by PARTITIONS, or as
+    the table lies or ``by`` says, with the content hash of what each row says."""
     if "h" not in df.columns:
         missing = [c for c in ("title", "body") if c not in df.columns]
         df = df.withColumns({c: F.lit(None).cast("string") for c in missing}).withColumn("h", document_hash())
-    _write_partitioned(_fit(df, schemas.NARROW), path, schemas.PARTITIONS, schemas.CLUSTERED, level, dealt)
+    rows, by, sort, dealt = _laid(_fit(df, schemas.NARROW), path, by, dealt)
+    _write_partitioned(rows, path, by, sort, level, dealt)
 
 
-def append_captures(df: DataFrame, path: str, dealt: bool = False) -> None:
+def append_captures(df: DataFrame, path: str, dealt: bool = False, by: Sequence[str] | None = None) -> None:
     """Append raw capture rows that are known to be new."""
-    _write_partitioned(_fit(df, schemas.CAPTURE), path, schemas.PARTITIONS, schemas.CLUSTERED, dealt=dealt)
+    rows, by, sort, dealt = _laid(_fit(df, schemas.CAPTURE), path, by, dealt)
+    _write_partitioned(rows, path, by, sort, dealt=dealt)
 
 
-def write_captures(df: DataFrame, path: str, dealt: bool = False) -> None:
+def write_captures(df: DataFrame, path: str, dealt: bool = False, by: Sequence[str] | None = None) -> None:
     """Append raw capture rows whose (thread, hash) is not there yet.
 
     The check sees keys only; the lines themselves are then matched with the
@@ -82,7 +114,7 @@ def write_captures(df: DataFrame, path: str, dealt: bool = False) -> None:
         fresh = materialize(unseen(df.select(*keys).distinct(), existing, keys), "fresh")
         df, in_place = matching_in_place(df, fresh, keys)
         dealt = dealt and in_place
-    append_captures(df, path, dealt)
+    append_captures(df, path, dealt, by)
 
 
 def write_vectors(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
