@@ -60,10 +60,10 @@ def _laid(df: DataFrame, path: str, by: Sequence[str] | None, dealt: bool):
     ``by`` tells it, a folder for every day unless it is given."""
     lies = lies_by(df.sparkSession, path) or by or schemas.PARTITIONS
     if lies != schemas.YEARLY:
-        return df, lies, schemas.CLUSTERED, dealt and by in (None, lies)
+        return df, lies, schemas.CLUSTERED, dealt and by != schemas.YEARLY
     # A folder's name cannot tell an empty day from none.
     day = F.nullif("md", F.lit(""))
-    return df.withColumn("md", day), lies, ("md", *schemas.CLUSTERED), dealt and by in (None, lies)
+    return df.withColumn("md", day), lies, ("md", *schemas.CLUSTERED), dealt
 
 
 def lies_by(spark: SparkSession, path: str) -> tuple[str, ...] | None:
